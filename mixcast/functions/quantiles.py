@@ -77,6 +77,38 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list
 
     Returns ``{(group_tuple, col, p): value or None}``; group_tuple is ``()`` without ``by``.
     """
+    plan: dict[tuple, tuple] = {}  # (group, col, p) -> (rank_lo, rank_hi, frac) or None
+
+    def ranks(g, c, n):
+        out = []
+        for p in probs:
+            if not n:
+                plan[(g, c, p)] = None
+                continue
+            h = (n - 1) * p
+            r_lo, r_hi = int(math.floor(h)), int(math.ceil(h))
+            plan[(g, c, p)] = (r_lo, r_hi, h - math.floor(h))
+            out += [r_lo, r_hi]
+        return out
+
+    values = order_statistics(df, cols, ranks, by, grid, accuracy, small)
+    out = {}
+    for (g, c, p), pl in plan.items():
+        if pl is None:
+            out[(g, c, p)] = None
+            continue
+        r_lo, r_hi, frac = pl
+        lo_v, hi_v = values[(g, c, r_lo)], values[(g, c, r_hi)]
+        out[(g, c, p)] = lo_v + (hi_v - lo_v) * frac
+    return out
+
+
+def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None = None,
+                     grid: int = GRID, accuracy: int = ACCURACY, small: int = SMALL) -> dict:
+    """Exact r-th smallest non-null value (0-based) for the ranks ``ranks(group, col, n)`` asks for.
+
+    Returns ``{(group_tuple, col, r): value}``.
+    """
     by = list(by or [])
     dcols = {c: F.col(c).cast("double") for c in cols}
     gprobs = [i / grid for i in range(grid + 1)]
@@ -89,30 +121,22 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list
                  F.percentile_approx(x, gprobs, accuracy).alias(f"g{i}")]
     stats = _grouped(df, by).agg(*aggs).limit(MAX_GROUPS + 1).collect()
     if len(stats) > MAX_GROUPS:
-        raise ValueError(f"exact_quantiles: more than {MAX_GROUPS} groups; use approximate quantiles")
+        raise ValueError(f"exact quantiles: more than {MAX_GROUPS} groups; use approximate quantiles")
 
     targets: dict[tuple, _Target] = {}
-    plan: dict[tuple, tuple] = {}  # (group, col, p) -> (rank_lo, rank_hi, frac) or None
     for row in stats:
         g = _key(row, by)
         for i, c in enumerate(cols):
             n = row[f"n{i}"]
-            for p in probs:
-                if not n:
-                    plan[(g, c, p)] = None
+            for r in ranks(g, c, n):
+                if (g, c, r) in targets or not (0 <= r < (n or 0)):
                     continue
-                h = (n - 1) * p
-                r_lo, r_hi = int(math.floor(h)), int(math.ceil(h))
-                plan[(g, c, p)] = (r_lo, r_hi, h - math.floor(h))
-                for r in {r_lo, r_hi}:
-                    if (g, c, r) in targets:
-                        continue
-                    t = _Target(g, c, r, grid=row[f"g{i}"], dom_n=n, dom_min=row[f"mn{i}"], dom_max=row[f"mx{i}"])
-                    if r == 0:
-                        t.value, t.done = t.dom_min, True
-                    elif r == n - 1:
-                        t.value, t.done = t.dom_max, True
-                    targets[(g, c, r)] = t
+                t = _Target(g, c, r, grid=row[f"g{i}"], dom_n=n, dom_min=row[f"mn{i}"], dom_max=row[f"mx{i}"])
+                if r == 0:
+                    t.value, t.done = t.dom_min, True
+                elif r == n - 1:
+                    t.value, t.done = t.dom_max, True
+                targets[(g, c, r)] = t
 
     for _ in range(30):
         pending = [t for t in targets.values() if not t.done]
@@ -178,18 +202,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list
                 r = rows[t.group]
                 t.dom_n, t.dom_min, t.dom_max, t.grid = r[f"n{j}"], r[f"mn{j}"], r[f"mx{j}"], r[f"g{j}"]
     else:
-        raise RuntimeError("exact_quantiles did not converge")
-
-    out = {}
-    for (g, c, p), pl in plan.items():
-        if pl is None:
-            out[(g, c, p)] = None
-            continue
-        r_lo, r_hi, frac = pl
-        lo_v = targets[(g, c, r_lo)].value
-        hi_v = targets[(g, c, r_hi)].value
-        out[(g, c, p)] = lo_v + (hi_v - lo_v) * frac
-    return out
+        raise RuntimeError("order_statistics did not converge")
+    return {k: t.value for k, t in targets.items()}
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None,

@@ -170,3 +170,174 @@ def q_top_roi(spark, sf):
 def oracle_sql() -> dict[str, str]:
     from .oracle import all_sql
     return {k: v for k, v in all_sql().items() if k in QUERIES}
+
+
+# ---------------------------------------------------------------- splits, folds, features
+
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import features as FE  # noqa: E402
+from ..operators import splits as SP  # noqa: E402
+from ..operators.predictors import TercileClassifier, TrendModel, predictions  # noqa: E402
+from ..operators.tuning import cv_trend_scores  # noqa: E402
+
+TREND_FEATURES = {"Budget Trend": "Total_Budget", "TV Trend": "TV"}
+TERCILE_FEATURES = {"Budget Terciles": "Total_Budget", "TV Terciles": "TV"}
+
+
+def reg_table(spark, sf) -> DataFrame:
+    """Enriched campaigns with the regression split and the CV fold."""
+    ctx = context(spark, sf)
+    return ctx.get("reg_table", lambda: SP.with_folds(SP.hash_split(ctx.camp)))
+
+
+def clf_table(spark, sf) -> DataFrame:
+    ctx = context(spark, sf)
+    return ctx.get("clf_table", lambda: SP.with_folds(SP.stratified_split(ctx.camp)))
+
+
+def trend_models(spark, sf) -> dict:
+    ctx = context(spark, sf)
+
+    def build():
+        train = reg_table(spark, sf).where(F.col("split") == "train")
+        return {name: TrendModel.fit(train, feat) for name, feat in TREND_FEATURES.items()}
+    return ctx.get("trend_models", build)
+
+
+def tercile_models(spark, sf) -> dict:
+    ctx = context(spark, sf)
+
+    def build():
+        ctx.camp  # noqa: B018  (fits the terciles)
+        train = clf_table(spark, sf).where(F.col("split") == "train")
+        t1, t2 = ctx.stats.terciles
+        return {name: TercileClassifier(TrendModel.fit(train, feat), t1, t2) for name, feat in TERCILE_FEATURES.items()}
+    return ctx.get("tercile_models", build)
+
+
+def reg_preds(spark, sf) -> DataFrame:
+    return predictions(reg_table(spark, sf), trend_models(spark, sf), "regression")
+
+
+def clf_preds(spark, sf) -> DataFrame:
+    return predictions(clf_table(spark, sf), tercile_models(spark, sf), "classification")
+
+
+def test_only(df: DataFrame) -> DataFrame:
+    return df.where(F.col("split") == "test")
+
+
+@query("split_regression")
+def q_split_reg(spark, sf):
+    return reg_table(spark, sf).select(KEY, "split")
+
+
+@query("split_stratified")
+def q_split_strat(spark, sf):
+    return clf_table(spark, sf).select(KEY, "Performance", "split")
+
+
+@query("cv_folds")
+def q_cv_folds(spark, sf):
+    return reg_table(spark, sf).select(KEY, "split", "fold")
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    return SP.class_weights(clf_table(spark, sf).where(F.col("split") == "train"))
+
+
+@query("scaled_features")
+def q_scaled(spark, sf):
+    t = reg_table(spark, sf)
+    out = FE.scaled_features(t, t.where(F.col("split") == "train"))
+    return rounded(out.select(KEY, *[f"{c}_z" for c in CHANNELS]))
+
+
+@query("onehot_features")
+def q_onehot(spark, sf):
+    return FE.onehot_features(camp(spark, sf)).select(KEY, "Influencer", "Influencer_Macro", "Influencer_Micro",
+                                                       "Influencer_Nano")
+
+
+# ---------------------------------------------------------------- evaluation (closed-form predictors)
+
+@query("regression_metrics")
+def q_reg_metrics(spark, sf):
+    return EV.regression_metrics(test_only(reg_preds(spark, sf)))
+
+
+@query("classification_metrics")
+def q_clf_metrics(spark, sf):
+    return EV.classification_metrics(test_only(clf_preds(spark, sf)))
+
+
+@query("roc_auc_ovr")
+def q_auc(spark, sf):
+    return EV.roc_auc_ovr(test_only(clf_preds(spark, sf)))
+
+
+@query("confusion_matrix")
+def q_confusion(spark, sf):
+    return EV.confusion_matrix(test_only(clf_preds(spark, sf)))
+
+
+@query("residuals")
+def q_residuals(spark, sf):
+    return EV.residuals(test_only(reg_preds(spark, sf)))
+
+
+@query("worst_predictions")
+def q_worst(spark, sf):
+    p = test_only(reg_preds(spark, sf)).where(F.col("model") == "Budget Trend")
+    feats = rounded(camp(spark, sf).select(KEY, *CHANNELS, "Influencer"))
+    return EV.worst_predictions(p, feats, n=5)
+
+
+@query("misclassified")
+def q_misclassified(spark, sf):
+    p = test_only(clf_preds(spark, sf)).where(F.col("model") == "Budget Terciles")
+    feats = rounded(camp(spark, sf).select(KEY, *CHANNELS, "Influencer"))
+    return EV.misclassified(p, feats, n=5)
+
+
+@query("extreme_predictions")
+def q_extremes(spark, sf):
+    return EV.extreme_predictions(test_only(reg_preds(spark, sf)))
+
+
+@query("train_test_gap")
+def q_gap(spark, sf):
+    return EV.train_test_gap(reg_preds(spark, sf))
+
+
+@query("train_test_gap_classification")
+def q_gap_clf(spark, sf):
+    return EV.train_test_gap(clf_preds(spark, sf), task="classification")
+
+
+@query("r2_critique")
+def q_r2_critique(spark, sf):
+    return EV.r2_critique(reg_preds(spark, sf))
+
+
+def trend_cv(spark, sf) -> DataFrame:
+    train = reg_table(spark, sf).where(F.col("split") == "train")
+    parts = [cv_trend_scores(train, feat, name) for name, feat in TREND_FEATURES.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query("cv_scores")
+def q_cv_scores(spark, sf):
+    return trend_cv(spark, sf)
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    return EV.model_comparison(test_only(reg_preds(spark, sf)), trend_cv(spark, sf))
+
+
+@query("best_model")
+def q_best_model(spark, sf):
+    comp = EV.model_comparison(test_only(reg_preds(spark, sf)), trend_cv(spark, sf))
+    return EV.best_model(comp, "r2", list(TREND_FEATURES))

@@ -247,7 +247,209 @@ def profile_sql() -> dict[str, str]:
     return q
 
 
+def _md5(seed: int = 42) -> str:
+    return f"md5('{seed}-' || CAST(campaign_id AS VARCHAR))"
+
+
+SPLIT_CTES = [
+    f"sp AS (SELECT *, CASE WHEN substr({_md5()}, 1, 8) < '33333333' THEN 'test' ELSE 'train' END AS split, "
+    f"CAST(('0x' || substr({_md5()}, 9, 8))::BIGINT % 5 AS INTEGER) AS fold FROM camp)",
+    f"ss0 AS (SELECT *, ('0x' || substr({_md5()}, 1, 13))::BIGINT AS h52, "
+    f"CAST(('0x' || substr({_md5()}, 9, 8))::BIGINT % 5 AS INTEGER) AS fold FROM camp)",
+    "ss1 AS (SELECT *, row_number() OVER (PARTITION BY Performance ORDER BY h52, campaign_id) AS rk, "
+    "count(*) OVER (PARTITION BY Performance) AS nc FROM ss0)",
+    "st AS (SELECT * EXCLUDE (h52, rk, nc), CASE WHEN rk <= floor(0.2 * nc + 0.5) THEN 'test' ELSE 'train' END AS split "
+    "FROM ss1)",
+]
+TREND = {"Budget Trend": "Total_Budget", "TV Trend": "TV"}
+TERC = {"Budget Terciles": "Total_Budget", "TV Terciles": "TV"}
+
+
+def _trend_ctes() -> list[str]:
+    ctes, parts = [], []
+    for i, (name, feat) in enumerate(TREND.items()):
+        ctes.append(f"fr{i} AS (SELECT regr_intercept(Sales, {feat}) AS a, regr_slope(Sales, {feat}) AS b "
+                    "FROM sp WHERE split = 'train')")
+        parts.append(f"SELECT campaign_id, '{name}' AS model, split, Sales AS actual, a + b * {feat} AS predicted "
+                     f"FROM sp, fr{i}")
+    ctes.append(f"rp AS ({' UNION ALL '.join(parts)})")
+    return ctes
+
+
+def _terc_ctes() -> list[str]:
+    ctes, parts = [], []
+    for i, (name, feat) in enumerate(TERC.items()):
+        ctes.append(f"fc{i} AS (SELECT regr_intercept(Sales, {feat}) AS a, regr_slope(Sales, {feat}) AS b "
+                    "FROM st WHERE split = 'train')")
+        parts.append(
+            f"SELECT campaign_id, '{name}' AS model, split, Performance AS actual, "
+            "CASE WHEN p <= t1 THEN 'Low' WHEN p <= t2 THEN 'Medium' ELSE 'High' END AS predicted, "
+            "round(-p, 6) AS score_Low, round(-abs(p - (t1 + t2) / 2), 6) AS score_Medium, round(p, 6) AS score_High "
+            f"FROM (SELECT st.*, a + b * {feat} AS p FROM st, fc{i}), terc")
+    ctes.append(f"cp AS ({' UNION ALL '.join(parts)})")
+    return ctes
+
+
+def _reg_metrics(src: str, by: str = "model", d: int = 6) -> str:
+    e = "(actual - predicted)"
+    return (f"SELECT {by}, count(*) AS n, round(avg(abs{e}), {d}) AS mae, round(sqrt(avg({e} * {e})), {d}) AS rmse, "
+            f"round(1 - sum({e} * {e}) / nullif(var_pop(actual) * count(*), 0), {d}) AS r2 FROM {src} GROUP BY {by}")
+
+
+def _clf_metrics(src: str, by: str = "model", d: int = 6) -> list[str]:
+    """CTEs cc_<src> .. and the final select text for weighted metrics."""
+    return [
+        f"cc AS (SELECT {by}, actual, predicted, count(*) AS n FROM {src} GROUP BY {by}, actual, predicted)",
+        f"tc AS (SELECT {by}, actual AS label, sum(n) AS support FROM cc GROUP BY {by}, actual)",
+        f"pc AS (SELECT {by}, predicted AS label, sum(n) AS n_pred FROM cc GROUP BY {by}, predicted)",
+        f"tp AS (SELECT {by}, actual AS label, n AS tp FROM cc WHERE actual = predicted)",
+        f"per0 AS (SELECT coalesce(tc.{by}, pc.{by}) AS {by}, coalesce(tc.label, pc.label) AS label, "
+        "coalesce(support, 0) AS support, coalesce(n_pred, 0) AS n_pred FROM tc FULL JOIN pc "
+        f"ON tc.{by} = pc.{by} AND tc.label = pc.label)",
+        f"per1 AS (SELECT per0.*, coalesce(tp.tp, 0) AS tp FROM per0 LEFT JOIN tp USING ({by}, label))",
+        "per AS (SELECT *, coalesce(CAST(tp AS DOUBLE) / nullif(CAST(n_pred AS DOUBLE), 0), 0) AS pr, "
+        "coalesce(CAST(tp AS DOUBLE) / nullif(CAST(support AS DOUBLE), 0), 0) AS rc FROM per1)",
+        f"wm AS (SELECT {by}, sum(support) AS n, sum(tp) AS correct, sum(pr * support) AS wp, sum(rc * support) AS wr, "
+        "sum(coalesce(2 * pr * rc / nullif(pr + rc, 0), 0) * support) AS wf FROM per GROUP BY " + by + ")",
+    ]
+
+
+def _clf_select(by: str = "model", d: int = 6) -> str:
+    return (f"SELECT {by}, CAST(n AS BIGINT) AS n, round(correct / CAST(n AS DOUBLE), {d}) AS accuracy, "
+            f"round(wp / CAST(n AS DOUBLE), {d}) AS precision, round(wr / CAST(n AS DOUBLE), {d}) AS recall, "
+            f"round(wf / CAST(n AS DOUBLE), {d}) AS f1 FROM wm")
+
+
+def _auc_ctes(src: str) -> list[str]:
+    sc = " UNION ALL ".join(f"SELECT model, actual, '{c}' AS cls, round(score_{c}, 6) AS score FROM {src}"
+                            for c in ["Low", "Medium", "High"])
+    return [f"sc AS ({sc})",
+            "g AS (SELECT model, cls, score, count_if(actual = cls) AS pos, count_if(actual <> cls) AS neg "
+            "FROM sc GROUP BY model, cls, score)",
+            "w AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model, cls ORDER BY score "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)",
+            "pa AS (SELECT model, cls, sum(pos * (below + neg * 0.5)) AS u, sum(pos) AS p, sum(neg) AS q "
+            "FROM w GROUP BY model, cls)",
+            "auc AS (SELECT model, CASE WHEN min(least(p, q)) > 0 THEN sum(u / nullif(p * q, 0) * p) / sum(p) END AS auc "
+            "FROM pa GROUP BY model)"]
+
+
+def _cv_ctes() -> list[str]:
+    ctes, parts = ["ff AS (SELECT DISTINCT fold AS f FROM sp WHERE split = 'train')"], []
+    for i, (name, feat) in enumerate(TREND.items()):
+        ctes.append(f"cf{i} AS (SELECT f, regr_intercept(Sales, {feat}) AS a, regr_slope(Sales, {feat}) AS b "
+                    "FROM ff JOIN sp ON sp.fold <> ff.f AND sp.split = 'train' GROUP BY f)")
+        parts.append(f"SELECT '{name}' AS model, fold, round(1 - sum((Sales - (a + b * {feat})) * (Sales - (a + b * {feat}))) "
+                     f"/ nullif(var_pop(Sales) * count(*), 0), 6) AS score FROM sp JOIN cf{i} ON fold = f "
+                     "WHERE split = 'train' GROUP BY fold")
+    ctes.append(f"cvs AS ({' UNION ALL '.join(parts)})")
+    return ctes
+
+
+def eval_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["split_regression"] = sql("SELECT campaign_id, split FROM sp", *SPLIT_CTES)
+    q["split_stratified"] = sql("SELECT campaign_id, Performance, split FROM st", *SPLIT_CTES)
+    q["cv_folds"] = sql("SELECT campaign_id, split, fold FROM sp", *SPLIT_CTES)
+    q["class_weights"] = sql(
+        "SELECT Performance, n, round(CAST(tot AS DOUBLE) / (CAST(k AS DOUBLE) * n), 6) AS weight FROM "
+        "(SELECT Performance, count(*) AS n FROM st WHERE split = 'train' AND Performance IS NOT NULL GROUP BY Performance), "
+        "(SELECT count(*) AS tot, count(DISTINCT Performance) AS k FROM st WHERE split = 'train' AND Performance IS NOT NULL)",
+        *SPLIT_CTES)
+    sc = ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END, 6) AS {c}_z"
+                   for c in CHANNELS)
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in CHANNELS)
+    q["scaled_features"] = sql(f"SELECT campaign_id, {sc} FROM sp, (SELECT {stats} FROM sp WHERE split = 'train')",
+                               *SPLIT_CTES)
+    oh = ", ".join(f"CAST(coalesce(Influencer = '{c}', false) AS DOUBLE) AS Influencer_{c}" for c in ["Macro", "Micro", "Nano"])
+    q["onehot_features"] = sql(f"SELECT campaign_id, Influencer, {oh} FROM camp")
+    base = [*SPLIT_CTES, *_trend_ctes()]
+    cbase = [*SPLIT_CTES, *_terc_ctes()]
+    q["regression_metrics"] = sql(_reg_metrics("(SELECT * FROM rp WHERE split = 'test')"), *base)
+    q["classification_metrics"] = sql(_clf_select(), *cbase, "tcp AS (SELECT * FROM cp WHERE split = 'test')",
+                                      *_clf_metrics("tcp"))
+    q["roc_auc_ovr"] = sql("SELECT model, round(auc, 6) AS roc_auc FROM auc", *cbase,
+                           "tcp AS (SELECT * FROM cp WHERE split = 'test')", *_auc_ctes("tcp"))
+    q["confusion_matrix"] = sql(
+        "SELECT lb.model, lb.actual, lb.predicted, CAST(coalesce(n, 0) AS BIGINT) AS n FROM "
+        "(SELECT a.model, a.l AS actual, b.l AS predicted FROM labs a JOIN labs b ON a.model = b.model) lb "
+        "LEFT JOIN cc USING (model, actual, predicted)",
+        *cbase, "tcp AS (SELECT * FROM cp WHERE split = 'test')",
+        "labs AS (SELECT model, actual AS l FROM tcp UNION SELECT model, predicted FROM tcp)",
+        "cc AS (SELECT model, actual, predicted, count(*) AS n FROM tcp GROUP BY model, actual, predicted)")
+    q["residuals"] = sql("SELECT model, campaign_id, round(actual, 6) AS actual, round(predicted, 6) AS predicted, "
+                         "round(actual - predicted, 6) AS residual FROM rp WHERE split = 'test'", *base)
+    q["worst_predictions"] = sql(
+        "SELECT c.campaign_id, round(c.TV, 6) AS TV, round(c.Radio, 6) AS Radio, round(c.Social_Media, 6) AS Social_Media, "
+        "c.Influencer, w.model, sales_actual, sales_predicted, abs_error, pct_error FROM camp c JOIN "
+        "(SELECT campaign_id, model, round(actual, 3) AS sales_actual, round(predicted, 3) AS sales_predicted, "
+        "round(abs(actual - predicted), 3) AS abs_error, "
+        "round(abs(actual - predicted) / greatest(abs(actual), 1e-6) * 100, 1) AS pct_error FROM rp "
+        "WHERE split = 'test' AND model = 'Budget Trend' ORDER BY abs_error DESC, campaign_id LIMIT 5) w "
+        "USING (campaign_id)", *base)
+    q["misclassified"] = sql(
+        "SELECT c.campaign_id, round(c.TV, 6) AS TV, round(c.Radio, 6) AS Radio, round(c.Social_Media, 6) AS Social_Media, "
+        "c.Influencer, m.model, class_actual, class_predicted FROM camp c JOIN "
+        "(SELECT campaign_id, model, actual AS class_actual, predicted AS class_predicted FROM cp "
+        "WHERE split = 'test' AND model = 'Budget Terciles' AND actual <> predicted ORDER BY campaign_id LIMIT 5) m "
+        "USING (campaign_id)", *cbase)
+    q["extreme_predictions"] = sql(
+        "SELECT model, 'min' AS extreme, campaign_id, round(predicted, 6) AS predicted FROM "
+        "(SELECT *, row_number() OVER (PARTITION BY model ORDER BY predicted, campaign_id) AS r FROM rp "
+        "WHERE split = 'test') WHERE r = 1 UNION ALL "
+        "SELECT model, 'max', campaign_id, round(predicted, 6) FROM "
+        "(SELECT *, row_number() OVER (PARTITION BY model ORDER BY predicted DESC, campaign_id) AS r FROM rp "
+        "WHERE split = 'test') WHERE r = 1", *base)
+    gap = ("SELECT tr.model, round(tr.r2, 4) AS r2_train, round(te.r2, 4) AS r2_test, "
+           "round(round(tr.r2, 4) - round(te.r2, 4), 4) AS gap")
+    mt = [f"mt AS ({_reg_metrics('rp', 'model, split', 12)})",
+          "tr AS (SELECT * FROM mt WHERE split = 'train')", "te AS (SELECT * FROM mt WHERE split = 'test')"]
+    q["train_test_gap"] = sql(
+        f"SELECT *, CASE WHEN gap > 0.05 THEN 'overfitting' ELSE 'stable' END AS diagnostic FROM "
+        f"({gap} FROM tr JOIN te USING (model))", *base, *mt)
+    q["r2_critique"] = sql(
+        "SELECT *, CASE WHEN gap < -0.01 THEN 'yes' ELSE 'no' END AS leak_suspect, "
+        f"CASE WHEN gap > 0.05 THEN 'yes' ELSE 'no' END AS overfit FROM ({gap} FROM tr JOIN te USING (model))",
+        *base, *mt)
+    cm = [c.replace("cc AS (SELECT model, split,", "cc AS (SELECT model, split,") for c in _clf_metrics("cp", "model, split")]
+    q["train_test_gap_classification"] = sql(
+        "SELECT tr.model, round(tr.f1, 4) AS f1_train, round(te.f1, 4) AS f1_test, "
+        "round(round(tr.f1, 4) - round(te.f1, 4), 4) AS gap, "
+        "CASE WHEN round(round(tr.f1, 4) - round(te.f1, 4), 4) > 0.05 THEN 'overfitting' ELSE 'stable' END AS diagnostic "
+        "FROM (SELECT * FROM m2 WHERE split = 'train') tr JOIN (SELECT * FROM m2 WHERE split = 'test') te USING (model)",
+        *cbase, *_clf_metrics_split(), f"m2 AS ({_clf_select('model, split', 12)})")
+    q["cv_scores"] = sql("SELECT model, fold, score FROM cvs", *base, *_cv_ctes())
+    comp = ("SELECT m.model, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(r2, 4) AS r2, cv_mean, cv_std FROM m "
+            "LEFT JOIN (SELECT model, round(avg(score), 4) AS cv_mean, round(stddev_pop(score), 4) AS cv_std FROM cvs "
+            "GROUP BY model) c USING (model)")
+    mte = f"m AS ({_reg_metrics('(SELECT * FROM rp WHERE split = ' + chr(39) + 'test' + chr(39) + ')', 'model', 12)})"
+    q["model_comparison"] = sql(comp, *base, *_cv_ctes(), mte)
+    q["best_model"] = sql(f"SELECT * FROM ({comp}) ORDER BY r2 DESC, "
+                          "CASE model WHEN 'Budget Trend' THEN 1 WHEN 'TV Trend' THEN 2 END LIMIT 1",
+                          *base, *_cv_ctes(), mte)
+    return q
+
+
+def _clf_metrics_split() -> list[str]:
+    by = "model, split"
+    return [
+        f"cc AS (SELECT {by}, actual, predicted, count(*) AS n FROM cp GROUP BY {by}, actual, predicted)",
+        f"tc AS (SELECT {by}, actual AS label, sum(n) AS support FROM cc GROUP BY {by}, actual)",
+        f"pc AS (SELECT {by}, predicted AS label, sum(n) AS n_pred FROM cc GROUP BY {by}, predicted)",
+        f"tp AS (SELECT {by}, actual AS label, n AS tp FROM cc WHERE actual = predicted)",
+        "per0 AS (SELECT coalesce(tc.model, pc.model) AS model, coalesce(tc.split, pc.split) AS split, "
+        "coalesce(tc.label, pc.label) AS label, coalesce(support, 0) AS support, coalesce(n_pred, 0) AS n_pred "
+        "FROM tc FULL JOIN pc ON tc.model = pc.model AND tc.split = pc.split AND tc.label = pc.label)",
+        "per1 AS (SELECT per0.*, coalesce(tp.tp, 0) AS tp FROM per0 LEFT JOIN tp USING (model, split, label))",
+        "per AS (SELECT *, coalesce(CAST(tp AS DOUBLE) / nullif(CAST(n_pred AS DOUBLE), 0), 0) AS pr, "
+        "coalesce(CAST(tp AS DOUBLE) / nullif(CAST(support AS DOUBLE), 0), 0) AS rc FROM per1)",
+        f"wm AS (SELECT {by}, sum(support) AS n, sum(tp) AS correct, sum(pr * support) AS wp, sum(rc * support) AS wr, "
+        f"sum(coalesce(2 * pr * rc / nullif(pr + rc, 0), 0) * support) AS wf FROM per GROUP BY {by})",
+    ]
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(profile_sql())
+    out.update(eval_sql())
     return out
