@@ -33,11 +33,14 @@ class TrendModel:
         row = train.agg(F.regr_intercept(target, feature).alias("a"), F.regr_slope(target, feature).alias("b")).first()
         return cls(feature, row["a"], row["b"])
 
-    def expr(self):
-        return F.lit(self.intercept) + F.lit(self.slope) * F.col(self.feature)
+    def expr(self, columns=None):
+        x = F.col(self.feature)
+        if columns is not None and self.feature == "Total_Budget" and "Total_Budget" not in columns:
+            x = F.col("TV") + F.col("Radio") + F.col("Social_Media")
+        return F.lit(self.intercept) + F.lit(self.slope) * x
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", self.expr())
+        return df.withColumn("prediction", self.expr(df.columns))
 
     n_params = 2
     complexity = "low"
@@ -56,7 +59,7 @@ class TercileClassifier:
     task: str = "classification"
 
     def predict(self, df: DataFrame) -> DataFrame:
-        p = self.trend.expr()
+        p = self.trend.expr(df.columns)
         mid = (self.t1 + self.t2) / 2
         label = F.when(p <= F.lit(self.t1), CLASSES[0]).when(p <= F.lit(self.t2), CLASSES[1]).otherwise(CLASSES[2])
         from ..functions.exprs import rnd

@@ -341,3 +341,127 @@ def q_model_comparison(spark, sf):
 def q_best_model(spark, sf):
     comp = EV.model_comparison(test_only(reg_preds(spark, sf)), trend_cv(spark, sf))
     return EV.best_model(comp, "r2", list(TREND_FEATURES))
+
+
+# ---------------------------------------------------------------- scoring and registry
+
+from ..functions.quantiles import quantiles  # noqa: E402
+from ..operators import score as SC  # noqa: E402
+from ..sources.campaigns import table  # noqa: E402
+
+# Fixed derivation of what-if requests: market segment of the ordering customer -> model asked for.
+SEGMENT_TO_MODEL = {"AUTOMOBILE": "Budget Trend", "BUILDING": "TV Trend", "MACHINERY": "Budget Trend",
+                    "HOUSEHOLD": "Gradient Boosting"}  # FURNITURE asks for no model (default)
+
+
+def scenario_requests(spark, sf) -> DataFrame:
+    """One JSON what-if request per order: its campaign budgets and tier, and a model name."""
+    raw = context(spark, sf).raw
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    cust = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    model = F.lit(None).cast("string")
+    for seg, m in SEGMENT_TO_MODEL.items():
+        model = F.when(F.col("c_mktsegment") == seg, m).otherwise(model)
+    j = (raw.join(orders, raw[KEY] == orders.o_orderkey).join(cust, orders.o_custkey == cust.c_custkey, "left"))
+    body = F.to_json(F.struct(*CHANNELS, "Influencer", model.alias("model")))
+    return j.select(F.col(KEY).alias("request_id"), body.alias("body"))
+
+
+def reg_runs(spark, sf) -> DataFrame:
+    """Run table of the closed-form models: task, model, tuned, score (test R² / weighted F1)."""
+    r = EV.regression_metrics(test_only(reg_preds(spark, sf))).select(
+        F.lit("regression").alias("task"), "model", F.lit(False).alias("tuned"), F.col("r2").alias("score"))
+    c = EV.classification_metrics(test_only(clf_preds(spark, sf))).select(
+        F.lit("classification").alias("task"), "model", F.lit(False).alias("tuned"), F.col("f1").alias("score"))
+    return r.unionByName(c)
+
+
+def registry(spark, sf) -> DataFrame:
+    return SC.model_registry(reg_runs(spark, sf))
+
+
+def best_reg_model(spark, sf) -> str:
+    ctx = context(spark, sf)
+    return ctx.get("best_reg", lambda: SC.default_model(registry(spark, sf), "regression",
+                                                         list(TREND_FEATURES)).first()["model"])
+
+
+def validated(spark, sf) -> DataFrame:
+    scen = SC.parse_scenarios(scenario_requests(spark, sf))
+    return SC.validate_scenarios(scen, list(trend_models(spark, sf)), best_reg_model(spark, sf))
+
+
+def accepted(spark, sf) -> DataFrame:
+    return validated(spark, sf).where(F.col("reason").isNull())
+
+
+@query("scenario_parse")
+def q_scenario_parse(spark, sf):
+    return SC.parse_scenarios(scenario_requests(spark, sf))
+
+
+@query("scenario_validation")
+def q_scenario_validation(spark, sf):
+    return SC.scenario_status(validated(spark, sf))
+
+
+@query("scenario_unknown_model")
+def q_scenario_unknown(spark, sf):
+    return validated(spark, sf).where(F.col("reason") == "model_not_found").select("request_id", "model", "reason")
+
+
+@query("score_scenarios")
+def q_score(spark, sf):
+    return SC.score_scenarios(accepted(spark, sf), trend_models(spark, sf), with_timestamp=False)
+
+
+@query("scenario_by_model")
+def q_by_model(spark, sf):
+    return SC.score_all_models(accepted(spark, sf), trend_models(spark, sf))
+
+
+@query("sensitivity")
+def q_sensitivity(spark, sf):
+    c = camp(spark, sf)
+    med = quantiles(c, CHANNELS, [0.5], by=["Influencer"])
+    tiers = sorted({g[0] for (g, _, _) in med})
+    rows = [(t, *[med[((t,), ch, 0.5)] for ch in CHANNELS]) for t in tiers]
+    scen = spark.createDataFrame(rows, "Influencer string, TV double, Radio double, Social_Media double")
+    mx = c.agg(*[F.max(ch).alias(ch) for ch in CHANNELS]).first().asDict()
+    model = trend_models(spark, sf)[best_reg_model(spark, sf)]
+    return SC.sensitivity(scen, model, mx, points=60)
+
+
+@query("model_registry")
+def q_registry(spark, sf):
+    return registry(spark, sf)
+
+
+@query("model_resolve")
+def q_resolve(spark, sf):
+    reg = registry(spark, sf)
+    res = SC.resolve_models(reg)
+    defaults = SC.default_model(reg, "regression", list(TREND_FEATURES)).unionByName(
+        SC.default_model(reg, "classification", list(TERCILE_FEATURES)))
+    d = defaults.select("task", F.col("model").alias("__d"))
+    return res.join(F.broadcast(d), "task", "left").select(  # one row per task
+        "task", "model", "tuned", (F.col("model") == F.col("__d")).alias("is_default"))
+
+
+def _meta(df: DataFrame, task: str, best: str) -> DataFrame:
+    counts = df.groupBy().agg(F.count_if(F.col("split") == "train").alias("n_train"),
+                              F.count_if(F.col("split") == "test").alias("n_test"))
+    kv = counts.select(F.lit(best).alias(f"best_{task}_model"), F.col("n_train").cast("string").alias("n_train"),
+                       F.col("n_test").cast("string").alias("n_test"))
+    cols = [f"best_{task}_model", "n_train", "n_test"]
+    return kv.unpivot([], cols, "key", "value")
+
+
+@query("metadata_merge")
+def q_metadata_merge(spark, sf):
+    reg = registry(spark, sf)
+    best_r = SC.default_model(reg, "regression", list(TREND_FEATURES)).first()["model"]
+    best_c = SC.default_model(reg, "classification", list(TERCILE_FEATURES)).first()["model"]
+    left = _meta(reg_table(spark, sf), "reg", best_r)
+    right = _meta(clf_table(spark, sf), "clf", best_c)
+    return SC.merge_metadata(left, right)

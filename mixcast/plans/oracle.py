@@ -448,8 +448,91 @@ def _clf_metrics_split() -> list[str]:
     ]
 
 
+SEGMENT_TO_MODEL = {"AUTOMOBILE": "Budget Trend", "BUILDING": "TV Trend", "MACHINERY": "Budget Trend",
+                    "HOUSEHOLD": "Gradient Boosting"}
+
+
+def _score_ctes() -> list[str]:
+    seg = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SEGMENT_TO_MODEL.items())
+    miss = " OR ".join(f"{c} IS NULL" for c in [*CHANNELS, "Influencer"])
+    neg = " OR ".join(f"{c} < 0" for c in CHANNELS)
+    order = "CASE model WHEN 'Budget Trend' THEN 1 WHEN 'TV Trend' THEN 2 END"
+    return [
+        *SPLIT_CTES, *_trend_ctes(),
+        f"seg AS (SELECT o_orderkey, CASE c_mktsegment {seg} END AS model FROM orders "
+        "LEFT JOIN customer ON o_custkey = c_custkey)",
+        "req AS (SELECT campaign_id AS request_id, true AS parsed, TV, Radio, Social_Media, Influencer, model "
+        "FROM raw JOIN seg ON campaign_id = o_orderkey)",
+        f"rm AS ({_reg_metrics(chr(40) + 'SELECT * FROM rp WHERE split = ' + chr(39) + 'test' + chr(39) + chr(41))})",
+        f"best AS (SELECT model FROM rm ORDER BY r2 DESC, {order} LIMIT 1)",
+        "val AS (SELECT request_id, TV, Radio, Social_Media, Influencer, coalesce(model, (SELECT model FROM best)) AS model, "
+        f"CASE WHEN NOT parsed THEN 'invalid_json' WHEN {miss} THEN 'missing_field' WHEN {neg} THEN 'negative_budget' "
+        "WHEN Influencer NOT IN ('Mega', 'Macro', 'Micro', 'Nano') THEN 'unknown_influencer' "
+        "WHEN coalesce(model, (SELECT model FROM best)) IS NULL OR coalesce(model, (SELECT model FROM best)) "
+        "NOT IN ('Budget Trend', 'TV Trend') THEN 'model_not_found' END AS reason FROM req)",
+        "acc AS (SELECT * FROM val WHERE reason IS NULL)",
+    ]
+
+
+def _pred(model_sql: str) -> str:
+    """Prediction of the closed-form models fr0 (Budget Trend) / fr1 (TV Trend) for a model name."""
+    return (f"CASE {model_sql} WHEN 'Budget Trend' THEN fr0.a + fr0.b * (TV + Radio + Social_Media) "
+            "WHEN 'TV Trend' THEN fr1.a + fr1.b * TV END")
+
+
+def score_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    base = _score_ctes()
+    q["scenario_parse"] = sql("SELECT * FROM req", *base)
+    q["scenario_validation"] = sql(
+        "SELECT request_id, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, reason FROM val", *base)
+    q["scenario_unknown_model"] = sql("SELECT request_id, model, reason FROM val WHERE reason = 'model_not_found'", *base)
+    tot = "(TV + Radio + Social_Media)"
+    roi = f"CASE WHEN {tot} > 0 THEN p / {tot} ELSE 0.0 END"
+    q["score_scenarios"] = sql(
+        f"SELECT request_id, model AS model_used, round(p, 4) AS predicted_sales_M, round({roi}, 4) AS roi_estimate, "
+        f"round({tot}, 4) AS total_budget_M, round(p - {tot}, 4) AS profit_estimate_M, "
+        f"round({roi} - 1.0, 4) AS roi_vs_threshold, p - {tot} > 0 AS profitable "
+        f"FROM (SELECT acc.*, {_pred('model')} AS p FROM acc, fr0, fr1)", *base)
+    q["scenario_by_model"] = sql(
+        " UNION ALL ".join(f"SELECT request_id, '{m}' AS model, round({_pred(chr(39) + m + chr(39))}, 2) AS predicted_sales "
+                           "FROM acc, fr0, fr1" for m in ["Budget Trend", "TV Trend"]), *base)
+    chans = " UNION ALL ".join(f"SELECT '{c}' AS channel, m_{c} AS mx FROM mx" for c in CHANNELS)
+    setc = ", ".join(f"CASE WHEN channel = '{c}' THEN mx / 59 * i ELSE {c} END AS {c}" for c in CHANNELS)
+    q["sensitivity"] = sql(
+        "SELECT Influencer, channel, CAST(i AS INTEGER) AS i, round(mx / 59 * i, 6) AS budget, "
+        f"round({_pred('(SELECT model FROM best)')}, 4) AS predicted_sales FROM x, fr0, fr1",
+        *base,
+        "md2 AS (SELECT Influencer, " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in CHANNELS)
+        + " FROM camp GROUP BY Influencer)",
+        "mx AS (SELECT " + ", ".join(f"max({c}) AS m_{c}" for c in CHANNELS) + " FROM camp)",
+        f"x AS (SELECT Influencer, channel, mx, i, {setc} FROM md2, ({chans}) ch, range(0, 60) t(i))")
+    reg = [*SPLIT_CTES, *_trend_ctes(), *_terc_ctes(),
+           f"rm AS ({_reg_metrics(chr(40) + 'SELECT * FROM rp WHERE split = ' + chr(39) + 'test' + chr(39) + chr(41))})",
+           "tcp AS (SELECT * FROM cp WHERE split = 'test')", *_clf_metrics("tcp"),
+           f"cm AS ({_clf_select()})",
+           "runs AS (SELECT 'regression' AS task, model, false AS tuned, r2 AS score FROM rm UNION ALL "
+           "SELECT 'classification', model, false, f1 FROM cm)",
+           "regi AS (SELECT task, model, tuned, score, score = max(score) OVER (PARTITION BY task) AS is_best FROM runs)",
+           "dflt AS (SELECT task, model FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY score DESC, "
+           "CASE model WHEN 'Budget Trend' THEN 1 WHEN 'TV Trend' THEN 2 WHEN 'Budget Terciles' THEN 1 "
+           "WHEN 'TV Terciles' THEN 2 END) AS r FROM regi) WHERE r = 1)"]
+    q["model_registry"] = sql("SELECT * FROM regi", *reg)
+    q["model_resolve"] = sql(
+        "SELECT r.task, r.model, r.tuned, r.model = d.model AS is_default FROM "
+        "(SELECT *, row_number() OVER (PARTITION BY task, model ORDER BY tuned DESC) AS rr FROM regi) r "
+        "LEFT JOIN dflt d USING (task) WHERE rr = 1", *reg)
+    q["metadata_merge"] = sql(
+        "SELECT 'best_reg_model' AS key, (SELECT model FROM dflt WHERE task = 'regression') AS value UNION ALL "
+        "SELECT 'best_clf_model', (SELECT model FROM dflt WHERE task = 'classification') UNION ALL "
+        "SELECT 'n_train', CAST(count_if(split = 'train') AS VARCHAR) FROM st UNION ALL "
+        "SELECT 'n_test', CAST(count_if(split = 'test') AS VARCHAR) FROM st", *reg)
+    return q
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(profile_sql())
     out.update(eval_sql())
+    out.update(score_sql())
     return out
