@@ -30,3 +30,52 @@ def cv_trend_scores(train: DataFrame, feature: str, name: str, k: int = 5, targe
     per = train.groupBy(fold).agg(F.sum(e * e).alias("sse"), (F.var_pop(target) * F.count(F.lit(1))).alias("sst"))
     return per.select(F.lit(name).alias("model"), F.col(fold).alias("fold"),
                       rnd(F.lit(1.0) - safe_div("sse", "sst"), 6).alias("score"))
+
+
+def learning_curve_trend(train: DataFrame, feature: str, name: str, sizes: int = 8, k: int = 5,
+                         seed: int = 43, target: str = TARGET_REG, fold: str = "fold") -> DataFrame:
+    """E9 for a one-feature least-squares line: train and validation R² by training size.
+
+    For every fold f and fraction s of ``linspace(0.2, 1, sizes)`` the fit uses the rows
+    with ``fold != f`` whose hash draw is below s (so smaller subsets nest in larger
+    ones).  All k x sizes fits are conditional aggregates of one pass; every row is then
+    expanded to the (f, s) cells it belongs to and all scores come from one aggregation.
+    Output: (model, size_idx, fraction, n_train, train_mean, train_std, val_mean, val_std).
+    """
+    import numpy as np
+
+    from ..functions.exprs import hash_unit
+
+    fracs = [float(x) for x in np.linspace(0.2, 1.0, sizes)]
+    t = train.withColumn("__u", hash_unit("campaign_id", seed))
+    aggs = []
+    for f in range(k):
+        for i, s in enumerate(fracs):
+            keep = (F.col(fold) != F.lit(f)) & (F.col("__u") < F.lit(s))
+            y, x = F.when(keep, F.col(target)), F.when(keep, F.col(feature))
+            aggs += [F.regr_intercept(y, x).alias(f"a{f}_{i}"), F.regr_slope(y, x).alias(f"b{f}_{i}")]
+    fits = t.agg(*aggs).first()
+    cells = []
+    for f in range(k):
+        for i, s in enumerate(fracs):
+            pred = F.lit(fits[f"a{f}_{i}"]) + F.lit(fits[f"b{f}_{i}"]) * F.col(feature)
+            in_train = (F.col(fold) != F.lit(f)) & (F.col("__u") < F.lit(s))
+            cells.append(F.when(in_train, F.struct(F.lit(f).alias("f"), F.lit(i).alias("i"), F.lit("train").alias("kind"),
+                                                   pred.alias("p"))))
+            cells.append(F.when(F.col(fold) == F.lit(f), F.struct(F.lit(f).alias("f"), F.lit(i).alias("i"),
+                                                                  F.lit("val").alias("kind"), pred.alias("p"))))
+    exp = t.select(target, F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("c"))
+    e = F.col(target) - F.col("c.p")
+    per = exp.groupBy(F.col("c.f").alias("f"), F.col("c.i").alias("i"), F.col("c.kind").alias("kind")).agg(
+        (F.lit(1.0) - safe_div(F.sum(e * e), F.var_pop(target) * F.count(F.lit(1)))).alias("r2"),
+        F.count(F.lit(1)).alias("n"))
+    wide = per.groupBy("i").agg(
+        F.avg(F.when(F.col("kind") == "train", F.col("n"))).alias("n_train"),
+        F.avg(F.when(F.col("kind") == "train", F.col("r2"))).alias("train_mean"),
+        F.stddev_pop(F.when(F.col("kind") == "train", F.col("r2"))).alias("train_std"),
+        F.avg(F.when(F.col("kind") == "val", F.col("r2"))).alias("val_mean"),
+        F.stddev_pop(F.when(F.col("kind") == "val", F.col("r2"))).alias("val_std"))
+    frac = F.element_at(F.array(*[F.lit(x) for x in fracs]), F.col("i") + 1)
+    return wide.select(F.lit(name).alias("model"), F.col("i").alias("size_idx"), frac.alias("fraction"),
+                       rnd("n_train", 6).alias("n_train"), *[rnd(c, 6).alias(c) for c in
+                                                             ["train_mean", "train_std", "val_mean", "val_std"]])

@@ -465,3 +465,143 @@ def q_metadata_merge(spark, sf):
     left = _meta(reg_table(spark, sf), "reg", best_r)
     right = _meta(clf_table(spark, sf), "clf", best_c)
     return SC.merge_metadata(left, right)
+
+
+# ---------------------------------------------------------------- explanation (closed-form predictor)
+
+from ..operators import explain as XP  # noqa: E402
+from ..operators import train as TR  # noqa: E402
+from ..operators.tuning import learning_curve_trend  # noqa: E402
+
+
+def budget_trend(spark, sf):
+    return trend_models(spark, sf)["Budget Trend"]
+
+
+@query("permutation_importance")
+def q_perm(spark, sf):
+    test = test_only(reg_table(spark, sf))
+    return XP.permutation_importance(budget_trend(spark, sf), test, repeats=30)
+
+
+def trend_shap(spark, sf) -> DataFrame:
+    t = reg_table(spark, sf)
+    return XP.shap_linear(budget_trend(spark, sf), test_only(t), t.where(F.col("split") == "train"))
+
+
+@query("shap_linear")
+def q_shap_linear(spark, sf):
+    return trend_shap(spark, sf)
+
+
+@query("shap_extremes")
+def q_shap_extremes(spark, sf):
+    preds = test_only(reg_preds(spark, sf)).where(F.col("model") == "Budget Trend")
+    return XP.shap_extremes(trend_shap(spark, sf), preds)
+
+
+@query("shap_summary")
+def q_shap_summary(spark, sf):
+    return XP.shap_summary(trend_shap(spark, sf))
+
+
+@query("learning_curve")
+def q_learning_curve(spark, sf):
+    train = reg_table(spark, sf).where(F.col("split") == "train")
+    return learning_curve_trend(train, "Total_Budget", "Budget Trend")
+
+
+# ---------------------------------------------------------------- distributed model fits (pyspark.ml)
+
+ML_PROFILE = "quick"  # registered checks use the light profile; "reference" holds the reference's settings
+
+
+def ml_regression(spark, sf):
+    ctx = context(spark, sf)
+    return ctx.get("ml_reg", lambda: TR.train_all(reg_table(spark, sf).where(F.col("split") == "train"),
+                                                  "regression", ML_PROFILE, cv=True))
+
+
+def ml_classification(spark, sf):
+    ctx = context(spark, sf)
+    return ctx.get("ml_clf", lambda: TR.train_all(clf_table(spark, sf).where(F.col("split") == "train"),
+                                                  "classification", ML_PROFILE, cv=False))
+
+
+def _reg_fit_query(name):
+    def q(spark, sf):
+        models, _, _ = ml_regression(spark, sf)
+        return rounded(predictions(test_only(reg_table(spark, sf)), {name: models[name]}))
+    return q
+
+
+def _clf_fit_query(name):
+    def q(spark, sf):
+        models, _, _ = ml_classification(spark, sf)
+        return rounded(predictions(test_only(clf_table(spark, sf)), {name: models[name]}, "classification"))
+    return q
+
+
+for _key, _name in [("fit_linear", "Linear Regression"), ("fit_forest", "Random Forest"),
+                    ("fit_gbt", "Gradient Boosting")]:
+    QUERIES[_key] = _reg_fit_query(_name)
+for _key, _name in [("fit_logistic", "Logistic Regression"), ("fit_forest_clf", "Random Forest"),
+                    ("fit_gbt_clf", "Gradient Boosting"), ("fit_mlp_clf", "MLP (Deep Learning)")]:
+    QUERIES[_key] = _clf_fit_query(_name)
+
+
+@query("ml_cv_scores")
+def q_ml_cv(spark, sf):
+    return rounded(ml_regression(spark, sf)[2])
+
+
+@query("ml_model_comparison")
+def q_ml_comparison(spark, sf):
+    models, _, cv = ml_regression(spark, sf)
+    return EV.model_comparison(predictions(test_only(reg_table(spark, sf)), models), cv)
+
+
+@query("ml_classification_comparison")
+def q_ml_clf_comparison(spark, sf):
+    models, _, _ = ml_classification(spark, sf)
+    preds = predictions(test_only(clf_table(spark, sf)), models, "classification")
+    empty = spark.createDataFrame([], "model string, fold int, score double")
+    return EV.model_comparison(preds, empty, "classification")
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    train = reg_table(spark, sf).where(F.col("split") == "train")
+    _, table = TR.grid_search(train, "regression", grid={"maxIter": [10, 20], "stepSize": [0.1], "maxDepth": [3, 4]})
+    return rounded(table)
+
+
+def all_runs(spark, sf) -> DataFrame:
+    return ml_regression(spark, sf)[1].unionByName(ml_classification(spark, sf)[1])
+
+
+@query("eco_score")
+def q_eco(spark, sf):
+    return EV.eco_score(ml_regression(spark, sf)[1])
+
+
+@query("deployment_cost")
+def q_deployment(spark, sf):
+    return SC.deployment_cost(all_runs(spark, sf))
+
+
+@query("feature_importance")
+def q_importance(spark, sf):
+    models, _, _ = ml_regression(spark, sf)
+    parts = [XP.feature_importance(models[n]).select(F.lit(n).alias("model"), "feature", rnd("importance", 6)
+                                                     .alias("importance"))
+             for n in ["Random Forest", "Gradient Boosting"]]
+    return parts[0].unionByName(parts[1])
+
+
+@query("shap_forest")
+def q_shap_forest(spark, sf):
+    models, _, _ = ml_regression(spark, sf)
+    t = reg_table(spark, sf)
+    bg = XP.background_sample(t.where(F.col("split") == "train"))
+    return XP.shap_exact(models["Random Forest"], test_only(t), bg)

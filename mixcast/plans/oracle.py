@@ -530,9 +530,90 @@ def score_sql() -> dict[str, str]:
     return q
 
 
+def explain_sql() -> dict[str, str]:
+    from ..operators.explain import permutation_plan
+    from ..schema import DEPLOYMENT_COMPLEXITY
+
+    q: dict[str, str] = {}
+    base = [*SPLIT_CTES, *_trend_ctes()]
+    plan = ", ".join(f"({r}, '{c}', {a}, {b})" for r, c, a, b in permutation_plan(30, [*CHANNELS, "Influencer"]))
+    swap = ", ".join(f"CASE WHEN pm.c = '{c}' THEN dn.{c} ELSE pm.{c} END AS {c}" for c in CHANNELS)
+    q["permutation_importance"] = sql(
+        "SELECT c AS feature, round(avg(base - r2), 6) AS importance_mean, "
+        "round(stddev_pop(base - r2), 6) AS importance_std FROM sc, bs GROUP BY c",
+        *base,
+        "tst AS (SELECT campaign_id, TV, Radio, Social_Media, Influencer, Sales, "
+        f"row_number() OVER (ORDER BY {_md5()}, campaign_id) - 1 AS i FROM sp WHERE split = 'test')",
+        "nn AS (SELECT count(*) AS n FROM tst)",
+        f"prm AS (SELECT * FROM (VALUES {plan}) v(r, c, pa, pb))",
+        "pm AS (SELECT t.*, p.r, p.c, (CAST(p.pa AS BIGINT) * t.i + p.pb % nn.n) % nn.n AS d FROM tst t, prm p, nn)",
+        f"jd AS (SELECT pm.r, pm.c, pm.Sales, {swap} FROM pm JOIN tst dn ON dn.i = pm.d)",
+        "ev AS (SELECT r, c, Sales AS actual, fr0.a + fr0.b * (TV + Radio + Social_Media) AS predicted FROM jd, fr0)",
+        "sc AS (SELECT r, c, 1 - sum((actual - predicted) * (actual - predicted)) / nullif(var_pop(actual) * count(*), 0)"
+        " AS r2 FROM ev GROUP BY r, c)",
+        "bs AS (SELECT 1 - sum((Sales - (a + b * (TV + Radio + Social_Media))) * (Sales - (a + b * (TV + Radio + "
+        "Social_Media)))) / (var_pop(Sales) * count(*)) AS base FROM tst, fr0)")
+    parts = [f"SELECT campaign_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS category, "
+             f"fr0.b * ({c} - m_{c}) AS shap FROM sp, fr0, mn WHERE split = 'test'" for c in CHANNELS]
+    parts.append("SELECT campaign_id, 'Influencer', CAST(NULL AS DOUBLE), Influencer, 0.0 FROM sp WHERE split = 'test'")
+    shap_ctes = [*base,
+                 "mn AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in CHANNELS) + " FROM sp WHERE split = 'train')",
+                 f"sh0 AS ({' UNION ALL '.join(parts)})",
+                 "shp AS (SELECT campaign_id, feature, value, category, round(shap, 6) AS shap_value, "
+                 "round(fr0.a + fr0.b * (" + " + ".join(f"m_{c}" for c in CHANNELS) + "), 6) AS base_value "
+                 "FROM sh0, fr0, mn)"]
+    q["shap_linear"] = sql("SELECT * FROM shp", *shap_ctes)
+    q["shap_summary"] = sql("SELECT feature, round(avg(abs(shap_value)), 6) AS mean_abs_shap, count(*) AS n "
+                            "FROM shp GROUP BY feature", *shap_ctes)
+    q["shap_extremes"] = sql(
+        "SELECT e.model, e.extreme, s.campaign_id, e.predicted, CASE e.extreme WHEN 'min' THEN "
+        "'lowest prediction: weakest campaign' ELSE 'highest prediction: strongest campaign' END AS label, "
+        "s.feature, s.value, s.category, s.shap_value FROM shp s JOIN ext e USING (campaign_id)",
+        *shap_ctes,
+        "bt AS (SELECT * FROM rp WHERE split = 'test' AND model = 'Budget Trend')",
+        "ext AS (SELECT model, 'min' AS extreme, campaign_id, round(predicted, 6) AS predicted FROM "
+        "(SELECT *, row_number() OVER (ORDER BY predicted, campaign_id) AS r FROM bt) WHERE r = 1 UNION ALL "
+        "SELECT model, 'max', campaign_id, round(predicted, 6) FROM "
+        "(SELECT *, row_number() OVER (ORDER BY predicted DESC, campaign_id) AS r FROM bt) WHERE r = 1)")
+    fr = ", ".join(f"({i}, CAST({s!r} AS DOUBLE))" for i, s in enumerate(float(x) for x in np.linspace(0.2, 1.0, 8)))
+    q["learning_curve"] = sql(
+        "SELECT 'Budget Trend' AS model, CAST(per.i AS INTEGER) AS size_idx, s AS fraction, "
+        "round(avg(n) FILTER (WHERE kind = 'train'), 6) AS n_train, "
+        "round(avg(r2) FILTER (WHERE kind = 'train'), 6) AS train_mean, "
+        "round(stddev_pop(r2) FILTER (WHERE kind = 'train'), 6) AS train_std, "
+        "round(avg(r2) FILTER (WHERE kind = 'val'), 6) AS val_mean, "
+        "round(stddev_pop(r2) FILTER (WHERE kind = 'val'), 6) AS val_std "
+        "FROM per JOIN (VALUES " + fr + ") v(i, s) USING (i) GROUP BY per.i, s",
+        *SPLIT_CTES,
+        "lc0 AS (SELECT *, CAST(('0x' || substr(md5('43-' || CAST(campaign_id AS VARCHAR)), 1, 8))::BIGINT AS DOUBLE)"
+        " / CAST(4294967296.0 AS DOUBLE) AS u FROM sp WHERE split = 'train')",
+        f"fs AS (SELECT f, i, s FROM range(0, 5) a(f), (VALUES {fr}) b(i, s))",
+        "fit AS (SELECT f, i, regr_intercept(Sales, Total_Budget) AS a, regr_slope(Sales, Total_Budget) AS b "
+        "FROM fs JOIN lc0 ON lc0.fold <> fs.f AND lc0.u < fs.s GROUP BY f, i)",
+        "cells AS (SELECT fs.f, fs.i, 'train' AS kind, Sales, a + b * Total_Budget AS p FROM fs "
+        "JOIN lc0 ON lc0.fold <> fs.f AND lc0.u < fs.s JOIN fit ON fit.f = fs.f AND fit.i = fs.i UNION ALL "
+        "SELECT fs.f, fs.i, 'val', Sales, a + b * Total_Budget FROM fs JOIN lc0 ON lc0.fold = fs.f "
+        "JOIN fit ON fit.f = fs.f AND fit.i = fs.i)",
+        "per AS (SELECT f, i, kind, 1 - sum((Sales - p) * (Sales - p)) / nullif(var_pop(Sales) * count(*), 0) AS r2, "
+        "count(*) AS n FROM cells GROUP BY f, i, kind)")
+    runs = ", ".join(f"('{t}', '{m}')" for t, ms in [("regression", ["Linear Regression", "Random Forest",
+                                                                      "Gradient Boosting"]),
+                                                     ("classification", ["Logistic Regression", "Random Forest",
+                                                                         "Gradient Boosting", "MLP (Deep Learning)"])]
+                     for m in ms)
+    dim = ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in DEPLOYMENT_COMPLEXITY)
+    q["deployment_cost"] = expand_round(
+        "SELECT t.task, t.model, coalesce(params_est, '?') AS params_est, coalesce(inference_ms, '?') AS inference_ms, "
+        "coalesce(export, '?') AS export, coalesce(note, '?') AS note FROM "
+        f"(VALUES {runs}) t(task, model) LEFT JOIN (VALUES {dim}) d(model, params_est, inference_ms, export, note) "
+        "USING (model)")
+    return q
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(profile_sql())
     out.update(eval_sql())
     out.update(score_sql())
+    out.update(explain_sql())
     return out
