@@ -32,7 +32,6 @@ FINE_GRID = 1000     # grid of refinement rounds over large domains
 ACCURACY = 10000     # percentile_approx accuracy (rank error <= n / ACCURACY)
 SMALL = 50000        # largest bracket whose values may be collected into one list
 MAX_GROUPS = 10000   # grouped quantiles are for report-sized group counts
-MAX_ROUNDS = 12
 
 
 @dataclass
@@ -138,6 +137,7 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
                     t.value, t.done = t.dom_max, True
                 targets[(g, c, r)] = t
 
+    passes = _JoinedPasses(df, cols, by) if by else _WidePasses(df, cols, dcols)
     for _ in range(30):
         pending = [t for t in targets.values() if not t.done]
         if not pending:
@@ -156,32 +156,17 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
             span = (hi_i - lo_i + 2) * t.dom_n / t.g + 2 * t.dom_n / accuracy + 2
             t.bracket = (lo, hi, span <= small)
         # pass 2: where does each rank lie relative to its bracket?
-        aggs = []
-        for j, t in enumerate(pending):
-            x = dcols[t.col]
-            d = _dom_cond(x, t)
-            lo, hi, collect = t.bracket
-            aggs += [F.count_if(d & (x < F.lit(lo))).alias(f"a{j}"),
-                     F.count_if(d & (x <= F.lit(lo))).alias(f"b{j}"),
-                     F.count_if(d & (x < F.lit(hi))).alias(f"c{j}"),
-                     F.count_if(d & (x <= F.lit(hi))).alias(f"e{j}")]
-            if collect:
-                inner = F.when(d & (x > F.lit(lo)) & (x < F.lit(hi)), x)
-                aggs.append(F.sort_array(F.collect_list(inner)).alias(f"v{j}"))
-        rows = {_key(r, by): r for r in _grouped(df, by).agg(*aggs).collect()}
         refine = []
-        for j, t in enumerate(pending):
-            r = rows[t.group]
+        for t, (c1, c2, c3, c4, vals) in zip(pending, passes.counts(pending)):
             lo, hi, collect = t.bracket
             rr = t.rank - t.base
-            c1, c2, c3, c4 = r[f"a{j}"], r[f"b{j}"], r[f"c{j}"], r[f"e{j}"]
             if c1 <= rr < c2:
                 t.value, t.done = lo, True
             elif c3 <= rr < c4:
                 t.value, t.done = hi, True
             elif c2 <= rr < c3:
                 if collect:
-                    t.value, t.done = r[f"v{j}"][rr - c2], True
+                    t.value, t.done = vals[rr - c2], True
                 else:
                     t.lo_dom, t.hi_dom, t.base, t.margin, t.dom_n = lo, hi, t.base + c2, 2, c3 - c2
                     refine.append(t)
@@ -189,23 +174,94 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
                 t.margin *= 4
         if refine:
             # pass 1 again, inside each new domain
-            aggs = []
-            for j, t in enumerate(refine):
-                x = dcols[t.col]
-                inner = F.when(_dom_cond(x, t), x)
-                t.g = grid if t.dom_n <= 20 * small else FINE_GRID
-                aggs += [F.count(inner).alias(f"n{j}"), F.min(inner).alias(f"mn{j}"),
-                         F.max(inner).alias(f"mx{j}"),
-                         F.percentile_approx(inner, [i / t.g for i in range(t.g + 1)], accuracy).alias(f"g{j}")]
-            rows = {_key(r, by): r for r in _grouped(df, by).agg(*aggs).collect()}
-            for j, t in enumerate(refine):
-                r = rows[t.group]
-                t.dom_n, t.dom_min, t.dom_max, t.grid = r[f"n{j}"], r[f"mn{j}"], r[f"mx{j}"], r[f"g{j}"]
+            g = grid if max(t.dom_n for t in refine) <= 20 * small else FINE_GRID
+            for t, (n, mn, mx, gr) in zip(refine, passes.sketch(refine, g, accuracy)):
+                t.g, t.dom_n, t.dom_min, t.dom_max, t.grid = g, n, mn, mx, gr
     else:
         raise RuntimeError("order_statistics did not converge")
     return {k: t.value for k, t in targets.items()}
 
 
+class _WidePasses:
+    """Ungrouped: one aggregation with a few literal-bounded expressions per target."""
+
+    def __init__(self, df, cols, dcols):
+        self.df, self.dcols = df, dcols
+
+    def counts(self, pending):
+        aggs = []
+        for j, t in enumerate(pending):
+            x = self.dcols[t.col]
+            d = _dom_cond(x, t)
+            lo, hi, collect = t.bracket
+            aggs += [F.count_if(d & (x < F.lit(lo))).alias(f"a{j}"), F.count_if(d & (x <= F.lit(lo))).alias(f"b{j}"),
+                     F.count_if(d & (x < F.lit(hi))).alias(f"c{j}"), F.count_if(d & (x <= F.lit(hi))).alias(f"e{j}")]
+            if collect:
+                aggs.append(F.sort_array(F.collect_list(F.when(d & (x > F.lit(lo)) & (x < F.lit(hi)), x))).alias(f"v{j}"))
+        r = self.df.agg(*aggs).first()
+        return [(r[f"a{j}"], r[f"b{j}"], r[f"c{j}"], r[f"e{j}"], r[f"v{j}"] if t.bracket[2] else None)
+                for j, t in enumerate(pending)]
+
+    def sketch(self, refine, g, accuracy):
+        aggs = []
+        for j, t in enumerate(refine):
+            inner = F.when(_dom_cond(self.dcols[t.col], t), self.dcols[t.col])
+            aggs += [F.count(inner).alias(f"n{j}"), F.min(inner).alias(f"mn{j}"), F.max(inner).alias(f"mx{j}"),
+                     F.percentile_approx(inner, [i / g for i in range(g + 1)], accuracy).alias(f"g{j}")]
+        r = self.df.agg(*aggs).first()
+        return [(r[f"n{j}"], r[f"mn{j}"], r[f"mx{j}"], r[f"g{j}"]) for j in range(len(refine))]
+
+
+class _JoinedPasses:
+    """Grouped: each value row meets only its own group's targets through a broadcast join
+    of the target table (bounded by MAX_GROUPS x columns x ranks), then one aggregation
+    per target id - work per row stays constant however many groups there are."""
+
+    def __init__(self, df, cols, by):
+        self.spark = df.sparkSession
+        self.by = by
+        self.types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        long = df.select(*[F.col(b).alias(f"__k{i}") for i, b in enumerate(by)],
+                         *[F.col(c).cast("double").alias(c) for c in cols])
+        self.long = long.unpivot([f"__k{i}" for i in range(len(by))], cols, "__var", "__x").where(
+            F.col("__x").isNotNull())
+
+    def _join(self, pending, extra_schema, extra):
+        schema = ", ".join([f"__g{i} {self.types[b]}" for i, b in enumerate(self.by)]
+                           + ["__v string", "__tid int", "__dlo double", "__dhi double", *extra_schema])
+        rows = [(*t.group, t.col, j, t.lo_dom, t.hi_dom, *extra(t)) for j, t in enumerate(pending)]
+        tdf = self.spark.createDataFrame(rows, schema)
+        cond = [self.long[f"__k{i}"].eqNullSafe(tdf[f"__g{i}"]) for i in range(len(self.by))]
+        cond.append(self.long["__var"] == tdf["__v"])
+        j = self.long.join(F.broadcast(tdf), cond)
+        x = F.col("__x")
+        d = (F.col("__dlo").isNull() | (x > F.col("__dlo"))) & (F.col("__dhi").isNull() | (x < F.col("__dhi")))
+        return j, x, d
+
+    def counts(self, pending):
+        j, x, d = self._join(pending, ["__lo double", "__hi double", "__col boolean"],
+                             lambda t: (float(t.bracket[0]), float(t.bracket[1]), bool(t.bracket[2])))
+        lo, hi = F.col("__lo"), F.col("__hi")
+        agg = j.groupBy("__tid").agg(
+            F.count_if(d & (x < lo)).alias("a"), F.count_if(d & (x <= lo)).alias("b"),
+            F.count_if(d & (x < hi)).alias("c"), F.count_if(d & (x <= hi)).alias("e"),
+            F.sort_array(F.collect_list(F.when(F.col("__col") & d & (x > lo) & (x < hi), x))).alias("v"))
+        res = {r["__tid"]: r for r in agg.collect()}
+        out = []
+        for i, t in enumerate(pending):
+            r = res.get(i)
+            out.append((r["a"], r["b"], r["c"], r["e"], r["v"]) if r else (0, 0, 0, 0, []))
+        return out
+
+    def sketch(self, refine, g, accuracy):
+        j, x, d = self._join(refine, [], lambda t: ())
+        inner = F.when(d, x)
+        agg = j.groupBy("__tid").agg(F.count(inner).alias("n"), F.min(inner).alias("mn"), F.max(inner).alias("mx"),
+                                     F.percentile_approx(inner, [i / g for i in range(g + 1)], accuracy).alias("g"))
+        res = {r["__tid"]: r for r in agg.collect()}
+        return [(res[i]["n"], res[i]["mn"], res[i]["mx"], res[i]["g"]) for i in range(len(refine))]
+
+
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None,
                      accuracy: int = ACCURACY) -> dict:
     """One-pass approximate quantiles (``percentile_approx``), same result shape."""

@@ -241,6 +241,24 @@ def profile_sql() -> dict[str, str]:
         "pk AS (SELECT channel, max(roi_mean) AS peak FROM cur GROUP BY channel)",
         "s AS (SELECT c.channel, min_by(budget_mean, bin) FILTER (WHERE roi_mean < peak * 0.85) AS sat, "
         "max(peak) AS peak FROM cur c JOIN pk USING (channel) GROUP BY c.channel)")
+    f23 = f"CAST({2 / 3!r} AS DOUBLE)"
+    q["lowess_roi"] = sql(
+        "SELECT channel, j, round(g, 6) AS x, round(CASE WHEN sw * swxx - swx * swx <> 0 THEN "
+        "(swy * swxx - swx * swxy) / (sw * swxx - swx * swx) ELSE swy / nullif(sw, 0) END, 4) AS roi_fit, "
+        "n_used, round(h, 6) AS bandwidth FROM fit",
+        *roi_ctes,
+        "rng AS (SELECT channel, min(budget) AS mn, max(budget) AS mx, count(*) AS n FROM rl GROUP BY channel)",
+        "gp AS (SELECT channel, CAST(j AS INTEGER) AS j, mn + CAST(j AS INTEGER) * ((mx - mn) / 49) AS g, n "
+        "FROM rng, range(0, 50) t(j))",
+        "dd AS (SELECT gp.channel, gp.j, g, n, budget, roi, abs(budget - g) AS d FROM rl JOIN gp USING (channel))",
+        "bw AS (SELECT channel, j, d AS h FROM (SELECT channel, j, d, n, row_number() OVER (PARTITION BY channel, j "
+        f"ORDER BY d) AS rk FROM dd) WHERE rk = greatest(1, CAST(floor({f23} * CAST(n AS DOUBLE) + "
+        "CAST(1e-10 AS DOUBLE)) AS BIGINT)))",
+        "ww AS (SELECT dd.*, h, CASE WHEN d < h THEN (1.0 - (d / h) * (d / h) * (d / h)) * (1.0 - (d / h) * (d / h) "
+        "* (d / h)) * (1.0 - (d / h) * (d / h) * (d / h)) ELSE 0.0 END AS w FROM dd JOIN bw USING (channel, j))",
+        "fit AS (SELECT channel, j, first(g) AS g, first(h) AS h, sum(w) AS sw, sum(w * (budget - g)) AS swx, "
+        "sum(w * roi) AS swy, sum(w * (budget - g) * (budget - g)) AS swxx, sum(w * (budget - g) * roi) AS swxy, "
+        "count_if(w > 0) AS n_used FROM ww GROUP BY channel, j)")
     q["top_roi"] = sql(
         f"SELECT {_sel_rounded(['campaign_id', *CHANNELS, 'Influencer', 'Sales', 'Total_Budget', 'ROI'])} "
         "FROM camp ORDER BY ROI DESC NULLS LAST, campaign_id LIMIT 10")
@@ -616,4 +634,5 @@ def all_sql() -> dict[str, str]:
     out.update(eval_sql())
     out.update(score_sql())
     out.update(explain_sql())
+    out["stream_score"] = out["score_scenarios"]  # the stream must equal the batch scoring
     return out
