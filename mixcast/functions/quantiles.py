@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GRID = 100           # grid intervals of the first sketch read-out
@@ -42,7 +42,7 @@ class _Target:
     lo_dom: float | None = None   # open domain (lo_dom, hi_dom); None = unbounded
     hi_dom: float | None = None
     base: int = 0             # number of values <= lo_dom
-    margin: int = 2
+    margin: int = 1
     grid: list | None = None  # approx grid of the current domain
     g: int = GRID             # its number of intervals
     dom_n: int = 0
@@ -137,7 +137,7 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
                     t.value, t.done = t.dom_max, True
                 targets[(g, c, r)] = t
 
-    passes = _JoinedPasses(df, cols, by) if by else _WidePasses(df, cols, dcols)
+    passes = _JoinedPasses(df, cols, by) if by else _BucketPasses(df, cols, dcols)
     for _ in range(30):
         pending = [t for t in targets.values() if not t.done]
         if not pending:
@@ -168,7 +168,7 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
                 if collect:
                     t.value, t.done = vals[rr - c2], True
                 else:
-                    t.lo_dom, t.hi_dom, t.base, t.margin, t.dom_n = lo, hi, t.base + c2, 2, c3 - c2
+                    t.lo_dom, t.hi_dom, t.base, t.margin, t.dom_n = lo, hi, t.base + c2, 1, c3 - c2
                     refine.append(t)
             else:  # bracket missed the rank (sketch error): widen and retry
                 t.margin *= 4
@@ -212,6 +212,85 @@ class _WidePasses:
         return [(r[f"n{j}"], r[f"mn{j}"], r[f"mx{j}"], r[f"g{j}"]) for j in range(len(refine))]
 
 
+def _search_code(x, b: list, i: int, j: int):
+    """Binary search as nested CASE: x known to lie above b[i-1] and below b[j]."""
+    if i == j:
+        return F.lit(2 * i)
+    m = (i + j) // 2
+    return (F.when(x < F.lit(b[m]), _search_code(x, b, i, m)).when(x == F.lit(b[m]), F.lit(2 * m + 1))
+            .otherwise(_search_code(x, b, m + 1, j)))
+
+
+class _BucketPasses(_WidePasses):
+    """Ungrouped count pass in one narrow aggregation.
+
+    All bracket and domain boundaries of a column, sorted b_0 < b_1 < ..., give every
+    value a code: 2k for values between b_(k-1) and b_k, 2k+1 for values equal to b_k,
+    computed per column on the wide row by a binary-search CASE (log2 of the boundary
+    count comparisons).  ``groupBy(column, code)`` counts (a few rows per column) answer
+    every "how many below / at" question by prefix sums.  Wanted ranks inside provably
+    small brackets are then picked by ``row_number`` over only the rows inside those
+    brackets, and only the picked values come back."""
+
+    def __init__(self, df, cols, dcols):
+        super().__init__(df, cols, dcols)
+
+    def counts(self, pending):
+        bounds: dict[str, list] = {}
+        for t in pending:
+            vals = [t.bracket[0], t.bracket[1]] + [v for v in (t.lo_dom, t.hi_dom) if v is not None]
+            bounds.setdefault(t.col, set()).update(float(v) for v in vals)
+        bounds = {c: sorted(b) for c, b in bounds.items()}
+        index = {c: {v: k for k, v in enumerate(b)} for c, b in bounds.items()}
+        names = list(bounds)
+        wide = self.df.select(*[_search_code(self.dcols[c], bounds[c], 0, len(bounds[c])).alias(c) for c in names])
+        long = wide.unpivot([], names, "__var", "__code").where(F.col("__code").isNotNull())
+        cells = {(r["__var"], r["__code"]): r["n"]
+                 for r in long.groupBy("__var", "__code").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+        def below(c, v, strict):  # values < v (strict) or <= v
+            k = index[c][float(v)]
+            top = 2 * k if strict else 2 * k + 1
+            return sum(n for (cc, code_), n in cells.items() if cc == c and code_ <= top)
+
+        out, wanted, ranges = [], {}, {}
+        for t in pending:
+            lo, hi, collect = t.bracket
+            base = below(t.col, t.lo_dom, False) if t.lo_dom is not None else 0
+            c1, c2 = below(t.col, lo, True) - base, below(t.col, lo, False) - base
+            c3, c4 = below(t.col, hi, True) - base, below(t.col, hi, False) - base
+            rr = t.rank - t.base
+            key = None
+            if collect and c2 <= rr < c3:
+                key = (t.col, float(lo), float(hi))
+                wanted.setdefault(key, set()).add(rr - c2 + 1)
+            out.append((c1, c2, c3, c4, key))
+        picked = {}
+        if wanted:
+            # rows strictly inside each small bracket, ranked within the bracket (bounded partitions)
+            # one scan: every row is exploded into the (few) wanted brackets it lies strictly inside
+            memb = [F.when((self.dcols[c] > lo) & (self.dcols[c] < hi),
+                           F.struct(F.lit(j).alias("__b"), self.dcols[c].alias("__x")))
+                    for j, (c, lo, hi) in enumerate(wanted)]
+            inside = (self.df.select(F.explode(F.filter(F.array(*memb), lambda e: e.isNotNull())).alias("__e"))
+                      .select("__e.__b", "__e.__x"))
+            ranked = inside.withColumn("__pos", F.row_number().over(Window.partitionBy("__b").orderBy("__x")))
+            keep = F.lit(False)
+            keys = list(wanted)
+            for j, k_ in enumerate(keys):
+                keep = keep | ((F.col("__b") == j) & F.col("__pos").isin(*sorted(wanted[k_])))
+            for r in ranked.where(keep).collect():
+                picked[(keys[r["__b"]], r["__pos"])] = r["__x"]
+        res = []
+        for t, (c1, c2, c3, c4, key) in zip(pending, out):
+            vals = None
+            if key is not None:  # present the picked value where the generic loop reads it
+                pos = t.rank - t.base - c2 + 1
+                vals = [None] * (pos - 1) + [picked[(key, pos)]]
+            res.append((c1, c2, c3, c4, vals))
+        return res
+
+
 class _JoinedPasses:
     """Grouped: each value row meets only its own group's targets through a broadcast join
     of the target table (bounded by MAX_GROUPS x columns x ranks), then one aggregation

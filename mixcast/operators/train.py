@@ -87,14 +87,20 @@ def _prep(train: DataFrame, task: str) -> DataFrame:
     return train
 
 
-def cross_validate(train: DataFrame, estimator, name: str, task: str, k: int = 5) -> DataFrame:
-    """K6: per-fold scores (R² or weighted F1) of one estimator: (model, fold, score)."""
-    parts = []
-    for f in range(k):
-        fit_rows = train.where(F.col("fold") != f)
-        m, _ = fit_model(fit_rows, estimator, task)
+def cross_validate(train: DataFrame, estimator, name: str, task: str, k: int = 5, parallelism: int = 4) -> DataFrame:
+    """K6: per-fold scores (R² or weighted F1) of one estimator: (model, fold, score).
+
+    The k fold fits are independent Spark jobs and run concurrently from ``parallelism``
+    driver threads (as ``CrossValidator(parallelism=...)`` does)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(f):
+        m, _ = fit_model(train.where(F.col("fold") != f), estimator.copy(), task)
         held = train.where(F.col("fold") == f).withColumn("split", F.lit(str(f)))
-        parts.append(predictions(held, {name: m}, task))
+        return predictions(held, {name: m}, task)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(one, range(k)))
     preds = parts[0]
     for p in parts[1:]:
         preds = preds.unionByName(p)
@@ -106,7 +112,8 @@ def cross_validate(train: DataFrame, estimator, name: str, task: str, k: int = 5
 
 
 def train_all(train: DataFrame, task: str = "regression", profile: str = "reference", k: int = 5,
-              cv: bool = True, only: list[str] | None = None) -> tuple[dict, DataFrame, DataFrame | None]:
+              cv: bool = True, only: list[str] | None = None, parallelism: int = 4
+              ) -> tuple[dict, DataFrame, DataFrame | None]:
     """K6: fit every model on the training rows, time each fit, cross-validate.
 
     Returns (models by name, run table, CV score table or None)."""
@@ -124,7 +131,7 @@ def train_all(train: DataFrame, task: str = "regression", profile: str = "refere
         models[name] = m
         runs.append((task, name, False, secs, *_size(name, est)))
         if cv:
-            cvs.append(cross_validate(train, est, name, task, k))
+            cvs.append(cross_validate(train, est, name, task, k, parallelism))
     spark = train.sparkSession
     run_df = spark.createDataFrame(runs, "task string, model string, tuned boolean, train_time_s double, "
                                          "n_params long, complexity string")

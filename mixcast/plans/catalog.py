@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,12 +194,13 @@ TERCILE_FEATURES = {"Budget Terciles": "Total_Budget", "TV Terciles": "TV"}
 def reg_table(spark, sf) -> DataFrame:
     """Enriched campaigns with the regression split and the CV fold."""
     ctx = context(spark, sf)
-    return ctx.get("reg_table", lambda: SP.with_folds(SP.hash_split(ctx.camp)))
+    return ctx.get("reg_table", lambda: SP.with_folds(SP.hash_split(ctx.camp)).persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def clf_table(spark, sf) -> DataFrame:
     ctx = context(spark, sf)
-    return ctx.get("clf_table", lambda: SP.with_folds(SP.stratified_split(ctx.camp)))
+    return ctx.get("clf_table", lambda: SP.with_folds(SP.stratified_split(ctx.camp)).persist(
+        StorageLevel.MEMORY_AND_DISK))
 
 
 def trend_models(spark, sf) -> dict:
@@ -523,9 +525,25 @@ ML_PROFILE = "quick"  # registered checks use the light profile; "reference" hol
 
 
 def ml_regression(spark, sf):
+    """Fitted regression pipelines and their run table (fit once per session)."""
     ctx = context(spark, sf)
     return ctx.get("ml_reg", lambda: TR.train_all(reg_table(spark, sf).where(F.col("split") == "train"),
-                                                  "regression", ML_PROFILE, cv=True))
+                                                  "regression", ML_PROFILE, cv=False))
+
+
+def ml_regression_cv(spark, sf) -> DataFrame:
+    """K6 fold scores of every regression pipeline (5 folds, concurrent fold fits)."""
+    ctx = context(spark, sf)
+
+    def build():
+        train = reg_table(spark, sf).where(F.col("split") == "train")
+        ests = TR.regression_estimators(ML_PROFILE)
+        parts = [TR.cross_validate(train, e, n, "regression") for n, e in ests.items()]
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
+        return out.persist(StorageLevel.MEMORY_AND_DISK)
+    return ctx.get("ml_reg_cv", build)
 
 
 def ml_classification(spark, sf):
@@ -558,13 +576,13 @@ for _key, _name in [("fit_logistic", "Logistic Regression"), ("fit_forest_clf",
 
 @query("ml_cv_scores")
 def q_ml_cv(spark, sf):
-    return rounded(ml_regression(spark, sf)[2])
+    return rounded(ml_regression_cv(spark, sf))
 
 
 @query("ml_model_comparison")
 def q_ml_comparison(spark, sf):
-    models, _, cv = ml_regression(spark, sf)
-    return EV.model_comparison(predictions(test_only(reg_table(spark, sf)), models), cv)
+    models, _, _ = ml_regression(spark, sf)
+    return EV.model_comparison(predictions(test_only(reg_table(spark, sf)), models), ml_regression_cv(spark, sf))
 
 
 @query("ml_classification_comparison")

@@ -39,25 +39,32 @@ def read_campaigns(spark: SparkSession, path: str, fmt: str = "csv") -> DataFram
     return df.withColumn(KEY, F.monotonically_increasing_id()).select(KEY, *CHANNELS, "Influencer", "Sales")
 
 
+def _fixed(c: str, scale: int):
+    """Exact integer of a value with ``scale`` decimals (the unscaled DECIMAL value)."""
+    return F.floor(F.col(c) * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
+
+
 def campaigns_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One campaign per order.
 
     Channel budgets are the order's line values by return flag, sales the discounted,
     taxed line value, both in thousands.  Lines are pre-aggregated per order before the
     join (map-side partial aggregation, so a hot order key never ships its lines), and
-    the aggregate is already hash-partitioned by the order key the join needs.  DECIMAL
-    sums make the result independent of row order.
+    the aggregate is already hash-partitioned by the order key the join needs.
+
+    Money is summed exactly as integers: prices in cents, sales in millionths
+    (cents x discount% x tax%).  Integer sums do not depend on row order and stay in the
+    fixed-width, code-generated hash aggregate; the result equals a DECIMAL sum
+    converted to double (exact integer / 10^k, correctly rounded).
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice",
                                                  "l_discount", "l_tax")
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    sales = (F.col("l_extendedprice").cast("decimal(12,2)")
-             * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
-             * (F.lit(1) + F.col("l_tax").cast("decimal(4,2)")))
+    cents = _fixed("l_extendedprice", 2)
+    micro = cents * (F.lit(100) - _fixed("l_discount", 2)) * (F.lit(100) + _fixed("l_tax", 2))
     per_order = li.groupBy("l_orderkey").agg(
-        *[F.sum(F.when(F.col("l_returnflag") == flag, price)).alias(f"{ch}_d")
+        *[F.sum(F.when(F.col("l_returnflag") == flag, cents)).alias(f"{ch}_c")
           for flag, ch in FLAG_TO_CHANNEL.items()],
-        F.sum(sales).alias("Sales_d"))
+        F.sum(micro).alias("Sales_u"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     tier = F.lit(None).cast("string")
     for prio, name in reversed(list(PRIORITY_TO_TIER.items())):
@@ -66,6 +73,6 @@ def campaigns_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     thousand = F.lit(1000.0)
     return joined.select(
         F.col("o_orderkey").alias(KEY),
-        *[(F.col(f"{ch}_d").cast("double") / thousand).alias(ch) for ch in CHANNELS],
+        *[(F.col(f"{ch}_c").cast("double") / F.lit(100.0) / thousand).alias(ch) for ch in CHANNELS],
         tier.alias("Influencer"),
-        (F.col("Sales_d").cast("double") / thousand).alias("Sales"))
+        (F.col("Sales_u").cast("double") / F.lit(1000000.0) / thousand).alias("Sales"))
