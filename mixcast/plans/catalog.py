@@ -606,7 +606,11 @@ def all_runs(spark, sf) -> DataFrame:
 
 @query("eco_score")
 def q_eco(spark, sf):
-    return EV.eco_score(ml_regression(spark, sf)[1])
+    model, secs, _ = ml_mlp(spark, sf)
+    mlp = spark.createDataFrame([("regression", "MLP (Deep Learning)", False, float(secs), model.n_params, "very high")],
+                                "task string, model string, tuned boolean, train_time_s double, n_params long, "
+                                "complexity string")
+    return EV.eco_score(ml_regression(spark, sf)[1].unionByName(mlp))
 
 
 @query("deployment_cost")
@@ -649,3 +653,26 @@ def q_stream_score(spark, sf):
                      os.path.join(root, "checkpoint"), with_timestamp=False)
     q.awaitTermination()
     return read_scored(spark, os.path.join(root, "out"))
+
+
+# ---------------------------------------------------------------- K4: neural regressor (data-parallel Adam)
+
+from ..operators.mlp import fit_mlp_regressor  # noqa: E402
+
+MLP_EPOCHS = {"quick": (30, 5), "reference": (1000, 20)}  # (max epochs, patience)
+
+
+def ml_mlp(spark, sf):
+    ctx = context(spark, sf)
+
+    def build():
+        epochs, patience = MLP_EPOCHS[ML_PROFILE]
+        return fit_mlp_regressor(reg_table(spark, sf).where(F.col("split") == "train"), max_epochs=epochs,
+                                 patience=patience)
+    return ctx.get("ml_mlp", build)
+
+
+@query("fit_mlp_reg")
+def q_fit_mlp(spark, sf):
+    model, _, _ = ml_mlp(spark, sf)
+    return rounded(predictions(test_only(reg_table(spark, sf)), {"MLP (Deep Learning)": model}))
