@@ -676,3 +676,13 @@ def ml_mlp(spark, sf):
 def q_fit_mlp(spark, sf):
     model, _, _ = ml_mlp(spark, sf)
     return rounded(predictions(test_only(reg_table(spark, sf)), {"MLP (Deep Learning)": model}))
+
+
+from ..operators.treeshap import shap_tree  # noqa: E402
+
+
+@query("shap_tree")
+def q_shap_tree(spark, sf):
+    """Path-dependent Tree SHAP of the boosting regressor over all test rows."""
+    models, _, _ = ml_regression(spark, sf)
+    return shap_tree(models["Gradient Boosting"], test_only(reg_table(spark, sf)))
