@@ -115,5 +115,12 @@ def prepare(raw: DataFrame, method: str = "exact", reuse: str = "persist") -> tu
     return camp, stats
 
 
+def select_xy(df: DataFrame, task: str = "regression", key: str = KEY) -> DataFrame:
+    """Key, the four raw features and the target of the task (the class as text)."""
+    target = F.col(TARGET_REG) if task == "regression" else F.col("Performance").cast("string")
+    name = TARGET_REG if task == "regression" else "Performance"
+    return df.select(key, *CHANNELS, CATEGORY, target.alias(name))
+
+
 ENRICHED_COLUMNS = [KEY, *CHANNELS, CATEGORY, TARGET_REG, "Total_Budget", "ROI", "TV_Share",
                     "Radio_Share", "Social_Share", "Performance"]

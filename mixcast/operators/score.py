@@ -125,6 +125,24 @@ def default_model(registry: DataFrame, task: str, order: list[str]) -> DataFrame
             .orderBy(F.desc("is_best"), F.desc("score"), pos).limit(1).select("task", "model"))
 
 
+def model_info(registry: DataFrame, order: dict[str, list[str]] | None = None) -> DataFrame:
+    """Per task the available models (sorted, comma-joined), the best one, the count and the
+    service status; one small aggregation over the registry."""
+    best = F.min_by(F.col("model"), F.struct((-F.col("score")).alias("s"), F.col("model").alias("m")))
+    return (registry.groupBy("task").agg(
+        F.array_join(F.array_sort(F.collect_set("model")), ", ").alias("available_models"),
+        best.alias("best_model"), F.countDistinct("model").alias("n_models"))
+        .withColumn("status", F.when(F.col("n_models") > 0, "healthy").otherwise("degraded")))
+
+
+def label_features(df: DataFrame, col: str = "feature") -> DataFrame:
+    """Readable labels: a fixed map for the channels, else 'Influencer_X' -> 'Influencer X'."""
+    from ..schema import FEATURE_LABELS
+    m = F.create_map(*[F.lit(x) for kv in FEATURE_LABELS.items() for x in kv])
+    return df.withColumn("label", F.coalesce(F.element_at(m, F.col(col)),
+                                             F.regexp_replace(F.col(col), "^Influencer_", "Influencer ")))
+
+
 def deployment_cost(runs: DataFrame) -> DataFrame:
     """Left lookup of each model in the static deployment table; '?' when absent."""
     dim = runs.sparkSession.createDataFrame(DEPLOYMENT_COMPLEXITY, "model string, params_est string, "

@@ -595,9 +595,7 @@ def q_ml_clf_comparison(spark, sf):
 
 @query("grid_search")
 def q_grid_search(spark, sf):
-    train = reg_table(spark, sf).where(F.col("split") == "train")
-    _, table = TR.grid_search(train, "regression", grid={"maxIter": [10, 20], "stepSize": [0.1], "maxDepth": [3, 4]})
-    return rounded(table)
+    return rounded(ml_grid(spark, sf)[1])
 
 
 def all_runs(spark, sf) -> DataFrame:
@@ -686,3 +684,36 @@ def q_shap_tree(spark, sf):
     """Path-dependent Tree SHAP of the boosting regressor over all test rows."""
     models, _, _ = ml_regression(spark, sf)
     return shap_tree(models["Gradient Boosting"], test_only(reg_table(spark, sf)))
+
+
+# ---------------------------------------------------------------- registry summaries and labels
+
+@query("model_info")
+def q_model_info(spark, sf):
+    return SC.model_info(registry(spark, sf))
+
+
+@query("feature_labels")
+def q_feature_labels(spark, sf):
+    """P14 on the impurity importances of the fitted ensembles (encoded feature names)."""
+    return SC.label_features(q_importance(spark, sf))
+
+
+def ml_grid(spark, sf):
+    ctx = context(spark, sf)
+    return ctx.get("ml_grid", lambda: TR.grid_search(reg_table(spark, sf).where(F.col("split") == "train"), "regression",
+                                                     grid={"maxIter": [10, 20], "stepSize": [0.1], "maxDepth": [3, 4]}))
+
+
+@query("ml_model_resolve")
+def q_ml_resolve(spark, sf):
+    """S5/G6 on the fitted pipelines: the tuned boosting model replaces the base one of the same name."""
+    models, _, _ = ml_regression(spark, sf)
+    tuned, _ = ml_grid(spark, sf)
+    test = test_only(reg_table(spark, sf))
+    base = EV.regression_metrics(predictions(test, models)).select(
+        F.lit("regression").alias("task"), "model", F.lit(False).alias("tuned"), F.col("r2").alias("score"))
+    tun = EV.regression_metrics(predictions(test, {"Gradient Boosting": tuned})).select(
+        F.lit("regression").alias("task"), "model", F.lit(True).alias("tuned"), F.col("r2").alias("score"))
+    reg = SC.model_registry(base.unionByName(tun))
+    return SC.resolve_models(reg)

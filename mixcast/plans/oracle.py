@@ -540,6 +540,10 @@ def score_sql() -> dict[str, str]:
         "SELECT r.task, r.model, r.tuned, r.model = d.model AS is_default FROM "
         "(SELECT *, row_number() OVER (PARTITION BY task, model ORDER BY tuned DESC) AS rr FROM regi) r "
         "LEFT JOIN dflt d USING (task) WHERE rr = 1", *reg)
+    q["model_info"] = sql(
+        "SELECT task, string_agg(model, ', ' ORDER BY model) AS available_models, "
+        "arg_min(model, (-score, model)) AS best_model, count(DISTINCT model) AS n_models, "
+        "CASE WHEN count(DISTINCT model) > 0 THEN 'healthy' ELSE 'degraded' END AS status FROM regi GROUP BY task", *reg)
     q["metadata_merge"] = sql(
         "SELECT 'best_reg_model' AS key, (SELECT model FROM dflt WHERE task = 'regression') AS value UNION ALL "
         "SELECT 'best_clf_model', (SELECT model FROM dflt WHERE task = 'classification') UNION ALL "

@@ -45,3 +45,14 @@ def test_merge_metadata_right_wins(spark):
     left = spark.createDataFrame([("a", "1"), ("b", "2")], "key string, value string")
     right = spark.createDataFrame([("b", "3"), ("c", "4")], "key string, value string")
     assert {r["key"]: r["value"] for r in SC.merge_metadata(left, right).collect()} == {"a": "1", "b": "3", "c": "4"}
+
+
+def test_feature_labels_and_model_info(spark):
+    df = spark.createDataFrame([("TV",), ("Influencer_Macro",), ("Other",)], "feature string")
+    got = {r["feature"]: r["label"] for r in SC.label_features(df).collect()}
+    assert got == {"TV": "TV budget", "Influencer_Macro": "Influencer Macro", "Other": "Other"}
+    reg = spark.createDataFrame([("regression", "B", False, 0.5), ("regression", "A", False, 0.9),
+                                 ("classification", "C", False, 0.7)], "task string, model string, tuned boolean, score double")
+    info = {r["task"]: r for r in SC.model_info(SC.model_registry(reg)).collect()}
+    assert info["regression"]["available_models"] == "A, B" and info["regression"]["best_model"] == "A"
+    assert info["classification"]["n_models"] == 1 and info["classification"]["status"] == "healthy"
