@@ -58,14 +58,20 @@ def classification_metrics(preds: DataFrame, by=("model",), digits: int = 6) ->
                       rnd(F.col("wf") / n, digits).alias("f1"))
 
 
-def roc_auc_ovr(preds: DataFrame, by=("model",), classes=tuple(CLASSES), digits: int = 6) -> DataFrame:
+AUC_BUCKET_ROWS = 100_000  # distinct scores per window partition, at most (approximately)
+
+
+def roc_auc_ovr(preds: DataFrame, by=("model",), classes=tuple(CLASSES), digits: int = 6,
+                bucket_rows: int = AUC_BUCKET_ROWS) -> DataFrame:
     """One-vs-rest ROC AUC per class (ties count one half), weighted by class frequency.
 
-    Rows are first reduced to (model, class, score) with positive / negative counts; the
-    running count of negatives below each score is a window over those distinct scores
-    per (model, class).  Scores are rounded to 6 digits, which bounds the distinct values
-    of a probability to 10^6 + 1 per window.  A class without positives or negatives
-    makes the AUC undefined (null), as the reference skips it.
+    Rows are first reduced to (model, class, score) with positive / negative counts.  The
+    negatives below each score = negatives of all lower score buckets (a window over the
+    bucket totals, B rows per model and class) + earlier negatives of the same bucket (a
+    window per bucket).  Buckets are equal-frequency ranges of the distinct scores, B sized
+    from an approximate distinct count so that no window partition holds more than about
+    ``bucket_rows`` scores.  A class without positives or negatives makes the AUC undefined
+    (null), as the reference skips it.
     """
     b = _by(by)
     long = preds.select(*b, "actual", F.explode(F.array(*[
@@ -73,9 +79,24 @@ def roc_auc_ovr(preds: DataFrame, by=("model",), classes=tuple(CLASSES), digits:
     g = long.groupBy(*b, F.col("x.cls").alias("cls"), F.col("x.score").alias("score")).agg(
         F.count_if(F.col("actual") == F.col("x.cls")).alias("pos"),
         F.count_if(F.col("actual") != F.col("x.cls")).alias("neg"))
-    w = Window.partitionBy(*b, "cls").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    per = g.groupBy(*b, "cls").agg(
+    keys = [*b, "cls"]
+    n_distinct = g.groupBy(*keys).agg(F.approx_count_distinct("score").alias("d")).agg(F.max("d")).first()[0] or 0
+    n_buckets = max(1, -(-n_distinct // bucket_rows))
+    if n_buckets > 1:
+        edges = g.groupBy(*keys).agg(F.percentile_approx(
+            "score", [i / n_buckets for i in range(1, n_buckets)], 10 * n_buckets).alias("__e"))
+        g = g.join(F.broadcast(edges), keys)  # one row per (model, class): bounded
+        g = g.withColumn("__bk", F.size(F.filter(F.col("__e"), lambda e: e < F.col("score")))).drop("__e")
+    else:
+        g = g.withColumn("__bk", F.lit(0))
+    tot = g.groupBy(*keys, "__bk").agg(F.sum("neg").alias("__bn"))
+    tot = tot.withColumn("__before", F.coalesce(F.sum("__bn").over(
+        Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    w = Window.partitionBy(*keys, "__bk").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    g = (g.withColumn("__in", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+         .join(tot.select(*keys, "__bk", "__before"), [*keys, "__bk"])
+         .withColumn("below", F.col("__before") + F.col("__in")))
+    per = g.groupBy(*keys).agg(
         F.sum(F.col("pos") * (F.col("below") + F.col("neg") * 0.5)).alias("u"),
         F.sum("pos").alias("p"), F.sum("neg").alias("q"))
     auc = safe_div(F.col("u"), F.col("p") * F.col("q"))

@@ -70,3 +70,15 @@ def test_eco_score_rules(spark):
     assert out["d"]["eco_score"] == 5.0 and out["d"]["advice"] == "acceptable"
     zero = spark.createDataFrame([("a", 0.0, "low", 10)], "model string, train_time_s double, complexity string, n_params long")
     assert EV.eco_score(zero).first()["eco_score"] == 10.0
+
+
+def test_auc_bucketed_equals_single_window(spark):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(2000):
+        a = rnd.choice(["Low", "Medium", "High"])
+        rows.append((i, "m", "test", a, a, round(rnd.gauss(0, 1), 3), round(rnd.gauss(0, 1), 3), round(rnd.gauss(0, 1), 3)))
+    df = spark.createDataFrame(rows, PRED)
+    one = EV.roc_auc_ovr(df).first()["roc_auc"]
+    many = EV.roc_auc_ovr(df, bucket_rows=50).first()["roc_auc"]
+    assert one == many
