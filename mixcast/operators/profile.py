@@ -397,14 +397,13 @@ def lowess_curve(df: DataFrame, points: int = 50, frac: float = 2 / 3, method: s
         "channel", "budget", "roi", F.col("p.j").alias("j"), F.col("p.g").alias("g"),
         F.abs(F.col("budget") - F.col("p.g")).alias("d"))
     h = order_statistics(exp, ["d"], lambda g, c, n: [ks[g[0]] - 1], by=["channel", "j"])
-    hexpr = F.lit(None).cast("double")
-    for (g, _c, _r), v in h.items():
-        hexpr = F.when((F.col("channel") == g[0]) & (F.col("j") == g[1]), F.lit(v)).otherwise(hexpr)
+    hdf = df.sparkSession.createDataFrame([(g[0], int(g[1]), float(v)) for (g, _c, _r), v in h.items()],
+                                          "channel string, j int, h double")
     t = F.col("d") / F.col("h")
     u = F.lit(1.0) - t * t * t
     w = F.when(F.col("d") < F.col("h"), u * u * u).otherwise(F.lit(0.0))
     xc = F.col("budget") - F.col("g")
-    fit = exp.withColumn("h", hexpr).withColumn("w", w).groupBy("channel", "j").agg(
+    fit = exp.join(F.broadcast(hdf), ["channel", "j"]).withColumn("w", w).groupBy("channel", "j").agg(
         F.first("g").alias("g"), F.first("h").alias("h"), F.sum("w").alias("sw"), F.sum(F.col("w") * xc).alias("swx"),
         F.sum(F.col("w") * F.col("roi")).alias("swy"), F.sum(F.col("w") * xc * xc).alias("swxx"),
         F.sum(F.col("w") * xc * F.col("roi")).alias("swxy"), F.count_if(F.col("w") > 0).alias("n_used"))
