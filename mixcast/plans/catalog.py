@@ -389,14 +389,25 @@ def registry(spark, sf) -> DataFrame:
 
 
 def best_reg_model(spark, sf) -> str:
+    """Best regression model by test R² (only the regression runs are needed)."""
     ctx = context(spark, sf)
-    return ctx.get("best_reg", lambda: SC.default_model(registry(spark, sf), "regression",
-                                                         list(TREND_FEATURES)).first()["model"])
+
+    def build():
+        r = EV.regression_metrics(test_only(reg_preds(spark, sf))).select(
+            F.lit("regression").alias("task"), "model", F.lit(False).alias("tuned"), F.col("r2").alias("score"))
+        return SC.default_model(SC.model_registry(r), "regression", list(TREND_FEATURES)).first()["model"]
+    return ctx.get("best_reg", build)
 
 
 def validated(spark, sf) -> DataFrame:
-    scen = SC.parse_scenarios(scenario_requests(spark, sf))
-    return SC.validate_scenarios(scen, list(trend_models(spark, sf)), best_reg_model(spark, sf))
+    """Parsed and validated what-if requests, persisted once per session."""
+    ctx = context(spark, sf)
+
+    def build():
+        scen = SC.parse_scenarios(scenario_requests(spark, sf))
+        return SC.validate_scenarios(scen, list(trend_models(spark, sf)), best_reg_model(spark, sf)).persist(
+            StorageLevel.MEMORY_AND_DISK)
+    return ctx.get("validated", build)
 
 
 def accepted(spark, sf) -> DataFrame:
