@@ -32,6 +32,7 @@ FINE_GRID = 1000     # grid of refinement rounds over large domains
 ACCURACY = 10000     # percentile_approx accuracy (rank error <= n / ACCURACY)
 SMALL = 50000        # largest bracket whose values may be collected into one list
 MAX_GROUPS = 10000   # grouped quantiles are for report-sized group counts
+HINT = 4             # sketch points read at +-HINT/accuracy around each wanted quantile
 
 
 @dataclass
@@ -43,8 +44,7 @@ class _Target:
     hi_dom: float | None = None
     base: int = 0             # number of values <= lo_dom
     margin: int = 1
-    grid: list | None = None  # approx grid of the current domain
-    g: int = GRID             # its number of intervals
+    grid: list | None = None  # approx grid of the current domain: (probability, value) pairs
     dom_n: int = 0
     dom_min: float | None = None
     dom_max: float | None = None
@@ -70,17 +70,20 @@ def _key(row, by) -> tuple:
     return tuple(row[b] for b in by)
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None,
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float] | dict, by: list[str] | None = None,
                     grid: int = GRID, accuracy: int = ACCURACY, small: int = SMALL) -> dict:
     """Exact ``quantile_cont`` of each column (nulls ignored), per group of ``by``.
 
+    ``probs`` is one list for every column, or ``{col: list}`` so that different statistics
+    of different columns share the same passes.
     Returns ``{(group_tuple, col, p): value or None}``; group_tuple is ``()`` without ``by``.
     """
     plan: dict[tuple, tuple] = {}  # (group, col, p) -> (rank_lo, rank_hi, frac) or None
+    per_col = probs if isinstance(probs, dict) else {c: probs for c in cols}
 
     def ranks(g, c, n):
         out = []
-        for p in probs:
+        for p in per_col[c]:
             if not n:
                 plan[(g, c, p)] = None
                 continue
@@ -90,7 +93,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list
             out += [r_lo, r_hi]
         return out
 
-    values = order_statistics(df, cols, ranks, by, grid, accuracy, small)
+    values = order_statistics(df, cols, ranks, by, grid, accuracy, small, hints=per_col)
     out = {}
     for (g, c, p), pl in plan.items():
         if pl is None:
@@ -103,21 +106,32 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list
 
 
 def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None = None,
-                     grid: int = GRID, accuracy: int = ACCURACY, small: int = SMALL) -> dict:
+                     grid: int = GRID, accuracy: int = ACCURACY, small: int = SMALL,
+                     hints: dict | None = None) -> dict:
     """Exact r-th smallest non-null value (0-based) for the ranks ``ranks(group, col, n)`` asks for.
 
+    ``hints`` ({col: probabilities}) names the quantiles that will be asked for: the first
+    sketch then also reads points ``HINT / accuracy`` on either side of each, so a wanted
+    rank starts in a bracket of about ``2 * HINT / accuracy`` of the rows instead of two
+    grid intervals, and the pick pass shuffles only those few rows.
     Returns ``{(group_tuple, col, r): value}``.
     """
     by = list(by or [])
     dcols = {c: F.col(c).cast("double") for c in cols}
-    gprobs = [i / grid for i in range(grid + 1)]
+
+    def probs_for(c):
+        ps = {i / grid for i in range(grid + 1)}
+        for p in (hints or {}).get(c, ()):
+            ps.update(q for q in (p - HINT / accuracy, p + HINT / accuracy) if 0 < q < 1)
+        return sorted(ps)
+    cprobs = {c: probs_for(c) for c in cols}
 
     # pass 1: sizes, extremes and the approximate grid of every (group, column)
     aggs = []
     for i, c in enumerate(cols):
         x = dcols[c]
         aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"),
-                 F.percentile_approx(x, gprobs, accuracy).alias(f"g{i}")]
+                 F.percentile_approx(x, cprobs[c], accuracy).alias(f"g{i}")]
     stats = _grouped(df, by).agg(*aggs).limit(MAX_GROUPS + 1).collect()
     if len(stats) > MAX_GROUPS:
         raise ValueError(f"exact quantiles: more than {MAX_GROUPS} groups; use approximate quantiles")
@@ -130,7 +144,8 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
             for r in ranks(g, c, n):
                 if (g, c, r) in targets or not (0 <= r < (n or 0)):
                     continue
-                t = _Target(g, c, r, grid=row[f"g{i}"], dom_n=n, dom_min=row[f"mn{i}"], dom_max=row[f"mx{i}"])
+                t = _Target(g, c, r, grid=list(zip(cprobs[c], row[f"g{i}"])), dom_n=n,
+                            dom_min=row[f"mn{i}"], dom_max=row[f"mx{i}"])
                 if r == 0:
                     t.value, t.done = t.dom_min, True
                 elif r == n - 1:
@@ -143,17 +158,16 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
         if not pending:
             break
         # choose brackets from each target's grid
+        # a sketch point at probability p has a true rank within p*n -+ n/accuracy, so points at
+        # least 2*margin/accuracy below / above the wanted position bound it (a miss widens)
         for t in pending:
-            rr = t.rank - t.base
-            pos = rr / max(t.dom_n - 1, 1) * t.g
-            lo_i = max(0, int(math.floor(pos)) - t.margin)
-            hi_i = min(t.g, int(math.ceil(pos)) + t.margin)
-            lo, hi = t.grid[lo_i], t.grid[hi_i]
-            if lo_i == 0:
-                lo = t.dom_min
-            if hi_i == t.g:
-                hi = t.dom_max
-            span = (hi_i - lo_i + 2) * t.dom_n / t.g + 2 * t.dom_n / accuracy + 2
+            pr = (t.rank - t.base) / max(t.dom_n - 1, 1)
+            d = 2 * t.margin / accuracy
+            lows = [(p, v) for p, v in t.grid if 0 < p <= pr - d]
+            highs = [(p, v) for p, v in t.grid if pr + d <= p < 1]
+            lo_p, lo = lows[-1] if lows else (0.0, t.dom_min)
+            hi_p, hi = highs[0] if highs else (1.0, t.dom_max)
+            span = (hi_p - lo_p) * t.dom_n + 2 * t.dom_n / accuracy + 2
             t.bracket = (lo, hi, span <= small)
         # pass 2: where does each rank lie relative to its bracket?
         refine = []
@@ -176,7 +190,8 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
             # pass 1 again, inside each new domain
             g = grid if max(t.dom_n for t in refine) <= 20 * small else FINE_GRID
             for t, (n, mn, mx, gr) in zip(refine, passes.sketch(refine, g, accuracy)):
-                t.g, t.dom_n, t.dom_min, t.dom_max, t.grid = g, n, mn, mx, gr
+                t.dom_n, t.dom_min, t.dom_max = n, mn, mx
+                t.grid = list(zip([i / g for i in range(g + 1)], gr))
     else:
         raise RuntimeError("order_statistics did not converge")
     return {k: t.value for k, t in targets.items()}

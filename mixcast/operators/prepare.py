@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div
-from ..functions.quantiles import quantiles
+from ..functions.quantiles import exact_quantiles, quantiles
 from ..schema import CATEGORY, CHANNELS, CLASSES, KEY, TARGET_REG
 
 
@@ -90,12 +90,27 @@ def with_performance(df: DataFrame, terciles: tuple) -> DataFrame:
     return df.withColumn("Performance", performance_label(TARGET_REG, *terciles))
 
 
+def fit_prep_stats(labelled: DataFrame, method: str = "exact", target: str = TARGET_REG) -> PrepStats:
+    """Channel medians (P3), mode (P4) and target terciles (P7) of the labelled rows.
+
+    Imputation never touches the target nor the row set, so the terciles of the cleaned
+    table equal those of the labelled one: medians and terciles share one distributed
+    selection (the same passes over the data) instead of one each."""
+    if method != "exact":
+        return PrepStats(fit_medians(labelled, method=method), fit_mode(labelled),
+                         fit_terciles(labelled, target, method=method))
+    probs = {**{c: [0.5] for c in CHANNELS}, target: [1 / 3, 2 / 3]}
+    q = exact_quantiles(labelled, [*CHANNELS, target], probs)
+    return PrepStats({c: q[((), c, 0.5)] for c in CHANNELS}, fit_mode(labelled),
+                     (q[((), target, 1 / 3)], q[((), target, 2 / 3)]))
+
+
 def clean_campaigns(raw: DataFrame, method: str = "exact", stats: PrepStats | None = None,
                     reuse: str = "persist") -> tuple[DataFrame, PrepStats]:
     """Drop unlabelled rows, impute over all labelled rows (reference order)."""
     labelled = materialize(drop_unlabelled(raw), reuse)
     if stats is None:
-        stats = PrepStats(fit_medians(labelled, method=method), fit_mode(labelled), (None, None))
+        stats = fit_prep_stats(labelled, method=method)
     return impute(labelled, stats.medians, stats.mode), stats
 
 

@@ -58,3 +58,17 @@ def test_order_statistics_ranks(spark):
 def test_all_null_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert exact_quantiles(df, ["x"], [0.5])[((), "x", 0.5)] is None
+
+
+@pytest.mark.parametrize("accuracy", [20, 10000])
+def test_per_column_probs_and_coarse_sketch(spark, accuracy):
+    """Different quantiles per column in one selection; a coarse sketch (many misses) still exact."""
+    rnd = random.Random(11)
+    rows = [(rnd.uniform(0, 10), float(rnd.randint(0, 5)) if i % 3 else None) for i in range(5000)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(6)
+    probs = {"a": [0.5], "b": [1 / 3, 2 / 3, 0.9]}
+    got = exact_quantiles(df, ["a", "b"], probs, accuracy=accuracy, small=40)
+    for c, i in (("a", 0), ("b", 1)):
+        sel = np.array([r[i] for r in rows if r[i] is not None])
+        for p, r in zip(probs[c], np.quantile(sel, probs[c])):
+            assert got[((), c, p)] == pytest.approx(r, rel=1e-12, abs=1e-12)
