@@ -32,6 +32,7 @@ FINE_GRID = 1000     # grid of refinement rounds over large domains
 ACCURACY = 10000     # percentile_approx accuracy (rank error <= n / ACCURACY)
 SMALL = 50000        # largest bracket whose values may be collected into one list
 MAX_GROUPS = 10000   # grouped quantiles are for report-sized group counts
+GROUP_CELLS = 64     # up to this many (group, column) cells, grouped passes code each row once
 HINT = 4             # sketch points read at +-HINT/accuracy around each wanted quantile
 
 
@@ -152,7 +153,12 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
                     t.value, t.done = t.dom_max, True
                 targets[(g, c, r)] = t
 
-    passes = _JoinedPasses(df, cols, by) if by else _BucketPasses(df, cols, dcols)
+    if not by:
+        passes = _BucketPasses(df, cols, dcols)
+    elif len(stats) * len(cols) <= GROUP_CELLS:
+        passes = _GroupBucketPasses(df, cols, by)
+    else:
+        passes = _JoinedPasses(df, cols, by)
     for _ in range(30):
         pending = [t for t in targets.values() if not t.done]
         if not pending:
@@ -198,16 +204,28 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
 
 
 class _WidePasses:
-    """Ungrouped: one aggregation with a few literal-bounded expressions per target."""
+    """Ungrouped: one aggregation with a few literal-bounded expressions per target.
+
+    A *cell* is what one target ranks inside: a column (ungrouped) or a (group, column)
+    pair (grouped); ``_value``/``_scope`` give its value expression and row filter."""
 
     def __init__(self, df, cols, dcols):
         self.df, self.dcols = df, dcols
 
+    def _cell(self, t):
+        return t.col
+
+    def _value(self, cell):
+        return self.dcols[cell]
+
+    def _scope(self, cell):
+        return F.lit(True)
+
     def counts(self, pending):
         aggs = []
         for j, t in enumerate(pending):
-            x = self.dcols[t.col]
-            d = _dom_cond(x, t)
+            x = self._value(self._cell(t))
+            d = self._scope(self._cell(t)) & _dom_cond(x, t)
             lo, hi, collect = t.bracket
             aggs += [F.count_if(d & (x < F.lit(lo))).alias(f"a{j}"), F.count_if(d & (x <= F.lit(lo))).alias(f"b{j}"),
                      F.count_if(d & (x < F.lit(hi))).alias(f"c{j}"), F.count_if(d & (x <= F.lit(hi))).alias(f"e{j}")]
@@ -220,7 +238,9 @@ class _WidePasses:
     def sketch(self, refine, g, accuracy):
         aggs = []
         for j, t in enumerate(refine):
-            inner = F.when(_dom_cond(self.dcols[t.col], t), self.dcols[t.col])
+            cell = self._cell(t)
+            x = self._value(cell)
+            inner = F.when(self._scope(cell) & _dom_cond(x, t), x)
             aggs += [F.count(inner).alias(f"n{j}"), F.min(inner).alias(f"mn{j}"), F.max(inner).alias(f"mx{j}"),
                      F.percentile_approx(inner, [i / g for i in range(g + 1)], accuracy).alias(f"g{j}")]
         r = self.df.agg(*aggs).first()
@@ -239,54 +259,61 @@ def _search_code(x, b: list, i: int, j: int):
 class _BucketPasses(_WidePasses):
     """Ungrouped count pass in one narrow aggregation.
 
-    All bracket and domain boundaries of a column, sorted b_0 < b_1 < ..., give every
+    All bracket and domain boundaries of a cell, sorted b_0 < b_1 < ..., give every
     value a code: 2k for values between b_(k-1) and b_k, 2k+1 for values equal to b_k,
-    computed per column on the wide row by a binary-search CASE (log2 of the boundary
-    count comparisons).  ``groupBy(column, code)`` counts (a few rows per column) answer
-    every "how many below / at" question by prefix sums.  Wanted ranks inside provably
-    small brackets are then picked by ``row_number`` over only the rows inside those
-    brackets, and only the picked values come back."""
-
-    def __init__(self, df, cols, dcols):
-        super().__init__(df, cols, dcols)
+    computed per cell on the row by a binary-search CASE (log2 of the boundary count
+    comparisons).  ``groupBy(cell, code)`` counts (a few rows per cell) answer every
+    "how many below / at" question by prefix sums.  Wanted ranks inside provably small
+    brackets are then picked by ``row_number`` over only the rows inside those brackets,
+    and only the picked values come back."""
+
+    def _codes(self, cells, bounds) -> DataFrame:
+        """(__var, __code) per row and cell; __var is the cell's index in ``cells``."""
+        names = [f"__c{j}" for j in range(len(cells))]
+        wide = self.df.select(*[_search_code(self._value(c), bounds[c], 0, len(bounds[c])).alias(n)
+                                for c, n in zip(cells, names)])
+        long = wide.unpivot([], names, "__name", "__code").where(F.col("__code").isNotNull())
+        return long.select(F.substring("__name", 4, 9).cast("int").alias("__var"), "__code")
 
     def counts(self, pending):
-        bounds: dict[str, list] = {}
+        bounds: dict = {}
         for t in pending:
             vals = [t.bracket[0], t.bracket[1]] + [v for v in (t.lo_dom, t.hi_dom) if v is not None]
-            bounds.setdefault(t.col, set()).update(float(v) for v in vals)
+            bounds.setdefault(self._cell(t), set()).update(float(v) for v in vals)
         bounds = {c: sorted(b) for c, b in bounds.items()}
         index = {c: {v: k for k, v in enumerate(b)} for c, b in bounds.items()}
-        names = list(bounds)
-        wide = self.df.select(*[_search_code(self.dcols[c], bounds[c], 0, len(bounds[c])).alias(c) for c in names])
-        long = wide.unpivot([], names, "__var", "__code").where(F.col("__code").isNotNull())
-        cells = {(r["__var"], r["__code"]): r["n"]
-                 for r in long.groupBy("__var", "__code").agg(F.count(F.lit(1)).alias("n")).collect()}
+        cells_list = list(bounds)
+        codes = self._codes(cells_list, bounds)
+        cells = {(cells_list[r["__var"]], r["__code"]): r["n"]
+                 for r in codes.groupBy("__var", "__code").agg(F.count(F.lit(1)).alias("n")).collect()}
 
         def below(c, v, strict):  # values < v (strict) or <= v
             k = index[c][float(v)]
             top = 2 * k if strict else 2 * k + 1
             return sum(n for (cc, code_), n in cells.items() if cc == c and code_ <= top)
 
-        out, wanted, ranges = [], {}, {}
+        out, wanted = [], {}
         for t in pending:
             lo, hi, collect = t.bracket
-            base = below(t.col, t.lo_dom, False) if t.lo_dom is not None else 0
-            c1, c2 = below(t.col, lo, True) - base, below(t.col, lo, False) - base
-            c3, c4 = below(t.col, hi, True) - base, below(t.col, hi, False) - base
+            cell = self._cell(t)
+            base = below(cell, t.lo_dom, False) if t.lo_dom is not None else 0
+            c1, c2 = below(cell, lo, True) - base, below(cell, lo, False) - base
+            c3, c4 = below(cell, hi, True) - base, below(cell, hi, False) - base
             rr = t.rank - t.base
             key = None
             if collect and c2 <= rr < c3:
-                key = (t.col, float(lo), float(hi))
+                key = (cell, float(lo), float(hi))
                 wanted.setdefault(key, set()).add(rr - c2 + 1)
             out.append((c1, c2, c3, c4, key))
         picked = {}
         if wanted:
             # rows strictly inside each small bracket, ranked within the bracket (bounded partitions)
             # one scan: every row is exploded into the (few) wanted brackets it lies strictly inside
-            memb = [F.when((self.dcols[c] > lo) & (self.dcols[c] < hi),
-                           F.struct(F.lit(j).alias("__b"), self.dcols[c].alias("__x")))
-                    for j, (c, lo, hi) in enumerate(wanted)]
+            memb = []
+            for j, (c, lo, hi) in enumerate(wanted):
+                x = self._value(c)
+                memb.append(F.when(self._scope(c) & (x > lo) & (x < hi),
+                                   F.struct(F.lit(j).alias("__b"), x.alias("__x"))))
             inside = (self.df.select(F.explode(F.filter(F.array(*memb), lambda e: e.isNotNull())).alias("__e"))
                       .select("__e.__b", "__e.__x"))
             ranked = inside.withColumn("__pos", F.row_number().over(Window.partitionBy("__b").orderBy("__x")))
@@ -306,6 +333,43 @@ class _BucketPasses(_WidePasses):
         return res
 
 
+class _GroupBucketPasses(_BucketPasses):
+    """Grouped, for few (group, column) cells (box plots per tier, deciles per channel,
+    split thresholds per class): the table is unpivoted once to (keys, column, value) and
+    each row gets the code of its own cell from one CASE over the cells, so every row is
+    counted once however many targets its group has; counts, picks and refinements are
+    those of the ungrouped passes."""
+
+    def __init__(self, df, cols, by):
+        self.by = by
+        long = df.select(*[F.col(b).alias(f"__k{i}") for i, b in enumerate(by)],
+                         *[F.col(c).cast("double").alias(c) for c in cols])
+        self.df = long.unpivot([f"__k{i}" for i in range(len(by))], cols, "__var", "__x").where(
+            F.col("__x").isNotNull())
+
+    def _cell(self, t):
+        return (t.group, t.col)
+
+    def _value(self, cell):
+        return F.col("__x")
+
+    def _scope(self, cell):
+        g, c = cell
+        cond = F.col("__var") == F.lit(c)
+        for i, v in enumerate(g):
+            cond = cond & F.col(f"__k{i}").eqNullSafe(F.lit(v))
+        return cond
+
+    def _codes(self, cells, bounds) -> DataFrame:
+        cid = code = None
+        for j, cell in enumerate(cells):
+            cond = self._scope(cell)
+            cc = _search_code(F.col("__x"), bounds[cell], 0, len(bounds[cell]))
+            cid = F.when(cond, F.lit(j)) if cid is None else cid.when(cond, F.lit(j))
+            code = F.when(cond, cc) if code is None else code.when(cond, cc)
+        return self.df.select(cid.alias("__var"), code.alias("__code")).where(F.col("__var").isNotNull())
+
+
 class _JoinedPasses:
     """Grouped: each value row meets only its own group's targets through a broadcast join
     of the target table (bounded by MAX_GROUPS x columns x ranks), then one aggregation
