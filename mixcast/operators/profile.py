@@ -396,7 +396,8 @@ def lowess_curve(df: DataFrame, points: int = 50, frac: float = 2 / 3, method: s
     exp = roi_long.select("channel", "budget", "roi", F.explode(grid).alias("p")).select(
         "channel", "budget", "roi", F.col("p.j").alias("j"), F.col("p.g").alias("g"),
         F.abs(F.col("budget") - F.col("p.g")).alias("d"))
-    h = order_statistics(exp, ["d"], lambda g, c, n: [ks[g[0]] - 1], by=["channel", "j"])
+    near = sorted({(ks[ch] - 1) / max(r["n"] - 1, 1) for ch, r in rng.items()})  # wanted rank as a fraction
+    h = order_statistics(exp, ["d"], lambda g, c, n: [ks[g[0]] - 1], by=["channel", "j"], hints={"d": near})
     hdf = df.sparkSession.createDataFrame([(g[0], int(g[1]), float(v)) for (g, _c, _r), v in h.items()],
                                           "channel string, j int, h double")
     t = F.col("d") / F.col("h")

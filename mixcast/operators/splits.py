@@ -45,7 +45,8 @@ def stratified_split(df: DataFrame, label: str = TARGET_CLF, test_size: float =
         ks[g] = k
         return [k - 1] if k > 0 else []
 
-    thr = order_statistics(staged.where(F.col(label).isNotNull()), ["__h"], ranks, by=[label])
+    thr = order_statistics(staged.where(F.col(label).isNotNull()), ["__h"], ranks, by=[label],
+                           hints={"__h": [test_size]})
     cond = F.lit(False)
     for (g,), k in ks.items():
         if k > 0:
