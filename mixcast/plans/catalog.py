@@ -103,12 +103,24 @@ def q_iqr(spark, sf):
     return P.iqr_outliers(camp(spark, sf))
 
 
+@query("outlier_flags")
+def q_outlier_flags(spark, sf):
+    cols = [*CHANNELS, "Sales"]
+    return P.flag_outliers(camp(spark, sf), cols).select(KEY, *[f"{c}_outlier" for c in cols])
+
+
 @query("quasi_constant")
 def q_quasi(spark, sf):
     return P.quasi_constant(camp(spark, sf)).select(
         "variable", rnd("dominant_value", 6).alias("dominant_value"), "frequency", "quasi_constant")
 
 
+@query("quasi_constant_columns")
+def q_quasi_flagged(spark, sf):
+    """Only the columns flagged quasi-constant."""
+    return q_quasi(spark, sf).where(F.col("quasi_constant"))
+
+
 @query("correlation_matrix")
 def q_corr(spark, sf):
     return P.correlation_matrix(camp(spark, sf))

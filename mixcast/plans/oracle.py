@@ -159,6 +159,13 @@ def profile_sql() -> dict[str, str]:
         "round_even(count_if(l.value < q1 - 1.5 * (q3 - q1) OR l.value > q3 + 1.5 * (q3 - q1)) / count(*) * 100, 1) "
         "AS pct_outliers FROM iq f JOIN lg l USING (variable) GROUP BY f.variable, q1, q3",
         f"iq AS ({iq})", f"lg AS ({long_sql('camp', [*CHANNELS, 'Sales'])})")
+    fences = ", ".join(f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3"
+                       for c in [*CHANNELS, "Sales"])
+    q["outlier_flags"] = sql(
+        "SELECT campaign_id, " + ", ".join(
+            f"({c} < {c}_q1 - 1.5 * ({c}_q3 - {c}_q1) OR {c} > {c}_q3 + 1.5 * ({c}_q3 - {c}_q1)) AS {c}_outlier"
+            for c in [*CHANNELS, "Sales"]) + " FROM camp, fq",
+        f"fq AS (SELECT {fences} FROM camp)")
     q["quasi_constant"] = sql(
         "SELECT variable, round(value, 6) AS dominant_value, round_even(n / total, 4) AS frequency, "
         "n / total > 0.95 AS quasi_constant FROM rk WHERE r = 1",
@@ -166,6 +173,7 @@ def profile_sql() -> dict[str, str]:
         "cn AS (SELECT variable, value, count(*) AS n FROM lg WHERE value IS NOT NULL GROUP BY variable, value)",
         "rk AS (SELECT variable, value, n, sum(n) OVER (PARTITION BY variable) AS total, "
         "row_number() OVER (PARTITION BY variable ORDER BY n DESC, value ASC) AS r FROM cn)")
+    q["quasi_constant_columns"] = f"SELECT * FROM ({q['quasi_constant']}) qc WHERE quasi_constant"
     cols = DASHBOARD_CORR_COLUMNS
     q["correlation_matrix"] = sql(" UNION ALL ".join(
         (f"SELECT '{a}' AS var1, '{b}' AS var2, CAST(1.0 AS DOUBLE) AS r" if a == b else
