@@ -32,7 +32,8 @@ FINE_GRID = 1000     # grid of refinement rounds over large domains
 ACCURACY = 10000     # percentile_approx accuracy (rank error <= n / ACCURACY)
 SMALL = 50000        # largest bracket whose values may be collected into one list
 MAX_GROUPS = 10000   # grouped quantiles are for report-sized group counts
-GROUP_CELLS = 64     # up to this many (group, column) cells, grouped passes code each row once
+GROUP_CELLS = 64     # up to this many (group, column) cells, grouped passes may code each row once ...
+GROUP_FANOUT = 24    # ... which pays off over the single joined pass when a cell has more targets
 HINT = 4             # sketch points read at +-HINT/accuracy around each wanted quantile
 
 
@@ -155,7 +156,7 @@ def order_statistics(df: DataFrame, cols: list[str], ranks, by: list[str] | None
 
     if not by:
         passes = _BucketPasses(df, cols, dcols)
-    elif len(stats) * len(cols) <= GROUP_CELLS:
+    elif len(stats) * len(cols) <= GROUP_CELLS and len(targets) > GROUP_FANOUT * len(stats) * len(cols):
         passes = _GroupBucketPasses(df, cols, by)
     else:
         passes = _JoinedPasses(df, cols, by)

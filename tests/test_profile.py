@@ -71,3 +71,13 @@ def test_lowess_is_exact_on_a_line(spark):
     out = P.lowess_curve(camp, points=5).where("channel = 'TV'").collect()
     for r in out:  # channel ROI = 2 + 0.5 * budget is linear: the local fit reproduces it
         assert r["roi_fit"] == pytest.approx(2.0 + 0.5 * r["x"], abs=1e-3)
+
+
+def test_outlier_flags_match_report_counts(spark):
+    # TV 1..8 and one 100: q1 = 3, q3 = 7, fences -3 / 13 -> only the 100 is flagged
+    rows = [(i, float(i), 1.0, 1.0, "Mega", 5.0) for i in range(1, 9)] + [(9, 100.0, 1.0, 1.0, "Mega", 5.0)]
+    camp = _camp(spark, rows)
+    flags = {r["campaign_id"]: r["TV_outlier"] for r in P.flag_outliers(camp, ["TV"]).collect()}
+    assert [k for k, v in flags.items() if v] == [9]
+    rep = {r["variable"]: r for r in P.iqr_outliers(camp, ["TV"]).collect()}["TV"]
+    assert rep["n_outliers"] == 1 and rep["q1"] == 3.0 and rep["q3"] == 7.0 and rep["upper"] == 13.0

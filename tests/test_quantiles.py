@@ -72,3 +72,26 @@ def test_per_column_probs_and_coarse_sketch(spark, accuracy):
         sel = np.array([r[i] for r in rows if r[i] is not None])
         for p, r in zip(probs[c], np.quantile(sel, probs[c])):
             assert got[((), c, p)] == pytest.approx(r, rel=1e-12, abs=1e-12)
+
+
+def test_grouped_bucket_passes_match_joined(spark):
+    """Both grouped strategies give the same exact values (many targets per group)."""
+    from mixcast.functions import quantiles as Q
+    rnd = random.Random(13)
+    groups = [rnd.choice(["a", "b"]) for _ in range(3000)]
+    vals = [round(rnd.uniform(0, 50), 1) for _ in range(3000)]
+    probs = [i / 20 for i in range(21)]
+    df = _df(spark, vals, 4, groups)
+    old = (Q.GROUP_CELLS, Q.GROUP_FANOUT)
+    try:
+        Q.GROUP_CELLS, Q.GROUP_FANOUT = 64, 0
+        bucket = exact_quantiles(df, ["x"], probs, by=["g"], small=30)
+        Q.GROUP_CELLS = 0
+        joined = exact_quantiles(df, ["x"], probs, by=["g"], small=30)
+    finally:
+        Q.GROUP_CELLS, Q.GROUP_FANOUT = old
+    assert bucket == joined
+    for g in ["a", "b"]:
+        sel = np.array([v for v, gg in zip(vals, groups) if gg == g])
+        for p, r in zip(probs, np.quantile(sel, probs)):
+            assert bucket[((g,), "x", p)] == pytest.approx(r, rel=1e-12, abs=1e-12)
