@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -34,17 +34,38 @@ def local_session(cores: int | str = "*", app: str = "mixcast", extra: dict | No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) a private scratch folder is made.
+    Only when the session leaves it unset, a folder of the session's default file system (shared on a
+    cluster) is used: the path carries no scheme, so Hadoop resolves it there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="mixcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        path = f"/tmp/mixcast-{spark.sparkContext.applicationId}"
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, wherever they were started."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(os.environ.get("TMPDIR", "/tmp"), f"mixcast-{app}-{os.getpid()}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("mixcast", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint root for written intermediate tables."""
     root = ensure_checkpoint_dir(spark)
