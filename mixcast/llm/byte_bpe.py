@@ -35,7 +35,7 @@ from .common import Memo
 
 SEGMENT = 1 << 15  # characters of a text's leaf
 LEAF = 4           # bytes of a match's leaf
-MEMO = 400_000     # remembered chunks per worker; memory only, never a limit on the results
+MEMO = 150_000     # remembered chunks per worker; memory only, never a limit on the results
 
 # The classes of the split pattern below U+0250, spelled out (letters, numbers, white space).
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
