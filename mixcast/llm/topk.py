@@ -6,8 +6,8 @@ Inner products become distances: with M the largest norm, x' = (x, sqrt(M^2 - |x
 Rows are dealt evenly to blocks of about ``BLOCK``; each block becomes an M-tree (Ciaccia, Patella and Zezula, 1997),
 stored as a table of pages: pivot, covering radius, distance to the parent's pivot and, for leaves, the entries with
 their distances to the pivot.  Query blocks meet tree blocks in cells of bounded size; in a cell every query pops
-pages in the order of their lower bounds, skips children and entries whose stored distances already rule them out,
-and stops when the next bound is beyond its k-th best.  The cells' lists are merged by rank.  Pages, blocks and cells
+pages in the order of their lower bounds, skips pages and entries whose stored distances already rule them out,
+and stops when the next bound is beyond its k-th best; queries that pop the same page share one matrix product.  The cells' lists are merged by rank.  Pages, blocks and cells
 have fixed sizes, so copies and hot values make no large group.
 
 Components are quantised to floor(scale * x), and scores are exact integers while squared norms stay under 2^52;
@@ -21,8 +21,6 @@ result.  Other columns are not read.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -32,12 +30,12 @@ from .common import cut
 
 BLOCK = 8192      # rows of a tree
 QUERIES = 1024    # queries of a cell
-PAGE = 128        # entries of a leaf page
+PAGE = 256        # entries of a leaf page
 FAN = 8           # children of an inner page
 _EXACT = float(1 << 52)
 
 _PAGES = ("dim int, b long, page int, parent int, leaf boolean, pivot binary, norm double, radius double, "
-          "parent_dist double, ids binary, keys binary, vecs binary, dists binary")
+          "parent_dist double, ids binary, vecs binary, dists binary")
 
 
 def finite(vec: Column) -> Column:
@@ -46,7 +44,7 @@ def finite(vec: Column) -> Column:
         vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
 
 
-def _build(ids: np.ndarray, keys: np.ndarray, x: np.ndarray, top: float) -> list[dict]:
+def _build(ids: np.ndarray, x: np.ndarray, top: float) -> list[dict]:
     """Pages of one block's tree; ``x`` holds quantised vectors, ``top`` the largest squared norm of all rows."""
     norm = np.einsum("ij,ij->i", x, x)
     lift = np.sqrt(np.maximum(0.0, top - norm))
@@ -65,7 +63,7 @@ def _build(ids: np.ndarray, keys: np.ndarray, x: np.ndarray, top: float) -> list
         leaf = len(at) <= PAGE
         page = {"page": len(pages), "parent": parent, "leaf": leaf, "pivot": x[p].tobytes(), "norm": float(norm[p]),
                 "radius": float(d.max()), "parent_dist": float(far(np.array([p]), above)[0]) if above >= 0 else 0.0,
-                "ids": ids[at].tobytes() if leaf else b"", "keys": keys[at].tobytes() if leaf else b"",
+                "ids": ids[at].tobytes() if leaf else b"",
                 "vecs": x[at].tobytes() if leaf else b"", "dists": d.tobytes() if leaf else b""}
         pages.append(page)
         if leaf:
@@ -90,40 +88,59 @@ class _Tree:
         self.leaf = pages["leaf"].to_numpy()
         self.pivot = np.stack([np.frombuffer(p, np.float64) for p in pages["pivot"]])
         self.norm, self.radius = pages["norm"].to_numpy(), pages["radius"].to_numpy()
-        self.step = pages["parent_dist"].to_numpy()
-        self.children = {k: g.index.to_numpy() for k, g in pages.groupby("parent")}
+        self.step, self.parent = pages["parent_dist"].to_numpy(), pages["parent"].to_numpy()
         self.ids = [np.frombuffer(b, np.int64) for b in pages["ids"]]
-        self.keys = [np.frombuffer(b, np.int64) for b in pages["keys"]]
         self.vecs = [np.frombuffer(b, np.float64).reshape(-1, dim) for b in pages["vecs"]]
         self.dists = [np.frombuffer(b, np.float64) for b in pages["dists"]]
 
-    def search(self, q: np.ndarray, own: int, k: int, top: float) -> tuple[np.ndarray, np.ndarray]:
-        """Scores and ids of the k best rows but those of the query's own id."""
-        base = float(q @ q) + top
-        reach = lambda ip: np.sqrt(np.maximum(0.0, base - 2 * ip))
-        scores, ids, limit = np.empty(0), np.empty(0, np.int64), np.inf
-        d0 = float(reach(self.pivot[0] @ q))
-        heap = [(max(0.0, d0 - self.radius[0]), 0, d0)]
-        while heap:
-            low, page, d = heapq.heappop(heap)
-            if low > limit:
+    def search(self, q: np.ndarray, own: np.ndarray, k: int, top: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(query, score, id)`` of at least the k best rows of each query but those of its own id, ties included.
+
+        All queries of the cell search at once: each pops its next page in the order of its lower bounds, and those
+        that popped the same page share one product.  Leaves are ordered by the bound their stored distance to the
+        parent gives; a leaf's own pivot is only compared when the page is popped.
+        """
+        m, n = len(q), len(self.leaf)
+        base = (q * q).sum(axis=1) + top
+        reach = lambda ip, b: np.sqrt(np.maximum(0.0, b - 2 * ip))
+        dist, low = np.zeros((m, n)), np.zeros((m, n))
+        inner = np.flatnonzero(~self.leaf)
+        if len(inner):
+            dist[:, inner] = reach(q @ self.pivot[inner].T, base[:, None])
+        for page in range(1, n):  # parents come before their children
+            p = self.parent[page]
+            low[:, page] = np.maximum(low[:, p], np.abs(dist[:, p] - self.step[page]) - self.radius[page])
+        leaves = np.flatnonzero(self.leaf)
+        turn = np.argsort(low[:, leaves], axis=1, kind="stable")
+        best, limit = np.full((m, k), -np.inf), np.full(m, np.inf)
+        every = np.arange(m)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for r in range(len(leaves)):
+            pages = leaves[turn[:, r]]
+            live = every[low[every, pages] <= limit]
+            if not len(live):
                 break
-            if not self.leaf[page]:
-                c = self.children[page]
-                c = c[np.abs(d - self.step[c]) - self.radius[c] <= limit]
-                dc = reach(self.pivot[c] @ q)
-                lows = np.maximum(low, dc - self.radius[c])
-                for n in np.flatnonzero(lows <= limit):
-                    heapq.heappush(heap, (float(lows[n]), int(c[n]), float(dc[n])))
-                continue
-            use = np.flatnonzero((np.abs(d - self.dists[page]) <= limit) & (self.ids[page] != own))
-            ip = self.vecs[page][use] @ q
-            scores, ids = np.concatenate([scores, ip]), np.concatenate([ids, self.ids[page][use]])
-            if len(scores) >= k:
-                best = np.lexsort((ids, -scores))[:k]
-                scores, ids = scores[best], ids[best]
-                limit = float(reach(scores[-1])) * (1 + 1e-9) + 1e-6
-        return scores, ids
+            for page in np.unique(pages[live]):
+                at = live[pages[live] == page]
+                d = reach(q[at] @ self.pivot[page], base[at])
+                near = d - self.radius[page] <= limit[at]
+                at, d = at[near], d[near]
+                if not len(at):
+                    continue
+                ids = self.ids[page]
+                use = np.flatnonzero((np.abs(d[:, None] - self.dists[page]) <= limit[at][:, None]).any(axis=0))
+                s = q[at] @ self.vecs[page][use].T
+                s[own[at][:, None] == ids[use]] = -np.inf
+                i, j = np.nonzero(s >= np.maximum(best[at].min(axis=1), -1e300)[:, None])
+                found.append((at[i], s[i, j], ids[use][j]))
+                both = np.concatenate([best[at], s], axis=1)
+                best[at] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+                worst = best[at].min(axis=1)
+                full = worst > -1e300
+                limit[at[full]] = reach(worst[full], base[at[full]]) * (1 + 1e-9) + 1e-6
+        if not found:
+            return np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def top_k(rows: DataFrame, id_col: str, vec: str, is_query: Column, k: int, scale: float = 64.0) -> DataFrame:
@@ -145,12 +162,12 @@ def top_k(rows: DataFrame, id_col: str, vec: str, is_query: Column, k: int, scal
         if top >= _EXACT:  # one flat page of whole integers
             whole = np.stack(pdf["v"].to_numpy()).astype(np.int64)
             pages = [{"page": 0, "parent": -1, "leaf": True, "pivot": b"", "norm": 0.0, "radius": 0.0, "parent_dist": 0.0,
-                      "ids": pdf["id"].to_numpy(np.int64).tobytes(), "keys": b"", "vecs": whole.tobytes(), "dists": b""}]
+                      "ids": pdf["id"].to_numpy(np.int64).tobytes(), "vecs": whole.tobytes(), "dists": b""}]
         else:
-            pages = _build(pdf["id"].to_numpy(np.int64), pdf["key"].to_numpy(np.int64), x, top)
+            pages = _build(pdf["id"].to_numpy(np.int64), x, top)
         return pd.DataFrame(pages).assign(dim=dim, b=b)
 
-    data = src.select("id", "key", "v", "dim", deal(blocks).alias("b"))
+    data = src.select("id", "v", "dim", deal(blocks).alias("b"))
     pages = cut(data.groupBy("dim", "b").applyInPandas(build, _PAGES))
     pages = pages.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(asks - 1).cast("long"))))
     queries = src.where("ask").select("id", "key", "v", "dim", deal(asks).alias("c")).withColumn(
@@ -166,14 +183,17 @@ def top_k(rows: DataFrame, id_col: str, vec: str, is_query: Column, k: int, scal
             else:
                 ids = np.frombuffer(left["ids"].iloc[0], np.int64)
                 whole = np.frombuffer(left["vecs"].iloc[0], np.int64).reshape(-1, dim).astype(object)
+            if exact:
+                own, keys = right["id"].to_numpy(np.int64), right["key"].to_numpy(np.int64)
+                i, s, found = tree.search(np.stack(right["v"].to_numpy()).astype(np.float64), own, k, top)
+                order = np.lexsort((found, -s, i))
+                i, s, found = i[order], s[order], found[order]
+                first = np.searchsorted(i, i)  # where the rows of the same query begin
+                top_rows = np.arange(len(i)) - first < k
+                return pd.DataFrame({"query_id": own[i], "key": keys[i], "score": s.astype(np.int64), "vec_id": found})[top_rows]
             for own, key, v in zip(right["id"], right["key"], right["v"]):
-                if exact:
-                    scores, found = tree.search(np.asarray(v, np.float64), int(own), k, top)
-                    order = np.lexsort((found, -scores))[:k]
-                    out += [(own, key, int(scores[o]), int(found[o])) for o in order]
-                else:
-                    got = sorted((-int(s), int(i)) for s, i in zip(whole @ np.asarray(v).astype(object), ids) if i != own)[:k]
-                    out += [(own, key, -s, i) for s, i in got]
+                got = sorted((-int(s), int(i)) for s, i in zip(whole @ np.asarray(v).astype(object), ids) if i != own)[:k]
+                out += [(own, key, -s, i) for s, i in got]
         return pd.DataFrame(out, columns=["query_id", "key", "score", "vec_id"])
 
     lists = (pages.groupBy("dim", "b", "c").cogroup(queries.groupBy("dim", "b", "c"))
