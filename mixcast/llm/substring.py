@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 UNIT_WORDS = 16
 MIN_UNITS = 3
 MIN_WORDS = 24
@@ -104,8 +106,9 @@ def repeated_spans(docs: DataFrame, id_col: str, text: str = "text", min_units:
 
     every = src.mapInPandas(run, "id long, th long, first int, n int, h long")
     where = F.struct("id", "th", "first")
-    firsts = (every.groupBy("h").agg(F.min(where).alias("lo"), F.max(where).alias("hi"))
-              .where(F.col("lo") < F.col("hi")).select("h", "lo"))
+    # written, so that the join has shuffles of its own on both sides and Spark can split a frequent hash
+    firsts = cut(every.groupBy("h").agg(F.min(where).alias("lo"), F.max(where).alias("hi"))
+                 .where(F.col("lo") < F.col("hi")).select("h", "lo"))
     return every.join(firsts, "h").where(F.col("lo") < where).select("id", "th", "first", "n")
 
 
