@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from mixcast.llm import language_id, queries, simhash, substring, toxicity  # noqa: E402
-from mixcast.llm.common import cut, table, without  # noqa: E402
-from mixcast.session import ship_package  # noqa: E402
+from mixcast.llm.common import cut, ready, table, without  # noqa: E402
 
 
 def _keyed(docs: DataFrame, **more) -> DataFrame:
@@ -35,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language could be told; their other columns, ``lang`` too, stay as they are."""
-    ship_package(spark)
+    ready(spark)
     # a decision depends on the text, the declared language and the source only
     keyed = _keyed(docs, __rest=F.xxhash64("lang", "source"))
     keys = ["__id", "__none", "__hash", "__rest"]
@@ -45,7 +44,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the smallest id (null last), then the smallest hash of the text."""
-    ship_package(spark)
+    ready(spark)
     comp = cut(simhash.near_duplicates(docs, "doc_id", "text", shingle=3, max_bits=2).select(
         "cluster", F.coalesce("id", F.lit(0)).alias("__id"), F.col("id").isNull().alias("__none"), F.col("th").alias("__hash")))
     keys = ["__none", "__id", "__hash"]
@@ -61,7 +60,7 @@ def first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def without_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without sentences that a repeated span covers; ``n_chars`` follows the text."""
-    ship_package(spark)
+    ready(spark)
     out = substring.deduplicate(docs, "doc_id")
     size = F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))
     return out.withColumn("n_chars", size.cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
@@ -69,7 +68,7 @@ def without_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 4096 tokens."""
-    ship_package(spark)
+    ready(spark)
     return queries.packed(docs)
 
 

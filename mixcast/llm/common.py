@@ -8,9 +8,20 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, ship_package
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; also makes the package importable on the workers."""
+BATCH = "2000"  # rows of whole texts that a Python worker holds at once
+
+
+def ready(spark: SparkSession) -> None:
+    """Make the package importable on the workers, and their batches of whole texts small unless the session says."""
     ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":  # Spark's default
+        spark.conf.set(name, BATCH)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -38,7 +38,7 @@ LANGUAGES = 64     # most frequent declared languages that get a model; a declar
 SHARE = 0.005
 TEMPER = 0.25      # trigrams of a text overlap, so their evidence is not independent
 SMOOTH = 20.0      # rows that a prior stands for at each level
-MEMO = 200_000     # remembered words per worker; memory only
+MEMO = 100_000     # remembered words per worker; memory only
 _LETTERS = re.compile(r"[^\d_]+")
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 

@@ -34,7 +34,7 @@ from .common import Memo, cut
 
 PER_GROUP = 8192  # pieces packed together
 ROUNDS = 6        # exchanges at most; each must save bins to go on
-MEMO = 400_000    # remembered chunks and words per worker; memory only
+MEMO = 150_000    # remembered chunks and words per worker; memory only
 
 # Unicode's white space, on which the tokenizer splits (Python's str.split knows four more); the
 # letters below U+0180 in lower case; its split pattern over them; and the byte alphabet's printable ranges.

@@ -37,7 +37,7 @@ BUCKETS = 1 << 18
 PER_CLASS = 20_000   # labelled rows of either label that the model is fitted on
 COST = 2.0           # taken off every token's score, so that chance segments stay short
 PRIOR = 20.0         # documents that the prior of a token's toxic share stands for
-MEMO = 300_000       # remembered tokens per worker; memory only
+MEMO = 120_000       # remembered tokens per worker; memory only
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
