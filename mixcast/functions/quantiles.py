@@ -437,28 +437,24 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: lis
     return out
 
 
-_CACHE: dict = {}
-_CACHE_MAX = 4096
-
-
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None,
               method: str = "exact", **kw) -> dict:
     """Exact (default) or approximate quantiles, ``{(group, col, p): value}``.
 
-    Exact results are memoised per (plan's semantic hash, group keys, column, p), so reports
-    over the same table (describe, outliers, box plots) compute each statistic once."""
+    Exact results are remembered on the DataFrame object per (group keys, column, p), so reports
+    over the same persisted table (describe, outliers, box plots) compute each statistic once;
+    a table read anew is a new object and starts without any."""
     if method == "exact" and not kw:
-        base = (df.semanticHash(), tuple(by or []))
-        missing = [c for c in cols if any((base, c, p) not in _CACHE for p in probs)]
+        known = df.__dict__.setdefault("_mixcast_quantiles", {})
+        base = tuple(by or [])
+        missing = [c for c in cols if any((base, c, p) not in known for p in probs)]
         if missing:
             got = exact_quantiles(df, missing, probs, by)
             per: dict = {}
             for (g, c, p), v in got.items():
                 per.setdefault((base, c, p), {})[g] = v
-            if len(_CACHE) + len(per) > _CACHE_MAX:
-                _CACHE.clear()
-            _CACHE.update(per)
-        return {(g, c, p): v for c in cols for p in probs for g, v in _CACHE[(base, c, p)].items()}
+            known.update(per)
+        return {(g, c, p): v for c in cols for p in probs for g, v in known[(base, c, p)].items()}
     if method == "exact":
         return exact_quantiles(df, cols, probs, by, **kw)
     if method == "approx":

@@ -75,7 +75,7 @@ def roc_auc_ovr(preds: DataFrame, by=("model",), classes=tuple(CLASSES), digits:
     """
     b = _by(by)
     long = preds.select(*b, "actual", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("cls"), rnd(F.col(f"score_{c}"), 6).alias("score")) for c in classes])).alias("x"))
+        F.struct(F.lit(c).alias("cls"), F.col(f"score_{c}").cast("double").alias("score")) for c in classes])).alias("x"))
     g = long.groupBy(*b, F.col("x.cls").alias("cls"), F.col("x.score").alias("score")).agg(
         F.count_if(F.col("actual") == F.col("x.cls")).alias("pos"),
         F.count_if(F.col("actual") != F.col("x.cls")).alias("neg"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import nan_to_null
@@ -23,9 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_campaigns(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Scan the campaign file with a declared schema; ``Social Media`` -> ``Social_Media``.
 
-    NaN cells become null.  Campaigns carry no key in the file; a stable key is derived
-    from the file position (``monotonically_increasing_id`` is stable for a given file
-    split).  For keyed sources, use ``read_keyed_campaigns``.
+    NaN cells become null.  Campaigns carry no key in the file: the key is a hash of the row's
+    content and its number among equal rows, so it does not depend on files or their splits.
     """
     if fmt == "csv":
         df = (spark.read.schema(CAMPAIGN_CSV_SCHEMA).option("header", True)
@@ -36,7 +35,10 @@ def read_campaigns(spark: SparkSession, path: str, fmt: str = "csv") -> DataFram
     df = df.select(*[nan_to_null(c).alias(c) for c in CHANNELS],
                    F.when(F.trim("Influencer") == "", None).otherwise(F.col("Influencer")).alias("Influencer"),
                    nan_to_null("Sales").alias("Sales"))
-    return df.withColumn(KEY, F.monotonically_increasing_id()).select(KEY, *CHANNELS, "Influencer", "Sales")
+    body = [*CHANNELS, "Influencer", "Sales"]
+    same = Window.partitionBy(*body).orderBy(F.lit(0))
+    df = df.withColumn(KEY, F.xxhash64(*body, F.row_number().over(same)))
+    return df.select(KEY, *CHANNELS, "Influencer", "Sales")
 
 
 def _fixed(c: str, scale: int):

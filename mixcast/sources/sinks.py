@@ -40,6 +40,13 @@ def save_models(models: dict, task: str, root: str) -> dict[str, str]:
     return out
 
 
+def _exists(path: str) -> bool:
+    """Whether a path exists on its own Hadoop file system."""
+    sc = SparkSession.getActiveSession().sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at)
+
+
 def load_models(task: str, names: list[str], root: str) -> dict:
     """Load the saved pipelines that exist; missing ones are skipped."""
     from ..operators.predictors import SparkModel
@@ -48,15 +55,16 @@ def load_models(task: str, names: list[str], root: str) -> dict:
     out = {}
     for name in names:
         path = os.path.join(root, f"{task}_{safe_name(name)}")
-        if os.path.exists(path):
+        if _exists(path):
             out[name] = SparkModel(PipelineModel.load(path), task, CLASSES if task == "classification" else None)
     return out
 
 
 def write_attributions(shap: DataFrame, root: str, model: str) -> str:
-    """Shapley values as a long Parquet table partitioned by model."""
+    """Shapley values as a long Parquet table partitioned by model; only that model's part is replaced."""
     path = os.path.join(root, "attributions")
-    shap.withColumn("model", F.lit(model)).write.mode("overwrite").partitionBy("model").parquet(path)
+    shap.withColumn("model", F.lit(model)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("model").parquet(path)
     return path
 
 
