@@ -23,6 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -58,14 +59,19 @@ class TextModel:
     def __init__(self, logp: np.ndarray):
         self.logp, self.rows, self.at = logp, np.zeros((1024, logp.shape[1] + 1)), {}
 
-    def _row(self, word: str) -> int:
-        cells = trigrams(word)
-        if len(self.at) == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        n = self.at[word] = len(self.at)
-        self.rows[n, :-1] = self.logp[cells].sum(axis=0)
-        self.rows[n, -1] = len(cells)
-        return n
+    def _learn(self, words: list[str]) -> None:
+        cells = [trigrams(w) for w in words]
+        sizes = np.fromiter(map(len, cells), np.int64, len(cells))
+        base, end = len(self.at), len(self.at) + len(words)
+        if end > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros((max(end, len(self.rows)), self.rows.shape[1]))])
+        self.at.update(zip(words, range(base, end)))
+        self.rows[base:end] = 0
+        self.rows[base:end, -1] = sizes
+        some = np.flatnonzero(sizes)
+        if len(some):
+            flat = np.fromiter(chain.from_iterable(cells), np.int64, int(sizes.sum()))
+            self.rows[base + some, :-1] = np.add.reduceat(self.logp[flat], (np.cumsum(sizes) - sizes)[some], axis=0)
 
     def likelihood(self, text: str | None) -> tuple[np.ndarray, float]:
         """Log-likelihood under each language, and the number of trigrams."""
@@ -73,7 +79,10 @@ class TextModel:
         if len(self.at) > MEMO:
             self.at, self.rows = {}, self.rows[:1024] * 0
         at = self.at
-        idx = np.fromiter((at[w] if w in at else self._row(w) for w in words), np.int64, len(words))
+        new = [w for w in dict.fromkeys(words) if w not in at]
+        if new:
+            self._learn(new)
+        idx = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
         s = self.rows[idx].sum(axis=0) if len(idx) else np.zeros(self.rows.shape[1])
         return s[:-1], float(s[-1])
 
