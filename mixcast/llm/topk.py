@@ -11,7 +11,8 @@ and stops when the next bound is beyond its k-th best; queries that pop the same
 have fixed sizes, so copies and hot values make no large group.
 
 Components are quantised to floor(scale * x), and scores are exact integers while squared norms stay under 2^52;
-beyond that a cell compares with Python integers and no bounds (same results, slower).
+beyond that a cell compares with Python integers and no bounds (same results, slower), and a score that no long
+holds becomes the nearest long.
 
 Defined results: vectors that are null, empty or hold null or non-finite components, and rows with a null id, take no
 part; vectors meet only vectors of their length; rows repeated in id and vector count once; a query never meets rows
@@ -192,7 +193,7 @@ def top_k(rows: DataFrame, id_col: str, vec: str, is_query: Column, k: int, scal
                 top_rows = np.arange(len(i)) - first < k
                 return pd.DataFrame({"query_id": own[i], "key": keys[i], "score": s.astype(np.int64), "vec_id": found})[top_rows]
             for own, key, v in zip(right["id"], right["key"], right["v"]):
-                got = sorted((-int(s), int(i)) for s, i in zip(whole @ np.asarray(v).astype(object), ids) if i != own)[:k]
+                got = sorted((-max(-1 << 63, min(int(s), (1 << 63) - 1)), int(i)) for s, i in zip(whole @ np.asarray(v).astype(object), ids) if i != own)[:k]
                 out += [(own, key, -s, i) for s, i in got]
         return pd.DataFrame(out, columns=["query_id", "key", "score", "vec_id"])
 
