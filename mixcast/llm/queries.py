@@ -92,10 +92,10 @@ QUERIES = {f.__name__: f for f in (
 
 ORACLE_SQL = {
     "op5_topk_mtree": """
-        WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS q
+        WITH v AS (SELECT DISTINCT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
                    FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-                     AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
         s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
               FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
