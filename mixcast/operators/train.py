@@ -9,13 +9,18 @@ the test split, so every model of every fold is evaluated in one aggregation.
 
 from __future__ import annotations
 
+import itertools
 import time
+from concurrent.futures import ThreadPoolExecutor
+from statistics import mean, pstdev
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        OneVsRest, RandomForestClassifier)
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +30,14 @@ from .features import feature_names, feature_stages
 from .predictors import SparkModel, predictions
 from .splits import with_class_weights
 
-# Model settings of the reference ("reference") and a light profile ("quick")
-# with the same structure and fewer trees / rounds, for interactive use and checks.
+# Model settings of the reference ("reference"); "quick" has the same structure with fewer trees and
+# rounds, for unit tests only.
 PROFILES = {
-    "reference": {"trees": 200, "rounds": 200, "mlp_iter": 1000, "lr_iter": 1000},
+    "reference": {"trees": 200, "rounds": 200, "mlp_iter": 2000, "lr_iter": 1000},
     "quick": {"trees": 20, "rounds": 20, "mlp_iter": 100, "lr_iter": 100},
 }
+# The boosting grid of the reference.
+GRID = {"maxIter": [100, 200, 300], "stepSize": [0.05, 0.1, 0.2], "maxDepth": [3, 4, 5]}
 
 LABEL_SQL = ("SELECT *, CAST(CASE Performance WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 END AS DOUBLE)"
              " AS label FROM __THIS__")
@@ -62,7 +69,8 @@ def classification_estimators(profile: str = "reference", seed: int = SEED, n_we
         "Random Forest": RandomForestClassifier(numTrees=p["trees"], maxDepth=10, minInstancesPerNode=2,
                                                 featureSubsetStrategy="sqrt", weightCol="weight", seed=seed, **common),
         "Gradient Boosting": OneVsRest(classifier=GBTClassifier(maxIter=p["rounds"], stepSize=0.05, maxDepth=4,
-                                                                subsamplingRate=0.8, seed=seed), **common),
+                                                                subsamplingRate=0.8, seed=seed),
+                                       parallelism=len(CLASSES), **common),
         "MLP (Deep Learning)": MultilayerPerceptronClassifier(layers=[len(feature_names()), 128, 64, 32, len(CLASSES)],
                                                               maxIter=p["mlp_iter"], seed=seed, **common),
     }
@@ -92,8 +100,6 @@ def cross_validate(train: DataFrame, estimator, name: str, task: str, k: int = 5
 
     The k fold fits are independent Spark jobs and run concurrently from ``parallelism``
     driver threads (as ``CrossValidator(parallelism=...)`` does)."""
-    from concurrent.futures import ThreadPoolExecutor
-
     def one(f):
         m, _ = fit_model(train.where(F.col("fold") != f), estimator.copy(), task)
         held = train.where(F.col("fold") == f).withColumn("split", F.lit(str(f)))
@@ -160,44 +166,61 @@ def _size(name: str, est) -> tuple[int, str]:
     return 10, "low"
 
 
+def boosting_prefix_scores(data: DataFrame, rounds: list[int], step: float, depth: int, k: int = 5, seed: int = SEED,
+                           parallelism: int = 4) -> dict[int, list[float]]:
+    """R² on each fold after each number of ``rounds``, from one fit of the most rounds per fold.
+
+    Round m of boosting depends on the rounds before it and on seed + m only, so the first r trees of a longer fit are
+    the fit of r rounds; ``evaluateEachIteration`` reads the error after every round in one pass over the held fold.
+    """
+    def one(f):
+        est = GBTRegressor(featuresCol="features", labelCol=TARGET_REG, subsamplingRate=0.8, minInstancesPerNode=2,
+                           maxIter=max(rounds), stepSize=step, maxDepth=depth, seed=seed)
+        model, held = est.fit(data.where(F.col("fold") != f)), data.where(F.col("fold") == f)
+        errors = model.evaluateEachIteration(held, "squared")
+        spread = held.agg(F.var_pop(TARGET_REG)).first()[0]
+        return [1.0 - errors[r - 1] / spread for r in rounds]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        folds = list(pool.map(one, range(k)))
+    return {r: [f[i] for f in folds] for i, r in enumerate(rounds)}
+
+
 def grid_search(train: DataFrame, task: str = "regression", k: int = 5, grid: dict | None = None,
                 parallelism: int = 4):
-    """K7: grid over boosting rounds, step size and depth; CV on the fold column; refit on all
-    training rows.  Returns (best model as ``SparkModel``, table of settings, cv_mean, cv_std)."""
-    import itertools
-
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    """K7: grid over boosting rounds, step size and depth; CV on the fold column; refit on all training rows.
 
-    grid = grid or {"maxIter": [100, 200, 300], "stepSize": [0.05, 0.1, 0.2], "maxDepth": [3, 4, 5]}
-    names = list(grid)
-    combos = [dict(zip(names, c)) for c in itertools.product(*grid.values())]
-    train = _prep(train, task)
-    if task == "regression":
-        est = GBTRegressor(featuresCol="features", labelCol=TARGET_REG, subsamplingRate=0.8, minInstancesPerNode=2,
-                           seed=SEED)
-        ev = RegressionEvaluator(labelCol=TARGET_REG, predictionCol="prediction", metricName="r2")
-        builder = ParamGridBuilder()
-        for pname, values in grid.items():
-            builder = builder.addGrid(est.getParam(pname), values)
-        maps = builder.build()
-        settings = [{p.name: v for p, v in m.items()} for m in maps]
-    else:
-        est = OneVsRest(classifier=GBTClassifier(), featuresCol="features", labelCol="label")
-        ev = MulticlassClassificationEvaluator(labelCol="label", metricName="weightedFMeasure")
-        inner = [GBTClassifier(subsamplingRate=0.8, seed=SEED, **c) for c in combos]
-        maps = ParamGridBuilder().addGrid(est.classifier, inner).build()
-        settings = combos
-    stages = feature_stages(train)  # scaler fitted on all training rows (CrossValidator does not refit stages)
+    Regression settings that differ in rounds only share their fits.  The scaler is fitted on all training rows: trees
+    do not depend on a feature's scale.  Returns (best model as ``SparkModel``, table of settings, cv_mean, cv_std)."""
+    grid = grid or GRID
     if task == "classification":
-        stages.append(SQLTransformer(statement=LABEL_SQL))
-    prep_model = Pipeline(stages=stages).fit(train)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="fold", numFolds=k,
-                        parallelism=parallelism, seed=SEED)
-    cvm = cv.fit(prep_model.transform(train))
-    rows = [(str(dict(sorted(s_.items()))), float(mean), float(std))
-            for s_, mean, std in zip(settings, cvm.avgMetrics, cvm.stdMetrics)]
+        return _grid_search_classes(_prep(train, task), k, grid, parallelism)
+    prep = Pipeline(stages=feature_stages(train)).fit(train)
+    data = prep.transform(train).select("features", TARGET_REG, "fold").persist()
+    rows = []
+    for step, depth in itertools.product(grid["stepSize"], grid["maxDepth"]):
+        for r, scores in boosting_prefix_scores(data, grid["maxIter"], step, depth, k, parallelism=parallelism).items():
+            rows.append(({"maxIter": r, "stepSize": step, "maxDepth": depth}, mean(scores), pstdev(scores)))
+    best = max(rows, key=lambda row: row[1])[0]
+    model = GBTRegressor(featuresCol="features", labelCol=TARGET_REG, subsamplingRate=0.8, minInstancesPerNode=2,
+                         seed=SEED, **best).fit(data)
+    data.unpersist()
+    table = train.sparkSession.createDataFrame([(str(dict(sorted(s.items()))), m, d) for s, m, d in rows],
+                                               "settings string, cv_mean double, cv_std double")
+    return SparkModel(PipelineModel(stages=[*prep.stages, model]), "regression"), table
+
+
+def _grid_search_classes(train: DataFrame, k: int, grid: dict, parallelism: int):
+    """The grid for one-vs-rest boosting, scored by weighted F1."""
+    settings = [dict(zip(grid, c)) for c in itertools.product(*grid.values())]
+    est = OneVsRest(classifier=GBTClassifier(), featuresCol="features", labelCol="label")
+    maps = ParamGridBuilder().addGrid(est.classifier, [GBTClassifier(subsamplingRate=0.8, seed=SEED, **c)
+                                                       for c in settings]).build()
+    prep = Pipeline(stages=[*feature_stages(train), SQLTransformer(statement=LABEL_SQL)]).fit(train)
+    judge = MulticlassClassificationEvaluator(labelCol="label", metricName="weightedFMeasure")
+    found = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=judge, foldCol="fold", numFolds=k,
+                           parallelism=parallelism, seed=SEED).fit(prep.transform(train))
+    rows = [(str(dict(sorted(s.items()))), float(m), float(d))
+            for s, m, d in zip(settings, found.avgMetrics, found.stdMetrics)]
     table = train.sparkSession.createDataFrame(rows, "settings string, cv_mean double, cv_std double")
-    best = PipelineModel(stages=[*prep_model.stages, cvm.bestModel])
-    return SparkModel(best, task, CLASSES if task == "classification" else None), table
+    return SparkModel(PipelineModel(stages=[*prep.stages, found.bestModel]), "classification", CLASSES), table
