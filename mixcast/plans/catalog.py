@@ -747,3 +747,9 @@ def q_ml_resolve(spark, sf):
         F.lit("regression").alias("task"), "model", F.lit(True).alias("tuned"), F.col("r2").alias("score"))
     reg = SC.model_registry(base.unionByName(tun))
     return SC.resolve_models(reg)
+
+
+# Queries that fit pipelines with the reference's settings, quicker ones first.
+LONG = ["fit_linear", "fit_logistic", "fit_gbt", "fit_forest", "feature_importance", "feature_labels", "shap_forest",
+        "fit_mlp_clf", "fit_forest_clf", "fit_gbt_clf", "fit_mlp_reg", "eco_score", "ml_classification_comparison",
+        "shap_tree", "ml_cv_scores", "ml_model_comparison", "grid_search", "ml_model_resolve"]
