@@ -21,14 +21,15 @@ def nan_to_null(c: str | Column) -> Column:
 
 
 def rnd(c: str | Column, digits: int = 6) -> Column:
-    """Round half up on the scaled binary value: ``floor(x * 10^d + 0.5) / 10^d``.
+    """Round half to even on the scaled binary value, ``rint(x * 10^d) / 10^d``, as numpy and pandas do.
 
     Built only from exactly specified IEEE operations, so any engine given the same
-    double returns the same double (Spark's ``round`` works on the decimal string,
-    other engines on the scaled value: they disagree on ties such as 101.7034375).
+    double returns the same double (Spark's ``round`` and ``bround`` work on the decimal
+    string, others on the scaled value: they disagree on ties such as 101.7034375).
+    Adding zero turns -0.0 into 0.0.
     """
-    scale = float(10 ** digits)
-    return F.floor(col_(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scale = F.lit(float(10 ** digits))
+    return F.rint(col_(c).cast("double") * scale) / scale + F.lit(0.0)
 
 
 def hash_hex(key: str | Column, seed: int) -> Column:

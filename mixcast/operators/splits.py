@@ -22,9 +22,11 @@ def hash_split(df: DataFrame, test_size: float = 0.2, seed: int = SEED, key: str
     return df.withColumn("split", F.when(is_test_row(key, test_size, seed), "test").otherwise("train"))
 
 
-def hash_draw52(key: str = KEY, seed: int = SEED):
-    """A 52-bit draw from the row hash: exact in a double, so order statistics stay exact."""
-    return F.conv(F.substring(hash_hex(key, seed), 1, 13), 16, 10).cast("long").cast("double")
+def hash_draw52(key: str = KEY, seed: int = SEED, start: int = 1):
+    """A 52-bit draw from the row hash: exact in a double, so order statistics stay exact.
+
+    Draws from hex digits 1-13 and 14-26 (``start``) are independent of each other."""
+    return F.conv(F.substring(hash_hex(key, seed), start, 13), 16, 10).cast("long").cast("double")
 
 
 def stratified_split(df: DataFrame, label: str = TARGET_CLF, test_size: float = 0.2, seed: int = SEED,
@@ -55,12 +57,30 @@ def stratified_split(df: DataFrame, label: str = TARGET_CLF, test_size: float =
 
 
 def with_folds(df: DataFrame, k: int = 5, seed: int = SEED, key: str = KEY) -> DataFrame:
-    """fold 0..k-1 from hash digits independent of the split draw.
+    """fold 0..k-1 from hash digits independent of the split draw."""
+    return df.withColumn("fold", hash_fold(key, k, seed))
+
+
+def stratified_folds(df: DataFrame, label: str = TARGET_CLF, k: int = 5, seed: int = SEED, key: str = KEY) -> DataFrame:
+    """F7 for classification: every class is cut at its i * n_class // k-th smallest hashes, so the sizes of a class in
+    two folds differ by one row at most.  Rows without a class get no fold.
 
-    The same rule serves classification: the draw is independent of the class, so every
-    fold holds each class in proportion (in expectation) without ranking rows per class.
+    The cuts come from the distributed order statistics, as in ``stratified_split``; the draw is independent of its draw.
     """
-    return df.withColumn("fold", hash_fold(key, k, seed))
+    staged = df.withColumn("__h", hash_draw52(key, seed, start=14))
+    cuts = {}
+
+    def ranks(g, c, n):
+        cuts[g] = [i * n // k for i in range(1, k)]
+        return sorted(set(cuts[g]))
+
+    at = order_statistics(staged.where(F.col(label).isNotNull()), ["__h"], ranks, by=[label],
+                          hints={"__h": [i / k for i in range(1, k)]})
+    fold = F.lit(None).cast("int")
+    for (g,), rs in cuts.items():
+        mine = sum([F.when(F.col("__h") >= F.lit(at[((g,), "__h", r)]), 1).otherwise(0) for r in rs], F.lit(0))
+        fold = F.when(F.col(label) == F.lit(g), mine).otherwise(fold)
+    return staged.withColumn("fold", fold).drop("__h")
 
 
 def with_class_weights(df: DataFrame, label: str = TARGET_CLF, weight: str = "weight") -> DataFrame:

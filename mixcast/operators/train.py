@@ -9,6 +9,7 @@ the test split, so every model of every fold is evaluated in one aggregation.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import time
 from concurrent.futures import ThreadPoolExecutor
@@ -117,6 +118,24 @@ def cross_validate(train: DataFrame, estimator, name: str, task: str, k: int = 5
     return s.select("model", F.col("split").cast("int").alias("fold"), "score")
 
 
+def estimators_for(train: DataFrame, task: str, profile: str, only: list[str] | None = None) -> dict:
+    """The task's estimators by name; ``train`` holds the class weights for classification."""
+    if task == "regression":
+        ests = regression_estimators(profile)
+    else:
+        ests = classification_estimators(profile, n_weight=train.agg(F.sum("weight")).first()[0])
+    return {n: e for n, e in ests.items() if not only or n in only}
+
+
+def cross_validate_all(train: DataFrame, task: str, profile: str = "reference", k: int = 5,
+                       only: list[str] | None = None, parallelism: int = 4) -> DataFrame:
+    """K6: fold scores of every estimator of the task: (model, fold, score)."""
+    train = _prep(train, task)
+    parts = [cross_validate(train, est, name, task, k, parallelism)
+             for name, est in estimators_for(train, task, profile, only).items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def train_all(train: DataFrame, task: str = "regression", profile: str = "reference", k: int = 5,
               cv: bool = True, only: list[str] | None = None, parallelism: int = 4
               ) -> tuple[dict, DataFrame, DataFrame | None]:
@@ -124,13 +143,7 @@ def train_all(train: DataFrame, task: str = "regression", profile: str = "refere
 
     Returns (models by name, run table, CV score table or None)."""
     train = _prep(train, task)
-    if task == "regression":
-        ests = regression_estimators(profile)
-    else:
-        n_w = train.agg(F.sum("weight")).first()[0]
-        ests = classification_estimators(profile, n_weight=n_w)
-    if only:
-        ests = {k_: v for k_, v in ests.items() if k_ in only}
+    ests = estimators_for(train, task, profile, only)
     models, runs, cvs = {}, [], []
     for name, est in ests.items():
         m, secs = fit_model(train, est, task)

@@ -216,6 +216,12 @@ def clf_table(spark, sf) -> DataFrame:
         StorageLevel.MEMORY_AND_DISK))
 
 
+def clf_train(spark, sf) -> DataFrame:
+    """Training rows of the classification split in stratified folds."""
+    return context(spark, sf).get("clf_train", lambda: SP.stratified_folds(
+        clf_table(spark, sf).where(F.col("split") == "train")).persist(StorageLevel.MEMORY_AND_DISK))
+
+
 def trend_models(spark, sf) -> dict:
     ctx = context(spark, sf)
 
@@ -253,6 +259,11 @@ def q_split_reg(spark, sf):
     return reg_table(spark, sf).select(KEY, "split")
 
 
+@query("stratified_folds")
+def q_stratified_folds(spark, sf):
+    return clf_train(spark, sf).select("campaign_id", "Performance", "fold")
+
+
 @query("split_stratified")
 def q_split_strat(spark, sf):
     return clf_table(spark, sf).select(KEY, "Performance", "split")
@@ -586,6 +597,16 @@ def ml_regression_cv(spark, sf) -> DataFrame:
     return ctx.get("ml_reg_cv", build)
 
 
+def ml_classification_cv(spark, sf) -> DataFrame:
+    """K6 fold scores (weighted F1) of every classification pipeline on stratified folds."""
+    ctx = context(spark, sf)
+
+    def build():
+        parts = [TR.cross_validate_all(clf_train(spark, sf), "classification", only=[n]) for n in CLASSIFIERS]
+        return functools.reduce(DataFrame.unionByName, parts).persist(StorageLevel.MEMORY_AND_DISK)
+    return ctx.get("ml_clf_cv", build)
+
+
 def _reg_fit_query(name):
     def q(spark, sf):
         models, _ = _fitted(spark, sf, "regression", [name])
@@ -623,8 +644,12 @@ def q_ml_comparison(spark, sf):
 def q_ml_clf_comparison(spark, sf):
     models, _ = ml_classification(spark, sf)
     preds = predictions(test_only(clf_table(spark, sf)), models, "classification")
-    empty = spark.createDataFrame([], "model string, fold int, score double")
-    return EV.model_comparison(preds, empty, "classification")
+    return EV.model_comparison(preds, ml_classification_cv(spark, sf), "classification")
+
+
+@query("ml_classification_cv_scores")
+def q_ml_clf_cv(spark, sf):
+    return rounded(ml_classification_cv(spark, sf))
 
 
 @query("grid_search")
@@ -751,5 +776,6 @@ def q_ml_resolve(spark, sf):
 
 # Queries that fit pipelines with the reference's settings, quicker ones first.
 LONG = ["fit_linear", "fit_logistic", "fit_gbt", "fit_forest", "feature_importance", "feature_labels", "shap_forest",
-        "fit_mlp_clf", "fit_forest_clf", "fit_gbt_clf", "fit_mlp_reg", "eco_score", "ml_classification_comparison",
-        "shap_tree", "ml_cv_scores", "ml_model_comparison", "grid_search", "ml_model_resolve"]
+        "fit_mlp_clf", "fit_forest_clf", "fit_gbt_clf", "fit_mlp_reg", "eco_score", "shap_tree", "ml_cv_scores",
+        "ml_model_comparison", "grid_search", "ml_model_resolve", "ml_classification_cv_scores",
+        "ml_classification_comparison"]

@@ -53,8 +53,8 @@ camp AS (SELECT c.campaign_id, c.TV, c.Radio, c.Social_Media, c.Influencer, c.Sa
 
 
 def expand_round(text: str) -> str:
-    """Rewrite ``round(x, d)`` / ``round_even(x, d)`` as ``floor(x * 10^d + 0.5) / 10^d``,
-    the engine-independent rounding of ``functions.exprs.rnd``."""
+    """Rewrite ``round(x, d)`` / ``round_even(x, d)`` as ``round_even(x * 10^d, 0) / 10^d``,
+    the half-to-even rounding of ``functions.exprs.rnd``."""
     out, i = [], 0
     pat = re.compile(r"\b(round_even|round)\(")
     while True:
@@ -76,7 +76,7 @@ def expand_round(text: str) -> str:
         inner = expand_round(text[m.end():comma])
         digits = int(text[comma + 1:j - 1].strip())
         scale = f"CAST({10 ** digits} AS DOUBLE)"
-        out.append(f"(floor(({inner}) * {scale} + CAST(0.5 AS DOUBLE)) / {scale})")
+        out.append(f"(round_even(({inner}) * {scale}, 0) / {scale} + CAST(0 AS DOUBLE))")
         i = j
 
 
@@ -287,6 +287,11 @@ SPLIT_CTES = [
     "st AS (SELECT * EXCLUDE (h52, rk, nc), CASE WHEN rk <= floor(0.2 * nc + 0.5) THEN 'test' ELSE 'train' END AS split "
     "FROM ss1)",
 ]
+FOLD_CTES = [
+    f"sf0 AS (SELECT campaign_id, Performance, row_number() OVER (PARTITION BY Performance ORDER BY "
+    f"('0x' || substr({_md5()}, 14, 13))::BIGINT, campaign_id) - 1 AS r, count(*) OVER (PARTITION BY Performance) AS nc "
+    "FROM st WHERE split = 'train')",
+]
 TREND = {"Budget Trend": "Total_Budget", "TV Trend": "TV"}
 TERC = {"Budget Terciles": "Total_Budget", "TV Terciles": "TV"}
 
@@ -375,6 +380,9 @@ def _cv_ctes() -> list[str]:
 def eval_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["split_regression"] = sql("SELECT campaign_id, split FROM sp", *SPLIT_CTES)
+    q["stratified_folds"] = sql(
+        "SELECT campaign_id, Performance, CAST(" + " + ".join(f"(r >= {i} * nc // 5)::INT" for i in range(1, 5))
+        + " AS INTEGER) AS fold FROM sf0", *SPLIT_CTES, *FOLD_CTES)
     q["split_stratified"] = sql("SELECT campaign_id, Performance, split FROM st", *SPLIT_CTES)
     q["cv_folds"] = sql("SELECT campaign_id, split, fold FROM sp", *SPLIT_CTES)
     q["class_weights"] = sql(

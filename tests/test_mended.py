@@ -1,10 +1,13 @@
 """Faults once found, each by the case that showed it."""
 import math
 
+import duckdb
 from pyspark.sql import functions as F
 
+from mixcast.functions.exprs import rnd
 from mixcast.functions.quantiles import quantiles
 from mixcast.operators.explain import permutation_plan
+from mixcast.plans.oracle import expand_round
 from mixcast.sources.campaigns import read_campaigns
 from mixcast.sources.sinks import _exists, write_attributions
 
@@ -41,3 +44,14 @@ def test_key_does_not_depend_on_files(spark, tmp_path):
         df.repartition(n).write.parquet(path)
         keys.append({r[0] for r in read_campaigns(spark, path, "parquet").select("campaign_id").collect()})
     assert keys[0] == keys[1] and len(keys[0]) == 400
+
+
+def test_ties_at_a_half_go_to_the_even_digit(spark):
+    values = [0.5, 1.5, 2.5, -0.5, -1.5, 0.3, -0.3, 1e17]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", rnd("x", 0).alias("r")).collect()
+    assert [r["r"] for r in rows] == [float(round(v)) for v in values]
+    assert all(math.copysign(1, r["r"]) > 0 for r in rows if r["r"] == 0)
+    assert spark.range(1).select(rnd(F.lit(0.125), 2)).first()[0] == 0.12
+    con = duckdb.connect()
+    assert con.execute(expand_round("SELECT " + ", ".join(f"round(CAST({v!r} AS DOUBLE), 0)" for v in values))).fetchone() == \
+        tuple(r["r"] for r in rows)

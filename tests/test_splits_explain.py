@@ -29,6 +29,21 @@ def test_splits_disjoint_complete_and_stratified(spark):
     assert {r["fold"] for r in folds} <= set(range(5))
 
 
+def test_stratified_folds_are_even_in_every_class(spark):
+    rows = _rows(617) + [(1000, 1.0, 1.0, 1.0, "Nano", None, None)] + [(2000 + i, 1.0, 1.0, 1.0, "Nano", 1.0, "Rare") for i in range(3)]
+    got = SP.stratified_folds(spark.createDataFrame(rows, RAW).repartition(5))
+    sizes = {}
+    for r in got.groupBy("Performance", "fold").count().collect():
+        sizes.setdefault(r["Performance"], {})[r["fold"]] = r["count"]
+    assert sizes.pop(None) == {None: 1}
+    assert sum(sizes["Rare"].values()) == 3 and max(sizes["Rare"].values()) == 1
+    for c in ("Low", "Medium", "High"):
+        assert set(sizes[c]) == set(range(5)) and max(sizes[c].values()) - min(sizes[c].values()) <= 1
+    other = SP.stratified_folds(spark.createDataFrame(rows, RAW).coalesce(1))
+    both = got.select("campaign_id", "fold").join(other.select("campaign_id", F.col("fold").alias("g")), "campaign_id")
+    assert both.where(~F.col("fold").eqNullSafe(F.col("g"))).count() == 0
+
+
 def test_exact_shapley_equals_closed_form_and_is_additive(spark):
     df = spark.createDataFrame(_rows(200), RAW)
     m = TrendModel.fit(df.withColumn("Total_Budget", F.col("TV") + F.col("Radio") + F.col("Social_Media")),

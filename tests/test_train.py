@@ -3,8 +3,10 @@ from pyspark.ml import Pipeline
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
+from mixcast.operators import evaluate as EV
 from mixcast.operators import train as TR
 from mixcast.operators.features import feature_stages
+from mixcast.operators.predictors import predictions
 from mixcast.plans import catalog as C
 
 SF = "/root/testdata/sf0.001"
@@ -33,3 +35,14 @@ def test_grid_has_every_setting_and_refits_the_best(spark):
     best = max(rows, key=lambda r: r["cv_mean"])["settings"]
     gbt = model.model.stages[-1]
     assert best == str({"maxDepth": gbt.getMaxDepth(), "maxIter": gbt.getNumTrees, "stepSize": gbt.getStepSize()})
+
+
+def test_classification_comparison_has_fold_scores(spark):
+    train = C.clf_train(spark, SF)
+    names = ["Logistic Regression", "Random Forest"]
+    cv = TR.cross_validate_all(train, "classification", "quick", k=2, only=names).persist()
+    assert cv.count() == 4 and cv.where("score > 0.4 and score <= 1").count() == 4
+    models, _, _ = TR.train_all(train, "classification", "quick", cv=False, only=names)
+    rows = EV.model_comparison(predictions(C.test_only(C.clf_table(spark, SF)), models, "classification"), cv,
+                               "classification").collect()
+    assert len(rows) == 2 and all(r["cv_mean"] is not None and r["cv_std"] is not None for r in rows)
