@@ -1,14 +1,17 @@
 """Operator 6: substring deduplication by sliding spans of consecutive sentences.
 
 A text is cut, without loss, into units: sentences (up to ``. ! ?`` or a line end), those of more than ``UNIT_WORDS``
-words into runs of that many words.  Every shortest run of consecutive units that has at least ``min_units`` units
-and ``min_words`` words, taken forwards from each unit and backwards to each unit, is a span; any passage of more
-than ``min_words + 2 * UNIT_WORDS`` words made of whole units is fully covered by spans inside it.  Spans are hashed
-(letter case and white space do not count) and joined globally with the first occurrence of their hash; all units
-covered by a span that is not the first of its hash are removed.
-
-"First" orders occurrences by (id, hash of the text, unit).  Only hashes, ids and numbers are grouped; a frequent span
-is reduced to its first occurrence before the shuffle, and the join back is one that Spark can split.
+words cut again at places that their words choose (``cuts``), so that no unit is longer.  Every shortest run of
+consecutive units that has at least ``min_units`` units and ``min_words`` words, taken forwards from each unit and
+backwards to each unit, is a span.  Wherever a repeated passage starts and ends, also inside a sentence, its copies are
+cut alike but for at most ``UNIT_WORDS`` words at either end; so with one unit to a span, of any passage of at least
+``min_words + 2 * UNIT_WORDS`` words the rest between is fully covered by equal spans.  Spans are hashed (letter case
+and white space do not count) and joined globally with the first occurrence of their hash; all units covered by a span
+that is not the first of its hash are removed.
+
+"First" orders occurrences by (id, hash of the text, unit).  Only hashes, ids and numbers are grouped: hashes of all
+spans, places of those whose hash comes again.  A frequent span is reduced to its count and its first occurrence before
+the shuffles, and the joins back are ones that Spark can split.
 
 Defined results: null and empty texts have no unit and stay as they are; texts too short for a span stay whole; rows
 repeated in id and text count as one document and get equal results; null ids come first in the order; a text whose
@@ -20,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,14 +31,37 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-UNIT_WORDS = 16
-MIN_UNITS = 3
+UNIT_WORDS = 13  # a longer sentence is cut once in any so many neighbouring places
+MIN_UNITS = 1
 MIN_WORDS = 24
 FLUSH = 100_000  # spans held by a task before they are sent on
 _SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+\Z")
 _WORD = re.compile(r"\S+\s*")
 
 
+def cuts(words: list[str]) -> list[int]:
+    """Places (numbers of words before them) at which a sentence of more than ``UNIT_WORDS`` words is cut.
+
+    Winnowing: of any ``UNIT_WORDS`` neighbouring places inside the sentence, the last that follows a word of the least
+    hash.  A window inside a passage chooses the same place in each copy, and one that reaches beyond the passage
+    chooses none between the choices of the first and the last window inside.  No unit is longer than ``UNIT_WORDS``.
+    """
+    keys = list(map(xxhash.xxh64_intdigest, words[:-1]))
+    out, end = [], UNIT_WORDS
+    while end <= len(keys):  # the windows before ``end`` have chosen
+        window = keys[end - UNIT_WORDS:end]
+        least = min(window)
+        at = end - 1 - window[::-1].index(least)
+        out.append(at + 1)
+        # the choice holds until a word of no greater hash comes or the window leaves it
+        end += 1
+        while end <= at + UNIT_WORDS and end <= len(keys):
+            if keys[end - 1] <= least:
+                break
+            end += 1
+    return out
+
+
 def units(text: str | None) -> list[str]:
     """Pieces of a text whose concatenation is the text."""
     out = []
@@ -45,7 +72,8 @@ def units(text: str | None) -> list[str]:
         words = _WORD.findall(s)
         lead = s[:len(s) - sum(map(len, words))]
         words[0] = lead + words[0]
-        out += ["".join(words[i:i + UNIT_WORDS]) for i in range(0, len(words), UNIT_WORDS)]
+        at = [0, *cuts(s.lower().split()), len(words)]
+        out += ["".join(words[a:b]) for a, b in zip(at, at[1:])]
     return out
 
 
@@ -57,7 +85,7 @@ def spans(pieces: list[str], min_units: int, min_words: int) -> list[tuple[int,
     at = [i for i, w in enumerate(words) if w]
     if len(at) < min_units:
         return []
-    marks = b"".join([digest(" ".join(words[i]).lower().encode()) for i in at])
+    marks = b"".join([digest(" ".join(words[i]).lower()) for i in at])
     total = [0]
     for i in at:
         total.append(total[-1] + len(words[i]))
@@ -90,6 +118,15 @@ def repeated_spans(docs: DataFrame, id_col: str, text: str = "text", min_units:
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(f"`{text}`").alias("th"),
                       F.col(f"`{text}`").alias("text")).where(F.length("text") > 0)
 
+    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            flat = []
+            for k, t in enumerate(pdf["text"]):
+                flat += [h for *_, h in spans(units(t), min_units, min_words)]
+                if len(flat) >= FLUSH or k == len(pdf) - 1:
+                    yield pd.DataFrame({"h": np.array(flat, np.int64)})
+                    flat = []
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows, flat = [], []
@@ -104,11 +141,13 @@ def repeated_spans(docs: DataFrame, id_col: str, text: str = "text", min_units:
                     }).astype({"id": "Int64", "first": "int32", "n": "int32"})
                     rows, flat = [], []
 
-    every = src.mapInPandas(run, "id long, th long, first int, n int, h long")
+    # only hashes are counted over all spans, places are compared for the repeated ones; each side of a join is written,
+    # so that the join has shuffles of its own on both sides and Spark can split a frequent hash
+    many = cut(src.select("text").mapInPandas(hashes, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("k"))
+               .where("k > 1").select("h"))
+    every = cut(src.mapInPandas(run, "id long, th long, first int, n int, h long").join(many, "h"))
     where = F.struct("id", "th", "first")
-    # written, so that the join has shuffles of its own on both sides and Spark can split a frequent hash
-    firsts = cut(every.groupBy("h").agg(F.min(where).alias("lo"), F.max(where).alias("hi"))
-                 .where(F.col("lo") < F.col("hi")).select("h", "lo"))
+    firsts = cut(every.groupBy("h").agg(F.min(where).alias("lo")))
     return every.join(firsts, "h").where(F.col("lo") < where).select("id", "th", "first", "n")
 
 

@@ -170,6 +170,43 @@ def test_long_passages_never_repeat(spark):
     assert out[0] == rows[0][1] and all(out[i] == rows[i][1].replace(passage, "") for i in range(1, 6))
 
 
+def test_passages_that_start_inside_a_sentence_go(spark):
+    rng = random.Random(10)
+    words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    rows, passages = [], []
+    for k, n in enumerate((51, 60, 200, 51, 60, 51) * 20):
+        p = words(n)
+        if k % 6 >= 3:  # two sentences of 25 words or more
+            p[n // 2] += "."
+        passages.append(p)
+        for copy in range(2):
+            rows.append((2 * k + copy, " ".join(words(rng.randrange(16)) + p + words(rng.randrange(16)))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in substring.deduplicate(df, "doc_id").collect()}
+    for k, p in enumerate(passages):
+        assert out[2 * k] == rows[2 * k][1]
+        left = set(out[2 * k + 1].split())
+        stay = [i for i, w in enumerate(p) if w in left]
+        edge = substring.UNIT_WORDS  # all but the words at either end are gone
+        assert all(i < edge or i >= len(p) - edge for i in stay), (k, stay)
+        alone = set(rows[2 * k + 1][1].split()) - set(p)
+        assert alone <= left
+
+
+def test_units_are_short_and_lossless():
+    rng = random.Random(12)
+    for n in range(60):
+        for vocabulary in (["a"], ["a", "B"], [f"w{i}" for i in range(90)]):
+            text = " ".join(rng.choice(vocabulary) for _ in range(n))
+            pieces = substring.units(text)
+            assert "".join(pieces) == text and all(len(p.split()) <= substring.UNIT_WORDS for p in pieces)
+            low = text.lower().split()
+            keys = [substring.xxhash.xxh64_intdigest(w) for w in low[:-1]]
+            want = {max((i for i in range(a, a + substring.UNIT_WORDS)), key=lambda i: (-keys[i], i)) + 1
+                    for a in range(len(keys) - substring.UNIT_WORDS + 1)}
+            assert substring.cuts(low) == sorted(want)
+
+
 def test_embedding_links_and_recall(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(400, 32))
