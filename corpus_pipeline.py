@@ -33,13 +33,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language could be told; their other columns, ``lang`` too, stay as they are."""
+    """Documents whose language could be told, and those with letters that declare one too rare for a model; their other
+    columns, ``lang`` too, stay as they are."""
     ready(spark)
     # a decision depends on the text, the declared language and the source only
     keyed = _keyed(docs, __rest=F.xxhash64("lang", "source"))
     keys = ["__id", "__none", "__hash", "__rest"]
-    found = language_id.identify(language_id.document_rows(keyed), keys)
-    return without(keyed, found.where(~F.col("accepted")), keys).select(*docs.columns)
+    found = language_id.identify(language_id.document_rows(keyed), keys, unknown="__alien")
+    return without(keyed, found.where(~F.col("accepted") & ~F.col("__alien")), keys).select(*docs.columns)
 
 
 def first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

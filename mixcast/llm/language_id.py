@@ -2,8 +2,10 @@
 
 For each row:  log P(lang | row) = text + declared + host prior + constant.
 
-* text: tempered log-likelihood of the whole text under character-trigram models (hashed to ``CELLS`` cells), counted
-  on at most ``sample`` rows that declare a language.
+* text: tempered log-likelihood of the whole text under character-trigram models (hashed to ``CELLS`` cells).  Every
+  language that ``MIN_TEXTS`` distinct texts declare gets one, counted on about ``sample`` of its texts (all, if it has
+  no more).  A tag is dropped as noise if on texts held out its own model is best for less than ``OWN`` of them, and the
+  model of a more frequent tag for more.
 * declared: how often texts of a language declare this markup language, a confusion table over all rows.
 * host prior: language counts of all rows by host, smoothed towards those of its registered domain, these towards
   those of its address suffix, and these towards all rows.  The counts are grouped sums of the texts' own best
@@ -34,12 +36,12 @@ from pyspark.sql import functions as F
 from .common import cut
 
 CELLS = 1 << 15
-SAMPLE = 4000      # texts the trigram models are counted on, those of the smallest hashes
-LANGUAGES = 64     # most frequent declared languages that get a model; a declaration under SHARE of rows gets none
-SHARE = 0.005
+SAMPLE = 2000      # texts of each language that its trigram model is counted on (expected), those of the smallest hashes
+MIN_TEXTS = 5      # distinct texts that make a model
+OWN = 1 / 3        # of a tag's texts held out, the part that its own model must be best for
 TEMPER = 0.25      # trigrams of a text overlap, so their evidence is not independent
 SMOOTH = 20.0      # rows that a prior stands for at each level
-MEMO = 100_000     # remembered words per worker; memory only
+MEMO = 6_500_000   # remembered numbers per worker, and at most 100,000 words; memory only
 _LETTERS = re.compile(r"[^\d_]+")
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
@@ -58,6 +60,7 @@ class TextModel:
 
     def __init__(self, logp: np.ndarray):
         self.logp, self.rows, self.at = logp, np.zeros((1024, logp.shape[1] + 1)), {}
+        self.most = min(100_000, MEMO // self.rows.shape[1])
 
     def _learn(self, words: list[str]) -> None:
         cells = [trigrams(w) for w in words]
@@ -71,12 +74,13 @@ class TextModel:
         some = np.flatnonzero(sizes)
         if len(some):
             flat = np.fromiter(chain.from_iterable(cells), np.int64, int(sizes.sum()))
-            self.rows[base + some, :-1] = np.add.reduceat(self.logp[flat], (np.cumsum(sizes) - sizes)[some], axis=0)
+            self.rows[base + some, :-1] = np.add.reduceat(
+                self.logp[flat], (np.cumsum(sizes) - sizes)[some], axis=0, dtype=np.float64)
 
     def likelihood(self, text: str | None) -> tuple[np.ndarray, float]:
         """Log-likelihood under each language, and the number of trigrams."""
         words = (text or "").lower().split()
-        if len(self.at) > MEMO:
+        if len(self.at) > self.most:
             self.at, self.rows = {}, self.rows[:1024] * 0
         at = self.at
         new = [w for w in dict.fromkeys(words) if w not in at]
@@ -90,31 +94,55 @@ class TextModel:
 def fit_text(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages (sorted) and their log-probabilities per cell from rows ``(text, declared)``."""
     known = rows.where(F.col("declared").isNotNull() & (F.length("text") > 0))
-    few = known.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(sample)  # sample numbers at most
     hashed = known.select("text", "declared", F.xxhash64("text").alias("h"))
-    picked = cut(hashed.join(F.broadcast(few), "h").groupBy("h", "declared").agg(F.first("text").alias("text")))
-    seen = {r["declared"]: r["n"] for r in picked.groupBy("declared").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(seen.values())
-    langs = sorted(sorted((c for c in seen if seen[c] >= max(1, SHARE * total)), key=lambda c: (-seen[c], c))[:LANGUAGES])
+    seen = {r["declared"]: r["n"] for r in hashed.select("declared", "h").distinct().groupBy("declared")
+            .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_TEXTS).collect()}  # a row per model
+    langs = sorted(seen)
+    if not langs:
+        return [], np.full((CELLS, 1), -math.log(CELLS))
+    order = {c: i for i, c in enumerate(langs)}
+    ends = [(c, i, (1 << 63) - 1 if seen[c] <= sample else int(sample / seen[c] * 2.0 ** 64) - (1 << 63))
+            for c, i in order.items()]
+    ends = F.broadcast(rows.sparkSession.createDataFrame(ends, "declared string, lang int, end long"))
+    half = F.pmod(F.xxhash64("h"), F.lit(2)).cast("int")
+    picked = cut(hashed.join(ends, "declared").where(F.col("h") <= F.col("end")).groupBy("h", "lang")
+                 .agg(F.first("text").alias("text")).select("lang", half.alias("half"), "text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros((len(langs), CELLS), np.int64)
-        order = {c: i for i, c in enumerate(langs)}
         for pdf in batches:
-            for c, texts in pdf.groupby("declared")["text"]:
-                if c in order:
-                    for w, k in Counter(w for t in texts for w in t.lower().split()).items():
-                        for x in trigrams(w):
-                            n[order[c], x] += k
-        lang, cell = np.nonzero(n)
-        yield pd.DataFrame({"lang": lang, "cell": cell, "n": n[lang, cell]})
-
-    counts = np.full((CELLS, max(1, len(langs))), 0.02)
-    if langs:
-        c = picked.mapInPandas(count, "lang int, cell int, n long").groupBy("lang", "cell").agg(
-            F.sum("n").alias("n")).toPandas()  # at most LANGUAGES * CELLS rows
-        counts[c["cell"], c["lang"]] += c["n"]
-    return langs, np.log(counts / counts.sum(axis=0))
+            for (lang, part), texts in pdf.groupby(["lang", "half"])["text"]:
+                n = Counter()
+                for w, k in Counter(w for t in texts for w in t.lower().split()).items():
+                    for x in trigrams(w):
+                        n[x] += k
+                yield pd.DataFrame({"lang": lang, "half": part, "cell": list(n), "n": list(n.values())}).astype(
+                    {"cell": "int32", "n": "int64"})
+
+    def model(n: np.ndarray) -> np.ndarray:
+        return np.log((n + 0.02) / (n + 0.02).sum(axis=0)).astype(np.float32)
+
+    c = picked.mapInPandas(count, "lang int, half int, cell int, n long").groupBy("lang", "half", "cell").agg(
+        F.sum("n").alias("n")).toPandas()  # at most 2 * CELLS rows a language
+    halves = np.zeros((2, CELLS, len(langs)))
+    halves[c["half"], c["cell"], c["lang"]] = c["n"]
+    shared = rows.sparkSession.sparkContext.broadcast([model(halves[1]), model(halves[0])])
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models = [TextModel(x) for x in shared.value]  # each half under the model of the other
+        for pdf in batches:
+            found = [models[k].likelihood(t) for k, t in zip(pdf["half"], pdf["text"])]
+            yield pd.DataFrame({"lang": pdf["lang"], "best": [int(f[0].argmax()) if f[1] else -1 for f in found]})
+
+    best = np.zeros((len(langs), len(langs)))
+    for r in (picked.mapInPandas(judge, "lang int, best int").where("best >= 0").groupBy("lang", "best")
+              .agg(F.count(F.lit(1)).alias("n")).collect()):  # at most the square of the languages
+        best[r["lang"], r["best"]] = r["n"]
+    kept: list[int] = []
+    for i in sorted(range(len(langs)), key=lambda i: (-seen[langs[i]], langs[i])):
+        if best[i, i] >= OWN * best[i].sum() or not kept or best[i, kept].max() <= best[i, i]:
+            kept.append(i)
+    kept.sort()
+    return [langs[i] for i in kept], model(halves.sum(axis=0)[:, kept])
 
 
 def host_parts(url: Column) -> tuple[Column, Column, Column]:
@@ -136,13 +164,15 @@ def page_text(html: Column) -> Column:
     return F.regexp_replace(bare, r"&[a-zA-Z#0-9]+;", " ")
 
 
-def identify(rows: DataFrame, keys: list[str], sample: int = SAMPLE, min_confidence: float = 0.5) -> DataFrame:
+def identify(rows: DataFrame, keys: list[str], sample: int = SAMPLE, min_confidence: float = 0.5,
+             unknown: str | None = None) -> DataFrame:
     """``keys`` + ``(lang, confidence, text_lang, accepted)`` for rows with the columns ``text, declared, host, domain,
-    suffix`` (all strings, any may be null).  A key named like a result is replaced by it."""
+    suffix`` (all strings, any may be null).  A key named like a result is replaced by it.  ``unknown`` names a further
+    column: whether the text has letters and declares a language without a model."""
     spark = rows.sparkSession
     langs, logp = fit_text(rows, sample)
     n_l = max(1, len(langs))
-    shared = spark.sparkContext.broadcast(logp)  # CELLS * LANGUAGES numbers at most
+    shared = spark.sparkContext.broadcast(logp)  # CELLS numbers a language
     names = F.array(*[F.lit(c) for c in langs]) if langs else F.array(F.lit("und"))
 
     # the keys travel under names of their own, so that they may clash with the evidence
@@ -164,15 +194,18 @@ def identify(rows: DataFrame, keys: list[str], sample: int = SAMPLE, min_confide
     votes = ev.where(clear).select("declared", "host", "domain", "suffix", best.cast("int").alias("best"))
 
     def counts(by: list[str]) -> DataFrame:
-        sums = [F.sum(F.when(F.col("best") == k, 1.0).otherwise(0.0)) for k in range(n_l)]
-        return (votes.where(F.col(by[0]).isNotNull()) if by else votes).groupBy(*by).agg(F.array(*sums).alias("n"))
+        n = (votes.where(F.col(by[0]).isNotNull()) if by else votes).groupBy(*by, "best").agg(
+            F.count(F.lit(1)).cast("double").alias("k"))
+        m = n.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("best", "k"))).alias("m"))  # a row a language
+        return m.select(*by, F.transform(F.sequence(F.lit(0), F.lit(n_l - 1)),
+                                         lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("n"))
 
     def smooth(n: str, prior: Column) -> Column:
         total = F.aggregate(n, F.lit(0.0), lambda a, x: a + x)
         return F.zip_with(n, prior, lambda x, p: (x + SMOOTH * p) / (total + SMOOTH))
 
     root = counts([]).first()
-    every = [1.0 / n_l] * n_l if root is None or root["n"] is None or root["n"][0] is None else list(root["n"])
+    every = [1.0 / n_l] * n_l if root is None or not any(root["n"]) else list(root["n"])
     top = [(x + 1) / (sum(every) + n_l) for x in every]
     top_c = F.array(*[F.lit(x) for x in top])
     suffixes = counts(["suffix"]).select("suffix", smooth("n", top_c).alias("ps"))
@@ -191,7 +224,8 @@ def identify(rows: DataFrame, keys: list[str], sample: int = SAMPLE, min_confide
                    lambda x, t: F.log((x + SMOOTH * share) / (t + SMOOTH))))
     prior = F.coalesce("ph", top_c)
     log_post = F.zip_with(F.zip_with("ll", told, lambda a, b: a * TEMPER + b), prior, lambda a, p: a + F.log(p))
-    out = joined.select(*own, "ll", "grams", log_post.alias("lp"))
+    alien = (F.col("grams") > 0) & F.col("declared").isNotNull() & ~F.array_contains(names, F.col("declared"))
+    out = joined.select(*own, "ll", "grams", log_post.alias("lp"), F.coalesce(alien, F.lit(False)).alias("alien"))
     peak = F.array_max("lp")
     conf = 1 / F.aggregate("lp", F.lit(0.0), lambda a, x: a + F.exp(x - peak))
     out = out.select("*", clear.alias("clear"), conf.alias("conf"))
@@ -202,7 +236,7 @@ def identify(rows: DataFrame, keys: list[str], sample: int = SAMPLE, min_confide
         F.when(F.col("clear") & F.lit(bool(langs)), F.col("conf")).otherwise(0.0).alias("confidence"),
         F.when(F.col("clear") & F.lit(bool(langs)), F.element_at(names, F.array_position("ll", F.array_max("ll")).cast("int")))
         .otherwise("und").alias("text_lang"),
-        ok.alias("accepted"))
+        ok.alias("accepted"), *([F.col("alien").alias(unknown)] if unknown else []))
 
 
 def document_rows(docs: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
+import corpus_pipeline  # noqa: E402
 from mixcast.llm import (byte_bpe, embed_dups, language_id, licenses, packing, queries, sharding, simhash,  # noqa: E402
                          substring, topk, toxicity)
 from mixcast.llm.common import connected_components, ready  # noqa: E402
@@ -335,6 +336,27 @@ def test_language_of_documents_and_pages(spark, docs, odd):
     assert (r.host, r.domain, r.suffix, r.declared) == ("a.b.de", "b.de", "de", "de")
 
 
+def test_rare_languages_get_models(spark):
+    rng = random.Random(13)
+    stems = {c: ["".join(rng.choice(a) for _ in range(rng.randint(2, 7))) for _ in range(300)] for c, a in
+             {"en": "abcdefghij", "fr": "ghijklmnop", "el": "αβγδεζηθικλμ", "uk": "абвгдежзийкл"}.items()}
+    text = lambda c: " ".join(rng.choice(stems[c]) for _ in range(30))
+    given = ["en"] * 5200 + ["fr"] * 60 + ["el"] * 12 + ["uk"] * 2  # 0.2 % declare el, 2 texts uk
+    rows = [(i, text(c), c, "s") for i, c in enumerate(given)]
+    rows += [(9000 + i, text("en" if i % 2 else "fr"), "xx", "s") for i in range(10)]  # a tag without a language
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    langs, logp = language_id.fit_text(language_id.document_rows(df))
+    assert langs == ["el", "en", "fr"] and logp.shape == (language_id.CELLS, 3)
+    out = language_id.identify(language_id.document_rows(df.withColumn("given", F.col("lang"))), ["doc_id", "given"], unknown="alien")
+    by = defaultdict(list)
+    for r in out.collect():
+        by[r.given].append(r)
+    assert all(r.lang == "el" and r.accepted and not r.alien for r in by["el"])
+    assert all(r.alien for r in by["uk"]) and np.mean([r.lang == "fr" for r in by["fr"]]) >= 0.97
+    kept = corpus_pipeline.known_language(spark, df.withColumn("n_chars", F.length("text").cast("long")), "").collect()
+    assert sum(r.lang == "uk" for r in kept) == 2 and sum(r.lang == "el" for r in kept) == 12
+
+
 def test_licenses_inherit_from_the_nearest_directory(spark, odd):
     mit = "Released under the MIT License."
     rows = [("r/LICENSE", mit, 1), ("r/a/x.txt", "plain words", 2), ("r/a/b/COPYING", "Licensed under CC BY-NC 4.0.", 3),
