@@ -1,8 +1,9 @@
 """Operator 3: licence scan: TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 * Passages: of every whole text, the lines that hold a mark of licence prose, and their sentences.  They are compared
-  as sparse TF-IDF vectors with the templates by cosine; document frequencies are counted over all files (for the
-  templates' vocabulary, a few hundred tokens).  The best template of at least ``threshold`` is the file's own licence.
+  as sparse TF-IDF vectors with the templates by cosine, each distinct passage once; document frequencies are counted
+  over all files for every token of a passage or template.  The best template of at least ``threshold`` is the file's
+  own licence.
 * Licence files: files so named, and files of which licence passages make up at least ``coverage`` of the words.
   The best licence file of a directory (by score, then by name of the licence) names the directory's licence.
 * Inheritance: the distinct directories of files are expanded to their ancestors and joined by path with the
@@ -18,16 +19,19 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
 THRESHOLD, COVERAGE = 0.6, 0.5
+FLUSH = 200_000  # distinct tokens counted by a task before they are sent on
 
 # Short notices and opening sentences by which public licences are known.
 TEMPLATES = [
@@ -62,6 +66,7 @@ TEMPLATES = [
 _MARK = re.compile(r"licen[sc]e|permission|redistribution|public domain|source code form", re.I)
 _TOKEN = re.compile(r"[a-z]+[a-z0-9]*(?:-[a-z0-9]+)*|\d+(?:\.\d+)*")
 _LINE = re.compile(r"[^\n]+")
+_WORD = re.compile(r"\S+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _FILE = r"(?i)(^|/)(licen[sc]e|copying|unlicense)([.-][^/]*)?$"
 
@@ -73,30 +78,43 @@ def tokens(text: str) -> list[str]:
 VOCABULARY = sorted({t for _, text in TEMPLATES for t in tokens(text)})
 
 
-def passages(text: str | None) -> list[str]:
-    """Lines with a mark of licence prose, and their sentences that have one."""
-    out: list[str] = []
+def passages(text: str | None) -> list[tuple[str, int, int]]:
+    """Lines with a mark of licence prose, and their sentences that have one, with their first and end character."""
+    out: list[tuple[str, int, int]] = []
     if text and _MARK.search(text):
-        for line in _LINE.findall(text):
+        for m in _LINE.finditer(text):
+            line = m[0]
             if _MARK.search(line):
-                parts = [s for s in _SENTENCE.split(line.strip()) if _MARK.search(s)]
-                out += parts if len(line) > 2000 else {line.strip(): 0, **dict.fromkeys(parts)}
+                if len(line) <= 2000:
+                    out.append((line.strip(), m.start(), m.end()))
+                at = 0
+                for e in [*_SENTENCE.finditer(line), None]:
+                    part = line[at:e.start() if e else len(line)]
+                    if _MARK.search(part):
+                        out.append((part.strip(), m.start() + at, m.start() + at + len(part)))
+                    at = e.end() if e else at
     return out
 
 
+def _hash(passage: str) -> int:
+    return xxhash.xxh64_intdigest(passage) - (1 << 63)
+
+
 class Matcher:
-    """Cosine of sparse TF-IDF vectors to the templates."""
+    """Cosine of sparse TF-IDF vectors to the templates; ``n`` are document frequencies of their tokens."""
 
-    def __init__(self, idf: dict[str, float], unseen: float):
-        self.idf, self.unseen = idf, unseen
-        self.vectors = [(name, *self._vector(text)) for name, text in TEMPLATES]
+    def __init__(self, n: dict[str, int], total: int):
+        self.total = total
+        self.vectors = [(name, *self._vector((t, k, n.get(t, 0)) for t, k in Counter(tokens(text)).items()))
+                        for name, text in TEMPLATES]
 
-    def _vector(self, text: str) -> tuple[dict[str, float], float]:
-        v = {t: (1 + math.log(n)) * self.idf.get(t, self.unseen) for t, n in Counter(tokens(text)).items()}
-        return v, math.sqrt(sum(x * x for x in v.values())) or 1.0
+    def _vector(self, counts: Iterable[tuple[str, int, int]]) -> tuple[dict[str, float], float]:
+        v = {t: (1 + math.log(k)) * (math.log((1 + self.total) / (1 + n)) + 1) for t, k, n in counts}
+        return v, math.sqrt(sum(v[t] * v[t] for t in sorted(v))) or 1.0
 
-    def best(self, passage: str) -> tuple[float, str]:
-        v, size = self._vector(passage)
+    def best(self, counts: Iterable[tuple[str, int, int]]) -> tuple[float, str]:
+        """Of a passage's ``(token, times, files with it)``."""
+        v, size = self._vector(counts)
         found = (0.0, "")
         for name, t, norm in self.vectors:
             s = sum(x * v[w] for w, x in t.items() if w in v) / (size * norm)
@@ -105,23 +123,55 @@ class Matcher:
         return found
 
 
-def frequencies(texts: DataFrame) -> Matcher:
-    """Document frequencies of the templates' vocabulary over all rows of ``(text)``."""
-    vocabulary = VOCABULARY
+def frequencies(texts: DataFrame) -> DataFrame:
+    """``(token, n)``: how many rows of ``(text)`` hold each token."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, n = set(vocabulary), Counter()
+        n = Counter()
+        table = lambda: pd.DataFrame({"token": list(n), "n": list(n.values())}).astype({"token": str, "n": "int64"})
         for pdf in batches:
             for t in pdf["text"]:
-                n.update(known.intersection(w.strip(".,;:()!?\"'") for w in set((t or "").lower().split())))
-                n[""] += 1
-        yield pd.DataFrame({"token": list(n), "n": list(n.values())}).astype({"token": str, "n": "int64"})
+                n.update(set(tokens(t or "")))
+                if len(n) > FLUSH:
+                    yield table()
+                    n.clear()
+        yield table()
+
+    return texts.select("text").mapInPandas(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
 
-    n = {r["token"]: r["n"] for r in texts.select("text").mapInPandas(count, "token string, n long")
-         .groupBy("token").agg(F.sum("n").alias("n")).collect()}  # the vocabulary and the number of rows
-    total = n.get("", 0)
-    weight = lambda k: math.log((1 + total) / (1 + k)) + 1
-    return Matcher({t: weight(n.get(t, 0)) for t in vocabulary}, weight(0))
+def matches(src: DataFrame, total: int, threshold: float) -> DataFrame:
+    """``(h, license, score)`` of the distinct passages of ``src`` that reach ``threshold``; h: hash of the passage."""
+    spark = src.sparkSession
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = sorted({p for t in pdf["text"] for p, _, _ in passages(t)})
+            yield pd.DataFrame({"h": [_hash(p) for p in found], "p": found}).astype({"h": "int64", "p": str})
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(h, t, k) for h, p in zip(pdf["h"], pdf["p"]) for t, k in Counter(tokens(p)).items()]
+            yield pd.DataFrame(out, columns=["h", "token", "k"]).astype({"h": "int64", "token": str, "k": "int32"})
+
+    # written, so that the joins have shuffles of their own on both sides and Spark can split a frequent token
+    parts = cut(src.select("text").mapInPandas(read, "h long, p string").groupBy("h").agg(F.min("p").alias("p"))
+                .mapInPandas(split, "h long, token string, k int"))
+    known = spark.createDataFrame([(t,) for t in VOCABULARY], "token string")
+    wanted = parts.select("token").union(known).distinct()
+    n = cut(frequencies(src).join(wanted, "token", "left_semi"))
+    mine = {r["token"]: r["n"] for r in n.join(F.broadcast(known), "token").collect()}  # the templates' vocabulary
+    shared = spark.sparkContext.broadcast(Matcher(mine, total))
+
+    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            best = [shared.value.best(zip(*c)) for c in zip(pdf["ts"], pdf["ks"], pdf["ns"])]
+            yield pd.DataFrame({"h": pdf["h"], "license": [b[1] for b in best], "score": [float(b[0]) for b in best]})
+
+    whole = (parts.join(n, "token", "left").groupBy("h").agg(
+        F.sort_array(F.collect_list(F.struct("token", "k", F.coalesce("n", F.lit(0)).alias("n")))).alias("c"))
+        .select("h", F.col("c.token").alias("ts"), F.col("c.k").alias("ks"), F.col("c.n").alias("ns")))
+    return cut(whole.mapInPandas(match, "h long, license string, score double").where(F.col("score") >= threshold))
 
 
 def _parent(path: Column) -> Column:
@@ -134,29 +184,35 @@ def scan(files: DataFrame, keys: list[str], path: str = "path", text: str = "tex
     own = [f"__key{i}" for i in range(len(keys))]
     src = files.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keys, own)],
                        F.col(f"`{path}`").cast("string").alias("path"), F.col(f"`{text}`").alias("text"))
-    shared = src.sparkSession.sparkContext.broadcast(frequencies(src))
-    schema = src.drop("text").select("*", F.lit("").alias("license"), F.lit(0.0).alias("score"),
-                                     F.lit(0.0).alias("share")).schema
+    schema = src.drop("text").select("*", F.lit(0).alias("size"), F.expr(
+        "array(named_struct('h', 0L, 'a', 0, 'b', 0))").alias("found")).schema
     for f in schema.fields:
         f.nullable = True
 
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = shared.value
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = []
+            size, found = [], []
             for t in pdf.pop("text"):
-                hits = [(*matcher.best(p), p) for p in passages(t)]
-                hits = [h for h in hits if h[0] >= threshold]
-                if not hits:
-                    found.append((None, 0.0, 0.0))
-                    continue
-                score, name, _ = min(hits, key=lambda h: (-h[0], h[1]))
-                words = sum(len(p.split()) for p in {p for *_, p in hits})
-                found.append((name, score, min(1.0, words / max(1, len(t.split())))))
-            pdf["license"], pdf["score"], pdf["share"] = zip(*found) if found else ([], [], [])
+                some = passages(t)
+                starts = [m.start() for m in _WORD.finditer(t)] if some else []
+                size.append(len(starts))
+                found.append([{"h": _hash(p), "a": bisect_left(starts, a), "b": bisect_left(starts, b)} for p, a, b in some])
+            pdf["size"], pdf["found"] = size, found
             yield pdf
 
-    rows = cut(src.mapInPandas(match, schema).withColumn("dir", _parent(F.col("path"))))
+    files = cut(src.mapInPandas(read, schema).withColumn("rid", F.monotonically_increasing_id()))
+    hits = files.select("rid", F.explode("found").alias("f")).select("rid", "f.*").join(
+        matches(src, files.count(), threshold), "h")
+    # words that some matching passage covers, each counted once
+    spans = F.sort_array(F.collect_set(F.struct("a", "b")))  # the passages of one file
+    words = F.aggregate("spans", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), lambda c, x: F.struct(
+        F.greatest(c["end"], x["b"]).alias("end"),
+        (c["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(c["end"], x["a"]))).alias("n")))["n"]
+    best = (hits.groupBy("rid").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("m"), spans.alias("spans"))
+            .select("rid", F.col("m.license").alias("license"), (-F.col("m.s")).alias("score"), words.alias("words")))
+    rows = cut(files.join(best, "rid", "left").select(
+        *own, "path", "license", F.coalesce("score", F.lit(0.0)).alias("score"),
+        (F.coalesce("words", F.lit(0)) / F.greatest(F.lit(1), F.col("size"))).alias("share"), _parent(F.col("path")).alias("dir")))
     named = F.col("license").isNotNull() & F.col("dir").isNotNull()
     holders = (rows.where(named & (F.col("path").rlike(_FILE) | (F.col("share") >= coverage)))
                .groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("license").alias("l"))).alias("m"))

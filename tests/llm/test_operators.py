@@ -371,6 +371,19 @@ def test_licenses_inherit_from_the_nearest_directory(spark, odd):
     assert got.count() == len(ODD)
 
 
+def test_license_scores_hold_as_the_corpus_grows(spark):
+    notices = ["Unless otherwise noted, the content of this page is licensed under CC BY 4.0.",
+               "All of the content of this page is, unless otherwise noted, licensed under CC BY 4.0."]
+    common = "unless otherwise noted the content of this page is all under"
+    scores = []
+    for size in (100, 10_000):
+        rows = [(f"d{i}/a", common + f" filler {i}", i) for i in range(size)] + [(f"n{k}/a", t, -1 - k) for k, t in enumerate(notices)]
+        out = licenses.scan(spark.createDataFrame(rows, "path string, text string, k int"), ["k"]).where("k < 0").collect()
+        assert all((r.license, r.origin) == ("CC-BY-4.0", "own") for r in out), out
+        scores.append({r.k: r.score for r in out})
+    assert all(scores[1][k] >= scores[0][k] - 0.02 for k in scores[0])
+
+
 def test_digests_of_the_query(spark, docs):
     for r in queries.op2_byte_bpe(spark, SF).join(docs.select("doc_id", "text"), "doc_id").limit(20).collect():
         assert r.decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest() and math.isfinite(r.n_tokens)
