@@ -1,6 +1,9 @@
 """Operator 3: licence scan: TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-* Passages: of every whole text, the lines that hold a mark of licence prose, and their sentences.  They are compared
+* Passages: of every whole text, the leading comment; the lines that hold a mark of licence prose; these with the one and two lines after them; the
+  blocks of lines without a blank line between, and neighbouring blocks that hold a mark; the sentences of all of these;
+  the first ``OPENING`` words; and texts of at most ``WHOLE`` words whole.  Comment marks and line breaks are folded to
+  spaces.  An SPDX line names its licence by itself, the first known one of an expression.  Passages are compared
   as sparse TF-IDF vectors with the templates by cosine, each distinct passage once; document frequencies are counted
   over all files for every token of a passage or template.  The best template of at least ``threshold`` is the file's
   own licence.
@@ -12,7 +15,7 @@
 
 Defined results: null and empty texts have no licence of their own but inherit; null paths are not in a directory;
 ties go to the licence first in alphabetical order; repeated rows get equal results; an empty table gives an empty
-result.
+result.  A passage without a version names no licence of which the templates have or may miss several versions.
 """
 
 from __future__ import annotations
@@ -63,6 +66,70 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
 ]
+_GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General "
+        "Public License as published by the Free Software Foundation, either version {1} of the License, or (at your "
+        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "{0}General Public License for more details. You should have received a copy of the GNU {0}General Public License "
+        "along with this program. If not, see <https://www.gnu.org/licenses/>.")
+_VERBATIM = ("Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not "
+             "allowed.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+        "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS "
+        "FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+        "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+# Whole headers and texts.
+TEMPLATES += [
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
+                   "compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+                   "software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR "
+                   "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+                   "permissions and limitations under the License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+                   "REPRODUCTION, AND DISTRIBUTION 1. Definitions."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+            "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+            "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS "
+            "OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+            "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+            "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+            "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+            "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+            "WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+                "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("BSD-2-Clause", _BSD.format("")),
+    ("BSD-3-Clause", _BSD.format("3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+                                 "endorse or promote products derived from this software without specific prior written "
+                                 "permission. ")),
+    ("GPL-2.0", _GPL.format("", 2)), ("GPL-3.0", _GPL.format("", 3)),
+    ("LGPL-2.1", _GPL.format("Lesser ", "2.1")), ("LGPL-3.0", _GPL.format("Lesser ", 3)),
+    ("AGPL-3.0", _GPL.format("Affero ", 3)),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc. " + _VERBATIM),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. "
+                "<https://fsf.org/> " + _VERBATIM),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+]
+# Tokens without which a passage does not name the licence: its version.
+NEEDS = {"GPL-2.0": "2", "GPL-3.0": "3", "LGPL-2.1": "2.1", "LGPL-3.0": "3", "AGPL-3.0": "3"}
+OPENING, WHOLE = 60, 400
+_COMMENT = re.compile(r"^[ \t]*(?:(?://+|/\*+|\*+/?|#+|;+|--+|<!--|\(\*|%+|dnl\b|rem\b)[ \t]*)|[ \t]*(?:\*+/|-->|\*\))[ \t]*$", re.I)
+_SPDX = re.compile(r"SPDX-License-Identifier:\s*(.*)", re.I)
 _MARK = re.compile(r"licen[sc]e|permission|redistribution|public domain|source code form", re.I)
 _TOKEN = re.compile(r"[a-z]+[a-z0-9]*(?:-[a-z0-9]+)*|\d+(?:\.\d+)*")
 _LINE = re.compile(r"[^\n]+")
@@ -78,22 +145,85 @@ def tokens(text: str) -> list[str]:
 VOCABULARY = sorted({t for _, text in TEMPLATES for t in tokens(text)})
 
 
+def spdx(expression: str) -> str | None:
+    """The first licence of an SPDX expression that has a template."""
+    known = {name.lower(): name for name, _ in TEMPLATES}
+    for x in re.findall(r"[A-Za-z0-9.+-]+", expression):
+        name = known.get(re.sub(r"(-only|-or-later|\+)$", "", x.lower()))
+        if name:
+            return name
+    return None
+
+
 def passages(text: str | None) -> list[tuple[str, int, int]]:
-    """Lines with a mark of licence prose, and their sentences that have one, with their first and end character."""
-    out: list[tuple[str, int, int]] = []
-    if text and _MARK.search(text):
-        for m in _LINE.finditer(text):
-            line = m[0]
-            if _MARK.search(line):
-                if len(line) <= 2000:
-                    out.append((line.strip(), m.start(), m.end()))
-                at = 0
-                for e in [*_SENTENCE.finditer(line), None]:
-                    part = line[at:e.start() if e else len(line)]
-                    if _MARK.search(part):
-                        out.append((part.strip(), m.start() + at, m.start() + at + len(part)))
-                    at = e.end() if e else at
-    return out
+    """Passages with a mark of licence prose, folded, with their first and end character."""
+    if not text or not _MARK.search(text):
+        return []
+    # folded lines and where they stand; blank lines part the blocks
+    lines, block, blank, lead = [], 0, True, 0
+    for m in _LINE.finditer(text):
+        named = _SPDX.search(m[0])
+        body = m[0] if named else _COMMENT.sub("", m[0])
+        body = " ".join(body.split())
+        far = text.count("\n", lines[-1][2] if lines else 0, m.start()) > 1
+        if not body or (far and not blank):
+            block += not blank
+            blank = True
+        if body:
+            lines.append((body, m.start(), m.end(), block, bool(_MARK.search(body)), bool(named)))
+            blank = False
+            if lead == len(lines) - 1 and (named or _COMMENT.match(m[0])):
+                lead += 1  # lines of the leading comment
+    out: dict[tuple[str, int, int], None] = {}
+
+    def add(first: int, end: int) -> None:
+        part = [x for x in lines[first:end] if not x[5]]
+        whole = " ".join(x[0] for x in part)
+        if part and _MARK.search(whole):
+            if len(whole.split(None, WHOLE)) <= WHOLE:
+                out[whole, part[0][1], part[-1][2]] = None
+            for s in _SENTENCE.split(whole):
+                if _MARK.search(s):
+                    # a sentence of one line stands somewhere in it; a wrapped one in the lines that hold its words
+                    at = text.find(s, part[0][1], part[-1][2])
+                    if at >= 0:
+                        out[s, at, at + len(s)] = None
+                    else:
+                        words, k, a, b = whole.index(s), 0, None, None
+                        for x in part:
+                            if k + len(x[0]) > words and k < words + len(s):
+                                a, b = x[1] if a is None else a, x[2]
+                            k += len(x[0]) + 1
+                        out[s, a, b] = None
+
+    for i, x in enumerate(lines):
+        if x[5]:
+            out[x[0], x[1], x[2]] = None
+        elif x[4]:
+            for n in (1, 2, 3):
+                add(i, i + n)
+    blocks = sorted({x[3]: i for i, x in reversed(list(enumerate(lines)))}.items())
+    ends = [i for _, i in blocks[1:]] + [len(lines)]
+    words = [len(x[0].split()) for x in lines]
+    first = None
+    for (_, a), b in zip(blocks, ends):
+        marked = any(x[4] for x in lines[a:b])
+        if marked:
+            add(a, b)
+            if first is not None and sum(words[first:b]) <= WHOLE:
+                add(first, b)
+        first = (a if first is None or sum(words[first:b]) > WHOLE else first) if marked else None
+    n = 0
+    for i, k in enumerate(words):  # the opening, by whole lines
+        n += k
+        if n >= OPENING:
+            if n <= WHOLE:
+                add(0, i + 1)
+            break
+    for end in {lead, len(lines)}:
+        if sum(words[:end]) <= WHOLE:
+            add(0, end)
+    return list(out)
 
 
 def _hash(passage: str) -> int:
@@ -117,6 +247,8 @@ class Matcher:
         v, size = self._vector(counts)
         found = (0.0, "")
         for name, t, norm in self.vectors:
+            if NEEDS.get(name, "") and NEEDS[name] not in v:
+                continue
             s = sum(x * v[w] for w, x in t.items() if w in v) / (size * norm)
             if s > found[0] + 1e-12 or (abs(s - found[0]) <= 1e-12 and name < found[1]):
                 found = (s, name)
@@ -151,12 +283,13 @@ def matches(src: DataFrame, total: int, threshold: float) -> DataFrame:
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(h, t, k) for h, p in zip(pdf["h"], pdf["p"]) for t, k in Counter(tokens(p)).items()]
+            out = [(h, t, k) for h, p in zip(pdf["h"], pdf["p"]) if not _SPDX.search(p)
+                   for t, k in Counter(tokens(p)).items()]
             yield pd.DataFrame(out, columns=["h", "token", "k"]).astype({"h": "int64", "token": str, "k": "int32"})
 
     # written, so that the joins have shuffles of their own on both sides and Spark can split a frequent token
-    parts = cut(src.select("text").mapInPandas(read, "h long, p string").groupBy("h").agg(F.min("p").alias("p"))
-                .mapInPandas(split, "h long, token string, k int"))
+    distinct = cut(src.select("text").mapInPandas(read, "h long, p string").groupBy("h").agg(F.min("p").alias("p")))
+    parts = cut(distinct.mapInPandas(split, "h long, token string, k int"))
     known = spark.createDataFrame([(t,) for t in VOCABULARY], "token string")
     wanted = parts.select("token").union(known).distinct()
     n = cut(frequencies(src).join(wanted, "token", "left_semi"))
@@ -168,10 +301,16 @@ def matches(src: DataFrame, total: int, threshold: float) -> DataFrame:
             best = [shared.value.best(zip(*c)) for c in zip(pdf["ts"], pdf["ks"], pdf["ns"])]
             yield pd.DataFrame({"h": pdf["h"], "license": [b[1] for b in best], "score": [float(b[0]) for b in best]})
 
+    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(h, spdx(_SPDX.search(p)[1]), 1.0) for h, p in zip(pdf["h"], pdf["p"]) if _SPDX.search(p)]
+            yield pd.DataFrame([x for x in out if x[1]], columns=["h", "license", "score"]).astype({"h": "int64", "license": str, "score": float})
+
     whole = (parts.join(n, "token", "left").groupBy("h").agg(
         F.sort_array(F.collect_list(F.struct("token", "k", F.coalesce("n", F.lit(0)).alias("n")))).alias("c"))
         .select("h", F.col("c.token").alias("ts"), F.col("c.k").alias("ks"), F.col("c.n").alias("ns")))
-    return cut(whole.mapInPandas(match, "h long, license string, score double").where(F.col("score") >= threshold))
+    schema = "h long, license string, score double"
+    return cut(whole.mapInPandas(match, schema).where(F.col("score") >= threshold).union(distinct.mapInPandas(name, schema)))
 
 
 def _parent(path: Column) -> Column:

@@ -371,6 +371,31 @@ def test_licenses_inherit_from_the_nearest_directory(spark, odd):
     assert got.count() == len(ODD)
 
 
+def test_wrapped_notices_and_whole_files(spark):
+    copying = ("                    GNU GENERAL PUBLIC LICENSE\n                       Version {}\n\n Copyright (C) {} Free Software "
+               "Foundation, Inc.\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but "
+               "changing it is not allowed.\n\n                            Preamble\n\n" + "The licenses for most works are "
+               "designed to take away your freedom to share.\n" * 60)
+    header = ("#!/usr/bin/env python\n# Copyright (C) 2020 Jane Doe and contributors\n#\n# This program is free software: you can "
+              "redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free "
+              "Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n#\n# This program "
+              "is distributed in the hope that it will be useful,\n# but WITHOUT ANY WARRANTY; without even the implied warranty "
+              "of\n# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n# GNU General Public License for more details.\n"
+              "import os\n" + "x = os.getcwd()\n" * 90)
+    bsd = {name: t for name, t in licenses.TEMPLATES if name.startswith("BSD")}
+    wrap = lambda t: "Copyright (c) 2019, Jane Doe\n\n" + re.sub(r"((?:\S+ ){9})", r"\1\n", t)
+    rows = [("a/COPYING", copying.format("2, June 1991", "1989, 1991"), 0), ("a/x.c", "int main;", 1),
+            ("b/COPYING", copying.format("3, 29 June 2007", "2007"), 2), ("b/x.c", "int main;", 3), ("c/x.py", header, 4),
+            ("d/x.c", "// SPDX-License-Identifier: MIT\nint main;", 5),
+            ("d/y.c", "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint main;", 6),
+            ("g/z.c", "/* SPDX-License-Identifier: Zlib */\nint main;", 7), ("h/h.c", "GNU GENERAL PUBLIC LICENSE", 8),
+            ("e/LICENSE", wrap(bsd["BSD-2-Clause"]), 9), ("f/LICENSE", wrap(bsd["BSD-3-Clause"]), 10)]
+    rows += [(f"w{i}/t", f"common words of a file {i}", 100 + i) for i in range(200)]
+    out = {r.k: r.license for r in licenses.scan(spark.createDataFrame(rows, "path string, text string, k int"), ["k"]).where("k < 100").collect()}
+    assert [out[k] for k in range(11)] == ["GPL-2.0", "GPL-2.0", "GPL-3.0", "GPL-3.0", "GPL-3.0", "MIT", "GPL-2.0", None, None,
+                                           "BSD-2-Clause", "BSD-3-Clause"]
+
+
 def test_license_scores_hold_as_the_corpus_grows(spark):
     notices = ["Unless otherwise noted, the content of this page is licensed under CC BY 4.0.",
                "All of the content of this page is, unless otherwise noted, licensed under CC BY 4.0."]
