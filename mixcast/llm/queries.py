@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, embed_dups, language_id, licenses, packing, sharding, simhash, substring, topk, toxicity)
+from . import (byte_bpe, chat, embed_dups, hard_negatives, language_id, licenses, packing, resampling, sharding, simhash,
+               substring, topk, toxicity)
 from .common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -86,9 +87,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn by their likeness to ``benchmark``: doc_id, n_features, weight, score, rank."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", longest=1,
+                               buckets=10000, percent=10, least_words=20, seed=2024)
+
+
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted windows."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                F.lit("<|im_end|><|im_start|>assistant ok").alias("text"))
+    back = chat.read_back(chat.windows(said.union(odd), "conv_id"))
+    return back.select(F.col("conv").alias("conv_id"), "n_turns", F.sha2("turns", 256).alias("turns_sha256"),
+                       F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                       F.col("chars").alias("formatted_chars"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector: the 10 best of other labels at 30 to 90 % of each positive's score."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, F.col("vec_id") % 100 == 0,
+                               positives=5, negatives=10, share=(30, 90), scale=256.0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_byte_bpe, op3_license_scan, op4_simhash, op5_topk_mtree, op6_sentence_spans,
-    op7_cross_polytope, op8_prefix_shards, op9_best_fit_packing, op10_toxicity, pages_language_id)}
+    op7_cross_polytope, op8_prefix_shards, op9_best_fit_packing, op10_toxicity,
+    op11_importance_resampling, op12_chat_windows, op13_hard_negatives, pages_language_id)}
 
 ORACLE_SQL = {
     "op5_topk_mtree": """
@@ -100,4 +127,71 @@ ORACLE_SQL = {
               FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    # CRC-32 by its table, byte by byte, over the distinct words
+    "op11_importance_resampling": r"""
+        WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1
+                         THEN xor(c // 2, 3988292384) ELSE c // 2 END, n)) AS t),
+        low AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS u FROM documents),
+        aim AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+        seen AS (SELECT u, unnest(w) AS w FROM low),
+        counts AS (SELECT u, w, count(*) AS n FROM seen GROUP BY u, w),
+        words AS (SELECT w, xor(list_reduce(list_transform(range(1, octet_length(encode(w)) + 1),
+                      lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i - 1, 2) AS BIGINT)),
+                      lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) % 10000 AS k
+                  FROM (SELECT DISTINCT w FROM seen UNION SELECT DISTINCT w FROM aim), crc),
+        s AS (SELECT k, sum(n) AS s FROM counts JOIN words USING (w) GROUP BY k),
+        t AS (SELECT k, count(*) AS t FROM aim JOIN words USING (w) GROUP BY k),
+        gain AS (SELECT s.k, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (sum(s) OVER () + 10000)
+                     / ((CAST(s AS DOUBLE) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)))) AS BIGINT) AS g
+                 FROM s LEFT JOIN t USING (k)),
+        weights AS (SELECT u, CAST(sum(n * g) AS BIGINT) AS g FROM counts JOIN words USING (w) JOIN gain USING (k) GROUP BY u),
+        scored AS (SELECT u, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(g, 0) AS weight, coalesce(g, 0) + CAST(floor(
+                       -1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+                       + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+                   FROM low LEFT JOIN weights USING (u)),
+        ranked AS (SELECT u, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n
+                   FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+        FROM scored LEFT JOIN ranked USING (u)""",
+    "op12_chat_windows": r"""
+        WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                      UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok'
+                      FROM range(2) r(i)),
+        size AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role) AS no,
+                        len(regexp_extract_all(text, '[\p{L}\p{M}]{1,4}|\p{N}|[^\p{L}\p{M}\p{N} \t\n\x0B\f\r]')) + 4 AS tokens,
+                        12 + len(regexp_replace(replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n'),
+                                                '<(\\*)[|]', '<.\1|', 'g'))
+                        + 1 + len(regexp_replace(text, '<(\\*)[|]', '<.\1|', 'g')) + 11 AS chars FROM said),
+        place AS (SELECT *, CAST(sum(tokens) OVER (PARTITION BY conv_id ORDER BY no) - tokens AS BIGINT) AS before,
+                         no = 1 AND role = 'system' AS lead FROM size),
+        cell AS (SELECT *, 2 * (before // 640) + CAST(tokens > 640 AS BIGINT) AS k FROM place),
+        spans AS (SELECT conv_id, k, min(before) AS start, rank() OVER (PARTITION BY conv_id ORDER BY k) AS nth
+                  FROM cell WHERE NOT lead GROUP BY conv_id, k),
+        again AS (SELECT c.conv_id, sum(chars) AS chars FROM cell c JOIN spans s ON c.conv_id = s.conv_id AND nth > 1
+                      AND (lead OR (before < start AND before >= start - 256)) GROUP BY c.conv_id),
+        once AS (SELECT conv_id, count(*) AS n_turns, sum(chars) AS chars,
+                        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY no)) AS turns_sha256,
+                        coalesce(string_agg(text, '' ORDER BY no) FILTER (role = 'assistant'), '') AS loss
+                 FROM cell GROUP BY conv_id)
+        SELECT conv_id, n_turns, turns_sha256, CAST(len(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+               CAST(once.chars + coalesce(again.chars, 0) AS BIGINT) AS formatted_chars
+        FROM once LEFT JOIN again USING (conv_id)""",
+    "op13_hard_negatives": """
+        WITH v AS (SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+                   FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (SELECT a.u, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                     CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.u <> b.u AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+        p AS (SELECT u, anchor_id, vec_id AS positive_id, score AS positive_score,
+                     row_number() OVER (PARTITION BY u ORDER BY score DESC, vec_id) AS nth FROM s WHERE same),
+        n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, CAST(row_number() OVER (
+                         PARTITION BY p.u, nth ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+              FROM p JOIN s ON p.u = s.u AND NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+              WHERE nth <= 5)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
 }
