@@ -1,4 +1,4 @@
-"""Profiling reports over the campaign table.
+"""Profiling reports over the campaign table.
 
 Each report is one or two distributed passes: all statistics of all columns go into
 a single aggregation, wide results are turned long with ``unpivot`` (an Expand, no
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div, rnd
-from ..functions.quantiles import order_statistics, quantiles
+from ..functions.quantiles import quantiles
 from ..schema import CATEGORY, CHANNELS, KEY, TARGET_REG
 
 NUMERIC_REPORT_COLUMNS = ["TV", "Radio", "Social_Media", "Sales", "Total_Budget", "ROI",
@@ -370,46 +370,3 @@ def top_roi(df: DataFrame, n: int = 10) -> DataFrame:
     return (df.orderBy(F.desc_nulls_last("ROI"), F.asc(KEY)).limit(n)
             .select(KEY, *[rnd(c, 6).alias(c) for c in CHANNELS], CATEGORY, rnd(TARGET_REG, 6).alias(TARGET_REG),
                     rnd("Total_Budget", 6).alias("Total_Budget"), rnd("ROI", 6).alias("ROI")))
-
-
-def lowess_curve(df: DataFrame, points: int = 50, frac: float = 2 / 3, method: str = "exact") -> DataFrame:
-    """LOWESS of channel ROI on budget, evaluated on an even grid of each channel.
-
-    At each grid point g the bandwidth h is the distance to the k-th nearest budget
-    (k = floor(frac * n)), exact by grouped order statistics; weights are tricube in d / h
-    and the local line is a weighted least-squares fit centred at g.  Every row meets the
-    grid through ``explode`` of a literal array (points per row, no join); all fits are
-    one aggregation grouped by (channel, grid point).  Robustness passes are not run:
-    they need a bandwidth per data point.
-    """
-    roi_long = channel_roi(df).select("channel", "budget", "roi")
-    rng = {r["channel"]: r for r in roi_long.groupBy("channel").agg(
-        F.min("budget").alias("mn"), F.max("budget").alias("mx"), F.count(F.lit(1)).alias("n")).collect()}
-    grid = F.lit(None).cast("array<struct<j:int,g:double>>")
-    ks = {}
-    for ch, r in rng.items():
-        step = (r["mx"] - r["mn"]) / (points - 1)
-        grid = F.when(F.col("channel") == ch, F.array(*[
-            F.struct(F.lit(j).alias("j"), (F.lit(r["mn"]) + F.lit(j) * F.lit(step)).alias("g")) for j in range(points)]
-        )).otherwise(grid)
-        ks[ch] = max(1, int(math.floor(frac * r["n"] + 1e-10)))
-    exp = roi_long.select("channel", "budget", "roi", F.explode(grid).alias("p")).select(
-        "channel", "budget", "roi", F.col("p.j").alias("j"), F.col("p.g").alias("g"),
-        F.abs(F.col("budget") - F.col("p.g")).alias("d"))
-    near = sorted({(ks[ch] - 1) / max(r["n"] - 1, 1) for ch, r in rng.items()})  # wanted rank as a fraction
-    h = order_statistics(exp, ["d"], lambda g, c, n: [ks[g[0]] - 1], by=["channel", "j"], hints={"d": near})
-    hdf = df.sparkSession.createDataFrame([(g[0], int(g[1]), float(v)) for (g, _c, _r), v in h.items()],
-                                          "channel string, j int, h double")
-    t = F.col("d") / F.col("h")
-    u = F.lit(1.0) - t * t * t
-    w = F.when(F.col("d") < F.col("h"), u * u * u).otherwise(F.lit(0.0))
-    xc = F.col("budget") - F.col("g")
-    fit = exp.join(F.broadcast(hdf), ["channel", "j"]).withColumn("w", w).groupBy("channel", "j").agg(
-        F.first("g").alias("g"), F.first("h").alias("h"), F.sum("w").alias("sw"), F.sum(F.col("w") * xc).alias("swx"),
-        F.sum(F.col("w") * F.col("roi")).alias("swy"), F.sum(F.col("w") * xc * xc).alias("swxx"),
-        F.sum(F.col("w") * xc * F.col("roi")).alias("swxy"), F.count_if(F.col("w") > 0).alias("n_used"))
-    den = F.col("sw") * F.col("swxx") - F.col("swx") * F.col("swx")
-    level = F.when(den != 0, (F.col("swy") * F.col("swxx") - F.col("swx") * F.col("swxy")) / den).otherwise(
-        safe_div("swy", "sw"))
-    return fit.select("channel", "j", rnd("g", 6).alias("x"), rnd(level, 4).alias("roi_fit"), "n_used",
-                      rnd("h", 6).alias("bandwidth"))

@@ -22,7 +22,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import CLASSES, SEED, TARGET_CLF, TARGET_REG
@@ -37,6 +37,10 @@ PROFILES = {
     "reference": {"trees": 200, "rounds": 200, "mlp_iter": 2000, "lr_iter": 1000},
     "quick": {"trees": 20, "rounds": 20, "mlp_iter": 100, "lr_iter": 100},
 }
+# The reference's neural classifier stops after ten epochs that each lower the loss by less than 1e-4 (its library's default);
+# Spark compares the loss with its mean over the last 20 iterations, relative to the first loss (ln 3): 1e-3 is the same.
+MLP_TOL = 1e-3
+ROWS = 50_000  # training rows of a partition, about
 # The boosting grid of the reference.
 GRID = {"maxIter": [100, 200, 300], "stepSize": [0.05, 0.1, 0.2], "maxDepth": [3, 4, 5]}
 
@@ -73,7 +77,7 @@ def classification_estimators(profile: str = "reference", seed: int = SEED, n_we
                                                                 subsamplingRate=0.8, seed=seed),
                                        parallelism=len(CLASSES), **common),
         "MLP (Deep Learning)": MultilayerPerceptronClassifier(layers=[len(feature_names()), 128, 64, 32, len(CLASSES)],
-                                                              maxIter=p["mlp_iter"], seed=seed, **common),
+                                                              maxIter=p["mlp_iter"], tol=MLP_TOL, seed=seed, **common),
     }
 
 
@@ -96,26 +100,58 @@ def _prep(train: DataFrame, task: str) -> DataFrame:
     return train
 
 
-def cross_validate(train: DataFrame, estimator, name: str, task: str, k: int = 5, parallelism: int = 4) -> DataFrame:
-    """K6: per-fold scores (R² or weighted F1) of one estimator: (model, fold, score).
+def compact(df: DataFrame) -> DataFrame:
+    """``df`` persisted in partitions that suit its size: a fit runs thousands of short jobs over it, and each costs
+    a task per partition, however few rows that holds."""
+    n = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(4, cores), -(-n // ROWS))).persist()
+
+
+def in_pool(tasks: list, parallelism: int = 8) -> list:
+    """Results of ``tasks`` (functions of nothing, costliest first) in their order; at most ``parallelism`` run at once,
+    each in a scheduler pool of its own, so that under fair scheduling short fits are not held up by long ones."""
+    spark = SparkSession.getActiveSession()
+    sc = spark.sparkContext
 
-    The k fold fits are independent Spark jobs and run concurrently from ``parallelism``
-    driver threads (as ``CrossValidator(parallelism=...)`` does)."""
-    def one(f):
-        m, _ = fit_model(train.where(F.col("fold") != f), estimator.copy(), task)
-        held = train.where(F.col("fold") == f).withColumn("split", F.lit(str(f)))
-        return predictions(held, {name: m}, task)
+    def run(numbered):
+        i, task = numbered
+        sc.setLocalProperty("spark.scheduler.pool", f"fit-{i % max(1, parallelism)}")
+        try:
+            return task()
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(one, range(k)))
-    preds = parts[0]
-    for p in parts[1:]:
-        preds = preds.unionByName(p)
-    if task == "regression":
-        s = regression_metrics(preds, ("model", "split"), digits=12).select("model", "split", F.col("r2").alias("score"))
-    else:
-        s = classification_metrics(preds, ("model", "split"), digits=12).select("model", "split", F.col("f1").alias("score"))
-    return s.select("model", F.col("split").cast("int").alias("fold"), "score")
+        return list(pool.map(run, enumerate(tasks)))
+
+
+def cross_validate(train: DataFrame, estimator, name: str, task: str, k: int = 5, parallelism: int = 4) -> DataFrame:
+    """K6: per-fold scores (R² or weighted F1) of one estimator: (model, fold, score)."""
+    return _fold_scores(train, {name: estimator}, task, k, parallelism)
+
+
+# costliest first, so that the last fits to run are short ones
+_COST = {MultilayerPerceptronClassifier: 0, OneVsRest: 1, GBTRegressor: 1, RandomForestClassifier: 2, RandomForestRegressor: 2}
+
+
+def _fold_scores(train: DataFrame, ests: dict, task: str, k: int, parallelism: int) -> DataFrame:
+    """The fits of all estimators on all folds share one compact table and one pool; all are scored in one aggregation."""
+    data = compact(train)
+
+    def one(name, est, f):
+        model, _ = fit_model(data.where(F.col("fold") != f), est.copy(), task)
+        held = data.where(F.col("fold") == f).withColumn("split", F.lit(str(f)))
+        return predictions(held, {name: model}, task)
+
+    names = sorted(ests, key=lambda n: _COST.get(type(ests[n]), 9))
+    parts = in_pool([functools.partial(one, n, ests[n], f) for n in names for f in range(k)], parallelism)
+    preds = functools.reduce(DataFrame.unionByName, parts)
+    metrics, score = (regression_metrics, "r2") if task == "regression" else (classification_metrics, "f1")
+    found = metrics(preds, ("model", "split"), digits=12).select(
+        "model", F.col("split").cast("int").alias("fold"), F.col(score).alias("score")).collect()  # models x folds rows
+    data.unpersist()
+    return train.sparkSession.createDataFrame(found, "model string, fold int, score double")
 
 
 def estimators_for(train: DataFrame, task: str, profile: str, only: list[str] | None = None) -> dict:
@@ -128,12 +164,10 @@ def estimators_for(train: DataFrame, task: str, profile: str, only: list[str] |
 
 
 def cross_validate_all(train: DataFrame, task: str, profile: str = "reference", k: int = 5,
-                       only: list[str] | None = None, parallelism: int = 4) -> DataFrame:
+                       only: list[str] | None = None, parallelism: int = 8) -> DataFrame:
     """K6: fold scores of every estimator of the task: (model, fold, score)."""
     train = _prep(train, task)
-    parts = [cross_validate(train, est, name, task, k, parallelism)
-             for name, est in estimators_for(train, task, profile, only).items()]
-    return functools.reduce(DataFrame.unionByName, parts)
+    return _fold_scores(train, estimators_for(train, task, profile, only), task, k, parallelism)
 
 
 def train_all(train: DataFrame, task: str = "regression", profile: str = "reference", k: int = 5,
@@ -144,22 +178,15 @@ def train_all(train: DataFrame, task: str = "regression", profile: str = "refere
     Returns (models by name, run table, CV score table or None)."""
     train = _prep(train, task)
     ests = estimators_for(train, task, profile, only)
-    models, runs, cvs = {}, [], []
-    for name, est in ests.items():
-        m, secs = fit_model(train, est, task)
-        models[name] = m
+    data = compact(train)
+    models, runs = {}, []
+    for name, est in ests.items():  # one after another: each fit is timed
+        models[name], secs = fit_model(data, est, task)
         runs.append((task, name, False, secs, *_size(name, est)))
-        if cv:
-            cvs.append(cross_validate(train, est, name, task, k, parallelism))
-    spark = train.sparkSession
-    run_df = spark.createDataFrame(runs, "task string, model string, tuned boolean, train_time_s double, "
-                                         "n_params long, complexity string")
-    cv_df = None
-    if cvs:
-        cv_df = cvs[0]
-        for c in cvs[1:]:
-            cv_df = cv_df.unionByName(c)
-    return models, run_df, cv_df
+    data.unpersist()
+    run_df = train.sparkSession.createDataFrame(runs, "task string, model string, tuned boolean, train_time_s double, "
+                                                      "n_params long, complexity string")
+    return models, run_df, _fold_scores(train, ests, task, k, parallelism) if cv else None
 
 
 def _size(name: str, est) -> tuple[int, str]:
@@ -179,41 +206,42 @@ def _size(name: str, est) -> tuple[int, str]:
     return 10, "low"
 
 
-def boosting_prefix_scores(data: DataFrame, rounds: list[int], step: float, depth: int, k: int = 5, seed: int = SEED,
-                           parallelism: int = 4) -> dict[int, list[float]]:
-    """R² on each fold after each number of ``rounds``, from one fit of the most rounds per fold.
+def boosting_prefix_scores(data: DataFrame, rounds: list[int], settings: list[tuple[float, int]], k: int = 5,
+                           seed: int = SEED, parallelism: int = 8) -> dict[tuple[float, int, int], list[float]]:
+    """R² on each fold of each (step, depth) after each number of ``rounds``, from one fit of the most rounds per fold.
 
     Round m of boosting depends on the rounds before it and on seed + m only, so the first r trees of a longer fit are
     the fit of r rounds; ``evaluateEachIteration`` reads the error after every round in one pass over the held fold.
     """
-    def one(f):
+    spread = {r["fold"]: r["v"] for r in data.groupBy("fold").agg(F.var_pop(TARGET_REG).alias("v")).collect()}
+
+    def one(step, depth, f):
         est = GBTRegressor(featuresCol="features", labelCol=TARGET_REG, subsamplingRate=0.8, minInstancesPerNode=2,
                            maxIter=max(rounds), stepSize=step, maxDepth=depth, seed=seed)
-        model, held = est.fit(data.where(F.col("fold") != f)), data.where(F.col("fold") == f)
-        errors = model.evaluateEachIteration(held, "squared")
-        spread = held.agg(F.var_pop(TARGET_REG)).first()[0]
-        return [1.0 - errors[r - 1] / spread for r in rounds]
+        errors = est.fit(data.where(F.col("fold") != f)).evaluateEachIteration(data.where(F.col("fold") == f), "squared")
+        return [1.0 - errors[r - 1] / spread[f] for r in rounds]
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        folds = list(pool.map(one, range(k)))
-    return {r: [f[i] for f in folds] for i, r in enumerate(rounds)}
+    order = sorted(settings, key=lambda s: -s[1])  # deep trees first
+    found = iter(in_pool([functools.partial(one, *s, f) for s in order for f in range(k)], parallelism))
+    folds = {s: [next(found) for _ in range(k)] for s in order}
+    return {(*s, r): [f[i] for f in folds[s]] for s in settings for i, r in enumerate(rounds)}
 
 
 def grid_search(train: DataFrame, task: str = "regression", k: int = 5, grid: dict | None = None,
-                parallelism: int = 4):
+                parallelism: int = 8):
     """K7: grid over boosting rounds, step size and depth; CV on the fold column; refit on all training rows.
 
-    Regression settings that differ in rounds only share their fits.  The scaler is fitted on all training rows: trees
-    do not depend on a feature's scale.  Returns (best model as ``SparkModel``, table of settings, cv_mean, cv_std)."""
+    Regression settings that differ in rounds only share their fits, and all fits of the grid share one compact table
+    of features and one pool.  The scaler is fitted on all training rows: trees do not depend on a feature's scale.
+    Returns (best model as ``SparkModel``, table of settings, cv_mean, cv_std)."""
     grid = grid or GRID
     if task == "classification":
         return _grid_search_classes(_prep(train, task), k, grid, parallelism)
     prep = Pipeline(stages=feature_stages(train)).fit(train)
-    data = prep.transform(train).select("features", TARGET_REG, "fold").persist()
-    rows = []
-    for step, depth in itertools.product(grid["stepSize"], grid["maxDepth"]):
-        for r, scores in boosting_prefix_scores(data, grid["maxIter"], step, depth, k, parallelism=parallelism).items():
-            rows.append(({"maxIter": r, "stepSize": step, "maxDepth": depth}, mean(scores), pstdev(scores)))
+    data = compact(prep.transform(train).select("features", TARGET_REG, "fold"))
+    scores = boosting_prefix_scores(data, grid["maxIter"], list(itertools.product(grid["stepSize"], grid["maxDepth"])), k,
+                                    parallelism=parallelism)
+    rows = [({"maxIter": r, "stepSize": step, "maxDepth": depth}, mean(s), pstdev(s)) for (step, depth, r), s in scores.items()]
     best = max(rows, key=lambda row: row[1])[0]
     model = GBTRegressor(featuresCol="features", labelCol=TARGET_REG, subsamplingRate=0.8, minInstancesPerNode=2,
                          seed=SEED, **best).fit(data)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import rnd
 from ..operators import profile as P
+from ..operators.lowess import lowess_curve
 from ..operators.prepare import ENRICHED_COLUMNS
 from ..schema import CHANNELS, KEY
 from .context import context, rounded
@@ -179,7 +180,7 @@ def q_sat_points(spark, sf):
 
 @query("lowess_roi")
 def q_lowess(spark, sf):
-    return P.lowess_curve(camp(spark, sf))
+    return lowess_curve(camp(spark, sf))
 
 
 @query("top_roi")
@@ -586,25 +587,13 @@ def ml_regression_cv(spark, sf) -> DataFrame:
     """K6 fold scores of every regression pipeline (5 folds, concurrent fold fits)."""
     ctx = context(spark, sf)
 
-    def build():
-        train = reg_table(spark, sf).where(F.col("split") == "train")
-        ests = TR.regression_estimators()
-        parts = [TR.cross_validate(train, e, n, "regression") for n, e in ests.items()]
-        out = parts[0]
-        for p_ in parts[1:]:
-            out = out.unionByName(p_)
-        return out.persist(StorageLevel.MEMORY_AND_DISK)
-    return ctx.get("ml_reg_cv", build)
+    return ctx.get("ml_reg_cv", lambda: TR.cross_validate_all(
+        reg_table(spark, sf).where(F.col("split") == "train"), "regression"))
 
 
 def ml_classification_cv(spark, sf) -> DataFrame:
     """K6 fold scores (weighted F1) of every classification pipeline on stratified folds."""
-    ctx = context(spark, sf)
-
-    def build():
-        parts = [TR.cross_validate_all(clf_train(spark, sf), "classification", only=[n]) for n in CLASSIFIERS]
-        return functools.reduce(DataFrame.unionByName, parts).persist(StorageLevel.MEMORY_AND_DISK)
-    return ctx.get("ml_clf_cv", build)
+    return context(spark, sf).get("ml_clf_cv", lambda: TR.cross_validate_all(clf_train(spark, sf), "classification"))
 
 
 def _reg_fit_query(name):

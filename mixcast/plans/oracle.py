@@ -250,23 +250,39 @@ def profile_sql() -> dict[str, str]:
         "s AS (SELECT c.channel, min_by(budget_mean, bin) FILTER (WHERE roi_mean < peak * 0.85) AS sat, "
         "max(peak) AS peak FROM cur c JOIN pk USING (channel) GROUP BY c.channel)")
     f23 = f"CAST({2 / 3!r} AS DOUBLE)"
+    lines = []
+    for i in range(4):  # the first fit and three robust passes
+        weight = "1.0" if i == 0 else f"b{i}.b"
+        joined = "" if i == 0 else f"JOIN b{i} USING (campaign_id, channel) "
+        lines.append(
+            f"f{i} AS MATERIALIZED (SELECT channel, j, CASE WHEN sw * swxx - swx * swx > 1e-9 * sw * swxx THEN "
+            "(swy * swxx - swx * swxy) / (sw * swxx - swx * swx) ELSE swy / nullif(sw, 0) END AS y FROM (SELECT channel, j, "
+            "sum(w * b) AS sw, sum(w * b * x) AS swx, sum(w * b * roi) AS swy, sum(w * b * x * x) AS swxx, "
+            f"sum(w * b * x * roi) AS swxy FROM (SELECT ww.*, {weight} AS b FROM ww {joined}) GROUP BY channel, j))")
+        if i < 3:
+            lines += [
+                f"e{i} AS MATERIALIZED (SELECT campaign_id, rl.channel, abs(roi - (l.y + ((budget - mn) / st - l.j) * (r.y - l.y))) AS e "
+                "FROM rl JOIN rng USING (channel) "
+                f"JOIN f{i} l ON l.channel = rl.channel AND l.j = least(CAST(floor((budget - mn) / st) AS INTEGER), 48) "
+                f"JOIN f{i} r ON r.channel = rl.channel AND r.j = l.j + 1)",
+                f"b{i + 1} AS MATERIALIZED (SELECT campaign_id, channel, CASE WHEN e < 6 * m THEN (1 - (e / (6 * m)) * (e / (6 * m))) "
+                f"* (1 - (e / (6 * m)) * (e / (6 * m))) ELSE 0.0 END AS b FROM e{i} JOIN (SELECT channel, quantile_cont(e, 0.5) AS m "
+                f"FROM e{i} GROUP BY channel) USING (channel))"]
     q["lowess_roi"] = sql(
-        "SELECT channel, j, round(g, 6) AS x, round(CASE WHEN sw * swxx - swx * swx <> 0 THEN "
-        "(swy * swxx - swx * swxy) / (sw * swxx - swx * swx) ELSE swy / nullif(sw, 0) END, 4) AS roi_fit, "
-        "n_used, round(h, 6) AS bandwidth FROM fit",
+        "SELECT channel, j, round(g, 6) AS x, round(y, 4) AS roi_fit, n_used, round(h, 6) AS bandwidth "
+        "FROM f3 JOIN (SELECT channel, j, first(g) AS g, first(h) AS h, count_if(w > 0) AS n_used FROM ww GROUP BY channel, j) "
+        "USING (channel, j)",
         *roi_ctes,
-        "rng AS (SELECT channel, min(budget) AS mn, max(budget) AS mx, count(*) AS n FROM rl GROUP BY channel)",
-        "gp AS (SELECT channel, CAST(j AS INTEGER) AS j, mn + CAST(j AS INTEGER) * ((mx - mn) / 49) AS g, n "
-        "FROM rng, range(0, 50) t(j))",
-        "dd AS (SELECT gp.channel, gp.j, g, n, budget, roi, abs(budget - g) AS d FROM rl JOIN gp USING (channel))",
+        "rng AS MATERIALIZED (SELECT channel, min(budget) AS mn, (max(budget) - min(budget)) / 49 AS st, count(*) AS n "
+        "FROM rl GROUP BY channel)",
+        "dd AS (SELECT campaign_id, channel, CAST(j AS INTEGER) AS j, mn + CAST(j AS INTEGER) * st AS g, n, budget, roi, "
+        "abs(budget - (mn + CAST(j AS INTEGER) * st)) AS d FROM rl JOIN rng USING (channel), range(0, 50) t(j))",
         "bw AS (SELECT channel, j, d AS h FROM (SELECT channel, j, d, n, row_number() OVER (PARTITION BY channel, j "
         f"ORDER BY d) AS rk FROM dd) WHERE rk = greatest(1, CAST(floor({f23} * CAST(n AS DOUBLE) + "
         "CAST(1e-10 AS DOUBLE)) AS BIGINT)))",
-        "ww AS (SELECT dd.*, h, CASE WHEN d < h THEN (1.0 - (d / h) * (d / h) * (d / h)) * (1.0 - (d / h) * (d / h) "
-        "* (d / h)) * (1.0 - (d / h) * (d / h) * (d / h)) ELSE 0.0 END AS w FROM dd JOIN bw USING (channel, j))",
-        "fit AS (SELECT channel, j, first(g) AS g, first(h) AS h, sum(w) AS sw, sum(w * (budget - g)) AS swx, "
-        "sum(w * roi) AS swy, sum(w * (budget - g) * (budget - g)) AS swxx, sum(w * (budget - g) * roi) AS swxy, "
-        "count_if(w > 0) AS n_used FROM ww GROUP BY channel, j)")
+        "ww AS MATERIALIZED (SELECT dd.*, h, (budget - g) / h AS x, CASE WHEN d < h THEN (1.0 - (d / h) * (d / h) * (d / h)) * "
+        "(1.0 - (d / h) * (d / h) * (d / h)) * (1.0 - (d / h) * (d / h) * (d / h)) ELSE 0.0 END AS w FROM dd JOIN bw USING (channel, j))",
+        *lines)
     q["top_roi"] = sql(
         f"SELECT {_sel_rounded(['campaign_id', *CHANNELS, 'Influencer', 'Sales', 'Total_Budget', 'ROI'])} "
         "FROM camp ORDER BY ROI DESC NULLS LAST, campaign_id LIMIT 10")

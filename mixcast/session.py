@@ -17,6 +17,7 @@ _LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
+    "spark.scheduler.mode": "FAIR",  # concurrent fits share the cores
 }
 
 

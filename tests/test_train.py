@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 def test_prefix_scores_equal_separate_fits(spark):
     train = C.reg_table(spark, SF).where(F.col("split") == "train")
     data = Pipeline(stages=feature_stages(train)).fit(train).transform(train).select("features", "Sales", "fold").persist()
-    shared = TR.boosting_prefix_scores(data, [2, 4], 0.1, 3, k=2)
+    shared = TR.boosting_prefix_scores(data, [2, 4], [(0.1, 3)], k=2)
     for rounds in (2, 4):
         for fold in range(2):
             est = GBTRegressor(featuresCol="features", labelCol="Sales", subsamplingRate=0.8, minInstancesPerNode=2,
@@ -23,7 +23,7 @@ def test_prefix_scores_equal_separate_fits(spark):
             out = est.fit(data.where(F.col("fold") != fold)).transform(data.where(F.col("fold") == fold))
             e = F.col("Sales") - F.col("prediction")
             row = out.agg(F.avg(e * e).alias("mse"), F.var_pop("Sales").alias("v")).first()
-            assert abs(shared[rounds][fold] - (1 - row["mse"] / row["v"])) < 1e-9
+            assert abs(shared[0.1, 3, rounds][fold] - (1 - row["mse"] / row["v"])) < 1e-9
     data.unpersist()
 
 
