@@ -1,17 +1,18 @@
-"""Path-dependent Tree SHAP for Spark tree ensembles (forest or boosting regressors).
+"""Path-dependent Tree SHAP for Spark tree ensembles (forest or boosting regressors), by batches of rows.
 
 The fitted ensemble is saved to the shared folder and its trees read back as a table
-(tree, node, prediction, rawCount, children, split) - bounded by the model size, then
-broadcast.  Rows are explained in ``mapInPandas`` with the polynomial-time tree
-algorithm of Lundberg, Erion and Lee (2018, "Consistent individualized feature
-attribution for tree ensembles", Algorithm 2): the training counts at each node
-(``rawCount``) stand for the distribution of the features not conditioned on.  Output is
-long (key, feature, shap_value, base_value) over the encoded model features;
-base + sum(shap) equals the ensemble prediction.
+(tree, node, prediction, rawCount, children, split) - bounded by the model size.  Every leaf becomes a path: for
+each feature on the way to it an interval (low, high] and the share of training rows that its splits sent on
+(Lundberg, Erion and Lee, 2018: training counts stand for the features not conditioned on).  Against a leaf, a row
+matters only by which of the path's intervals hold it, so a leaf of u features has at most 2^u different rows; the
+Shapley sums of all leaves and patterns of a tree are worked out at once from products of (share + held t), and a
+batch of rows looks its patterns up.  Output is long (key, feature, shap_value, base_value) over the encoded model
+features; base + sum(shap) equals the ensemble prediction.
 """
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 
@@ -27,6 +28,7 @@ from ..schema import KEY
 from ..session import scratch_path
 from .features import feature_names
 
+CELLS = 1 << 18  # rows x leaves x features held at once
 
 def tree_tables(model, spark) -> tuple[list[dict], list[float]]:
     """Trees of the last pipeline stage as arrays, and the weight of each tree."""
@@ -65,68 +67,67 @@ def expected_value(tree: dict) -> float:
     return float((tree["value"][leaves] * tree["cover"][leaves]).sum() / tree["cover"][0])
 
 
-def _extend(path, zero, one, feat):
-    d = len(path)
-    path.append([feat, zero, one, 1.0 if d == 0 else 0.0])
-    for i in range(d - 1, -1, -1):
-        path[i + 1][3] += one * path[i][3] * (i + 1) / (d + 1)
-        path[i][3] = zero * path[i][3] * (d - i) / (d + 1)
-
-
-def _unwind(path, k):
-    d = len(path) - 1
-    one, zero = path[k][2], path[k][1]
-    nxt = path[d][3]
-    for i in range(d - 1, -1, -1):
-        if one != 0:
-            tmp = path[i][3]
-            path[i][3] = nxt * (d + 1) / ((i + 1) * one)
-            nxt = tmp - path[i][3] * zero * (d - i) / (d + 1)
-        else:
-            path[i][3] = path[i][3] * (d + 1) / (zero * (d - i))
-    for i in range(k, d):
-        path[i][0], path[i][1], path[i][2] = path[i + 1][0], path[i + 1][1], path[i + 1][2]
-    path.pop()
-
-
-def _unwound_sum(path, k):
-    d = len(path) - 1
-    one, zero = path[k][2], path[k][1]
-    nxt, total = path[d][3], 0.0
-    for i in range(d - 1, -1, -1):
-        if one != 0:
-            tmp = nxt * (d + 1) / ((i + 1) * one)
-            total += tmp
-            nxt = path[i][3] - tmp * zero * (d - i) / (d + 1)
-        else:
-            total += path[i][3] / zero / ((d - i) / (d + 1))
-    return total
-
-
-def tree_shap(tree: dict, x: np.ndarray, phi: np.ndarray, scale: float = 1.0) -> None:
-    """Add one tree's attributions for row ``x`` into ``phi`` (Spark sends x <= threshold left)."""
-    left, right, feat, thr, val, cov = (tree["left"], tree["right"], tree["feature"], tree["threshold"],
-                                        tree["value"], tree["cover"])
-
-    def recurse(j, path, zero, one, f):
-        path = [list(p) for p in path]
-        _extend(path, zero, one, f)
-        if left[j] < 0:
-            for i in range(1, len(path)):
-                w = _unwound_sum(path, i)
-                phi[path[i][0]] += scale * w * (path[i][2] - path[i][1]) * val[j]
-            return
-        s = feat[j]
-        hot, cold = (left[j], right[j]) if x[s] <= thr[j] else (right[j], left[j])
-        inc_zero, inc_one = 1.0, 1.0
-        k = next((i for i in range(1, len(path)) if path[i][0] == s), None)
-        if k is not None:
-            inc_zero, inc_one = path[k][1], path[k][2]
-            _unwind(path, k)
-        recurse(hot, path, inc_zero * cov[hot] / cov[j], inc_one, s)
-        recurse(cold, path, inc_zero * cov[cold] / cov[j], 0.0, s)
-
-    recurse(0, [], 1.0, 1.0, -1)
+def leaf_paths(tree: dict) -> list[dict]:
+    """The leaves by number of features on their path: ``feature``, ``low``, ``high``, ``share`` (leaf, u) and ``value``."""
+    found: dict[int, list] = {}
+    todo = [(0, {})]
+    while todo:
+        j, path = todo.pop()
+        if tree["left"][j] < 0:
+            found.setdefault(len(path), []).append((tree["value"][j], path))
+            continue
+        f, cut = int(tree["feature"][j]), tree["threshold"][j]
+        low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
+        for child, own in ((tree["left"][j], (low, min(high, cut))), (tree["right"][j], (max(low, cut), high))):
+            todo.append((child, path | {f: (*own, share * tree["cover"][child] / tree["cover"][j])}))
+    out = []
+    for u, leaves in sorted(found.items()):
+        if u:  # a tree without splits adds nothing to any feature
+            ends = np.array([[p[f] for f in p] for _, p in leaves])
+            out.append({"feature": np.array([list(p) for _, p in leaves]), "low": ends[:, :, 0], "high": ends[:, :, 1],
+                        "share": ends[:, :, 2], "value": np.array([v for v, _ in leaves])})
+    return out
+
+
+def pattern_table(share: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """(leaf, pattern, u): the attribution of each path feature for each set of intervals that hold the row.
+
+    For feature i it is value (held_i - share_i) times the sum over sets S of the others of |S|! (u - |S| - 1)! / u!
+    times held over S and share outside S: the coefficients of the product of (share_j + held_j t).
+    """
+    n, u = share.shape
+    held = (np.arange(1 << u)[:, None] >> np.arange(u)) & 1
+    weight = [math.factorial(s) * math.factorial(u - s - 1) / math.factorial(u) for s in range(u)]
+    out = np.empty((n, 1 << u, u))
+    for i in range(u):
+        poly = np.zeros((u, n, 1 << u))
+        poly[0] = 1.0
+        for d, j in enumerate(k for k in range(u) if k != i):
+            for s in range(d + 1, 0, -1):
+                poly[s] = poly[s] * share[:, j, None] + poly[s - 1] * held[:, j]
+            poly[0] *= share[:, j, None]
+        total = sum(w * p for w, p in zip(weight, poly))
+        out[:, :, i] = value[:, None] * (held[:, i] - share[:, i, None]) * total
+    return out
+
+
+def batch_shap(paths: list[list[dict]], weights: list[float], x: np.ndarray) -> np.ndarray:
+    """Attributions (row, feature) of the rows ``x`` (Spark sends x <= threshold left)."""
+    phi = np.zeros(x.shape)
+    for tree, w in zip(paths, weights):
+        for g in tree:
+            n, u = g["feature"].shape
+            table = pattern_table(g["share"], g["value"] * w)
+            step = max(1, CELLS // (n * u))
+            columns = [np.flatnonzero(g["feature"].ravel() == f) for f in range(x.shape[1])]
+            for at in range(0, len(x), step):
+                some = x[at:at + step][:, g["feature"]]
+                code = ((some > g["low"]) & (some <= g["high"])) @ (1 << np.arange(u))
+                part = table[np.arange(n), code].reshape(len(some), n * u)
+                for f, c in enumerate(columns):
+                    if len(c):
+                        phi[at:at + step, f] += part[:, c].sum(axis=1)
+    return phi
 
 
 def shap_tree(model, rows: DataFrame, key: str = KEY) -> DataFrame:
@@ -137,22 +138,14 @@ def shap_tree(model, rows: DataFrame, key: str = KEY) -> DataFrame:
     names = feature_names()
     prep = PipelineModel(stages=model.model.stages[:-1]).transform(rows)
     feats = prep.select(key, vector_to_array("features").alias("__x"))
-    b = spark.sparkContext.broadcast((trees, weights))
+    b = spark.sparkContext.broadcast(([leaf_paths(t) for t in trees], weights))  # bounded by the model
 
     def explain(batches):
-        tr, ws = b.value
         for pdf in batches:
-            keys, out_f, out_v = [], [], []
-            for k_, xs in zip(pdf[key], pdf["__x"]):
-                x = np.asarray(xs, dtype=float)
-                phi = np.zeros(len(names) + 1)
-                for t, w in zip(tr, ws):
-                    tree_shap(t, x, phi, w)
-                for i, n in enumerate(names):
-                    keys.append(k_)
-                    out_f.append(n)
-                    out_v.append(float(phi[i]))
-            yield pd.DataFrame({key: keys, "feature": out_f, "shap_value": out_v})
+            if len(pdf):
+                phi = batch_shap(*b.value, np.stack(pdf["__x"].to_numpy()).astype(float))
+                yield pd.DataFrame({key: np.repeat(pdf[key].to_numpy(), len(names)), "feature": names * len(pdf),
+                                    "shap_value": phi[:, :len(names)].ravel()})
 
     schema = f"{key} long, feature string, shap_value double"
     return feats.mapInPandas(explain, schema).select(key, "feature", rnd("shap_value").alias("shap_value"),
