@@ -79,3 +79,45 @@ def learning_curve_trend(train: DataFrame, feature: str, name: str, sizes: int =
     return wide.select(F.lit(name).alias("model"), F.col("i").alias("size_idx"), frac.alias("fraction"),
                        rnd("n_train", 6).alias("n_train"), *[rnd(c, 6).alias(c) for c in
                                                              ["train_mean", "train_std", "val_mean", "val_std"]])
+
+
+def learning_curve(train: DataFrame, estimator, name: str, sizes: int = 8, k: int = 5, seed: int = 43,
+                   target: str = TARGET_REG, parallelism: int = 8) -> DataFrame:
+    """E9 of a fitted pipeline: train and validation R² by training size, in the columns of ``learning_curve_trend``.
+
+    The subsets are nested: a row's hash draw gives the smallest size that holds it, so all sizes share one compact
+    table and a size is a range filter on ``draw``; nothing is sampled or sorted.  All fits run in one pool, and the
+    scores of all of them come from one aggregation of (fold, size, side) error sums.
+    """
+    import functools
+
+    import numpy as np
+
+    from ..functions.exprs import hash_unit
+    from .train import compact, fit_model, in_pool
+
+    fracs = [float(x) for x in np.linspace(0.2, 1.0, sizes)]
+    data = compact(train.withColumn("draw", hash_unit("campaign_id", seed)))
+
+    def one(f, i):
+        rest = data.where((F.col("fold") != f) & (F.col("draw") < fracs[i]))
+        model, _ = fit_model(rest, estimator.copy(), "regression")
+        e = F.col(target) - F.col("prediction")
+        side = F.when(F.col("fold") == f, "val").otherwise("train")
+        seen = data.where((F.col("fold") == f) | (F.col("draw") < fracs[i]))
+        return model.predict(seen).groupBy(side.alias("kind")).agg(
+            (F.lit(1.0) - safe_div(F.sum(e * e), F.var_pop(target) * F.count(F.lit(1)))).alias("r2"),
+            F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "kind", "r2", "n")
+
+    cells = [(f, i) for i in reversed(range(sizes)) for f in range(k)]  # the largest first
+    parts = in_pool([functools.partial(one, *c) for c in cells], parallelism)
+    per = functools.reduce(DataFrame.unionByName, parts).collect()  # two rows per fit
+    data.unpersist()
+    out = []
+    for i, s in enumerate(fracs):
+        side = lambda kind, c: [float(r[c]) for r in per if r["i"] == i and r["kind"] == kind and r[c] is not None]  # noqa: B023, E731
+        sides = [f(side(kind, "r2")) if side(kind, "r2") else None for kind in ("train", "val") for f in (np.mean, np.std)]
+        out.append((name, i, s, float(np.mean(side("train", "n"))), *[None if v is None else float(v) for v in sides]))
+    frame = train.sparkSession.createDataFrame(out, "model string, size_idx int, fraction double, n_train double, "
+                                                    "train_mean double, train_std double, val_mean double, val_std double")
+    return frame.select("model", "size_idx", "fraction", *[rnd(c, 6).alias(c) for c in frame.columns[3:]])

@@ -515,7 +515,7 @@ def q_metadata_merge(spark, sf):
 
 from ..operators import explain as XP  # noqa: E402
 from ..operators import train as TR  # noqa: E402
-from ..operators.tuning import learning_curve_trend  # noqa: E402
+from ..operators.tuning import learning_curve, learning_curve_trend  # noqa: E402
 
 
 def budget_trend(spark, sf):
@@ -679,6 +679,31 @@ def q_shap_forest(spark, sf):
     return XP.shap_exact(models["Random Forest"], test_only(t), bg)
 
 
+@query("shap_kernel")
+def q_shap_kernel(spark, sf):
+    """X4 over the encoded features of the fitted linear pipeline, all test rows."""
+    models, _ = _fitted(spark, sf, "regression", ["Linear Regression"])
+    t = reg_table(spark, sf)
+    return XP.shap_kernel(models["Linear Regression"], test_only(t), t.where(F.col("split") == "train"))
+
+
+@query("ml_permutation_importance")
+def q_ml_perm(spark, sf):
+    """X2 on the fitted linear and boosting pipelines."""
+    models, _ = _fitted(spark, sf, "regression", ["Linear Regression", "Gradient Boosting"])
+    test = test_only(reg_table(spark, sf))
+    parts = [XP.permutation_importance(m, test).select(F.lit(n).alias("model"), "feature", "importance_mean", "importance_std")
+             for n, m in models.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query("ml_learning_curve")
+def q_ml_learning_curve(spark, sf):
+    """E9 of the linear pipeline: eight nested training sizes on five folds."""
+    train = reg_table(spark, sf).where(F.col("split") == "train")
+    return learning_curve(train, TR.regression_estimators()["Linear Regression"], "Linear Regression")
+
+
 # ---------------------------------------------------------------- streaming (L1)
 
 import uuid  # noqa: E402
@@ -764,7 +789,7 @@ def q_ml_resolve(spark, sf):
 
 
 # Queries that fit pipelines with the reference's settings, quicker ones first.
-LONG = ["fit_linear", "fit_logistic", "fit_gbt", "fit_forest", "feature_importance", "feature_labels", "shap_forest",
+LONG = ["fit_linear", "shap_kernel", "ml_learning_curve", "fit_logistic", "fit_gbt", "ml_permutation_importance", "fit_forest", "feature_importance", "feature_labels", "shap_forest",
         "fit_mlp_clf", "fit_forest_clf", "fit_gbt_clf", "fit_mlp_reg", "eco_score", "shap_tree", "ml_cv_scores",
         "ml_model_comparison", "grid_search", "ml_model_resolve", "ml_classification_cv_scores",
         "ml_classification_comparison"]

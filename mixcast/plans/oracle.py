@@ -585,23 +585,28 @@ def score_sql() -> dict[str, str]:
 
 
 def explain_sql() -> dict[str, str]:
-    from ..operators.explain import permutation_plan
     from ..schema import DEPLOYMENT_COMPLEXITY
 
     q: dict[str, str] = {}
     base = [*SPLIT_CTES, *_trend_ctes()]
-    plan = ", ".join(f"({r}, '{c}', {a}, {b})" for r, c, a, b in permutation_plan(30, [*CHANNELS, "Influencer"]))
-    swap = ", ".join(f"CASE WHEN pm.c = '{c}' THEN dn.{c} ELSE pm.{c} END AS {c}" for c in CHANNELS)
+    swap = ", ".join(f"CASE WHEN v.c = '{c}' THEN dn.{c} ELSE t.{c} END AS {c}" for c in CHANNELS)
+    names = ", ".join(f"('{c}')" for c in [*CHANNELS, "Influencer"])
     q["permutation_importance"] = sql(
         "SELECT c AS feature, round(avg(base - r2), 6) AS importance_mean, "
         "round(stddev_pop(base - r2), 6) AS importance_std FROM sc, bs GROUP BY c",
         *base,
-        "tst AS (SELECT campaign_id, TV, Radio, Social_Media, Influencer, Sales, "
-        f"row_number() OVER (ORDER BY {_md5()}, campaign_id) - 1 AS i FROM sp WHERE split = 'test')",
-        "nn AS (SELECT count(*) AS n FROM tst)",
-        f"prm AS (SELECT * FROM (VALUES {plan}) v(r, c, pa, pb))",
-        "pm AS (SELECT t.*, p.r, p.c, (CAST(p.pa AS BIGINT) * t.i + p.pb % nn.n) % nn.n AS d FROM tst t, prm p, nn)",
-        f"jd AS (SELECT pm.r, pm.c, pm.Sales, {swap} FROM pm JOIN tst dn ON dn.i = pm.d)",
+        f"th AS (SELECT campaign_id, TV, Radio, Social_Media, Influencer, Sales, {_md5()} AS h FROM sp WHERE split = 'test')",
+        "tb AS (SELECT *, ('0x' || substr(h, 1, 7))::BIGINT AS u, ('0x' || substr(h, 25, 8))::BIGINT % "
+        "greatest(1, (SELECT CAST(ceil(count(*) / 1024.0) AS BIGINT) FROM th)) AS blk FROM th)",
+        "tst AS (SELECT *, row_number() OVER (PARTITION BY blk ORDER BY h, campaign_id) AS i FROM tb)",
+        f"vr AS (SELECT r, c FROM range(30) x(r), (VALUES {names}) y(c))",
+        "d0 AS (SELECT blk, i, r, c, xor(u, ('0x' || substr(md5('42-' || r || '-' || c || '-' || blk), 1, 7))::BIGINT) "
+        "* 2654435761 AS a FROM tst, vr)",
+        "d1 AS (SELECT blk, i, r, c, (xor(a, a >> 29) & 2147483647) * 2246822519 AS b FROM d0)",
+        "d2 AS (SELECT blk, r, c, i AS donor, row_number() OVER (PARTITION BY blk, r, c ORDER BY xor(b, b >> 31) & 2147483647, i) "
+        "AS i FROM d1)",
+        f"jd AS (SELECT v.r, v.c, t.Sales, {swap} FROM tst t JOIN d2 v ON v.blk = t.blk AND v.i = t.i "
+        "JOIN tst dn ON dn.blk = t.blk AND dn.i = v.donor)",
         "ev AS (SELECT r, c, Sales AS actual, fr0.a + fr0.b * (TV + Radio + Social_Media) AS predicted FROM jd, fr0)",
         "sc AS (SELECT r, c, 1 - sum((actual - predicted) * (actual - predicted)) / nullif(var_pop(actual) * count(*), 0)"
         " AS r2 FROM ev GROUP BY r, c)",

@@ -36,11 +36,28 @@ def read_campaigns(spark: SparkSession, path: str, fmt: str = "csv") -> DataFram
                    F.when(F.trim("Influencer") == "", None).otherwise(F.col("Influencer")).alias("Influencer"),
                    nan_to_null("Sales").alias("Sales"))
     body = [*CHANNELS, "Influencer", "Sales"]
-    same = Window.partitionBy(*body).orderBy(F.lit(0))
-    df = df.withColumn(KEY, F.xxhash64(*body, F.row_number().over(same)))
+    numbered = number_equal(df, body)
+    df = numbered.withColumn(KEY, F.xxhash64(*body, F.col("number").cast("int")))
     return df.select(KEY, *CHANNELS, "Influencer", "Sales")
 
 
+def number_equal(df: DataFrame, body: list[str]) -> DataFrame:
+    """``df`` with ``number``: 1, 2, ... among the rows equal in ``body``, whichever of them is first.
+
+    Rows are numbered inside their input partition; the counts of each content in the partitions before it give
+    the offset.  So equal rows meet in one task only as far as they lie in one partition, and a content's counts are
+    one row per partition, however often it occurs.
+    """
+    tagged = df.withColumn("__h", F.xxhash64(*body)).withColumn("__p", F.spark_partition_id())
+    here = Window.partitionBy("__p", "__h").orderBy(F.lit(0))
+    counts = tagged.groupBy("__p", "__h").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__h").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__p", "__h", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    local = tagged.withColumn("__i", F.row_number().over(here))
+    return local.join(offsets, ["__p", "__h"]).withColumn("number", F.col("__before") + F.col("__i")).drop(
+        "__p", "__h", "__i", "__before")
+
+
 def _fixed(c: str, scale: int):
     """Exact integer of a value with ``scale`` decimals (the unscaled DECIMAL value)."""
     return F.floor(F.col(c) * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")

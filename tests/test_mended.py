@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from mixcast.functions.exprs import rnd
 from mixcast.functions.quantiles import quantiles
-from mixcast.operators.explain import permutation_plan
 from mixcast.plans.oracle import expand_round
-from mixcast.sources.campaigns import read_campaigns
+from mixcast.sources.campaigns import number_equal, read_campaigns
 from mixcast.sources.sinks import _exists, write_attributions
 
 
@@ -29,12 +28,6 @@ def test_models_are_found_by_uri(spark, tmp_path):
     assert _exists(f"file://{tmp_path}") and not _exists(f"file://{tmp_path}/none")
 
 
-def test_multipliers_share_no_factor_with_the_rows():
-    for n in (1_000_003, 2_000_006, 1_000_003 * 1_000_033, 997):
-        assert all(math.gcd(a, n) == 1 for _, _, a, _ in permutation_plan(30, ["a", "b", "c", "d"], n))
-    assert len(permutation_plan(30, ["a", "b", "c", "d"], 1_000_003)) == 120
-
-
 def test_key_does_not_depend_on_files(spark, tmp_path):
     rows = [(float(i % 7), 1.0, 2.0, "Macro", float(i)) for i in range(200)] * 2
     df = spark.createDataFrame(rows, "TV double, Radio double, Social_Media double, Influencer string, Sales double")
@@ -55,3 +48,13 @@ def test_ties_at_a_half_go_to_the_even_digit(spark):
     con = duckdb.connect()
     assert con.execute(expand_round("SELECT " + ", ".join(f"round(CAST({v!r} AS DOUBLE), 0)" for v in values))).fetchone() == \
         tuple(r["r"] for r in rows)
+
+
+def test_equal_rows_are_numbered_over_partitions(spark):
+    rows = [(1.0, "a")] * 3000 + [(None, None)] * 500 + [(float(i % 50), "b") for i in range(2000)]
+    df = spark.createDataFrame(rows, "x double, y string").repartition(7)
+    got = number_equal(df, ["x", "y"]).groupBy("x", "y").agg(F.count("number").alias("n"), F.countDistinct("number").alias("d"),
+                                                           F.min("number").alias("lo"), F.max("number").alias("hi"))
+    found = {(r.x, r.y): (r.n, r.d, r.lo, r.hi) for r in got.collect()}
+    assert found[1.0, "a"] == (3000, 3000, 1, 3000) and found[None, None] == (500, 500, 1, 500)
+    assert all(v == (40, 40, 1, 40) for (x, y), v in found.items() if y == "b")

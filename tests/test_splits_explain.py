@@ -1,9 +1,12 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from mixcast.operators import explain as XP
 from mixcast.operators import splits as SP
+from mixcast.operators import train as TR
 from mixcast.operators.predictors import TrendModel
+from mixcast.operators.tuning import learning_curve
 
 RAW = "campaign_id long, TV double, Radio double, Social_Media double, Influencer string, Sales double, Performance string"
 
@@ -71,3 +74,60 @@ def test_permutation_importance_of_unused_column_is_zero(spark):
     out = {r["feature"]: r for r in XP.permutation_importance(m, df, repeats=3).collect()}
     assert out["Influencer"]["importance_mean"] == 0.0 and out["Influencer"]["importance_std"] == 0.0
     assert out["TV"]["importance_mean"] > out["Social_Media"]["importance_mean"] > 0
+
+
+def test_permuted_columns_keep_their_values(spark, monkeypatch):
+    monkeypatch.setattr(XP, "BLOCK", 64)
+    df = spark.createDataFrame(_rows(300), RAW).select("campaign_id", *XP.RAW_FEATURES, "Sales")
+    base = sorted(map(tuple, df.select(*XP.RAW_FEATURES, "Sales").collect()), key=repr)
+    out = XP.permuted(df, ["TV", "Influencer"], 3)
+    assert out.count() == 300 * 6
+    for r, c in ((0, "TV"), (2, "Influencer")):
+        got = out.where((F.col("r") == r) & (F.col("c") == c)).drop("r", "c")
+        kept = [x for x in got.columns if x != c]
+        assert sorted(map(tuple, got.select(*kept).collect()), key=repr) == sorted(map(tuple, df.select(*kept).collect()), key=repr)
+        assert sorted(x[0] for x in got.select(c).collect()) == sorted(x[0] for x in df.select(c).collect())
+        assert sorted(map(tuple, got.collect()), key=repr) != base
+    one, two = (out.where((F.col("r") == r) & (F.col("c") == "TV")).drop("r", "c") for r in (0, 1))
+    assert sorted(map(tuple, one.collect()), key=repr) != sorted(map(tuple, two.collect()), key=repr)
+
+
+def test_permutation_importance_of_a_fitted_pipeline(spark):
+    df = spark.createDataFrame(_rows(300), RAW)
+    m, _ = TR.fit_model(df, TR.regression_estimators("quick")["Linear Regression"], "regression")
+    out = {r["feature"]: r["importance_mean"] for r in XP.permutation_importance(m, df, repeats=2).collect()}
+    assert set(out) == set(XP.RAW_FEATURES) and out["TV"] == max(out.values())
+
+
+def test_kernel_matrix_equals_enumeration():
+    rng = np.random.default_rng(1)
+    for m in (1, 2, 3, 6):
+        v, w = rng.normal(size=1 << m), XP.shapley_weights(m)
+        exact = [sum(w[bin(s).count("1")] * (v[s | 1 << j] - v[s]) for s in range(1 << m) if not s >> j & 1) for j in range(m)]
+        assert np.allclose(XP.kernel_matrix(m) @ v, exact, atol=1e-10)
+
+
+def test_kernel_shap_of_a_fitted_line(spark):
+    df = spark.createDataFrame(_rows(200), RAW)
+    m, _ = TR.fit_model(df, TR.regression_estimators("quick")["Linear Regression"], "regression")
+    sub = df.where("campaign_id < 30")
+    got = XP.shap_kernel(m, sub, df, size=10).collect()
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    from mixcast.functions.exprs import hash_hex
+    prep = PipelineModel(stages=m.model.stages[:-1])
+    enc = lambda d: {r[0]: np.array(r[1]) for r in prep.transform(d).select("campaign_id", vector_to_array("features")).collect()}
+    mean = np.mean(list(enc(df.orderBy(hash_hex("campaign_id", 42), "campaign_id").limit(10)).values()), axis=0)
+    coef, x = m.model.stages[-1].coefficients.toArray(), enc(sub)
+    names = XP.feature_names()
+    assert len(got) == 6 * len(x)
+    for r in got:  # a line's attribution is coefficient x distance from the background's mean
+        j = names.index(r.feature)
+        assert r.shap_value == pytest.approx(coef[j] * (x[r.campaign_id][j] - mean[j]), abs=2e-5)
+
+
+def test_learning_curve_of_a_pipeline(spark):
+    df = SP.with_folds(spark.createDataFrame(_rows(400), RAW), 3)
+    rows = learning_curve(df, TR.regression_estimators("quick")["Linear Regression"], "line", sizes=3, k=3).collect()
+    assert [r.size_idx for r in rows] == [0, 1, 2] and rows[0].n_train < rows[1].n_train < rows[2].n_train
+    assert rows[2].n_train == pytest.approx(400 * 2 / 3, abs=1) and all(r.val_mean <= 1 and r.train_std >= 0 for r in rows)
