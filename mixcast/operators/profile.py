@@ -51,6 +51,11 @@ def table_info(df: DataFrame) -> DataFrame:
     return long.select("variable", dtype.alias("dtype"), "non_null", F.col("__n").alias("n_rows"))
 
 
+def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` rows of smallest key (a top-k)."""
+    return df.orderBy(KEY).limit(n)
+
+
 # ---------------------------------------------------------------- descriptive
 
 def describe(df: DataFrame, cols: list[str] | None = None, digits: int = 3, method: str = "exact") -> DataFrame:

@@ -7,13 +7,17 @@ per model: a narrow projection per model, unioned, so a batch of any size is one
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rnd
-from ..schema import CATEGORIES, CHANNELS, DEPLOYMENT_COMPLEXITY, SCENARIO_SCHEMA
+from ..schema import CATEGORIES, CATEGORY, CHANNELS, DEPLOYMENT_COMPLEXITY, SCENARIO_SCHEMA, TARGET_CLF, TARGET_REG
 
 REASONS = ["invalid_json", "missing_field", "negative_budget", "unknown_influencer", "model_not_found"]
+FAILED = "prediction_failed"
+TARGETS = {"regression": TARGET_REG, "classification": TARGET_CLF}
 
 
 def parse_scenarios(requests: DataFrame, body: str = "body", rid: str = "request_id") -> DataFrame:
@@ -52,19 +56,40 @@ def scenario_status(validated: DataFrame, rid: str = "request_id") -> DataFrame:
                             "reason")
 
 
-def score_scenarios(accepted: DataFrame, models: dict, rid: str = "request_id",
-                    with_timestamp: bool = True) -> DataFrame:
-    """Predicted sales, total budget, ROI (0.0 for a zero budget, unlike P6), profit, round 4.
+def _predicted(accepted: DataFrame, models: dict, rid: str) -> DataFrame:
+    """``__p`` and ``__why`` of every accepted scenario: each model scores only its own (filter + projection).
 
-    Each model scores only its own scenarios (filter + projection); results are unioned.
+    A prediction that is missing or not finite says so; a model that cannot be applied at all fails its own scenarios
+    only, with its error as the reason.
     """
     parts = []
     for name, m in models.items():
         mine = accepted.where(F.col("model") == F.lit(name))
-        parts.append(m.predict(mine).select(rid, "model", *CHANNELS, F.col("prediction").alias("__p")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        try:
+            p, why = m.predict(mine).select(rid, "model", *CHANNELS, F.col("prediction").cast("double").alias("__p")), ""
+        except Exception as error:  # noqa: BLE001  (whatever a model raises while its plan is built)
+            p = mine.select(rid, "model", *CHANNELS, F.lit(None).cast("double").alias("__p"))
+            why = f": {type(error).__name__}"
+        bad = F.col("__p").isNull() | F.isnan("__p") | (F.abs("__p") == float("inf"))
+        parts.append(p.withColumn("__why", F.when(bad, FAILED + why)))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def score_quarantined(accepted: DataFrame, models: dict, rid: str = "request_id", with_timestamp: bool = True
+                      ) -> tuple[DataFrame, DataFrame]:
+    """``(scored, rejected)``: scenarios whose prediction fails are set aside with a reason, the rest is scored."""
+    out = _predicted(accepted, models, rid)
+    return (_report(out.where(F.col("__why").isNull()), rid, with_timestamp),
+            out.where(F.col("__why").isNotNull()).select(rid, "model", F.col("__why").alias("reason")))
+
+
+def score_scenarios(accepted: DataFrame, models: dict, rid: str = "request_id",
+                    with_timestamp: bool = True) -> DataFrame:
+    """Predicted sales, total budget, ROI (0.0 for a zero budget, unlike P6), profit, round 4."""
+    return score_quarantined(accepted, models, rid, with_timestamp)[0]
+
+
+def _report(out: DataFrame, rid: str, with_timestamp: bool) -> DataFrame:
     total = F.col("TV") + F.col("Radio") + F.col("Social_Media")
     roi = F.when(total > 0, F.col("__p") / total).otherwise(F.lit(0.0))
     cols = [rid, F.col("model").alias("model_used"), rnd("__p", 4).alias("predicted_sales_M"),
@@ -125,14 +150,19 @@ def default_model(registry: DataFrame, task: str, order: list[str]) -> DataFrame
             .orderBy(F.desc("is_best"), F.desc("score"), pos).limit(1).select("task", "model"))
 
 
-def model_info(registry: DataFrame, order: dict[str, list[str]] | None = None) -> DataFrame:
-    """Per task the available models (sorted, comma-joined), the best one, the count and the
-    service status; one small aggregation over the registry."""
+def model_info(registry: DataFrame, targets: dict[str, str] | None = None) -> DataFrame:
+    """Per task the available models (sorted, comma-joined), the best one, their count, the service status
+    (``degraded`` without a model), the target and the input features."""
     best = F.min_by(F.col("model"), F.struct((-F.col("score")).alias("s"), F.col("model").alias("m")))
-    return (registry.groupBy("task").agg(
+    found = registry.groupBy("task").agg(
         F.array_join(F.array_sort(F.collect_set("model")), ", ").alias("available_models"),
-        best.alias("best_model"), F.countDistinct("model").alias("n_models"))
-        .withColumn("status", F.when(F.col("n_models") > 0, "healthy").otherwise("degraded")))
+        best.alias("best_model"), F.countDistinct("model").alias("n"))
+    tasks = registry.sparkSession.createDataFrame(list((targets or TARGETS).items()), "task string, target string")
+    n = F.coalesce("n", F.lit(0).cast("long"))
+    return tasks.join(found, "task", "left").select(  # one row per task
+        "task", F.coalesce("available_models", F.lit("")).alias("available_models"), "best_model", n.alias("n_models"),
+        F.when(n > 0, "healthy").otherwise("degraded").alias("status"), "target",
+        F.lit(", ".join([*CHANNELS, CATEGORY])).alias("input_features"))
 
 
 def label_features(df: DataFrame, col: str = "feature") -> DataFrame:

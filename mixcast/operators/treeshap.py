@@ -45,9 +45,11 @@ def tree_tables(model, spark) -> tuple[list[dict], list[float]]:
     n_trees = len(weights)
     if "RandomForest" in type(stage).__name__:  # a forest averages its trees
         weights = {t: 1.0 / n_trees for t in weights}
-    trees = []
+    trees, by_tree = [], {}
+    for r in nodes:
+        by_tree.setdefault(r["treeID"], []).append(r)
     for t in sorted(weights):
-        rows = [r for r in nodes if r["treeID"] == t]
+        rows = by_tree[t]
         n = max(r["id"] for r in rows) + 1
         tr = {k: np.zeros(n, dtype=float) for k in ("value", "cover", "threshold")}
         tr.update({k: np.full(n, -1, dtype=np.int64) for k in ("left", "right", "feature")})

@@ -65,6 +65,12 @@ def q_table_info(spark, sf):
     return P.table_info(camp(spark, sf).select(*ENRICHED_COLUMNS))
 
 
+@query("first_rows")
+def q_first_rows(spark, sf):
+    """The first five campaigns."""
+    return P.first_rows(rounded(camp(spark, sf).select(*ENRICHED_COLUMNS)))
+
+
 @query("describe")
 def q_describe(spark, sf):
     return P.describe(camp(spark, sf))
@@ -320,6 +326,21 @@ def q_residuals(spark, sf):
     return EV.residuals(test_only(reg_preds(spark, sf)))
 
 
+@query("residual_bounds")
+def q_residual_bounds(spark, sf):
+    return EV.residual_bounds(test_only(reg_preds(spark, sf)))
+
+
+@query("metric_labels")
+def q_metric_labels(spark, sf):
+    """Report texts: R² and MAE with four digits, counts with thousands marks."""
+    preds = test_only(reg_preds(spark, sf))
+    n = preds.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"))  # one row per model
+    return EV.regression_metrics(preds).join(F.broadcast(n), "model").select(
+        "model", F.format_string("%.4f", rnd("r2", 4)).alias("r2_text"), F.format_string("%.4f", rnd("mae", 4)).alias("mae_text"),
+        F.format_number("n_rows", 0).alias("n_text"))
+
+
 @query("worst_predictions")
 def q_worst(spark, sf):
     p = test_only(reg_preds(spark, sf)).where(F.col("model") == "Budget Trend")
@@ -389,13 +410,11 @@ SEGMENT_TO_MODEL = {"AUTOMOBILE": "Budget Trend", "BUILDING": "TV Trend", "MACHI
 
 def scenario_requests(spark, sf) -> DataFrame:
     """One JSON what-if request per order: its campaign budgets and tier, and a model name."""
-    raw = context(spark, sf).raw
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     model = F.lit(None).cast("string")
     for seg, m in SEGMENT_TO_MODEL.items():
         model = F.when(F.col("c_mktsegment") == seg, m).otherwise(model)
-    j = (raw.join(orders, raw[KEY] == orders.o_orderkey).join(cust, orders.o_custkey == cust.c_custkey, "left"))
+    j = context(spark, sf).ordered.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
     body = F.to_json(F.struct(*CHANNELS, "Influencer", model.alias("model")))
     return j.select(F.col(KEY).alias("request_id"), body.alias("body"))
 
@@ -454,6 +473,13 @@ def q_scenario_unknown(spark, sf):
     return validated(spark, sf).where(F.col("reason") == "model_not_found").select("request_id", "model", "reason")
 
 
+@query("scenario_rejected")
+def q_scenario_rejected(spark, sf):
+    """Every request that is not scored and why: rejected by the rules, or set aside as its prediction failed."""
+    failed = SC.score_quarantined(accepted(spark, sf), trend_models(spark, sf))[1]
+    return validated(spark, sf).where(F.col("reason").isNotNull()).select("request_id", "model", "reason").unionByName(failed)
+
+
 @query("score_scenarios")
 def q_score(spark, sf):
     return SC.score_scenarios(accepted(spark, sf), trend_models(spark, sf), with_timestamp=False)
@@ -657,9 +683,57 @@ def q_eco(spark, sf):
 
 @query("deployment_cost")
 def q_deployment(spark, sf):
-    """The lookup needs the pipelines' names only, so nothing is fitted for it."""
-    named = [("regression", n) for n in REGRESSORS] + [("classification", n) for n in CLASSIFIERS]
-    return SC.deployment_cost(spark.createDataFrame(named, "task string, model string"))
+    """Cost of every model that the what-if requests ask for."""
+    asked = SC.parse_scenarios(scenario_requests(spark, sf)).where(F.col("model").isNotNull())
+    return SC.deployment_cost(asked.select(F.lit("regression").alias("task"), "model"))
+
+
+def _fitted_preds(spark, sf, task: str, names: list[str]) -> DataFrame:
+    models, _ = _fitted(spark, sf, task, names)
+    return predictions(reg_table(spark, sf) if task == "regression" else clf_table(spark, sf), models, task)
+
+
+@query("ml_train_test_gap")
+def q_ml_gap(spark, sf):
+    """E7 of the fitted pipelines."""
+    return EV.train_test_gap(_fitted_preds(spark, sf, "regression", REGRESSORS))
+
+
+@query("ml_r2_critique")
+def q_ml_critique(spark, sf):
+    """E8 of the fitted pipelines."""
+    return EV.r2_critique(_fitted_preds(spark, sf, "regression", REGRESSORS))
+
+
+@query("ml_residual_bounds")
+def q_ml_bounds(spark, sf):
+    """E5 of the fitted pipelines."""
+    return EV.residual_bounds(test_only(_fitted_preds(spark, sf, "regression", REGRESSORS)))
+
+
+@query("ml_worst_predictions")
+def q_ml_worst(spark, sf):
+    """E6 of the fitted boosting pipeline."""
+    preds = test_only(_fitted_preds(spark, sf, "regression", ["Gradient Boosting"]))
+    return EV.worst_predictions(preds, rounded(camp(spark, sf).select(KEY, *CHANNELS, "Influencer")), n=5)
+
+
+@query("ml_extreme_predictions")
+def q_ml_extremes(spark, sf):
+    """W3 of the fitted pipelines."""
+    return EV.extreme_predictions(test_only(_fitted_preds(spark, sf, "regression", REGRESSORS)))
+
+
+@query("ml_confusion_matrix")
+def q_ml_confusion(spark, sf):
+    """E3 of the fitted logistic and forest classifiers."""
+    return EV.confusion_matrix(test_only(_fitted_preds(spark, sf, "classification", CLASSIFIERS[:2])))
+
+
+@query("ml_train_test_gap_classification")
+def q_ml_gap_clf(spark, sf):
+    """E7 of the fitted logistic and forest classifiers."""
+    return EV.train_test_gap(_fitted_preds(spark, sf, "classification", CLASSIFIERS[:2]), task="classification")
 
 
 @query("feature_importance")
@@ -790,6 +864,8 @@ def q_ml_resolve(spark, sf):
 
 # Queries that fit pipelines with the reference's settings, quicker ones first.
 LONG = ["fit_linear", "shap_kernel", "ml_learning_curve", "fit_logistic", "fit_gbt", "ml_permutation_importance", "fit_forest", "feature_importance", "feature_labels", "shap_forest",
+        "ml_worst_predictions", "ml_train_test_gap", "ml_r2_critique", "ml_residual_bounds", "ml_extreme_predictions",
+        "ml_confusion_matrix", "ml_train_test_gap_classification",
         "fit_mlp_clf", "fit_forest_clf", "fit_gbt_clf", "fit_mlp_reg", "eco_score", "shap_tree", "ml_cv_scores",
         "ml_model_comparison", "grid_search", "ml_model_resolve", "ml_classification_cv_scores",
         "ml_classification_comparison"]

@@ -32,11 +32,16 @@ class Context:
         self.memo: dict = {}
 
     @property
-    def raw(self) -> DataFrame:
+    def ordered(self) -> DataFrame:
+        """The raw campaigns with the customer of their order: one join of the order tables for both."""
         if self._raw is None:
-            self._raw = campaigns_from_orders(self.spark, self.sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+            self._raw = campaigns_from_orders(self.spark, self.sf_dir, ("o_custkey",)).persist(StorageLevel.MEMORY_AND_DISK)
         return self._raw
 
+    @property
+    def raw(self) -> DataFrame:
+        return self.ordered.drop("o_custkey")
+
     @property
     def camp(self) -> DataFrame:
         if self._camp is None:

@@ -126,6 +126,8 @@ def profile_sql() -> dict[str, str]:
                              for c in [*CHANNELS, "Influencer", "Sales"])
         + ") WHERE n_missing > 0")
     types = {"campaign_id": "bigint", "Influencer": "string", "Performance": "string"}
+    q["first_rows"] = sql("SELECT " + ", ".join(
+        f"round({c}, 6) AS {c}" if types.get(c, "double") == "double" else c for c in ENRICHED) + " FROM camp ORDER BY campaign_id LIMIT 5")
     q["table_info"] = sql(" UNION ALL ".join(
         f"SELECT '{c}' AS variable, '{types.get(c, 'double')}' AS dtype, count({c}) AS non_null, count(*) AS n_rows FROM camp"
         for c in ENRICHED))
@@ -429,6 +431,13 @@ def eval_sql() -> dict[str, str]:
         "cc AS (SELECT model, actual, predicted, count(*) AS n FROM tcp GROUP BY model, actual, predicted)")
     q["residuals"] = sql("SELECT model, campaign_id, round(actual, 6) AS actual, round(predicted, 6) AS predicted, "
                          "round(actual - predicted, 6) AS residual FROM rp WHERE split = 'test'", *base)
+    q["residual_bounds"] = sql(
+        "SELECT model, round(least(min(actual), min(predicted)), 6) AS lo, round(greatest(max(actual), max(predicted)), 6) AS hi "
+        "FROM rp WHERE split = 'test' GROUP BY model", *base)
+    q["metric_labels"] = sql(
+        "SELECT model, format('{:.4f}', r2) AS r2_text, format('{:.4f}', mae) AS mae_text, format('{:,}', n_rows) AS n_text FROM mt "
+        "JOIN (SELECT model, count(*) AS n_rows FROM rp WHERE split = 'test' GROUP BY model) USING (model)",
+        *base, f"mt AS ({_reg_metrics(chr(40) + 'SELECT * FROM rp WHERE split = ' + chr(39) + 'test' + chr(39) + chr(41))})")
     q["worst_predictions"] = sql(
         "SELECT c.campaign_id, round(c.TV, 6) AS TV, round(c.Radio, 6) AS Radio, round(c.Social_Media, 6) AS Social_Media, "
         "c.Influencer, w.model, sales_actual, sales_predicted, abs_error, pct_error FROM camp c JOIN "
@@ -539,6 +548,7 @@ def score_sql() -> dict[str, str]:
     q["scenario_unknown_model"] = sql("SELECT request_id, model, reason FROM val WHERE reason = 'model_not_found'", *base)
     tot = "(TV + Radio + Social_Media)"
     roi = f"CASE WHEN {tot} > 0 THEN p / {tot} ELSE 0.0 END"
+    q["scenario_rejected"] = sql("SELECT request_id, model, reason FROM val WHERE reason IS NOT NULL", *base)
     q["score_scenarios"] = sql(
         f"SELECT request_id, model AS model_used, round(p, 4) AS predicted_sales_M, round({roi}, 4) AS roi_estimate, "
         f"round({tot}, 4) AS total_budget_M, round(p - {tot}, 4) AS profit_estimate_M, "
@@ -573,9 +583,12 @@ def score_sql() -> dict[str, str]:
         "(SELECT *, row_number() OVER (PARTITION BY task, model ORDER BY tuned DESC) AS rr FROM regi) r "
         "LEFT JOIN dflt d USING (task) WHERE rr = 1", *reg)
     q["model_info"] = sql(
-        "SELECT task, string_agg(model, ', ' ORDER BY model) AS available_models, "
+        "SELECT t.task, coalesce(string_agg(model, ', ' ORDER BY model), '') AS available_models, "
         "arg_min(model, (-score, model)) AS best_model, count(DISTINCT model) AS n_models, "
-        "CASE WHEN count(DISTINCT model) > 0 THEN 'healthy' ELSE 'degraded' END AS status FROM regi GROUP BY task", *reg)
+        "CASE WHEN count(DISTINCT model) > 0 THEN 'healthy' ELSE 'degraded' END AS status, target, "
+        "'TV, Radio, Social_Media, Influencer' AS input_features "
+        "FROM (VALUES ('regression', 'Sales'), ('classification', 'Performance')) t(task, target) LEFT JOIN regi USING (task) "
+        "GROUP BY t.task, target", *reg)
     q["metadata_merge"] = sql(
         "SELECT 'best_reg_model' AS key, (SELECT model FROM dflt WHERE task = 'regression') AS value UNION ALL "
         "SELECT 'best_clf_model', (SELECT model FROM dflt WHERE task = 'classification') UNION ALL "
@@ -655,17 +668,11 @@ def explain_sql() -> dict[str, str]:
         "JOIN fit ON fit.f = fs.f AND fit.i = fs.i)",
         "per AS (SELECT f, i, kind, 1 - sum((Sales - p) * (Sales - p)) / nullif(var_pop(Sales) * count(*), 0) AS r2, "
         "count(*) AS n FROM cells GROUP BY f, i, kind)")
-    runs = ", ".join(f"('{t}', '{m}')" for t, ms in [("regression", ["Linear Regression", "Random Forest",
-                                                                      "Gradient Boosting"]),
-                                                     ("classification", ["Logistic Regression", "Random Forest",
-                                                                         "Gradient Boosting", "MLP (Deep Learning)"])]
-                     for m in ms)
     dim = ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in DEPLOYMENT_COMPLEXITY)
-    q["deployment_cost"] = expand_round(
-        "SELECT t.task, t.model, coalesce(params_est, '?') AS params_est, coalesce(inference_ms, '?') AS inference_ms, "
-        "coalesce(export, '?') AS export, coalesce(note, '?') AS note FROM "
-        f"(VALUES {runs}) t(task, model) LEFT JOIN (VALUES {dim}) d(model, params_est, inference_ms, export, note) "
-        "USING (model)")
+    q["deployment_cost"] = sql(
+        "SELECT 'regression' AS task, model, coalesce(params_est, '?') AS params_est, coalesce(inference_ms, '?') AS inference_ms, "
+        "coalesce(export, '?') AS export, coalesce(note, '?') AS note FROM (SELECT DISTINCT model FROM req WHERE model IS NOT NULL) "
+        f"LEFT JOIN (VALUES {dim}) d(model, params_est, inference_ms, export, note) USING (model)", *_score_ctes())
     return q
 
 

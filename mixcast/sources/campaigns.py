@@ -63,8 +63,8 @@ def _fixed(c: str, scale: int):
     return F.floor(F.col(c) * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
 
 
-def campaigns_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One campaign per order.
+def campaigns_from_orders(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One campaign per order; ``keep`` names columns of the orders to carry along.
 
     Channel budgets are the order's line values by return flag, sales the discounted,
     taxed line value, both in thousands.  Lines are pre-aggregated per order before the
@@ -84,7 +84,7 @@ def campaigns_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.sum(F.when(F.col("l_returnflag") == flag, cents)).alias(f"{ch}_c")
           for flag, ch in FLAG_TO_CHANNEL.items()],
         F.sum(micro).alias("Sales_u"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", *keep)
     tier = F.lit(None).cast("string")
     for prio, name in reversed(list(PRIORITY_TO_TIER.items())):
         tier = F.when(F.col("o_orderpriority") == prio, name).otherwise(tier)
@@ -94,4 +94,4 @@ def campaigns_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias(KEY),
         *[(F.col(f"{ch}_c").cast("double") / F.lit(100.0) / thousand).alias(ch) for ch in CHANNELS],
         tier.alias("Influencer"),
-        (F.col("Sales_u").cast("double") / F.lit(1000000.0) / thousand).alias("Sales"))
+        (F.col("Sales_u").cast("double") / F.lit(1000000.0) / thousand).alias("Sales"), *keep)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.score import parse_scenarios, score_scenarios, validate_scenarios
+from ..operators.score import parse_scenarios, score_quarantined, validate_scenarios
 
 REQUEST_SCHEMA = "request_id long, body string"
 
@@ -38,9 +38,9 @@ def stream_score(spark: SparkSession, source_dir: str, models: dict, default_mod
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         validated = validate_scenarios(parse_scenarios(batch), registry, default_model).persist()
         ok = validated.where(F.col("reason").isNull())
-        scored = score_scenarios(ok, models, with_timestamp=with_timestamp)
+        scored, failed = score_quarantined(ok, models, with_timestamp=with_timestamp)
         scored.write.mode("overwrite").parquet(os.path.join(out_dir, "scored", f"batch={batch_id}"))
-        (validated.where(F.col("reason").isNotNull()).select("request_id", "model", "reason")
+        (validated.where(F.col("reason").isNotNull()).select("request_id", "model", "reason").unionByName(failed)
          .write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"batch={batch_id}")))
         validated.unpersist()
 

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from mixcast.operators import score as SC
 from mixcast.operators.predictors import TrendModel
 
@@ -56,3 +58,38 @@ def test_feature_labels_and_model_info(spark):
     info = {r["task"]: r for r in SC.model_info(SC.model_registry(reg)).collect()}
     assert info["regression"]["available_models"] == "A, B" and info["regression"]["best_model"] == "A"
     assert info["classification"]["n_models"] == 1 and info["classification"]["status"] == "healthy"
+    assert info["regression"]["target"] == "Sales" and info["regression"]["input_features"] == "TV, Radio, Social_Media, Influencer"
+    gone = {r["task"]: r for r in SC.model_info(SC.model_registry(reg.where("task = 'regression'"))).collect()}
+    assert gone["classification"]["status"] == "degraded" and gone["classification"]["n_models"] == 0
+    assert gone["regression"]["status"] == "healthy"
+
+
+class _Fails:
+    """A model that has no answer for some rows, and one whose plan cannot be built."""
+
+    def __init__(self, whole):
+        self.whole = whole
+
+    def predict(self, df):
+        if self.whole:
+            raise ValueError("no such pipeline")
+        tv = F.col("TV")
+        return df.withColumn("prediction", F.when(tv == 1, None).when(tv == 2, float("nan")).when(tv == 3, float("inf")).otherwise(tv))
+
+
+def test_failing_rows_are_set_aside(spark, tmp_path):
+    acc = spark.createDataFrame([(i, float(i % 5), 1.0, 1.0, "Mega", "AB"[i % 2] if i < 10 else "C") for i in range(14)],
+                                "request_id long, TV double, Radio double, Social_Media double, Influencer string, model string")
+    models = {"A": _Fails(False), "B": TrendModel("TV", 0.0, 1.0), "C": _Fails(True)}
+    scored, rejected = SC.score_quarantined(acc, models, with_timestamp=False)
+    good = {r["request_id"] for r in scored.collect()}
+    bad = {r["request_id"]: (r["model"], r["reason"]) for r in rejected.collect()}
+    assert good == {0, 1, 3, 4, 5, 7, 9} and set(bad) == set(range(14)) - good
+    assert bad[6] == ("A", "prediction_failed") and bad[12] == ("C", "prediction_failed: ValueError")
+    # the stream shares the path
+    from mixcast.streaming.score_stream import read_rejected, read_scored, stream_score
+    src = str(tmp_path / "in")
+    acc.select("request_id", F.to_json(F.struct("TV", "Radio", "Social_Media", "Influencer", "model")).alias("body")).write.parquet(src)
+    stream_score(spark, src, models, "B", str(tmp_path / "out"), str(tmp_path / "ck"), with_timestamp=False).awaitTermination()
+    assert {r["request_id"] for r in read_scored(spark, str(tmp_path / "out")).collect()} == good
+    assert {r["request_id"]: (r["model"], r["reason"]) for r in read_rejected(spark, str(tmp_path / "out")).collect()} == bad
