@@ -25,7 +25,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import CLASSES, SEED, TARGET_CLF, TARGET_REG
+from ..schema import CLASSES, KEY, SEED, TARGET_CLF, TARGET_REG
+from .boosting import Fit, blocks_of, boost, class_counts, weighted_f1
 from .evaluate import classification_metrics, regression_metrics
 from .features import feature_names, feature_stages
 from .predictors import SparkModel, predictions
@@ -144,16 +145,52 @@ def _fold_scores(train: DataFrame, ests: dict, task: str, k: int, parallelism: i
         held = data.where(F.col("fold") == f).withColumn("split", F.lit(str(f)))
         return predictions(held, {name: model}, task)
 
-    names = sorted(ests, key=lambda n: _COST.get(type(ests[n]), 9))
-    parts = in_pool([functools.partial(one, n, ests[n], f) for n in names for f in range(k)], parallelism)
-    preds = functools.reduce(DataFrame.unionByName, parts)
-    metrics, score = (regression_metrics, "r2") if task == "regression" else (classification_metrics, "f1")
-    found = metrics(preds, ("model", "split"), digits=12).select(
-        "model", F.col("split").cast("int").alias("fold"), F.col(score).alias("score")).collect()  # models x folds rows
+    boosted = [n for n in ests if _boosting(ests[n]) is not None]
+    names = sorted((n for n in ests if n not in boosted), key=lambda n: _COST.get(type(ests[n]), 9))
+    tasks = [functools.partial(boosted_scores, data, ests[n], task, k) for n in boosted]
+    tasks += [functools.partial(one, n, ests[n], f) for n in names for f in range(k)]
+    parts = in_pool(tasks, parallelism)
+    found = [(n, f, s) for n, scores in zip(boosted, parts) for f, s in enumerate(scores)]
+    if names:
+        preds = functools.reduce(DataFrame.unionByName, parts[len(boosted):])
+        metrics, score = (regression_metrics, "r2") if task == "regression" else (classification_metrics, "f1")
+        found += [tuple(r) for r in metrics(preds, ("model", "split"), digits=12).select(
+            "model", F.col("split").cast("int"), score).collect()]  # models x folds rows
     data.unpersist()
     return train.sparkSession.createDataFrame(found, "model string, fold int, score double")
 
 
+def _boosting(est):
+    """The boosting estimator of a fit, if it is one."""
+    own = est.getClassifier() if isinstance(est, OneVsRest) else est
+    return own if isinstance(own, (GBTRegressor, GBTClassifier)) else None
+
+
+def boosted_scores(data: DataFrame, est, task: str, k: int) -> list[float]:
+    """R² or weighted F1 of boosting on every fold, all folds (and classes) grown together."""
+    own = _boosting(est)
+    label = TARGET_REG if task == "regression" else "label"
+    stages = feature_stages(data) + ([SQLTransformer(statement=LABEL_SQL)] if task == "classification" else [])
+    flat = Pipeline(stages=stages).fit(data).transform(data)
+    blocks, edges = blocks_of(flat, label, "fold", KEY)
+    kinds = [None] if task == "regression" else list(range(len(CLASSES)))
+    fits = [Fit(f, own.getStepSize(), own.getMaxDepth(), c) for f in range(k) for c in kinds]
+    _, sse, outputs = boost(blocks, len(edges), fits, own.getMaxIter(), own.getSubsamplingRate(), own.getMinInstancesPerNode(), SEED)
+    if task == "regression":
+        spread = _spread(flat)
+        scores = [1.0 - float(sse[-1, f]) / spread[f] for f in range(k)]
+    else:
+        counts = class_counts(blocks, fits, outputs, len(CLASSES))
+        scores = [weighted_f1(counts[f]) for f in range(k)]
+    blocks.unpersist()
+    return scores
+
+
+def _spread(data: DataFrame) -> dict[int, float]:
+    """Squared distance of the target from its mean, by fold."""
+    return {r["fold"]: r["v"] for r in data.groupBy("fold").agg((F.var_pop(TARGET_REG) * F.count(TARGET_REG)).alias("v")).collect()}
+
+
 def estimators_for(train: DataFrame, task: str, profile: str, only: list[str] | None = None) -> dict:
     """The task's estimators by name; ``train`` holds the class weights for classification."""
     if task == "regression":
@@ -207,40 +244,34 @@ def _size(name: str, est) -> tuple[int, str]:
 
 
 def boosting_prefix_scores(data: DataFrame, rounds: list[int], settings: list[tuple[float, int]], k: int = 5,
-                           seed: int = SEED, parallelism: int = 8) -> dict[tuple[float, int, int], list[float]]:
-    """R² on each fold of each (step, depth) after each number of ``rounds``, from one fit of the most rounds per fold.
+                           seed: int = SEED, share: float = 0.8) -> dict[tuple[float, int, int], list[float]]:
+    """R² on each fold of each (step, depth) after each number of ``rounds``: all settings and folds grown together.
 
-    Round m of boosting depends on the rounds before it and on seed + m only, so the first r trees of a longer fit are
-    the fit of r rounds; ``evaluateEachIteration`` reads the error after every round in one pass over the held fold.
+    Round m of boosting depends on the rounds before it only, so the first r trees of a longer fit are the fit of r
+    rounds, and one run of the most rounds scores every number of rounds.
     """
-    spread = {r["fold"]: r["v"] for r in data.groupBy("fold").agg(F.var_pop(TARGET_REG).alias("v")).collect()}
-
-    def one(step, depth, f):
-        est = GBTRegressor(featuresCol="features", labelCol=TARGET_REG, subsamplingRate=0.8, minInstancesPerNode=2,
-                           maxIter=max(rounds), stepSize=step, maxDepth=depth, seed=seed)
-        errors = est.fit(data.where(F.col("fold") != f)).evaluateEachIteration(data.where(F.col("fold") == f), "squared")
-        return [1.0 - errors[r - 1] / spread[f] for r in rounds]
-
-    order = sorted(settings, key=lambda s: -s[1])  # deep trees first
-    found = iter(in_pool([functools.partial(one, *s, f) for s in order for f in range(k)], parallelism))
-    folds = {s: [next(found) for _ in range(k)] for s in order}
-    return {(*s, r): [f[i] for f in folds[s]] for s in settings for i, r in enumerate(rounds)}
+    spread = _spread(data)
+    blocks, edges = blocks_of(data, TARGET_REG, "fold", KEY)
+    fits = [Fit(f, *s) for s in settings for f in range(k)]
+    _, sse, _ = boost(blocks, len(edges), fits, max(rounds), share, 2, seed)
+    blocks.unpersist()
+    return {(*s, r): [1.0 - float(sse[r - 1, i * k + f]) / spread[f] for f in range(k)]
+            for i, s in enumerate(settings) for r in rounds}
 
 
 def grid_search(train: DataFrame, task: str = "regression", k: int = 5, grid: dict | None = None,
-                parallelism: int = 8):
+                parallelism: int = 4):
     """K7: grid over boosting rounds, step size and depth; CV on the fold column; refit on all training rows.
 
-    Regression settings that differ in rounds only share their fits, and all fits of the grid share one compact table
-    of features and one pool.  The scaler is fitted on all training rows: trees do not depend on a feature's scale.
+    Regression settings that differ in rounds only share their fits, and the fits of all settings and folds are grown
+    together (``boosting``).  The scaler is fitted on all training rows: trees do not depend on a feature's scale.
     Returns (best model as ``SparkModel``, table of settings, cv_mean, cv_std)."""
     grid = grid or GRID
     if task == "classification":
         return _grid_search_classes(_prep(train, task), k, grid, parallelism)
     prep = Pipeline(stages=feature_stages(train)).fit(train)
-    data = compact(prep.transform(train).select("features", TARGET_REG, "fold"))
-    scores = boosting_prefix_scores(data, grid["maxIter"], list(itertools.product(grid["stepSize"], grid["maxDepth"])), k,
-                                    parallelism=parallelism)
+    data = compact(prep.transform(train).select(KEY, "features", TARGET_REG, "fold"))
+    scores = boosting_prefix_scores(data, grid["maxIter"], list(itertools.product(grid["stepSize"], grid["maxDepth"])), k)
     rows = [({"maxIter": r, "stepSize": step, "maxDepth": depth}, mean(s), pstdev(s)) for (step, depth, r), s in scores.items()]
     best = max(rows, key=lambda row: row[1])[0]
     model = GBTRegressor(featuresCol="features", labelCol=TARGET_REG, subsamplingRate=0.8, minInstancesPerNode=2,
