@@ -77,26 +77,35 @@ def units(text: str | None) -> list[str]:
     return out
 
 
-def spans(pieces: list[str], min_units: int, min_words: int) -> list[tuple[int, int, int]]:
-    """``(first unit, units, hash)`` of every shortest span, forwards and backwards."""
+def marks(pieces: list[str]) -> tuple[list[int], list[int], bytes]:
+    """The units with words: their places, their numbers of words, and 8 bytes of hash for each."""
     digest = xxhash.xxh64_digest
     words = [p.split() for p in pieces]
     # units without words belong to no span of their own but may lie inside one
     at = [i for i, w in enumerate(words) if w]
+    return at, [len(words[i]) for i in at], b"".join([digest(" ".join(words[i]).lower()) for i in at])
+
+
+def spans(pieces: list[str], min_units: int, min_words: int) -> list[tuple[int, int, int]]:
+    """``(first unit, units, hash)`` of every shortest span, forwards and backwards."""
+    return runs(*marks(pieces), min_units, min_words)
+
+
+def runs(at: list[int], sizes: list[int], marks: bytes, min_units: int, min_words: int) -> list[tuple[int, int, int]]:
+    """``spans`` of a text from its ``marks``."""
     if len(at) < min_units:
         return []
-    marks = b"".join([digest(" ".join(words[i]).lower()) for i in at])
     total = [0]
-    for i in at:
-        total.append(total[-1] + len(words[i]))
-    n, runs, end, last = len(at), set(), 0, -1
+    for n in sizes:
+        total.append(total[-1] + n)
+    n, ends, end, last = len(at), set(), 0, -1
     for a in range(n):
         end = max(end, a + min_units)
         while end <= n and total[end] - total[a] < min_words:
             end += 1
         if end > n:
             break
-        runs.add((a, end))
+        ends.add((a, end))
         last = a
     if last < 0:
         return []
@@ -107,22 +116,42 @@ def spans(pieces: list[str], min_units: int, min_words: int) -> list[tuple[int,
             start -= 1
         if start < 0:
             break
-        runs.add((start, b))
+        ends.add((start, b))
     num = xxhash.xxh64_intdigest
-    return [(at[a], at[b - 1] - at[a] + 1, num(marks[8 * a:8 * b]) - (1 << 63)) for a, b in runs]
+    return [(at[a], at[b - 1] - at[a] + 1, num(marks[8 * a:8 * b]) - (1 << 63)) for a, b in ends]
 
 
-def repeated_spans(docs: DataFrame, id_col: str, text: str = "text", min_units: int = MIN_UNITS,
-                   min_words: int = MIN_WORDS) -> DataFrame:
-    """``(id, th, first, n)``: the spans that are not the first of their hash; th: hash of the document's text."""
+def cut_up(docs: DataFrame, id_col: str, text: str = "text") -> DataFrame:
+    """``(id, th, units, at, sizes, marks)`` of every text, written: both passes over the spans read these arrays, some
+    9 bytes per unit, instead of the texts.  th: hash of the text; ``at`` is empty where every unit has words."""
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(f"`{text}`").alias("th"),
                       F.col(f"`{text}`").alias("text")).where(F.length("text") > 0)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for t in pdf["text"]:
+                pieces = units(t)
+                at, sizes, hashes = marks(pieces)
+                rows.append((len(pieces), b"" if len(at) == len(pieces) else np.array(at, np.int32).tobytes(),
+                             np.array(sizes, np.uint8).tobytes(), hashes))  # a unit has UNIT_WORDS words at most
+            yield pdf[["id", "th"]].join(pd.DataFrame(rows, columns=["units", "at", "sizes", "marks"], index=pdf.index)).astype(
+                {"id": "Int64", "units": "int32"})
+
+    return cut(src.mapInPandas(run, "id long, th long, units int, at binary, sizes binary, marks binary"))
+
+
+def repeated_spans(told: DataFrame, min_units: int = MIN_UNITS, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(id, th, first, n)``: the spans that are not the first of their hash, from the rows of ``cut_up``."""
+    def found(units_: int, at: bytes, sizes: bytes, hashes: bytes) -> list[tuple[int, int, int]]:
+        places = np.frombuffer(at, np.int32).tolist() if at else range(units_ if sizes else 0)
+        return runs(places, list(sizes), hashes, min_units, min_words)
+
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             flat = []
-            for k, t in enumerate(pdf["text"]):
-                flat += [h for *_, h in spans(units(t), min_units, min_words)]
+            for k, row in enumerate(zip(pdf["units"], pdf["at"], pdf["sizes"], pdf["marks"])):
+                flat += [h for *_, h in found(*row)]
                 if len(flat) >= FLUSH or k == len(pdf) - 1:
                     yield pd.DataFrame({"h": np.array(flat, np.int64)})
                     flat = []
@@ -130,10 +159,10 @@ def repeated_spans(docs: DataFrame, id_col: str, text: str = "text", min_units:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows, flat = [], []
-            for k, t in enumerate(pdf["text"]):
-                found = spans(units(t), min_units, min_words)
-                rows += [k] * len(found)
-                flat += found
+            for k, row in enumerate(zip(pdf["units"], pdf["at"], pdf["sizes"], pdf["marks"])):
+                own = found(*row)
+                rows += [k] * len(own)
+                flat += own
                 if len(flat) >= FLUSH or k == len(pdf) - 1:
                     yield pd.DataFrame({
                         "id": pdf["id"].astype("Int64").take(rows).to_numpy(), "th": pdf["th"].take(rows).to_numpy(),
@@ -143,9 +172,9 @@ def repeated_spans(docs: DataFrame, id_col: str, text: str = "text", min_units:
 
     # only hashes are counted over all spans, places are compared for the repeated ones; each side of a join is written,
     # so that the join has shuffles of its own on both sides and Spark can split a frequent hash
-    many = cut(src.select("text").mapInPandas(hashes, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("k"))
-               .where("k > 1").select("h"))
-    every = cut(src.mapInPandas(run, "id long, th long, first int, n int, h long").join(many, "h"))
+    many = cut(told.select("units", "at", "sizes", "marks").mapInPandas(hashes, "h long").groupBy("h")
+               .agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"))
+    every = cut(told.mapInPandas(run, "id long, th long, first int, n int, h long").join(many, "h"))
     where = F.struct("id", "th", "first")
     firsts = cut(every.groupBy("h").agg(F.min(where).alias("lo")))
     return every.join(firsts, "h").where(F.col("lo") < where).select("id", "th", "first", "n")
@@ -156,33 +185,31 @@ def deduplicate(docs: DataFrame, id_col: str, text: str = "text", min_units: int
     """``docs`` with the covered units removed from ``text``; ``counts`` adds ``units`` and ``removed_units`` (int)."""
     clash = {"units", "removed_units"} if counts else set()
     cols = [c for c in docs.columns if c not in clash]
-    marks = (repeated_spans(docs, id_col, text, min_units, min_words).groupBy("id", "th")
-             .agg(F.collect_set(F.struct("first", "n")).alias("__spans"))  # at most two per unit of one document
-             .select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__spans"))
+    told = cut_up(docs, id_col, text)
+    found = repeated_spans(told, min_units, min_words).select("id", "th", F.struct("first", "n").alias("s"), F.lit(0).alias("u"))
+    if counts:
+        found = found.union(told.select("id", "th", F.lit(None).cast(dict(found.dtypes)["s"]).alias("s"), F.col("units").alias("u")))
+    gone = (found.groupBy("id", "th")
+            .agg(F.collect_set("s").alias("__spans"), F.max("u").alias("__size"))  # at most two per unit of one document
+            .select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__spans", "__size"))
     own = [f"__c{i}" for i in range(len(cols))]
     left = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(cols, own)],
                        F.col(f"`{id_col}`").cast("long").alias("__i"), F.xxhash64(f"`{text}`").alias("__t"))
-    joined = left.join(marks, left["__i"].eqNullSafe(marks["__id"]) & (left["__t"] == marks["__th"]), "left")
+    joined = left.join(gone, left["__i"].eqNullSafe(gone["__id"]) & (left["__t"] == gone["__th"]), "left")
     body = own[cols.index(text)]
-    some = joined.select(*own, F.col("__spans.first").alias("__firsts"), F.col("__spans.n").alias("__ns"))
+    some = joined.select(*own, F.col("__spans.first").alias("__firsts"), F.col("__spans.n").alias("__ns"),
+                         F.coalesce("__size", F.lit(0)).alias("__size"))
     schema = some.select(*own, F.lit(0).alias("__u"), F.lit(0).alias("__r")).schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts, size, gone = [], [], []
+            texts, removed = [], []
             for t, firsts, ns in zip(pdf[body], pdf.pop("__firsts"), pdf.pop("__ns")):
-                if firsts is None or len(firsts) == 0:
-                    texts.append(t)
-                    size.append(len(units(t)) if counts else 0)
-                    gone.append(0)
-                    continue
-                pieces = units(t)
-                out = {k for a, n in zip(firsts, ns) for k in range(a, a + n)}
-                texts.append("".join(p for k, p in enumerate(pieces) if k not in out))
-                size.append(len(pieces))
-                gone.append(len(out))
+                out = set() if firsts is None else {k for a, n in zip(firsts, ns) for k in range(a, a + n)}
+                texts.append("".join(p for k, p in enumerate(units(t)) if k not in out) if out else t)
+                removed.append(len(out))
             pdf[body] = pd.Series(texts, index=pdf.index, dtype=object)
-            pdf["__u"], pdf["__r"] = size, gone
+            pdf["__u"], pdf["__r"] = pdf.pop("__size"), removed
             yield pdf
 
     done = some.mapInPandas(run, schema)
