@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, ship_package
+from ..session import ensure_checkpoint_dir, scratch_path, ship_package
 
 
 BATCH = "2000"  # rows of whole texts that a Python worker holds at once
@@ -31,6 +33,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table of its own in the shared checkpoint folder: columns take less disk than checkpointed rows."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 SMALL = 200_000  # rows of a few numbers each that may be broadcast: some MB
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, written
 
 UNIT_WORDS = 13  # a longer sentence is cut once in any so many neighbouring places
 MIN_UNITS = 1
@@ -174,7 +174,7 @@ def repeated_spans(told: DataFrame, min_units: int = MIN_UNITS, min_words: int =
     # so that the join has shuffles of its own on both sides and Spark can split a frequent hash
     many = cut(told.select("units", "at", "sizes", "marks").mapInPandas(hashes, "h long").groupBy("h")
                .agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"))
-    every = cut(told.mapInPandas(run, "id long, th long, first int, n int, h long").join(many, "h"))
+    every = written(told.mapInPandas(run, "id long, th long, first int, n int, h long").join(many, "h"), "spans")
     where = F.struct("id", "th", "first")
     firsts = cut(every.groupBy("h").agg(F.min(where).alias("lo")))
     return every.join(firsts, "h").where(F.col("lo") < where).select("id", "th", "first", "n")
