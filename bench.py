@@ -26,7 +26,7 @@ HEADLINE = [
     "histogram", "box_stats", "trend_by_influencer", "saturation_points", "top_roi", "split_stratified",
     "regression_metrics", "classification_metrics", "roc_auc_ovr", "confusion_matrix", "model_comparison",
     "score_scenarios", "scenario_by_model", "sensitivity", "permutation_importance", "shap_linear",
-    "fit_linear", "fit_gbt",  # each fitted alone, with the whole profile
+    "lowess_roi", "fit_linear", "shap_kernel", "fit_gbt", "shap_tree",  # each fitted alone, with the whole profile
 ]
 
 
