@@ -43,12 +43,19 @@ def onehot_sql(col: str = CATEGORY, categories=tuple(CATEGORIES)) -> str:
     return ", ".join(f"CAST(coalesce({col} = '{c}', false) AS DOUBLE) AS {col}_{c}" for c in categories[1:])
 
 
-def feature_stages(train: DataFrame, output: str = "features") -> list:
-    """F1-F3 as pipeline stages fitted on ``train``: SQLTransformer + VectorAssembler."""
+def feature_stages(train: DataFrame, output: str = "features", raw: bool = False) -> list:
+    """F1-F3 as pipeline stages fitted on ``train``: SQLTransformer + VectorAssembler.
+
+    With ``raw``, ``train`` holds uncleaned campaigns and the first stage cleans and enriches too (``preparer``)."""
+    cols = [f"{c}_z" for c in CHANNELS] + [f"{CATEGORY}_{c}" for c in CATEGORIES[1:]]
+    assembled = VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="keep")
+    if raw:
+        from .preparer import CampaignPreparer
+
+        return [CampaignPreparer().fit(train), assembled]
     stats = fit_scaling(train)
     stmt = f"SELECT *, {scale_sql(stats)}, {onehot_sql()} FROM __THIS__"
-    cols = [f"{c}_z" for c in CHANNELS] + [f"{CATEGORY}_{c}" for c in CATEGORIES[1:]]
-    return [SQLTransformer(statement=stmt), VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="keep")]
+    return [SQLTransformer(statement=stmt), assembled]
 
 
 def scaled_features(df: DataFrame, train: DataFrame) -> DataFrame:

@@ -82,16 +82,17 @@ def classification_estimators(profile: str = "reference", seed: int = SEED, n_we
     }
 
 
-def pipeline_for(train: DataFrame, estimator, task: str) -> Pipeline:
-    stages = feature_stages(train)
+def pipeline_for(train: DataFrame, estimator, task: str, raw: bool = False) -> Pipeline:
+    stages = feature_stages(train, raw=raw)
     if task == "classification":
         stages.append(SQLTransformer(statement=LABEL_SQL))
     return Pipeline(stages=[*stages, estimator])
 
 
-def fit_model(train: DataFrame, estimator, task: str) -> tuple[SparkModel, float]:
+def fit_model(train: DataFrame, estimator, task: str, raw: bool = False) -> tuple[SparkModel, float]:
+    """The fitted pipeline and its seconds; with ``raw`` the pipeline cleans and enriches the campaigns by itself."""
     t0 = time.time()
-    model = pipeline_for(train, estimator, task).fit(train)
+    model = pipeline_for(train, estimator, task, raw).fit(train)
     return SparkModel(model, task, CLASSES if task == "classification" else None), round(time.time() - t0, 3)
 
 
@@ -136,16 +137,18 @@ def cross_validate(train: DataFrame, estimator, name: str, task: str, k: int = 5
 _COST = {MultilayerPerceptronClassifier: 0, OneVsRest: 1, GBTRegressor: 1, RandomForestClassifier: 2, RandomForestRegressor: 2}
 
 
-def _fold_scores(train: DataFrame, ests: dict, task: str, k: int, parallelism: int) -> DataFrame:
-    """The fits of all estimators on all folds share one compact table and one pool; all are scored in one aggregation."""
+def _fold_scores(train: DataFrame, ests: dict, task: str, k: int, parallelism: int, raw: bool = False) -> DataFrame:
+    """The fits of all estimators on all folds share one compact table and one pool; all are scored in one aggregation.
+
+    With ``raw`` every fit cleans by the statistics of its own folds, so boosting is fitted like the others."""
     data = compact(train)
 
     def one(name, est, f):
-        model, _ = fit_model(data.where(F.col("fold") != f), est.copy(), task)
+        model, _ = fit_model(data.where(F.col("fold") != f), est.copy(), task, raw)
         held = data.where(F.col("fold") == f).withColumn("split", F.lit(str(f)))
         return predictions(held, {name: model}, task)
 
-    boosted = [n for n in ests if _boosting(ests[n]) is not None]
+    boosted = [n for n in ests if _boosting(ests[n]) is not None and not raw]
     names = sorted((n for n in ests if n not in boosted), key=lambda n: _COST.get(type(ests[n]), 9))
     tasks = [functools.partial(boosted_scores, data, ests[n], task, k) for n in boosted]
     tasks += [functools.partial(one, n, ests[n], f) for n in names for f in range(k)]
@@ -201,16 +204,16 @@ def estimators_for(train: DataFrame, task: str, profile: str, only: list[str] |
 
 
 def cross_validate_all(train: DataFrame, task: str, profile: str = "reference", k: int = 5,
-                       only: list[str] | None = None, parallelism: int = 8) -> DataFrame:
+                       only: list[str] | None = None, parallelism: int = 8, raw: bool = False) -> DataFrame:
     """K6: fold scores of every estimator of the task: (model, fold, score)."""
     train = _prep(train, task)
-    return _fold_scores(train, estimators_for(train, task, profile, only), task, k, parallelism)
+    return _fold_scores(train, estimators_for(train, task, profile, only), task, k, parallelism, raw)
 
 
 def train_all(train: DataFrame, task: str = "regression", profile: str = "reference", k: int = 5,
-              cv: bool = True, only: list[str] | None = None, parallelism: int = 4
+              cv: bool = True, only: list[str] | None = None, parallelism: int = 4, raw: bool = False
               ) -> tuple[dict, DataFrame, DataFrame | None]:
-    """K6: fit every model on the training rows, time each fit, cross-validate.
+    """K6: fit every model on the training rows, time each fit, cross-validate; ``raw`` as in ``fit_model``.
 
     Returns (models by name, run table, CV score table or None)."""
     train = _prep(train, task)
@@ -218,12 +221,12 @@ def train_all(train: DataFrame, task: str = "regression", profile: str = "refere
     data = compact(train)
     models, runs = {}, []
     for name, est in ests.items():  # one after another: each fit is timed
-        models[name], secs = fit_model(data, est, task)
+        models[name], secs = fit_model(data, est, task, raw)
         runs.append((task, name, False, secs, *_size(name, est)))
     data.unpersist()
     run_df = train.sparkSession.createDataFrame(runs, "task string, model string, tuned boolean, train_time_s double, "
                                                       "n_params long, complexity string")
-    return models, run_df, _fold_scores(train, ests, task, k, parallelism) if cv else None
+    return models, run_df, _fold_scores(train, ests, task, k, parallelism, raw) if cv else None
 
 
 def _size(name: str, est) -> tuple[int, str]:

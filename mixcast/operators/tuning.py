@@ -121,3 +121,30 @@ def learning_curve(train: DataFrame, estimator, name: str, sizes: int = 8, k: in
     frame = train.sparkSession.createDataFrame(out, "model string, size_idx int, fraction double, n_train double, "
                                                     "train_mean double, train_std double, val_mean double, val_std double")
     return frame.select("model", "size_idx", "fraction", *[rnd(c, 6).alias(c) for c in frame.columns[3:]])
+
+
+def cv_raw_trend_scores(train: DataFrame, feature: str, name: str, k: int = 5, parallelism: int = 8) -> DataFrame:
+    """K6 over raw campaigns: each fold's line is fitted, and its rows filled, by the statistics of the other folds.
+
+    The fits run in one pool; the scores of all folds come from one aggregation."""
+    import functools
+
+    from .evaluate import regression_metrics
+    from .predictors import TrendModel, predictions
+    from .preparer import CampaignPreparer
+    from .train import compact, in_pool
+
+    data = compact(train)
+
+    def one(f):
+        rest = data.where(F.col("fold") != f)
+        prepared = CampaignPreparer().fit(rest)
+        line = TrendModel.fit(prepared.transform(rest), feature)
+        held = prepared.transform(data.where(F.col("fold") == f)).withColumn("split", F.lit(str(f)))
+        return predictions(held, {name: line})
+
+    parts = in_pool([functools.partial(one, f) for f in range(k)], parallelism)
+    found = regression_metrics(functools.reduce(DataFrame.unionByName, parts), ("model", "split"), digits=12).select(
+        "model", F.col("split").cast("int").alias("fold"), F.col("r2").alias("score")).collect()  # one row per fold
+    data.unpersist()
+    return train.sparkSession.createDataFrame(found, "model string, fold int, score double")

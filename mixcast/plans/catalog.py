@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import rnd
 from ..operators import profile as P
 from ..operators.lowess import lowess_curve
-from ..operators.prepare import ENRICHED_COLUMNS
+from ..operators.prepare import ENRICHED_COLUMNS, drop_unlabelled
 from ..schema import CHANNELS, KEY
 from .context import context, rounded
 
@@ -778,6 +778,61 @@ def q_ml_learning_curve(spark, sf):
     return learning_curve(train, TR.regression_estimators()["Linear Regression"], "Linear Regression")
 
 
+# ---------------------------------------------------------------- statistics of the training rows only
+
+from ..operators.preparer import ENCODED, SCALED, CampaignPreparer, statistics_table  # noqa: E402
+from ..operators.tuning import cv_raw_trend_scores  # noqa: E402
+
+
+def raw_split(spark, sf) -> DataFrame:
+    """Labelled, uncleaned campaigns with the split and the fold of their key."""
+    return context(spark, sf).get("raw_split", lambda: SP.with_folds(SP.hash_split(
+        drop_unlabelled(context(spark, sf).raw))).persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def train_preparation(spark, sf):
+    return context(spark, sf).get("train_preparation", lambda: CampaignPreparer().fit(
+        raw_split(spark, sf).where(F.col("split") == "train")))
+
+
+@query("leak_free_campaigns")
+def q_leak_free(spark, sf):
+    """All campaigns, cleaned, enriched, scaled and encoded by the statistics of the training rows."""
+    out = train_preparation(spark, sf).transform(raw_split(spark, sf))
+    return rounded(out.select(*ENRICHED_COLUMNS, "split", *SCALED, *ENCODED))
+
+
+@query("preparation_shift")
+def q_preparation_shift(spark, sf):
+    """What the statistics owe to the test rows: fitted on all labelled rows and on the training rows."""
+    every = CampaignPreparer().fit(raw_split(spark, sf))
+    table = statistics_table({"all_rows": every, "train_rows": train_preparation(spark, sf)}, spark)
+    return rounded(table.withColumn("shift", F.col("all_rows") - F.col("train_rows")))
+
+
+@query("leak_free_metrics")
+def q_leak_free_metrics(spark, sf):
+    """E1 of the trend lines on campaigns prepared by the training rows alone."""
+    ready = train_preparation(spark, sf).transform(raw_split(spark, sf))
+    train = ready.where(F.col("split") == "train")
+    lines = {name: TrendModel.fit(train, feat) for name, feat in TREND_FEATURES.items()}
+    return EV.regression_metrics(test_only(predictions(ready, lines)))
+
+
+@query("leak_free_cv_scores")
+def q_leak_free_cv(spark, sf):
+    """K6 with the preparation refitted inside every fold."""
+    train = raw_split(spark, sf).where(F.col("split") == "train")
+    return rounded(cv_raw_trend_scores(train, "Total_Budget", "Budget Trend"))
+
+
+@query("ml_leak_free_cv_scores")
+def q_ml_leak_free_cv(spark, sf):
+    """K6 of the linear pipeline with the preparation as its first stage."""
+    train = raw_split(spark, sf).where(F.col("split") == "train")
+    return rounded(TR.cross_validate_all(train, "regression", only=["Linear Regression"], raw=True))
+
+
 # ---------------------------------------------------------------- streaming (L1)
 
 import uuid  # noqa: E402
@@ -863,7 +918,7 @@ def q_ml_resolve(spark, sf):
 
 
 # Queries that fit pipelines with the reference's settings, quicker ones first.
-LONG = ["fit_linear", "shap_kernel", "ml_learning_curve", "fit_logistic", "fit_gbt", "ml_permutation_importance", "fit_forest", "feature_importance", "feature_labels", "shap_forest",
+LONG = ["fit_linear", "ml_leak_free_cv_scores", "shap_kernel", "ml_learning_curve", "fit_logistic", "fit_gbt", "ml_permutation_importance", "fit_forest", "feature_importance", "feature_labels", "shap_forest",
         "ml_worst_predictions", "ml_train_test_gap", "ml_r2_critique", "ml_residual_bounds", "ml_extreme_predictions",
         "ml_confusion_matrix", "ml_train_test_gap_classification",
         "fit_mlp_clf", "fit_forest_clf", "fit_gbt_clf", "fit_mlp_reg", "eco_score", "shap_tree", "ml_cv_scores",

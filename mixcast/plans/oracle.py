@@ -676,8 +676,67 @@ def explain_sql() -> dict[str, str]:
     return q
 
 
+RAW_SPLIT = (f"lfs AS (SELECT *, CASE WHEN substr({_md5()}, 1, 8) < '33333333' THEN 'test' ELSE 'train' END AS split, "
+             f"CAST(('0x' || substr({_md5()}, 9, 8))::BIGINT % 5 AS INTEGER) AS fold FROM lab)")
+
+
+def _prepared_ctes(tag: str, cond: str) -> list[str]:
+    """All labelled rows, filled and labelled by the statistics of those under ``cond``: ``pr_<tag>``."""
+    med = ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in CHANNELS)
+    fill = ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in CHANNELS)
+    mom = ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS d_{c}" for c in CHANNELS)
+    return [
+        f"st_{tag} AS (SELECT {med}, quantile_cont(Sales, {1/3!r}) AS t1, quantile_cont(Sales, {2/3!r}) AS t2 FROM lfs "
+        f"WHERE {cond})",
+        f"mo_{tag} AS (SELECT Influencer AS m_inf FROM lfs WHERE {cond} AND Influencer IS NOT NULL GROUP BY Influencer "
+        "ORDER BY count(*) DESC, Influencer LIMIT 1)",
+        f"pr_{tag} AS (SELECT campaign_id, split, fold, {fill}, coalesce(Influencer, m_inf) AS Influencer, Sales, t1, t2 "
+        f"FROM lfs, st_{tag}, mo_{tag})",
+        f"sc_{tag} AS (SELECT {mom} FROM pr_{tag} WHERE {cond})"]
+
+
+def leak_free_sql() -> dict[str, str]:
+    train = "split = 'train'"
+    base = [RAW_SPLIT, *_prepared_ctes("train", train)]
+    tb = "(TV + Radio + Social_Media)"
+    shares = ", ".join(f"round({c} / nullif({tb}, 0), 6) AS {n}" for c, n in
+                       [("TV", "TV_Share"), ("Radio", "Radio_Share"), ("Social_Media", "Social_Share")])
+    z = ", ".join(f"round(({c} - a_{c}) / CASE WHEN d_{c} = 0 THEN 1.0 ELSE d_{c} END, 6) AS {c}_z" for c in CHANNELS)
+    hot = ", ".join(f"CAST(coalesce(Influencer = '{c}', false) AS DOUBLE) AS Influencer_{c}" for c in ["Macro", "Micro", "Nano"])
+    out = {"leak_free_campaigns": sql(
+        "SELECT campaign_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in [*CHANNELS, "Sales"])
+        + f", Influencer, round({tb}, 6) AS Total_Budget, round(Sales / nullif({tb}, 0), 6) AS ROI, {shares}, "
+        "CASE WHEN Sales <= t1 THEN 'Low' WHEN Sales <= t2 THEN 'Medium' ELSE 'High' END AS Performance, "
+        f"split, {z}, {hot} FROM pr_train, sc_train", *base)}
+    both = [*base, *_prepared_ctes("all", "true")]
+    names = ([(f"median_{c}", "st", f"m_{c}") for c in CHANNELS] + [("tercile_1", "st", "t1"), ("tercile_2", "st", "t2")]
+             + [(f"mean_{c}", "sc", f"a_{c}") for c in CHANNELS] + [(f"deviation_{c}", "sc", f"d_{c}") for c in CHANNELS])
+    out["preparation_shift"] = sql(" UNION ALL ".join(
+        f"SELECT '{n}' AS statistic, round(a.{c}, 6) AS all_rows, round(t.{c}, 6) AS train_rows, round(a.{c} - t.{c}, 6) AS shift "
+        f"FROM {t}_all a, {t}_train t" for n, t, c in names), *both)
+    ctes, parts = [], []
+    ctes.append(f"lf AS (SELECT *, {tb} AS Total_Budget FROM pr_train)")
+    for i, (name, feat) in enumerate(TREND.items()):
+        ctes.append(f"lr{i} AS (SELECT regr_intercept(Sales, {feat}) AS a, regr_slope(Sales, {feat}) AS b FROM lf WHERE {train})")
+        parts.append(f"SELECT campaign_id, '{name}' AS model, split, Sales AS actual, a + b * {feat} AS predicted FROM lf, lr{i}")
+    out["leak_free_metrics"] = sql(_reg_metrics("(SELECT * FROM lp WHERE split = 'test')"), *base, *ctes,
+                                   f"lp AS ({' UNION ALL '.join(parts)})")
+    ctes, parts = [RAW_SPLIT], []
+    for f in range(5):
+        ctes += _prepared_ctes(f"f{f}", f"{train} AND fold <> {f}")
+        ctes.append(f"ln{f} AS (SELECT regr_intercept(Sales, {tb}) AS a, regr_slope(Sales, {tb}) AS b FROM pr_f{f} "
+                    f"WHERE {train} AND fold <> {f})")
+        parts.append(f"SELECT 'Budget Trend' AS model, fold, Sales AS actual, a + b * {tb} AS predicted FROM pr_f{f}, ln{f} "
+                     f"WHERE {train} AND fold = {f}")
+    e = "(actual - predicted)"
+    out["leak_free_cv_scores"] = sql(
+        f"SELECT model, fold, round(1 - sum({e} * {e}) / nullif(var_pop(actual) * count(*), 0), 6) AS score "
+        "FROM lv GROUP BY model, fold", *ctes, f"lv AS ({' UNION ALL '.join(parts)})")
+    return out
+
+
 def all_sql() -> dict[str, str]:
-    out = {}
+    out = leak_free_sql()
     out.update(profile_sql())
     out.update(eval_sql())
     out.update(score_sql())
