@@ -853,6 +853,18 @@ def q_stream_score(spark, sf):
     return read_scored(spark, os.path.join(root, "out"))
 
 
+# ---------------------------------------------------------------- batch run (its tables and reports; fits are queries above)
+
+from . import batch as B  # noqa: E402
+
+
+@query("batch_outputs")
+def q_batch_outputs(spark, sf):
+    """Loads, cleans, explores and splits in a run of its own; every table it wrote with its rows."""
+    run = B.run_batch(spark, scratch_path(spark, "runs"), uuid.uuid4().hex, B.Settings(sf), B.TABLE_STEPS)
+    return B.manifest_table(run, B.TABLE_STEPS)
+
+
 # ---------------------------------------------------------------- K4: neural regressor (data-parallel Adam)
 
 from ..operators.mlp import fit_mlp_regressor  # noqa: E402

@@ -735,11 +735,28 @@ def leak_free_sql() -> dict[str, str]:
     return out
 
 
+# Outputs of the batch run's table steps and the query whose rows each must have.
+BATCH_OUTPUTS = {
+    "load": {"raw": "campaigns_raw"}, "prepare": {"campaigns": "enriched_campaigns"},
+    "split": {"regression": "split_regression", "classification": "split_stratified", "classification_train": "stratified_folds"},
+    "explore": {n: n for n in ["null_counts", "describe", "value_counts_influencer", "class_balance", "kpi_overview",
+                               "channel_mean_budget", "sales_by_influencer", "iqr_outliers", "quasi_constant",
+                               "correlation_matrix", "collinear_pairs", "target_correlation", "histogram", "box_stats",
+                               "trend_by_influencer", "saturation_curve", "saturation_points", "lowess_roi", "top_roi"]},
+}
+
+
+def _batch_outputs(known: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{step}' AS step, '{out}' AS output, count(*) AS rows FROM ({known[q]}) q{i}{j}"
+                              for i, (step, outs) in enumerate(BATCH_OUTPUTS.items()) for j, (out, q) in enumerate(outs.items()))
+
+
 def all_sql() -> dict[str, str]:
     out = leak_free_sql()
     out.update(profile_sql())
     out.update(eval_sql())
     out.update(score_sql())
     out.update(explain_sql())
+    out["batch_outputs"] = _batch_outputs(out)
     out["stream_score"] = out["score_scenarios"]  # the stream must equal the batch scoring
     return out

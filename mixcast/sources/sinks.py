@@ -40,11 +40,45 @@ def save_models(models: dict, task: str, root: str) -> dict[str, str]:
     return out
 
 
-def _exists(path: str) -> bool:
-    """Whether a path exists on its own Hadoop file system."""
-    sc = SparkSession.getActiveSession().sparkContext
+def _located(spark: SparkSession, path: str):
+    """A path and its own Hadoop file system."""
+    sc = spark.sparkContext
     at = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at)
+    return at, at.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def _exists(path: str) -> bool:
+    at, fs = _located(SparkSession.getActiveSession(), path)
+    return fs.exists(at)
+
+
+def content_summary(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Files and bytes below a path."""
+    at, fs = _located(spark, path)
+    found = fs.getContentSummary(at)
+    return found.getFileCount(), found.getLength()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small text file, replaced if it exists; on object stores it appears whole."""
+    at, fs = _located(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None where there is none."""
+    at, fs = _located(spark, path)
+    if not fs.exists(at):
+        return None
+    source = fs.open(at)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8", "replace")
+    finally:
+        source.close()
 
 
 def load_models(task: str, names: list[str], root: str) -> dict:
