@@ -1,12 +1,15 @@
 """Operator 3: licence scan: TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-* Passages: of every whole text, the leading comment; the lines that hold a mark of licence prose; these with the one and two lines after them; the
-  blocks of lines without a blank line between, and neighbouring blocks that hold a mark; the sentences of all of these;
-  the first ``OPENING`` words; and texts of at most ``WHOLE`` words whole.  Comment marks and line breaks are folded to
-  spaces.  An SPDX line names its licence by itself, the first known one of an expression.  Passages are compared
-  as sparse TF-IDF vectors with the templates by cosine, each distinct passage once; document frequencies are counted
-  over all files for every token of a passage or template.  The best template of at least ``threshold`` is the file's
-  own licence.
+* Passages: of every whole text, the leading comment; the lines that hold a mark of licence prose; these with the one and
+  two lines after them; the blocks of lines without a blank line between, and neighbouring blocks that hold a mark; the
+  sentences of all of these; the first ``OPENING`` words; and the whole text.  What is longer than ``WHOLE`` words is
+  compared in windows of as many, which follow each other by half.  Comment marks and line breaks are folded to spaces.
+  Passages that say that something is not under a licence are left out.  An SPDX line names its licence by itself, the
+  first known one of an expression; so does a Creative Commons deed link, alone in its passage or beside licence prose.
+  Passages are compared as sparse TF-IDF vectors with the templates by cosine, each distinct passage once; document
+  frequencies are counted over all files for every token of a passage or template.  A licence is named only by passages
+  that hold its family and version (``NEEDS``), whatever the cosine.  The best template of at least ``threshold`` is the
+  file's own licence.
 * Licence files: files so named, and files of which licence passages make up at least ``coverage`` of the words.
   The best licence file of a directory (by score, then by name of the licence) names the directory's licence.
 * Inheritance: the distinct directories of files are expanded to their ancestors and joined by path with the
@@ -15,7 +18,7 @@
 
 Defined results: null and empty texts have no licence of their own but inherit; null paths are not in a directory;
 ties go to the licence first in alphabetical order; repeated rows get equal results; an empty table gives an empty
-result.  A passage without a version names no licence of which the templates have or may miss several versions.
+result.  A passage without the version, or of a family without a template, names no licence.
 """
 
 from __future__ import annotations
@@ -125,12 +128,78 @@ TEMPLATES += [
     ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
 ]
-# Tokens without which a passage does not name the licence: its version.
-NEEDS = {"GPL-2.0": "2", "GPL-3.0": "3", "LGPL-2.1": "2.1", "LGPL-3.0": "3", "AGPL-3.0": "3"}
-OPENING, WHOLE = 60, 400
+# Further licences by their notices and headings.
+TEMPLATES += [
+    ("Apache-1.1", "The Apache Software License, Version 1.1"),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("Artistic-1.0", "Licensed under the Artistic License, Version 1.0."),
+    ("Artistic-2.0", "The Artistic License 2.0"),
+    ("Artistic-2.0", "Licensed under the Artistic License, Version 2.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("CC0-1.0", "Creative Commons Zero 1.0 Universal Public Domain Dedication"),
+    ("CDDL-1.0", "Licensed under the Common Development and Distribution License, Version 1.0."),
+    ("EPL-1.0", "Licensed under the Eclipse Public License, Version 1.0."),
+    ("EPL-1.0", "Eclipse Public License - v 1.0"),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+                "which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EUPL-1.2", "Licensed under the European Union Public Licence, Version 1.2."),
+    ("GPL-2.0", "Licensed under the GPLv2."), ("GPL-3.0", "Licensed under the GPLv3."),
+    ("HPND", "Permission to use, copy, modify, and distribute this software and its documentation for any purpose and without "
+             "fee is hereby granted, provided that the above copyright notice appear in all copies and that both that "
+             "copyright notice and this permission notice appear in supporting documentation"),
+    ("ISC", "Released under the ISC License."),
+    ("MPL-1.1", "Mozilla Public License Version 1.1"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+    ("WTFPL", "Do What The Fuck You Want To Public License, Version 2"),
+    ("Zlib", "Released under the zlib License."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+             "software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
+]
+# The kinds of Creative Commons licences and the titles of their versions.
+CC_KINDS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+            "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+            "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+CC_VERSIONS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic"}
+for _kind, _title in CC_KINDS.items():
+    for _version, _scope in CC_VERSIONS.items():
+        TEMPLATES += [(f"CC-{_kind}-{_version}", f"Licensed under CC {_kind} {_version}."),
+                      (f"CC-{_kind}-{_version}", f"Licensed under a Creative Commons {_title} {_version} {_scope} License.")]
+TEMPLATES = list(dict.fromkeys(TEMPLATES))
+# A passage names the licence only if it holds all tokens of one of these sets: family, version, clauses.
+NEEDS = {
+    "AGPL-3.0": [{"affero", "3"}, {"agplv3"}, {"agpl", "3"}], "Apache-1.1": [{"apache", "1.1"}], "Apache-2.0": [{"apache", "2"}],
+    "Artistic-1.0": [{"artistic", "1"}], "Artistic-2.0": [{"artistic", "2"}],
+    "BSD-2-Clause": [{"bsd", "2", "clause"}, {"bsd", "two", "clause"}, {"bsd", "two-clause"}, {"redistribution", "binary", "forms"}],
+    "BSD-3-Clause": [{"bsd", "3", "clause"}, {"bsd", "three", "clause"}, {"bsd", "three-clause"}, {"redistribution", "binary", "forms"}],
+    "BSL-1.0": [{"boost", "1"}], "CC0-1.0": [{"cc0"}, {"commons", "zero"}], "CDDL-1.0": [{"development", "distribution", "1"}],
+    "EPL-1.0": [{"eclipse", "1"}], "EPL-2.0": [{"eclipse", "2"}], "EUPL-1.2": [{"european", "1.2"}],
+    "GPL-2.0": [{"gnu", "2"}, {"gpl", "2"}, {"gplv2"}], "GPL-3.0": [{"gnu", "3"}, {"gpl", "3"}, {"gplv3"}],
+    "HPND": [{"fee", "hereby", "granted"}], "ISC": [{"isc"}, {"fee", "hereby", "granted"}],
+    "LGPL-2.1": [{"lesser", "2.1"}, {"lgpl", "2.1"}], "LGPL-3.0": [{"lesser", "3"}, {"lgpl", "3"}, {"lgplv3"}],
+    "MIT": [{"mit"}, {"hereby", "granted", "free", "charge"}], "MPL-1.1": [{"mozilla", "1.1"}, {"mpl", "1.1"}],
+    "MPL-2.0": [{"mozilla", "2"}, {"mpl", "2"}], "OFL-1.1": [{"font", "1.1"}, {"ofl", "1.1"}],
+    "Unlicense": [{"unencumbered"}, {"unlicense"}], "WTFPL": [{"wtfpl"}, {"want", "fuck"}],
+    "Zlib": [{"zlib"}, {"granted", "anyone", "alter"}],
+}
+for _kind, _title in CC_KINDS.items():
+    for _version in CC_VERSIONS:
+        _v = _version.removesuffix(".0")
+        NEEDS[f"CC-{_kind}-{_version}"] = [{"cc", _kind.lower(), _v}, {"commons", _title.lower(), _v}]
+# Tokens by which a passage that would name the licence speaks of another one of its family.
+OTHERS = {"BY": {"sharealike", "noncommercial", "noderivatives", "noderivs", "share-alike", "non-commercial"}}
+OPENING, WHOLE = 60, 400  # words of the opening; words of a window of a longer text, which follow each other by half
 _COMMENT = re.compile(r"^[ \t]*(?:(?://+|/\*+|\*+/?|#+|;+|--+|<!--|\(\*|%+|dnl\b|rem\b)[ \t]*)|[ \t]*(?:\*+/|-->|\*\))[ \t]*$", re.I)
 _SPDX = re.compile(r"SPDX-License-Identifier:\s*(.*)", re.I)
-_MARK = re.compile(r"licen[sc]e|permission|redistribution|public domain|source code form", re.I)
+_MARK = re.compile(r"licen[sc]e|permission|redistribution|public domain|source code form|creativecommons\.org|\bcc0\b", re.I)
+_LINK = re.compile(r"(?:https?://)?(?:www\.)?creativecommons\.org/(?:licenses/(by(?:-nc)?(?:-sa|-nd)?)/(\d\.\d)|publicdomain/zero/1\.0)\S*", re.I)
+# "not released under", "is no longer available under": the passage speaks of a licence that does not hold
+_NOT = re.compile(r"\b(?:not|never|no longer|cannot|isn't|aren't)\s+(?:\S+\s+){0,3}?(?:licen[sc]ed|released|distributed|available|"
+                  r"offered|published|provided)\s+(?:\S+\s+)?under\b", re.I)
 _TOKEN = re.compile(r"[a-z]+[a-z0-9]*(?:-[a-z0-9]+)*|\d+(?:\.\d+)*")
 _LINE = re.compile(r"[^\n]+")
 _WORD = re.compile(r"\S+")
@@ -155,6 +224,34 @@ def spdx(expression: str) -> str | None:
     return None
 
 
+def named(passage: str) -> str | None:
+    """The licence that an SPDX line, or a deed link that stands alone or beside licence prose, names by itself."""
+    line = _SPDX.search(passage)
+    if line:
+        return spdx(line[1])
+    link = _LINK.search(passage)
+    if link:
+        beside = _LINK.sub(" ", passage)
+        if _MARK.search(beside) or not re.search(r"\w", beside):
+            return f"CC-{link[1].upper()}-{link[2]}" if link[1] else "CC0-1.0"
+    return None
+
+
+def windows(text: str, lines: list[tuple]) -> Iterator[tuple[str, int, int]]:
+    """Folded lines as one passage, or as windows of ``WHOLE`` words that follow each other by half, so that every
+    stretch of half as many words lies in one whole."""
+    words = []
+    for body, a, b, *_ in lines:
+        raw = [m.span() for m in _WORD.finditer(text, a, b)]
+        own = body.split()
+        lead = len(raw) - len(own)  # comment marks before the line's words
+        words += [(w, *raw[min(j + max(lead, 0), len(raw) - 1)]) for j, w in enumerate(own)]
+    for i in range(0, max(1, len(words) - WHOLE + WHOLE // 2), WHOLE // 2):
+        part = words[i:i + WHOLE]
+        if part:
+            yield " ".join(w for w, _, _ in part), part[0][1], part[-1][2]
+
+
 def passages(text: str | None) -> list[tuple[str, int, int]]:
     """Passages with a mark of licence prose, folded, with their first and end character."""
     if not text or not _MARK.search(text):
@@ -181,9 +278,14 @@ def passages(text: str | None) -> list[tuple[str, int, int]]:
         whole = " ".join(x[0] for x in part)
         if part and _MARK.search(whole):
             if len(whole.split(None, WHOLE)) <= WHOLE:
-                out[whole, part[0][1], part[-1][2]] = None
+                if not _NOT.search(whole):
+                    out[whole, part[0][1], part[-1][2]] = None
+            else:
+                for piece, a, b in windows(text, part):
+                    if _MARK.search(piece) and not _NOT.search(piece):
+                        out[piece, a, b] = None
             for s in _SENTENCE.split(whole):
-                if _MARK.search(s):
+                if _MARK.search(s) and not _NOT.search(s):
                     # a sentence of one line stands somewhere in it; a wrapped one in the lines that hold its words
                     at = text.find(s, part[0][1], part[-1][2])
                     if at >= 0:
@@ -217,12 +319,10 @@ def passages(text: str | None) -> list[tuple[str, int, int]]:
     for i, k in enumerate(words):  # the opening, by whole lines
         n += k
         if n >= OPENING:
-            if n <= WHOLE:
-                add(0, i + 1)
+            add(0, i + 1)
             break
     for end in {lead, len(lines)}:
-        if sum(words[:end]) <= WHOLE:
-            add(0, end)
+        add(0, end)
     return list(out)
 
 
@@ -230,6 +330,19 @@ def _hash(passage: str) -> int:
     return xxhash.xxh64_intdigest(passage) - (1 << 63)
 
 
+def possible(times: dict[str, int]) -> set[str]:
+    """The licences that a passage with these tokens may name: by family, version and clauses."""
+    held = set(times) | {t[1:] for t in times if re.fullmatch(r"v\d+", t)} | {t[:-2] for t in times if re.fullmatch(r"\d+\.0", t)}
+    out = {name for name, sets in NEEDS.items() if any(x <= held for x in sets)}
+    if OTHERS["BY"] & held:
+        out -= {f"CC-BY-{v}" for v in CC_VERSIONS}
+    # every "General Public License" of the passage is a lesser or an Affero one
+    other = times.get("lesser", 0) + times.get("affero", 0)
+    if other and other >= times.get("general", 0):
+        out -= {"GPL-2.0", "GPL-3.0"}
+    return out
+
+
 class Matcher:
     """Cosine of sparse TF-IDF vectors to the templates; ``n`` are document frequencies of their tokens."""
 
@@ -244,10 +357,14 @@ class Matcher:
 
     def best(self, counts: Iterable[tuple[str, int, int]]) -> tuple[float, str]:
         """Of a passage's ``(token, times, files with it)``."""
+        counts = list(counts)
+        names = possible({t: k for t, k, _ in counts})
+        if not names:
+            return 0.0, ""
         v, size = self._vector(counts)
         found = (0.0, "")
         for name, t, norm in self.vectors:
-            if NEEDS.get(name, "") and NEEDS[name] not in v:
+            if name not in names:
                 continue
             s = sum(x * v[w] for w, x in t.items() if w in v) / (size * norm)
             if s > found[0] + 1e-12 or (abs(s - found[0]) <= 1e-12 and name < found[1]):
@@ -303,7 +420,7 @@ def matches(src: DataFrame, total: int, threshold: float) -> DataFrame:
 
     def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(h, spdx(_SPDX.search(p)[1]), 1.0) for h, p in zip(pdf["h"], pdf["p"]) if _SPDX.search(p)]
+            out = [(h, named(p), 1.0) for h, p in zip(pdf["h"], pdf["p"])]
             yield pd.DataFrame([x for x in out if x[1]], columns=["h", "license", "score"]).astype({"h": "int64", "license": str, "score": float})
 
     whole = (parts.join(n, "token", "left").groupBy("h").agg(

@@ -389,11 +389,12 @@ def test_wrapped_notices_and_whole_files(spark):
             ("d/x.c", "// SPDX-License-Identifier: MIT\nint main;", 5),
             ("d/y.c", "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint main;", 6),
             ("g/z.c", "/* SPDX-License-Identifier: Zlib */\nint main;", 7), ("h/h.c", "GNU GENERAL PUBLIC LICENSE", 8),
-            ("e/LICENSE", wrap(bsd["BSD-2-Clause"]), 9), ("f/LICENSE", wrap(bsd["BSD-3-Clause"]), 10)]
+            ("e/LICENSE", wrap(bsd["BSD-2-Clause"]), 9), ("f/LICENSE", wrap(bsd["BSD-3-Clause"]), 10),
+            ("i/z.c", "/* SPDX-License-Identifier: QPL-1.0 */\nint main;", 11)]
     rows += [(f"w{i}/t", f"common words of a file {i}", 100 + i) for i in range(200)]
     out = {r.k: r.license for r in licenses.scan(spark.createDataFrame(rows, "path string, text string, k int"), ["k"]).where("k < 100").collect()}
-    assert [out[k] for k in range(11)] == ["GPL-2.0", "GPL-2.0", "GPL-3.0", "GPL-3.0", "GPL-3.0", "MIT", "GPL-2.0", None, None,
-                                           "BSD-2-Clause", "BSD-3-Clause"]
+    assert [out[k] for k in range(12)] == ["GPL-2.0", "GPL-2.0", "GPL-3.0", "GPL-3.0", "GPL-3.0", "MIT", "GPL-2.0", "Zlib", None,
+                                           "BSD-2-Clause", "BSD-3-Clause", None]
 
 
 def test_license_scores_hold_as_the_corpus_grows(spark):
