@@ -93,7 +93,7 @@ def _plain(rows):
         folder, name, origin = os.path.dirname(path), None, None
         if k in own:
             name, origin = own[k][0], "own"
-        while name is None and True:
+        while name is None:
             if folder in holder:
                 name, origin = holder[folder][1], "inherited"
             if not folder:
