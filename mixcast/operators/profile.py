@@ -146,22 +146,96 @@ def flag_outliers(df: DataFrame, cols: list[str] | None = None, k: float = 1.5,
     return out
 
 
+# The summary of frequent items: counters asked for, the map they need (a power of two of at least 4/3 as many), and the
+# published error of such a summary, 3.5 / map of the values it saw (rounded up).
+TRACKED = 1000
+_MAP = 2048
+SUMMARY_ERROR = 4 / _MAP
+LISTED = 8     # candidates read back per column
+_SPREAD = 64   # the summaries of all partitions meet in two steps, so that none of the tasks reads them all
+
+
+def frequent_values(df: DataFrame, cols: list[str]) -> tuple[dict[str, list[tuple[float, int]]], dict[str, int]]:
+    """Candidates ``(value, estimate)`` for each column's commonest value, estimates descending, and non-null counts.
+
+    One pass with mergeable heavy-hitter summaries (Misra and Gries; Spark's ``approx_top_k_*``): every partition keeps
+    ``TRACKED`` counters per column and only those are shuffled.  An estimate is never too low, and too high by at most
+    ``SUMMARY_ERROR`` of the column's count; a value missing from the list is rarer than twice that error or, when the
+    list is full, not more frequent than its last estimate.  Zeros of both signs are one value.
+    """
+    src = df.select(*[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(f"v{i}") for i, c in enumerate(cols)],
+                    F.pmod(F.spark_partition_id(), F.lit(_SPREAD)).alias("part"))
+    n = range(len(cols))
+    # summaries of no rows at all cannot be merged, hence one row of nulls
+    src = src.unionByName(df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(f"v{i}") for i in n],
+                                                          F.lit(0).alias("part")))
+    parts = src.groupBy("part").agg(
+        *[F.expr(f"approx_top_k_accumulate(v{i}, {TRACKED}) FILTER (WHERE v{i} IS NOT NULL)").alias(f"s{i}") for i in n],
+        *[F.count(f"v{i}").alias(f"n{i}") for i in n])
+    row = parts.agg(*[F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}), {LISTED})").alias(f"s{i}") for i in n],
+                    *[F.sum(f"n{i}").alias(f"n{i}") for i in n]).first()
+    return ({c: [(r["item"], r["count"]) for r in row[f"s{i}"] or []] for i, c in enumerate(cols)},
+            {c: row[f"n{i}"] or 0 for i, c in enumerate(cols)})
+
+
+def _possible_modes(listed: list[tuple[float, int]], total: int) -> tuple[list[float], float]:
+    """The listed values that can be the commonest, and the count that a value outside the list may have."""
+    if not listed:
+        return [], float(total)
+    error = SUMMARY_ERROR * total
+    unlisted = max(2 * error, listed[-1][1] if len(listed) == LISTED else 0)
+    return [v for v, n in listed if n >= listed[0][1] - error], unlisted
+
+
 def quasi_constant(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.95) -> DataFrame:
-    """Dominant value of each numeric column and its share of non-null rows.
+    """Dominant value of each numeric column and its share of non-null rows; a column without values has no row.
 
-    Counts per (column, value) are combined map-side; the top value per column is a
-    ``max`` over (count, -value) structs - a partial aggregate, never a window holding
-    all values of a column in one task.  Count ties go to the smallest value.
+    The candidates of ``frequent_values`` are counted exactly in one aggregation.  A candidate that is more frequent than
+    any value outside the list can be is proven dominant, and no row is shuffled for its column.  Only columns whose
+    commonest value is rarer than that (0.4 % of the rows) have all their values counted, combined map-side; the top
+    is a ``max`` over (count, -value) structs, never a window over a column.  Count ties go to the smallest value.
     """
     cols = cols or [c for c in NUMERIC_REPORT_COLUMNS if c in df.columns]
-    long = _long(df, cols).where(F.col("value").isNotNull())
-    counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.groupBy("variable").agg(
-        F.max(F.struct(F.col("n"), (-F.col("value")).alias("neg"))).alias("top"),
-        F.sum("n").alias("total"))
-    freq = F.col("top.n") / F.col("total")
-    return top.select("variable", (-F.col("top.neg")).alias("dominant_value"),
-                      rnd(freq, 4).alias("frequency"), (freq > threshold).alias("quasi_constant"))
+    listed, totals = frequent_values(df, cols)
+    asked, limits = {}, {}
+    for c in cols:
+        asked[c], limits[c] = _possible_modes(listed[c], totals[c])
+    pairs = [(c, v) for c in cols for v in asked[c] if listed[c][0][1] > limits[c]]
+    proven: dict[str, tuple[int, float]] = {}
+    if pairs:
+        exact = df.agg(*[F.count_if(F.col(f"`{c}`").cast("double") == F.lit(v)).alias(f"k{i}")
+                         for i, (c, v) in enumerate(pairs)]).first()
+        for i, (c, v) in enumerate(pairs):
+            n = exact[f"k{i}"]
+            if n > limits[c] and (c not in proven or (n, -v) > (proven[c][0], -proven[c][1])):
+                proven[c] = (n, v)
+    spark = df.sparkSession
+    out = spark.createDataFrame([(c, v, n, totals[c]) for c, (n, v) in proven.items()],
+                                "variable string, dominant_value double, n long, total long")
+    rest = [c for c in cols if c not in proven and totals[c]]
+    if rest:
+        counts = (_long(df, rest).where(F.col("value").isNotNull())
+                  .groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")))
+        out = out.unionByName(counts.groupBy("variable").agg(
+            F.max(F.struct(F.col("n"), (-F.col("value")).alias("neg"))).alias("top"), F.sum("n").alias("total"))
+            .select("variable", (-F.col("top.neg")).alias("dominant_value"), F.col("top.n").alias("n"), "total"))
+    freq = F.col("n") / F.col("total")
+    return out.select("variable", "dominant_value", rnd(freq, 4).alias("frequency"),
+                      (freq > threshold).alias("quasi_constant"))
+
+
+def quasi_constant_columns(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.95) -> DataFrame:
+    """The rows of ``quasi_constant`` above ``threshold`` only; above a share of 0.4 % no column's rows are shuffled,
+    as the summary lists every such value.
+    """
+    cols = cols or [c for c in NUMERIC_REPORT_COLUMNS if c in df.columns]
+    if threshold > 2 * SUMMARY_ERROR:
+        listed, totals = frequent_values(df, cols)
+        cols = [c for c in cols if listed[c] and listed[c][0][1] > threshold * totals[c]]
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], "variable string, dominant_value double, frequency double, quasi_constant boolean")
+    return quasi_constant(df, cols, threshold).where("quasi_constant")
 
 
 # ---------------------------------------------------------------- correlation

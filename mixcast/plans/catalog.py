@@ -126,7 +126,8 @@ def q_quasi(spark, sf):
 @query("quasi_constant_columns")
 def q_quasi_flagged(spark, sf):
     """Only the columns flagged quasi-constant."""
-    return q_quasi(spark, sf).where(F.col("quasi_constant"))
+    return P.quasi_constant_columns(camp(spark, sf)).select(
+        "variable", rnd("dominant_value", 6).alias("dominant_value"), "frequency", "quasi_constant")
 
 
 @query("correlation_matrix")

@@ -1,3 +1,6 @@
+import collections
+import random
+
 import pytest
 
 from mixcast.operators import prepare as PR
@@ -73,3 +76,47 @@ def test_outlier_flags_match_report_counts(spark):
     assert [k for k, v in flags.items() if v] == [9]
     rep = {r["variable"]: r for r in P.iqr_outliers(camp, ["TV"]).collect()}["TV"]
     assert rep["n_outliers"] == 1 and rep["q1"] == 3.0 and rep["q3"] == 7.0 and rep["upper"] == 13.0
+
+
+def _by_counting(rows, cols):
+    out = {}
+    for c in cols:
+        counts = collections.Counter(r[c] + 0.0 for r in rows if r[c] is not None)
+        if counts:
+            value, n = min(counts.items(), key=lambda kv: (-kv[1], kv[0]))
+            out[c] = (value, n, sum(counts.values()))
+    return out
+
+
+def test_dominant_values_equal_plain_counting(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(30_000):
+        rows.append({"hot": 0.0 if i % 3 else rng.random(),                   # proven by the summary
+                     "two": [5.0, -5.0][i % 2],                               # a tie: the smaller value
+                     "zeros": [0.0, -0.0, 1.0][i % 3],                        # zeros of both signs are one value
+                     "rare": 7.0 if i % 1500 == 0 else float(i),              # 20 of 30,000: must be counted in full
+                     "distinct": float(30_000 - i),
+                     "steps": float(rng.randrange(40)),                       # more values near the top than are listed
+                     "sparse": 3.0 if i == 17 else None, "none": None})
+    cols = list(rows[0])
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(16)
+    want = _by_counting(rows, cols)
+    got = {r["variable"]: r for r in P.quasi_constant(df, cols).collect()}
+    assert set(got) == set(want)
+    for c, (value, n, total) in want.items():
+        assert (got[c]["dominant_value"], got[c]["frequency"]) == (value, pytest.approx(n / total, abs=5e-5)), c
+        assert got[c]["quasi_constant"] == (n / total > 0.95), c
+    flagged = P.quasi_constant_columns(df, cols, 0.5)
+    assert {r["variable"] for r in flagged.collect()} == {c for c, (_, n, total) in want.items() if n / total > 0.5}
+
+
+def test_proven_columns_shuffle_no_rows(spark):
+    df = spark.range(20_000).selectExpr("if(id % 10 < 9, 1D, cast(id as double)) as TV", "cast(id as double) as Radio")
+    listed, totals = P.frequent_values(df, ["TV", "Radio"])
+    assert totals == {"TV": 20_000, "Radio": 20_000}
+    assert listed["TV"][0][0] == 1.0 and 18_000 <= listed["TV"][0][1] <= 18_000 + P.SUMMARY_ERROR * 20_000
+    plan = P.quasi_constant(df, ["TV"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    empty = df.where("TV < 0")
+    assert P.quasi_constant(empty, ["TV"]).count() == 0 and P.quasi_constant_columns(empty, ["TV"]).count() == 0
