@@ -1,12 +1,17 @@
 """Operator 9: best-fit-decreasing packing with certified bounds and exchanges between partitions.
 
 1. Every text is tokenised whole; sequences longer than the capacity are cut into capacity-sized pieces.
-2. Full pieces are sequences of their own.  The others are dealt evenly to partitions of about ``PER_GROUP`` pieces
-   and packed there by best-fit decreasing.
+2. Full pieces are sequences of their own.  The others are dealt to partitions of at most about ``PER_GROUP`` pieces and
+   packed there by best-fit decreasing.  They are dealt in the order of their lengths, so that every partition has the
+   same mixture of lengths and long pieces find the short ones that complement them.
 3. Dual-feasible functions bound each partition's bin count from below.  A partition that meets its bound is
-   certified and gives up only its emptiest bin; a partition with a gap gives up all its bins that have room.
-4. The pieces given up are dealt anew and packed again; the exchange counts when it saves bins, and repeats until
-   the bound over the whole length histogram is met or nothing is saved.
+   certified and gives up the bins that waste more than its average bin; one with a gap gives up all its bins that
+   have room.
+4. The pieces given up are dealt anew and packed again; the exchange counts when it saves bins.  It repeats until the
+   bound over the whole length histogram is met or ``PATIENCE`` differently dealt exchanges in succession save nothing.
+   Each exchange that counts saves a bin, so it ends.
+
+Only the number of a piece and its length are packed; the other columns are joined to the result by the number.
 
 The tokenizer file is read once on the driver and broadcast (under 2 MB).  Chunks between white space are
 independent under its split pattern, so their ids are remembered per worker.
@@ -32,8 +37,9 @@ from tokenizers import Tokenizer
 
 from .common import Memo, cut
 
-PER_GROUP = 8192  # pieces packed together
-ROUNDS = 6        # exchanges at most; each must save bins to go on
+PER_GROUP = 65_536  # pieces packed together: some MB of numbers
+BLOCK = 8           # partitions whose pieces are put in order and dealt by one task
+PATIENCE = 3        # differently dealt exchanges that must fail before the last packing stands
 MEMO = 150_000    # remembered chunks and words per worker; memory only
 
 # Unicode's white space, on which the tokenizer splits (Python's str.split knows four more); the
@@ -173,48 +179,58 @@ def lower_bound(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> int:
     return max(best, int(best_t.max()))
 
 
-def _pack_groups(items: DataFrame, groups: int, capacity: int, salt: int) -> DataFrame:
-    cols = [c for c in items.columns if c not in {"grp", "bin", "offset", "redo", "round"}]
-    dealt = items.select(*cols, F.pmod(F.monotonically_increasing_id(), F.lit(groups)).alias("grp"))
-    types = dict(items.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in cols) + ", grp long, bin long, offset long, redo boolean, round int"
+def _pack_groups(items: DataFrame, number: int, capacity: int, per_group: int, turn: int) -> DataFrame:
+    """``number`` rows of ``(row, length)`` packed in groups: plus ``round, grp, bin, offset`` and ``redo``, whether the
+    bin is given up."""
+    groups = max(1, -(-number // per_group))
+    blocks = -(-groups // BLOCK)
+    each = -(-groups // blocks)
+    # the order in a block is total, so that a repeated task deals alike; the salt makes exchanges differ
+    mixed = items.select("row", "length").repartition(blocks, F.xxhash64("row", F.lit(turn)))
+    dealt = mixed.sortWithinPartitions("length", F.xxhash64("row", F.lit(turn)), "row").select(
+        "row", "length", (F.spark_partition_id() * each + F.pmod(F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1),
+                                                                 F.lit(each))).alias("grp"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf["length"].to_numpy(dtype=np.int64)
         bins, offsets, fill = best_fit_decreasing(sizes, capacity)
-        fill = np.array(fill)
+        waste = capacity - np.array(fill)
         gap = len(fill) > lower_bound(*np.unique(sizes, return_counts=True), capacity)
-        redo = fill < capacity if gap else np.arange(len(fill)) == int(fill.argmin())
-        return pdf.assign(bin=bins, offset=offsets, redo=redo[bins], round=salt)
+        redo = waste > (0 if gap else waste.mean())
+        return pdf.assign(bin=bins, offset=offsets, redo=redo[bins], round=turn)
 
-    return cut(dealt.groupBy("grp").applyInPandas(run, schema))
+    return cut(dealt.groupBy("grp").applyInPandas(
+        run, "row long, length long, grp long, bin long, offset long, redo boolean, round int"))
 
 
 def _bins(packed: DataFrame) -> int:
-    return packed.select("round", "grp", "bin").distinct().count()
+    return packed.select("grp", "bin").distinct().count()
 
 
 def pack(items: DataFrame, capacity: int = 4096, per_group: int = PER_GROUP) -> DataFrame:
     """``items`` (with ``length`` between 1 and ``capacity``) plus ``sequence_id`` and ``offset`` (long)."""
-    types = items.dtypes
-    items = cut(items)
-    full, loose = items.where(F.col("length") >= capacity), cut(items.where(F.col("length") < capacity))
-    n = loose.count()
+    cols = [F.col(f"`{c}`") for c in items.columns if c not in {"sequence_id", "offset"}]
+    items = cut(items.select(*cols, F.monotonically_increasing_id().alias("__row")))
+    whole = F.col("length") >= capacity
+    loose = items.where(~whole).select(F.col("__row").alias("row"), F.col("length").cast("long").alias("length"))
     hist = loose.groupBy("length").count().toPandas()  # at most capacity - 1 rows
     bound = lower_bound(hist["length"].to_numpy(), hist["count"].to_numpy(), capacity)
-    state = _pack_groups(loose, max(1, -(-n // per_group)), capacity, 1)
-    used = _bins(state)
-    for turn in range(2, ROUNDS + 2):
-        if used <= bound:
-            break
-        pool = state.where("redo")
-        before, size = _bins(pool), pool.count()
-        again = _pack_groups(cut(pool), max(1, -(-size // per_group)), capacity, turn)
-        after = _bins(again)
-        if after >= before:
-            break
-        state, used = state.where("not redo").unionByName(again), used - before + after
-    loose_id = F.col("round").cast("long") * (1 << 56) + F.col("grp") * (1 << 20) + F.col("bin")
-    keep = [F.col(f"`{c}`") for c, _ in types]
-    return state.select(*keep, loose_id.alias("sequence_id"), "offset").unionByName(
-        full.select(*keep, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
+    last = _pack_groups(loose, int(hist["count"].sum()), capacity, per_group, 1)
+    used, settled, turn, failed = _bins(last), [], 1, 0
+    while used > bound and failed < PATIENCE:
+        turn += 1
+        pool = last.where("redo")
+        before = _bins(pool)
+        again = _pack_groups(pool, pool.count(), capacity, per_group, turn)
+        saved = before - _bins(again)
+        if saved > 0:
+            settled.append(last.where("not redo"))
+            last, used, failed = again, used - saved, 0
+        else:
+            failed += 1
+    for part in settled:
+        last = last.unionByName(part)
+    number = F.col("round").cast("long") * (1 << 56) + F.col("grp") * (1 << 20) + F.col("bin")
+    placed = last.select(F.col("row").alias("__row"), number.alias("sequence_id"), "offset")
+    return items.where(~whole).join(placed, "__row").select(*cols, "sequence_id", "offset").unionByName(
+        items.where(whole).select(*cols, (-1 - F.col("__row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))

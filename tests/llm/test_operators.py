@@ -261,6 +261,21 @@ def test_packing_is_valid_and_bounded(docs, odd):
     assert queries.packed(docs.limit(0)).count() == 0
 
 
+def test_groups_and_exchanges_need_no_more_sequences_than_one_plain_packing(spark):
+    for low, high in ((100, 4000), (1300, 2800), (900, 1500)):
+        sizes = np.random.default_rng(low).integers(low, high + 1, 60_000)
+        df = spark.createDataFrame([(i, int(n)) for i, n in enumerate(sizes)], "id long, length long")
+        plain = len(packing.best_fit_decreasing(sizes, 4096)[2])
+        bound = packing.lower_bound(*np.unique(sizes, return_counts=True), 4096)
+        for per_group, spare in ((packing.PER_GROUP, 0), (8192, plain // 2000)):  # several groups: 0.05 % at most
+            rows = packing.pack(df, 4096, per_group).toPandas()
+            assert sorted(rows["id"]) == list(range(len(sizes))) and (rows.set_index("id")["length"].sort_index() == sizes).all()
+            rows = rows.sort_values(["sequence_id", "offset"])
+            ends = rows.groupby("sequence_id")["length"].cumsum()
+            assert (ends - rows["length"] == rows["offset"]).all() and ends.max() <= 4096
+            assert bound <= rows["sequence_id"].nunique() <= plain + spare
+
+
 def test_lower_bound_never_exceeds_the_optimum():
     rng = random.Random(8)
 
