@@ -1,7 +1,9 @@
 """Operator 6: substring deduplication by sliding spans of consecutive sentences.
 
-A text is cut, without loss, into units: sentences (up to ``. ! ?`` or a line end), those of more than ``UNIT_WORDS``
-words cut again at places that their words choose (``cuts``), so that no unit is longer.  Every shortest run of
+A text is cut, without loss, into units: sentences (up to a sentence end of any script in ``_ENDS`` or a line end), those
+of more than ``UNIT_WORDS`` words cut again at places that their words choose (``cuts``), so that no unit is longer.
+Words stand between white space; in scripts that write none between words (``_DENSE``), each character with the marks and
+punctuation after it is a word to cut at, and counts as half a word of a span.  Every shortest run of
 consecutive units that has at least ``min_units`` units and ``min_words`` words, taken forwards from each unit and
 backwards to each unit, is a span.  Wherever a repeated passage starts and ends, also inside a sentence, its copies are
 cut alike but for at most ``UNIT_WORDS`` words at either end; so with one unit to a span, of any passage of at least
@@ -38,6 +40,18 @@ FLUSH = 100_000  # spans held by a task before they are sent on
 _SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+\Z")
 _WORD = re.compile(r"\S+\s*")
 
+# Fixed values.  Sentence ends: ASCII, Arabic question mark and full stop, Devanagari danda and double danda, Myanmar
+# little section and section, Khmer khan, ideographic full stop, its halfwidth form, fullwidth exclamation and question
+# mark.  Scripts without spaces between words: Thai, Lao, Tibetan, Myanmar, Khmer, Hiragana and Katakana, ideographs with
+# their extensions and compatibility forms, halfwidth Katakana.
+_ENDS = ".!?\u061f\u06d4\u0964\u0965\u104a\u104b\u17d4\u3002\uff61\uff01\uff1f"
+_DENSE = ("\u0e00-\u0e7f\u0e80-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+          "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003134f")
+_SENTENCE_ANY = re.compile(rf"[^{_ENDS}\n]*[{_ENDS}\n]+\s*|[^{_ENDS}\n]+\Z")
+_HAS_DENSE = re.compile(f"[{_DENSE}]")
+_WORD_DENSE = re.compile(rf"[{_DENSE}][^\w\s]*|[^\s{_DENSE}]+")
+_SPACED_DENSE = re.compile(rf"(?:{_WORD_DENSE.pattern})\s*")
+
 
 def cuts(words: list[str]) -> list[int]:
     """Places (numbers of words before them) at which a sentence of more than ``UNIT_WORDS`` words is cut.
@@ -62,46 +76,62 @@ def cuts(words: list[str]) -> list[int]:
     return out
 
 
+def has_dense(text: str | None) -> bool:
+    """Whether a text holds characters of scripts without spaces."""
+    return bool(text) and not text.isascii() and _HAS_DENSE.search(text) is not None
+
+
 def units(text: str | None) -> list[str]:
     """Pieces of a text whose concatenation is the text."""
-    out = []
-    for s in _SENTENCE.findall(text or ""):
-        if len(s) <= 2 * UNIT_WORDS or len(s.split(None, UNIT_WORDS)) <= UNIT_WORDS:
+    out, text = [], text or ""
+    dense = has_dense(text)
+    for s in (_SENTENCE if text.isascii() else _SENTENCE_ANY).findall(text):
+        if dense and _HAS_DENSE.search(s):
+            own, words = [w.lower() for w in _WORD_DENSE.findall(s)], _SPACED_DENSE.findall(s)
+            if len(words) <= UNIT_WORDS:
+                out.append(s)
+                continue
+        elif len(s) <= 2 * UNIT_WORDS or len(s.split(None, UNIT_WORDS)) <= UNIT_WORDS:
             out.append(s)
             continue
-        words = _WORD.findall(s)
+        else:
+            own, words = s.lower().split(), _WORD.findall(s)
         lead = s[:len(s) - sum(map(len, words))]
         words[0] = lead + words[0]
-        at = [0, *cuts(s.lower().split()), len(words)]
+        at = [0, *cuts(own), len(words)]
         out += ["".join(words[a:b]) for a, b in zip(at, at[1:])]
     return out
 
 
-def marks(pieces: list[str]) -> tuple[list[int], list[int], bytes]:
-    """The units with words: their places, their numbers of words, and 8 bytes of hash for each."""
+def marks(pieces: list[str], dense: bool) -> tuple[list[int], list[int], bytes]:
+    """The units with words: their places, their numbers of half words, and 8 bytes of hash for each.  ``dense``: whether
+    the text ``has_dense`` characters."""
     digest = xxhash.xxh64_digest
-    words = [p.split() for p in pieces]
+    words = [_WORD_DENSE.findall(p) for p in pieces] if dense else [p.split() for p in pieces]
     # units without words belong to no span of their own but may lie inside one
     at = [i for i, w in enumerate(words) if w]
-    return at, [len(words[i]) for i in at], b"".join([digest(" ".join(words[i]).lower()) for i in at])
+    sizes = [2 * len(words[i]) for i in at]
+    if dense:
+        sizes = [n - sum(_HAS_DENSE.match(w) is not None for w in words[i]) for i, n in zip(at, sizes)]
+    return at, sizes, b"".join([digest(" ".join(words[i]).lower()) for i in at])
 
 
 def spans(pieces: list[str], min_units: int, min_words: int) -> list[tuple[int, int, int]]:
     """``(first unit, units, hash)`` of every shortest span, forwards and backwards."""
-    return runs(*marks(pieces), min_units, min_words)
+    return runs(*marks(pieces, any(map(has_dense, pieces))), min_units, min_words)
 
 
 def runs(at: list[int], sizes: list[int], marks: bytes, min_units: int, min_words: int) -> list[tuple[int, int, int]]:
     """``spans`` of a text from its ``marks``."""
     if len(at) < min_units:
         return []
-    total = [0]
+    total, least = [0], 2 * min_words
     for n in sizes:
         total.append(total[-1] + n)
     n, ends, end, last = len(at), set(), 0, -1
     for a in range(n):
         end = max(end, a + min_units)
-        while end <= n and total[end] - total[a] < min_words:
+        while end <= n and total[end] - total[a] < least:
             end += 1
         if end > n:
             break
@@ -112,7 +142,7 @@ def runs(at: list[int], sizes: list[int], marks: bytes, min_units: int, min_word
     start = n
     for b in range(n, 0, -1):
         start = min(start, b - min_units)
-        while start >= 0 and total[b] - total[start] < min_words:
+        while start >= 0 and total[b] - total[start] < least:
             start -= 1
         if start < 0:
             break
@@ -132,9 +162,9 @@ def cut_up(docs: DataFrame, id_col: str, text: str = "text") -> DataFrame:
             rows = []
             for t in pdf["text"]:
                 pieces = units(t)
-                at, sizes, hashes = marks(pieces)
+                at, sizes, hashes = marks(pieces, has_dense(t))
                 rows.append((len(pieces), b"" if len(at) == len(pieces) else np.array(at, np.int32).tobytes(),
-                             np.array(sizes, np.uint8).tobytes(), hashes))  # a unit has UNIT_WORDS words at most
+                             np.array(sizes, np.uint8).tobytes(), hashes))  # a unit has 2 * UNIT_WORDS half words at most
             yield pdf[["id", "th"]].join(pd.DataFrame(rows, columns=["units", "at", "sizes", "marks"], index=pdf.index)).astype(
                 {"id": "Int64", "units": "int32"})
 

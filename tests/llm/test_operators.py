@@ -208,6 +208,46 @@ def test_units_are_short_and_lossless():
             assert substring.cuts(low) == sorted(want)
 
 
+def test_passages_in_scripts_without_spaces_go(spark):
+    rng = random.Random(31)
+    scripts = {"han": ([chr(c) for c in range(0x4e00, 0x4e00 + 900)], "\u3002\uff01"), "kana": ([chr(c) for c in range(0x3041, 0x3094)], "\u3002"),
+               "thai": ([chr(c) for c in range(0xe01, 0xe2f)] + [chr(c) + "\u0e49" for c in range(0xe01, 0xe2f)], " "),
+               "hindi": ([f"\u0915{chr(c)}\u0930 " for c in range(0x915, 0x939)], "\u0964")}
+    for letters, ends in scripts.values():
+        def said(n):
+            return "".join(rng.choice(letters) + (rng.choice(ends) if rng.random() < 0.04 else "") for _ in range(n))
+
+        spaced = letters[0].endswith(" ")
+        edge = substring.UNIT_WORDS
+        n = 60 if spaced else 120
+        passage = [said(1) for _ in range(n)]
+        rows = [(i, said(7 * i + 30) + "".join(passage) + said(40)) for i in range(4)]
+        rows += [(10, rows[0][1]), (11, said(300)), (12, "plain words only. " + said(20))]
+        out = {r.doc_id: r.text for r in substring.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()}
+        body = "".join(passage[edge + 1:-edge - 1])
+        for i, text in rows:
+            assert "".join(substring.units(text)) == text
+            if i in (0, 11, 12):
+                assert out[i] == text
+            elif i < 4:
+                assert body not in out[i] and len(out[i]) <= len(text) - len(body)
+        assert len(out[10]) <= 2 * edge * len(max(letters, key=len))
+
+
+def test_units_of_mixed_scripts_are_lossless_and_agree_with_spaced_text():
+    rng = random.Random(32)
+    letters = ["word ", "Two, ", "\u6f22", "\u5b57\u3002", "\u0e01\u0e49", " ", "\n", "\u3000", "\u00e9t\u00e9 ", "\u061f", "\u0939\u0948\u0964 ", "!"]
+    for n in range(200):
+        text = "".join(rng.choice(letters) for _ in range(n))
+        pieces = substring.units(text)
+        assert "".join(pieces) == text
+        at, sizes, hashes = substring.marks(pieces, substring.has_dense(text))
+        assert len(hashes) == 8 * len(at) and all(0 < k <= 2 * substring.UNIT_WORDS for k in sizes)
+    plain = " ".join(rng.choice(["one", "two", "three,", "four."]) for _ in range(300)) + "\n"
+    assert substring.units(plain + "\u6f22\u5b57")[:-1] == substring.units(plain)
+    assert substring.marks(substring.units(plain), True) == substring.marks(substring.units(plain), False)
+
+
 def test_embedding_links_and_recall(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(400, 32))
