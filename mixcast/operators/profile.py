@@ -152,6 +152,7 @@ TRACKED = 1000
 _MAP = 2048
 SUMMARY_ERROR = 4 / _MAP
 LISTED = 8     # candidates read back per column
+COUNTED = 1_000_000  # rows of a task that counts all values, about
 _SPREAD = 64   # the summaries of all partitions meet in two steps, so that none of the tasks reads them all
 
 
@@ -192,7 +193,7 @@ def quasi_constant(df: DataFrame, cols: list[str] | None = None, threshold: floa
 
     The candidates of ``frequent_values`` are counted exactly in one aggregation.  A candidate that is more frequent than
     any value outside the list can be is proven dominant, and no row is shuffled for its column.  Only columns whose
-    commonest value is rarer than that (0.4 % of the rows) have all their values counted, combined map-side; the top
+    commonest value is rarer than that (0.4 % of the rows) have all their values counted, dealt by value to tasks of bounded size; the top
     is a ``max`` over (count, -value) structs, never a window over a column.  Count ties go to the smallest value.
     """
     cols = cols or [c for c in NUMERIC_REPORT_COLUMNS if c in df.columns]
@@ -214,8 +215,12 @@ def quasi_constant(df: DataFrame, cols: list[str] | None = None, threshold: floa
                                 "variable string, dominant_value double, n long, total long")
     rest = [c for c in cols if c not in proven and totals[c]]
     if rest:
-        counts = (_long(df, rest).where(F.col("value").isNotNull())
-                  .groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")))
+        # nearly every value of these columns is rare, so counting before the shuffle would only fill the tasks' memory: the
+        # rows are dealt by value first, and a task counts about COUNTED of them, whatever the table's size
+        parts = max(1, -(-sum(totals[c] for c in rest) // COUNTED))
+        dealt = F.pmod(F.xxhash64("variable", F.col("value") + F.lit(0.0)), F.lit(parts))
+        counts = (_long(df, rest).where(F.col("value").isNotNull()).withColumn("part", dealt).repartition(parts, "part")
+                  .groupBy("part", "variable", "value").agg(F.count(F.lit(1)).alias("n")))
         out = out.unionByName(counts.groupBy("variable").agg(
             F.max(F.struct(F.col("n"), (-F.col("value")).alias("neg"))).alias("top"), F.sum("n").alias("total"))
             .select("variable", (-F.col("top.neg")).alias("dominant_value"), F.col("top.n").alias("n"), "total"))

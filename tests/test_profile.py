@@ -120,3 +120,14 @@ def test_proven_columns_shuffle_no_rows(spark):
     assert "Exchange" not in plan
     empty = df.where("TV < 0")
     assert P.quasi_constant(empty, ["TV"]).count() == 0 and P.quasi_constant_columns(empty, ["TV"]).count() == 0
+
+
+def test_rare_values_are_counted_in_tasks_of_bounded_size(spark, monkeypatch):
+    """No task counts the values of its input partition: rows are dealt by value first, into tasks that do not grow."""
+    monkeypatch.setattr(P, "COUNTED", 2_000)
+    df = spark.range(0, 20_000, 1, 1).selectExpr("cast(id % 9000 as double) as TV", "if(id < 8, if(id < 4, -0D, 0D), id) as Radio")
+    out = P.quasi_constant(df, ["TV", "Radio"])
+    got = {r["variable"]: (r["dominant_value"], r["frequency"]) for r in out.collect()}
+    assert got == {"TV": (0.0, 0.0001), "Radio": (0.0, 0.0004)}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.index("hashpartitioning(part") > plan.rindex("count(1)")  # below every count
