@@ -10,106 +10,156 @@ g + h of all grid points cut a channel into at most three segments per point; on
 w t^a and w y t^a in every segment (t: the place inside the segment, -1 to 1, so that nothing cancels), and the
 weighted sums of every fit are combinations of those moments, worked out on a table of segments.
 
-The bandwidths are exact: a sketch brackets each, one aggregation counts the rows nearer than either end, and only rows
-inside a bracket proven small are ranked; a distance that many rows share ends up as a bracket of its own.
+The budgets and their ROI are written once as blocks of numbers, and every pass reads blocks: a task adds up the moments
+of its blocks, and only sums are shuffled.
+
+The bandwidths and the median residuals are exact.  Distances and residuals are not negative, so their binary forms are
+in their order: one pass counts the values by their leading bits, further passes cut the bucket that holds the wanted rank
+into finer ones, and the last buckets are single values, however many rows share one.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark import RDD, StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rnd
-from ..functions.quantiles import exact_quantiles
+from ..session import ship_package
 from .profile import channel_roi
 
 DEGREE = 11       # of tricube times a squared distance
-SHELL = 20_000    # rows of a bracket that are ranked
+SHELL = 20_000    # rows of a bucket that are told apart by all their bits at once
 FLAT = 1e-9       # relative spread of the neighbours under which a line is not fitted
+BLOCK = 32_768    # rows of a block, about
+FIRST = 49        # low bits of a double that the first count leaves open ...
+STEP = 8          # ... and bits that each further count settles
+MERGERS = 16      # tasks that add up what the partitions counted
 
+Block = tuple[str, np.ndarray, np.ndarray]  # channel, budgets, ROI
 
-def by_channel(values: dict, kind: str = "array<double>") -> Column:
-    """The channel's own literal array."""
-    out = F.lit(None).cast(kind)
-    for ch, v in values.items():
-        out = F.when(F.col("channel") == ch, F.array(*[F.lit(float(x)) for x in v])).otherwise(out)
-    return out
 
+def blocks_of(df: DataFrame) -> RDD:
+    """The rows of ``channel_roi`` as blocks of one channel."""
+    rows = channel_roi(df)
 
-def _search(x: Column, cuts: list[float], lo: int, hi: int) -> Column:
-    """Number of ``cuts`` that are less than ``x``, by halving: it lies in lo..hi."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(x > F.lit(float(cuts[mid])), _search(x, cuts, mid + 1, hi)).otherwise(_search(x, cuts, lo, mid))
+    def write(frames):
+        held: dict[str, list] = {}
+        for frame in frames:
+            for ch, f in frame.groupby("channel"):
+                held.setdefault(ch, []).append((f["budget"].to_numpy(), f["roi"].to_numpy()))
+                if sum(len(x) for x, _ in held[ch]) >= BLOCK:
+                    yield written(ch, held.pop(ch))
+        for ch, parts in held.items():
+            yield written(ch, parts)
 
+    def written(ch, parts):
+        x, y = (np.concatenate(v) for v in zip(*parts))
+        return pd.DataFrame({"channel": [ch], "x": [x.tobytes()], "y": [y.tobytes()]})
 
-def bandwidths(rows: DataFrame, grid: dict, k: dict, n: dict, spread: dict) -> tuple[dict, dict]:
-    """``h`` and ``nearer``: per (channel, j), the distance to the k-th nearest budget and the number of nearer ones.
+    ship_package(df.sparkSession)
+    return rows.select("channel", "budget", "roi").mapInPandas(write, "channel string, x binary, y binary").rdd.map(
+        lambda r: (r["channel"], np.frombuffer(r["x"]), np.frombuffer(r["y"])))
 
-    ``spread`` holds evenly spaced approximate quantiles of each channel's budgets.
-    """
-    low, high, h, nearer = {}, {}, {}, {}
-    for ch, points in grid.items():
-        q = np.array(spread[ch])
-        at = round((len(q) - 1) * k[ch] / n[ch])
-        for j, g in enumerate(points):
-            near = np.sort(np.abs(q - g))
-            low[ch, j], high[ch, j] = float(near[max(0, at - 4)]), float(near[min(len(q) - 1, at + 4)])
-    size = max(map(len, grid.values()))
-    places = lambda v: by_channel({ch: [v.get((ch, j), -1.0) for j in range(size)] for ch in grid})
-    points = by_channel(grid)
-    while low:  # brackets that are not settled
-        d = [F.abs(F.col("budget") - F.col("g")[j]) for j in range(size)]
-        table = rows.select("channel", "budget", points.alias("g"), places(low).alias("lo"), places(high).alias("hi"))
-        counts = table.groupBy("channel").agg(*[c for j in range(size) for c in (
-            F.count_if(d[j] < F.col("lo")[j]).alias(f"a{j}"), F.count_if(d[j] <= F.col("lo")[j]).alias(f"b{j}"),
-            F.count_if(d[j] <= F.col("hi")[j]).alias(f"c{j}"))]).collect()
-        small, large = {}, {}
-        for r in counts:
-            for j in range(size):
-                key, want = (r["channel"], j), k[r["channel"]]
-                if key not in low:
+
+def ranges(blocks: RDD) -> dict[str, tuple[float, float, int]]:
+    """Smallest and largest budget and the rows of each channel."""
+    def local(it):
+        for ch, x, _ in it:
+            yield ch, (float(x.min()), float(x.max()), len(x))
+    return blocks.mapPartitions(local).reduceByKey(lambda a, b: (min(a[0], b[0]), max(a[1], b[1]), a[2] + b[2]),
+                                                   MERGERS).collectAsMap()
+
+
+def _counted(values: Callable, buckets: dict, blocks) -> Iterator[tuple]:
+    """Rows of a partition by finer buckets: ``((key, prefix, shift, into), (codes, counts))``."""
+    sums: dict = {}
+    for block in blocks:
+        for key, v in values(block, buckets):
+            bits = v.view(np.int64)
+            for prefix, shift, into in buckets[key]:
+                inside = bits if shift == 63 else bits[(bits >> shift) == prefix]
+                if not len(inside):
                     continue
-                below, upto, top = r[f"a{j}"], r[f"b{j}"], r[f"c{j}"]
-                if below < want <= upto:
-                    h[key], nearer[key] = low.pop(key), below
-                    high.pop(key)
-                elif want <= below:
-                    low[key], high[key] = 0.0, low[key]
-                elif want > top:
-                    low[key], high[key] = high[key], max(abs(g - grid[key[0]][j]) for g in grid[key[0]])
-                else:
-                    (small if top - upto <= SHELL else large)[key] = (want - upto, top - upto, upto)
-        if not small and not large:
-            continue
-        inside = {key: low[key] for key in small | large}
-        table = rows.select("channel", "budget", points.alias("g"), places(inside).alias("lo"), places(
-            {key: high[key] for key in inside}).alias("hi"))
-        near = F.filter(F.transform("g", lambda g, j: F.struct(
-            j.cast("int").alias("j"), F.abs(F.col("budget") - g).alias("d"), F.col("lo")[j].alias("lo"), F.col("hi")[j].alias("hi"))),
-            lambda s: (s["d"] > s["lo"]) & (s["d"] <= s["hi"]))
-        shell = table.select("channel", F.explode(near).alias("s")).select("channel", "s.j", "s.d")
-        if small:
-            w = Window.partitionBy("channel", "j").orderBy("d")
-            wanted = F.create_map(*[F.lit(x) for (ch, j), (r, *_) in small.items() for x in (f"{ch}/{j}", r)])
-            picked = shell.withColumn("want", wanted[F.concat_ws("/", "channel", "j")]).where("want IS NOT NULL")
-            picked = picked.select("channel", "j", "d", "want", F.row_number().over(w).alias("r"), F.rank().over(w).alias("first"))
-            for r in picked.where("r = want").collect():
-                key = (r["channel"], r["j"])
-                h[key], nearer[key] = r["d"], small[key][2] + r["first"] - 1
-                low.pop(key), high.pop(key)
-        if large:
-            parts = shell.groupBy("channel", "j").agg(F.percentile_approx("d", [i / 100 for i in range(101)], 10000).alias("q"))
-            for r in parts.collect():
-                key = (r["channel"], r["j"])
-                if key in large:
-                    at = 100 * large[key][0] / large[key][1]
-                    low[key], high[key] = r["q"][max(0, math.floor(at) - 1)], r["q"][min(100, math.ceil(at) + 1)]
-    return h, nearer
+                at, width = (key, prefix, shift, into), 1 << (shift - into)
+                if into:
+                    n = np.bincount((inside >> into) - prefix * width, minlength=width)
+                    sums[at] = sums[at] + n if at in sums else n
+                else:  # whole values
+                    sums.setdefault(at, []).append(inside)
+    for at, n in sums.items():
+        if at[3]:
+            codes = np.flatnonzero(n)
+            yield at, (codes + (at[1] << (at[2] - at[3])), n[codes])
+        else:
+            yield at, np.unique(np.concatenate(n), return_counts=True)
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    codes, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    counts = np.zeros(len(codes), np.int64)
+    np.add.at(counts, at, np.concatenate([a[1], b[1]]))
+    return codes, counts
+
+
+def order_statistics(blocks: RDD, values: Callable, ranks: Callable) -> dict[tuple, tuple[float, int]]:
+    """Exact order statistics of numbers that are not negative: ``(key, rank)`` (from 0) to the value and the number of
+    smaller ones.
+
+    ``values(block, keys)`` gives a block's ``(key, numbers)``; ``ranks(key, n)`` the ranks wanted among a key's n numbers.
+    """
+    found: dict = {}
+    wanted: dict | None = None  # bucket: its (rank, number of values below the bucket)
+
+    def picked(entry):
+        bucket, (codes, counts) = entry
+        upto = np.cumsum(counts)
+        ask = [(r, 0) for r in ranks(bucket[0], int(upto[-1]))] if wanted is None else wanted[bucket]
+        for rank, below in ask:
+            i = int(np.searchsorted(upto, rank - below, side="right"))
+            yield bucket[0], rank, int(codes[i]), below + int(upto[i] - counts[i]), int(counts[i]), bucket[3]
+
+    while wanted is None or wanted:
+        buckets = _EveryKey() if wanted is None else {}
+        for key, *rest in wanted or ():
+            buckets.setdefault(key, []).append(tuple(rest))
+        sums = blocks.mapPartitions(functools.partial(_counted, values, buckets)).reduceByKey(_merged, MERGERS)
+        told, wanted = sums.flatMap(picked).collect(), {}  # a row per rank
+        for key, rank, code, below, n, shift in told:
+            if shift:
+                finer = (key, code, shift, 0 if n <= SHELL else max(0, shift - STEP))
+                wanted.setdefault(finer, []).append((rank, below))
+            else:
+                found[key, rank] = float(np.array(code).view(np.float64)), below
+    return found
+
+
+class _EveryKey:
+    """The buckets of the first count: every key has one, of all its numbers."""
+
+    def __contains__(self, key) -> bool:
+        return True
+
+    def __getitem__(self, key) -> list[tuple]:
+        return [(0, 63, FIRST)]
+
+
+def bandwidths(blocks: RDD, grid: dict, frac: float) -> tuple[dict, dict]:
+    """``h`` and ``nearer``: per (channel, j), the distance to the k-th nearest budget and the number of nearer ones."""
+    def distances(block: Block, keys):
+        ch, x, _ = block
+        for j, g in enumerate(grid.get(ch, ())):
+            if (ch, j) in keys:
+                yield (ch, j), np.abs(x - g)
+
+    found = order_statistics(blocks, distances, lambda key, n: [max(1, math.floor(frac * n + 1e-10)) - 1])
+    return {key: v for (key, _), (v, _) in found.items()}, {key: below for (key, _), (_, below) in found.items()}
 
 
 def _times(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -156,65 +206,88 @@ class Segments:
         return out
 
 
+class Curve:
+    """A channel's line of straight pieces between the grid's points."""
+
+    def __init__(self, low: float, step: float, level: list[float | None], reach: float | None = None):
+        self.low, self.step, self.reach = low, step, reach
+        self.level = np.array([math.nan if v is None else v for v in level])
+
+    def errors(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Distances from the curve, NaN beside a point without a fit."""
+        place = (x - self.low) / self.step
+        j = np.minimum(np.floor(place), len(self.level) - 2).astype(np.int64)
+        return np.abs(y - (self.level[j] + (place - j) * (self.level[j + 1] - self.level[j])))
+
+    def weights(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Robustness weights: the bisquare of the distance over ``reach``."""
+        if self.reach is None:
+            return np.ones(len(x))
+        u = self.errors(x, y) / self.reach
+        return np.where(np.isnan(u), 1.0, np.where(u < 1, (1 - u * u) * (1 - u * u), 0.0))
+
+
+def medians(blocks: RDD, curves: dict[str, Curve]) -> dict[str, float]:
+    """The median distance from the curve of each channel."""
+    def errors(block: Block, keys):
+        ch, x, y = block
+        if ch in curves and ch in keys:
+            e = curves[ch].errors(x, y)
+            yield ch, e[~np.isnan(e)]
+
+    middle: dict[str, list[float]] = {}
+    for (ch, _), (v, _) in order_statistics(blocks, errors, lambda ch, n: sorted({(n - 1) // 2, n // 2})).items():
+        middle.setdefault(ch, []).append(v)
+    return {ch: min(v) + (max(v) - min(v)) * 0.5 for ch, v in middle.items()}
+
+
+def fit(blocks: RDD, segments: dict[str, Segments], curves: dict[str, Curve] | None) -> dict[str, list[float | None]]:
+    """The lines' values at the points, rows weighted by their distance from ``curves``; the moments are added up in one pass."""
+    def local(it):
+        sums = {}
+        for ch, x, y in it:
+            if ch not in segments:
+                continue
+            seg = segments[ch]
+            n, s = len(seg.mid), np.searchsorted(seg.cuts, x, side="left")
+            t = (x - seg.mid[s]) / seg.half[s]
+            m = np.ones(len(x)) if curves is None else curves[ch].weights(x, y)
+            total = sums.setdefault(ch, np.zeros((2, n, DEGREE + 1)))
+            for a in range(DEGREE + 1):  # m t^a, one power from the one before
+                if a:
+                    m = m * t
+                total[0, :, a] += np.bincount(s, m, n)
+                total[1, :, a] += np.bincount(s, m * y, n)
+        yield from sums.items()
+
+    moments = blocks.mapPartitions(local).reduceByKey(np.add, MERGERS).collectAsMap()
+    return {ch: seg.lines(*moments[ch]) for ch, seg in segments.items()}
+
+
 def lowess_curve(df: DataFrame, points: int = 50, frac: float = 2 / 3, passes: int = 3) -> DataFrame:
     """``(channel, j, x, roi_fit, n_used, bandwidth)`` after ``passes`` robust passes.
 
     A bandwidth of 0 (as many equal budgets at the point) leaves the fit null; rows beside such a point keep weight 1,
     as all rows of a channel do whose median residual is 0.  A channel of one budget only has no curve.
     """
-    rows = channel_roi(df).select("channel", "budget", "roi").persist()
-    found = {r["channel"]: r for r in rows.groupBy("channel").agg(
-        F.min("budget").alias("low"), F.max("budget").alias("high"), F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("budget", [i / 400 for i in range(401)], 10000).alias("q")).collect() if r["low"] < r["high"]}
+    blocks = blocks_of(df).persist(StorageLevel.MEMORY_AND_DISK)
+    found = {ch: (low, high) for ch, (low, high, _) in ranges(blocks).items() if low < high}
     schema = "channel string, j int, x double, roi_fit double, n_used long, bandwidth double"
     if not found:
+        blocks.unpersist()
         return df.sparkSession.createDataFrame([], schema)
-    rows = rows.where(F.col("channel").isin(list(found)))
-    step = {ch: (r["high"] - r["low"]) / (points - 1) for ch, r in found.items()}
-    grid = {ch: [r["low"] + j * step[ch] for j in range(points)] for ch, r in found.items()}
-    n = {ch: r["n"] for ch, r in found.items()}
-    k = {ch: max(1, int(math.floor(frac * m + 1e-10))) for ch, m in n.items()}
-    h, nearer = bandwidths(rows, grid, k, n, {ch: r["q"] for ch, r in found.items()})
-    segments = {ch: Segments(grid[ch], [h[ch, j] for j in range(points)], r["low"], r["high"]) for ch, r in found.items()}
-
-    at = F.lit(None).cast("int")
-    for ch, s in segments.items():
-        at = F.when(F.col("channel") == ch, _search(F.col("budget"), s.cuts, 0, len(s.cuts))).otherwise(at)
-    t = (F.col("budget") - F.col("mid")[F.col("s")]) / F.col("half")[F.col("s")]
-    placed = rows.select("channel", "budget", "roi", at.alias("s"), by_channel({ch: s.mid for ch, s in segments.items()}).alias("mid"),
-                         by_channel({ch: s.half for ch, s in segments.items()}).alias("half"))
-    place = sum([F.when(F.col("channel") == ch, (F.col("budget") - F.lit(r["low"])) / F.lit(step[ch])).otherwise(F.lit(0.0))
-                 for ch, r in found.items()], F.lit(0.0))
-    placed = placed.select("channel", "roi", "s", t.alias("t"), place.alias("place")).persist()
-
-    def fit(weight: Column) -> dict[str, list[float | None]]:
-        powers = placed.withColumn("m", weight)
-        for a in range(1, DEGREE + 1):  # m t^a, one power from the one before
-            powers = powers.withColumn(f"m{a}", F.col("m" if a == 1 else f"m{a - 1}") * F.col("t"))
-        named = ["m", *[f"m{a}" for a in range(1, DEGREE + 1)]]
-        sums = powers.groupBy("channel", "s").agg(
-            *[F.sum(c).alias(f"w_{c}") for c in named], *[F.sum(F.col(c) * F.col("roi")).alias(f"y_{c}") for c in named]).collect()
-        moments = {ch: (np.zeros((len(s.mid), DEGREE + 1)), np.zeros((len(s.mid), DEGREE + 1))) for ch, s in segments.items()}
-        for r in sums:  # a row per segment
-            for kind, m in zip("wy", moments[r["channel"]]):
-                m[r["s"]] = [r[f"{kind}_{c}"] for c in named]
-        return {ch: s.lines(*moments[ch]) for ch, s in segments.items()}
-
-    curve = fit(F.lit(1.0))
+    step = {ch: (high - low) / (points - 1) for ch, (low, high) in found.items()}
+    grid = {ch: [low + j * step[ch] for j in range(points)] for ch, (low, _) in found.items()}
+    h, nearer = bandwidths(blocks, grid, frac)
+    segments = {ch: Segments(grid[ch], [h[ch, j] for j in range(points)], *found[ch]) for ch in found}
+
+    level = fit(blocks, segments, None)
     for _ in range(passes):
-        level = by_channel({ch: [math.nan if v is None else v for v in c] for ch, c in curve.items()})
-        j = F.least(F.floor("place"), F.lit(points - 2)).cast("int")
-        fitted = level[j] + (F.col("place") - j) * (level[j + 1] - level[j])
-        error = F.nanvl(F.abs(F.col("roi") - fitted), F.lit(None).cast("double"))
-        medians = exact_quantiles(placed.select("channel", error.alias("e")), ["e"], [0.5], by=["channel"])
-        reach = F.lit(None).cast("double")
-        for ch in curve:
-            m = medians.get(((ch,), "e", 0.5))
-            reach = F.when(F.col("channel") == ch, F.lit(6 * m if m else None).cast("double")).otherwise(reach)
-        u = error / reach
-        curve = fit(F.coalesce(F.when(u < 1, (1 - u * u) * (1 - u * u)).otherwise(F.when(u >= 1, 0.0)), F.lit(1.0)))
-    placed.unpersist()
-    rows.unpersist()
-    out = [(ch, j, grid[ch][j], curve[ch][j], nearer[ch, j], float(h[ch, j])) for ch in grid for j in range(points)]
+        curves = {ch: Curve(found[ch][0], step[ch], level[ch]) for ch in found}
+        for ch, m in medians(blocks, curves).items():
+            curves[ch].reach = 6 * m if m else None
+        level = fit(blocks, segments, curves)
+    blocks.unpersist()
+    out = [(ch, j, grid[ch][j], level[ch][j], nearer[ch, j], h[ch, j]) for ch in grid for j in range(points)]
     return df.sparkSession.createDataFrame(out, schema).select(
         "channel", "j", rnd("x", 6).alias("x"), rnd("roi_fit", 4).alias("roi_fit"), "n_used", rnd("bandwidth", 6).alias("bandwidth"))

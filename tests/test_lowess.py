@@ -81,3 +81,27 @@ def test_line_is_kept(spark):
 
 def test_empty_table(spark):
     assert L.lowess_curve(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("shell", [20_000, 3])
+def test_ranks_are_exact_and_buckets_are_few(spark, monkeypatch, shell):
+    monkeypatch.setattr(L, "SHELL", shell)
+    rng = np.random.default_rng(7)
+    v = np.concatenate([rng.gamma(2, 50, 4000), np.full(3000, 12.5), np.zeros(40), rng.uniform(0, 1e-12, 30), [1e300]])
+    rng.shuffle(v)
+    blocks = spark.sparkContext.parallelize([("TV", part, part) for part in np.array_split(v, 7)], 4)
+    asked = [0, 39, 40, 70, 2000, 3500, 5000, len(v) - 1]
+    got = L.order_statistics(blocks, lambda b, keys: [("k", b[1])] if "k" in keys else [], lambda key, n: asked)
+    for r in asked:
+        want = np.sort(v)[r]
+        assert got["k", r] == (want, int((v < want).sum()))
+    # a count leaves a task as sums by bucket, as many for ten times the rows
+    handed = [sum(len(codes) for _, (codes, _) in L._counted(lambda b, keys: [("k", b[1])], {"k": [(0, 63, L.FIRST)]}, [("TV", w, w)]))
+              for w in (v, np.tile(v, 10))]
+    assert handed[0] == handed[1] < 1000
+
+
+def test_rows_reach_python_as_few_blocks(spark):
+    rows = [(i, 1.0 + i, 0.0, None, "Mega", 3.0 if i % 2 else None) for i in range(5000)]
+    blocks = L.blocks_of(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()
+    assert [(ch, len(x), len(y)) for ch, x, y in blocks] == [("TV", 2500, 2500)]
