@@ -7,11 +7,15 @@ pass grouped by fold: two scans for the whole CV, whatever k.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rnd, safe_div
-from ..schema import TARGET_REG
+from ..schema import CHANNELS, TARGET_REG
 
 
 def cv_trend_scores(train: DataFrame, feature: str, name: str, k: int = 5, target: str = TARGET_REG,
@@ -81,23 +85,135 @@ def learning_curve_trend(train: DataFrame, feature: str, name: str, sizes: int =
                                                              ["train_mean", "train_std", "val_mean", "val_std"]])
 
 
+# Subsets that sums of products decide: features' correlations of at most this condition, squares of at least this share
+# of what they are before the mean is taken off.
+CONDITION, SPREAD = 1e8, 1e-6
+
+
+def _least_squares(estimator, target: str) -> bool:
+    """Whether a fit is plain least squares with an intercept, so that sums of products decide it."""
+    return (isinstance(estimator, LinearRegression) and estimator.getRegParam() == 0.0 and estimator.getLoss() == "squaredError"
+            and estimator.getFitIntercept() and estimator.getSolver() == "normal" and estimator.getLabelCol() == target
+            and not estimator.isDefined(estimator.weightCol))
+
+
+def least_squares_scores(drawn: DataFrame, fracs: list[float], cells: list[tuple[int, int]], target: str) -> tuple[list[dict], list]:
+    """R² and rows of the training and validation side of every (fold, size), and the cells that sums cannot decide.
+
+    One aggregation adds up the products of features and target by fold and by the smallest size that holds a row.  The
+    sums of a subset are those of its folds and sizes together; they give its scaling, its line and the squared errors of
+    either side.  Subsets without rows, with missing values or with dependent features are left to the estimator.
+    """
+    from .features import feature_names, onehot_features
+
+    names = [*feature_names(), target]
+    m = len(names)
+    wide = onehot_features(drawn)
+    middle = drawn.select(*[F.avg(c).alias(c) for c in [*CHANNELS, target]]).first()
+    missing = F.lit(float("nan"))
+    z = [F.coalesce(F.col(c).cast("double"), missing) - F.lit(float(middle[c] or 0.0) if c in middle else 0.0) for c in names]
+    size = F.coalesce(sum([(F.col("draw") >= F.lit(s)).cast("int") for s in fracs], F.lit(0)), F.lit(len(fracs)))
+    pairs = [(a, b) for a in range(m) for b in range(a, m)]
+    found = wide.select("fold", size.alias("size"), *[c.alias(f"z{a}") for a, c in enumerate(z)]).groupBy("fold", "size").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(f"z{a}").alias(f"s{a}") for a in range(m)],
+        *[e for a in range(m) for e in (F.min(f"z{a}").alias(f"low{a}"), F.max(f"z{a}").alias(f"high{a}"))],
+        *[F.sum(F.col(f"z{a}") * F.col(f"z{b}")).alias(f"p{a}_{b}") for a, b in pairs]).collect()  # folds x sizes rows
+    sums = [(r["fold"], r["size"], _Sums.of(r, pairs, m)) for r in found]
+    scores, left = [], []
+    for f, i in cells:
+        fitted = _Sums.together([s for fold, at, s in sums if fold is not None and fold != f and at <= i], m)
+        sides = {"train": _Sums.together([s for fold, at, s in sums if fold != f and at <= i], m),
+                 "val": _Sums.together([s for fold, at, s in sums if fold == f], m)}
+        line = fitted.line() if all(s.n == 0 or s.sure(m - 1) for s in sides.values()) else None
+        if line is None:
+            left.append((f, i))
+            continue
+        scores += [{"i": i, "kind": kind, "n": s.n, "r2": s.r2(*line)} for kind, s in sides.items() if s.n]
+    return scores, left
+
+
+@dataclass
+class _Sums:
+    """Rows, and sums, products and ranges of the features and the target (last)."""
+    n: int
+    total: np.ndarray
+    raw: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    @classmethod
+    def of(cls, row, pairs: list[tuple[int, int]], m: int) -> "_Sums":
+        raw = np.zeros((m, m))
+        for a, b in pairs:
+            raw[a, b] = raw[b, a] = row[f"p{a}_{b}"]
+        total, low, high = (np.array([row[f"{name}{a}"] for a in range(m)]) for name in ("s", "low", "high"))
+        return cls(row["n"], total, raw, low, high)
+
+    @classmethod
+    def together(cls, parts: list["_Sums"], m: int) -> "_Sums":
+        out = cls(0, np.zeros(m), np.zeros((m, m)), np.full(m, np.inf), np.full(m, -np.inf))
+        for s in parts:
+            out = cls(out.n + s.n, out.total + s.total, out.raw + s.raw, np.minimum(out.low, s.low), np.maximum(out.high, s.high))
+        return out
+
+    @property
+    def mean(self) -> np.ndarray:
+        return self.total / self.n
+
+    @property
+    def products(self) -> np.ndarray:
+        """Products of the distances from the means."""
+        return self.raw - self.n * np.outer(self.mean, self.mean)
+
+    def sure(self, a: int) -> bool:
+        """Whether a column is constant, or spread enough that its squares are known to many digits; nothing is missing."""
+        return bool(np.isfinite(self.raw).all()) and (self.low[a] == self.high[a] or self.products[a, a] >= SPREAD * self.raw[a, a])
+
+    def line(self) -> tuple[float, np.ndarray] | None:
+        """Intercept and slopes of least squares, features scaled by their spread; a constant feature has slope 0.
+
+        None without rows, with missing values, or if the features depend on each other."""
+        m = len(self.total) - 1
+        if not self.n or not all(self.sure(a) for a in range(m + 1)):
+            return None
+        slopes, used = np.zeros(m), np.flatnonzero(self.low[:m] < self.high[:m])
+        if len(used):
+            spread = np.sqrt(np.diag(self.products)[used])
+            related = self.products[np.ix_(used, used)] / np.outer(spread, spread)
+            if np.linalg.cond(related) > CONDITION:
+                return None
+            slopes[used] = np.linalg.solve(related, self.products[used, m] / spread) / spread
+        return float(self.mean[m] - slopes @ self.mean[:m]), slopes
+
+    def r2(self, intercept: float, slopes: np.ndarray) -> float | None:
+        if self.low[-1] == self.high[-1]:
+            return None
+        weights = np.append(-slopes, 1.0)  # error = target - slopes . features - intercept
+        squared = weights @ self.products @ weights + self.n * (weights @ self.mean - intercept) ** 2
+        return float(1.0 - max(0.0, squared) / self.products[-1, -1])
+
+
 def learning_curve(train: DataFrame, estimator, name: str, sizes: int = 8, k: int = 5, seed: int = 43,
                    target: str = TARGET_REG, parallelism: int = 8) -> DataFrame:
     """E9 of a fitted pipeline: train and validation R² by training size, in the columns of ``learning_curve_trend``.
 
     The subsets are nested: a row's hash draw gives the smallest size that holds it, so all sizes share one compact
-    table and a size is a range filter on ``draw``; nothing is sampled or sorted.  All fits run in one pool, and the
+    table and a size is a range filter on ``draw``; nothing is sampled or sorted.  Least-squares fits and their
+    scores come from sums of products by (fold, size), added up in one pass; other fits run in one pool, and the
     scores of all of them come from one aggregation of (fold, size, side) error sums.
     """
     import functools
 
-    import numpy as np
-
     from ..functions.exprs import hash_unit
     from .train import compact, fit_model, in_pool
 
     fracs = [float(x) for x in np.linspace(0.2, 1.0, sizes)]
-    data = compact(train.withColumn("draw", hash_unit("campaign_id", seed)))
+    drawn = train.withColumn("draw", hash_unit("campaign_id", seed))
+    cells = [(f, i) for i in reversed(range(sizes)) for f in range(k)]  # the largest first
+    per = []
+    if _least_squares(estimator, target):
+        per, cells = least_squares_scores(drawn, fracs, cells, target)
+    data = compact(drawn) if cells else None
 
     def one(f, i):
         rest = data.where((F.col("fold") != f) & (F.col("draw") < fracs[i]))
@@ -109,10 +225,10 @@ def learning_curve(train: DataFrame, estimator, name: str, sizes: int = 8, k: in
             (F.lit(1.0) - safe_div(F.sum(e * e), F.var_pop(target) * F.count(F.lit(1)))).alias("r2"),
             F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "kind", "r2", "n")
 
-    cells = [(f, i) for i in reversed(range(sizes)) for f in range(k)]  # the largest first
-    parts = in_pool([functools.partial(one, *c) for c in cells], parallelism)
-    per = functools.reduce(DataFrame.unionByName, parts).collect()  # two rows per fit
-    data.unpersist()
+    if cells:
+        parts = in_pool([functools.partial(one, *c) for c in cells], parallelism)
+        per += [r.asDict() for r in functools.reduce(DataFrame.unionByName, parts).collect()]  # two rows per fit
+        data.unpersist()
     out = []
     for i, s in enumerate(fracs):
         side = lambda kind, c: [float(r[c]) for r in per if r["i"] == i and r["kind"] == kind and r[c] is not None]  # noqa: B023, E731

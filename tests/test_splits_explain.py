@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +133,29 @@ def test_learning_curve_of_a_pipeline(spark):
     rows = learning_curve(df, TR.regression_estimators("quick")["Linear Regression"], "line", sizes=3, k=3).collect()
     assert [r.size_idx for r in rows] == [0, 1, 2] and rows[0].n_train < rows[1].n_train < rows[2].n_train
     assert rows[2].n_train == pytest.approx(400 * 2 / 3, abs=1) and all(r.val_mean <= 1 and r.train_std >= 0 for r in rows)
+
+
+@pytest.mark.parametrize("kind", ["plain", "dependent", "constant"])
+def test_least_squares_learning_curve_reads_the_rows_twice(spark, monkeypatch, kind):
+    """The scores of the estimator's own fits, without a fit per subset unless the features depend on each other."""
+    from mixcast.operators import tuning as TU
+
+    rng = random.Random(5)
+    rows = []
+    for i in range(600):
+        tv = rng.uniform(10, 90)
+        radio = {"plain": rng.uniform(0, 9), "dependent": 2 * tv, "constant": 7.5}[kind]
+        sm = 1e6 + rng.uniform(0, 5)  # far from 0
+        rows.append((i, tv, radio, sm, rng.choice(["Mega", "Macro", "Nano"]), 3 * tv + radio + sm / 10 + rng.gauss(0, 9), i % 3))
+    df = spark.createDataFrame(rows, "campaign_id long, TV double, Radio double, Social_Media double, Influencer string, "
+                                     "Sales double, fold int").persist()
+    est = TR.regression_estimators("quick")["Linear Regression"]
+    fits, fit_model = [], TR.fit_model
+    monkeypatch.setattr(TR, "fit_model", lambda *a, **kw: fits.append(1) or fit_model(*a, **kw))
+    got = learning_curve(df, est, "line", sizes=2, k=3).orderBy("size_idx").collect()
+    assert len(fits) == (6 if kind == "dependent" else 0)
+    monkeypatch.setattr(TU, "_least_squares", lambda *a: False)
+    want = learning_curve(df, est, "line", sizes=2, k=3).orderBy("size_idx").collect()
+    for g, w in zip(got, want, strict=True):
+        assert tuple(g)[:4] == tuple(w)[:4] and list(g)[4:] == pytest.approx(list(w)[4:], abs=3e-6)
+    df.unpersist()
