@@ -404,7 +404,8 @@ def _saturation_bins(df: DataFrame, n_bins: int = 10, method: str = "exact") ->
     the first one closed on the left, as ``qcut`` builds them.  Channels with fewer than
     two distinct edges have no bins.
     """
-    roi_long = channel_roi(df)
+    # the table's long form is kept with it, so that the curve and the points find the edges once
+    roi_long = df.__dict__.setdefault("_mixcast_channel_roi", channel_roi(df))
     edges = decile_edges(roi_long, n_bins, method)
     edge_arr = F.lit(None).cast("array<double>")
     for ch, e in edges.items():

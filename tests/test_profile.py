@@ -131,3 +131,15 @@ def test_rare_values_are_counted_in_tasks_of_bounded_size(spark, monkeypatch):
     assert got == {"TV": (0.0, 0.0001), "Radio": (0.0, 0.0004)}
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert plan.index("hashpartitioning(part") > plan.rindex("count(1)")  # below every count
+
+
+def test_saturation_reports_share_the_edges(spark, monkeypatch):
+    from mixcast.functions import quantiles as Q
+
+    rows = [(i, 1.0 + i, 2.0 * i, 5.0, "Mega", 30.0 + i % 7) for i in range(100)]
+    df = spark.createDataFrame(rows, "campaign_id long, TV double, Radio double, Social_Media double, Influencer string, Sales double")
+    runs, exact = [], Q.exact_quantiles
+    monkeypatch.setattr(Q, "exact_quantiles", lambda *a, **kw: runs.append(1) or exact(*a, **kw))
+    curve, points = P.saturation_curve(df).collect(), P.saturation_points(df).collect()
+    assert len(runs) == 1 and len(curve) == 20 and len(points) == 3
+    assert sorted(map(str, P.saturation_curve(df.select("*")).collect())) == sorted(map(str, curve))
