@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from mixcast.functions.exprs import rnd
 from mixcast.functions.quantiles import quantiles
+from mixcast.operators.predictors import TercileClassifier, TrendModel
+from mixcast.plans import catalog
 from mixcast.plans.oracle import expand_round
 from mixcast.sources.campaigns import number_equal, read_campaigns
 from mixcast.sources.sinks import _exists, write_attributions
@@ -58,3 +60,12 @@ def test_equal_rows_are_numbered_over_partitions(spark):
     found = {(r.x, r.y): (r.n, r.d, r.lo, r.hi) for r in got.collect()}
     assert found[1.0, "a"] == (3000, 3000, 1, 3000) and found[None, None] == (500, 500, 1, 500)
     assert all(v == (40, 40, 1, 40) for (x, y), v in found.items() if y == "b")
+
+
+def test_gap_report_tells_every_classifier(spark, monkeypatch):
+    rows = [(i, float(i), ("Low", "Medium", "High")[i % 3], "test" if i % 4 == 0 else "train") for i in range(48)]
+    table = spark.createDataFrame(rows, "campaign_id long, TV double, Performance string, split string")
+    model = TercileClassifier(TrendModel("TV", 0.0, 1.0), 16.0, 32.0)
+    monkeypatch.setattr(catalog, "_fitted", lambda spark, sf, task, names: ({n: model for n in names}, None))
+    monkeypatch.setattr(catalog, "clf_table", lambda spark, sf: table)
+    assert sorted(r["model"] for r in catalog.q_ml_gap_clf(spark, "none").collect()) == sorted(catalog.CLASSIFIERS)
