@@ -69,3 +69,43 @@ def test_fits_over_partitions_do_not_depend_on_them(spark):
     told = lambda m: [r[0] for r in m.transform(data).orderBy("campaign_id").select("prediction").collect()]
     assert told(fit_boosting(data, est)) == pytest.approx(told(fit_boosting(data.repartition(7), est)), abs=1e-8)
     data.unpersist()
+
+
+def test_fits_over_few_cells_take_two_jobs_a_pack(spark, monkeypatch):
+    """Where cells are few a pack of rounds is drawn in one job and grown in another; the trees are those of the levels."""
+    data = _rows(spark, 6000)
+    blocks, edges = boosting.blocks_of(data, "Sales", "fold", "campaign_id")
+    fits = [boosting.Fit(f, step, depth) for f in range(3) for step, depth in ((0.1, 2), (0.3, 3))]
+    found = {}
+    for name, whole, sent in (("whole", 1 << 18, 1 << 26), ("packs", 1 << 18, 100_000), ("levels", 0, 1)):
+        monkeypatch.setattr(boosting, "WHOLE", whole)
+        monkeypatch.setattr(boosting, "SENT", sent)
+        spark.sparkContext.setJobGroup(name, name)
+        found[name] = boosting.boost(blocks, len(edges), fits, 8, squares=True)
+        found[name] += (len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)),)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for name in ("packs", "levels"):
+        assert found[name][1] == pytest.approx(found["whole"][1], rel=1e-9)
+        for a, b in zip(found["whole"][0], found[name][0]):
+            assert (a.feature == b.feature).all() and (a.bin == b.bin).all()
+            assert a.value == pytest.approx(b.value, abs=1e-9) and a.gain == pytest.approx(b.gain, abs=1e-6)
+            assert a.totals == pytest.approx(b.totals, rel=1e-6, abs=1e-6)
+    assert found["whole"][3] <= 6 < found["packs"][3] < found["levels"][3]
+    assert found["whole"][2].sent.rounds == 8
+    blocks.unpersist()
+    data.unpersist()
+
+
+def test_classes_over_few_cells_are_those_of_the_levels(spark, monkeypatch):
+    data = _rows(spark, 6000)
+    blocks, edges = boosting.blocks_of(data, "label", "fold", "campaign_id")
+    fits = [boosting.Fit(f, 0.3, 3, c) for f in range(3) for c in range(3)]
+    counts = []
+    for whole in (1 << 18, 0):
+        monkeypatch.setattr(boosting, "WHOLE", whole)
+        trees, sse, outputs = boosting.boost(blocks, len(edges), fits, 5)
+        counts.append((trees[-1].value, sse, boosting.class_counts(blocks, fits, outputs, 3)))
+    assert counts[0][0] == pytest.approx(counts[1][0], abs=1e-9) and counts[0][1] == pytest.approx(counts[1][1], rel=1e-9)
+    assert all((counts[0][2][f] == counts[1][2][f]).all() for f in range(3))
+    blocks.unpersist()
+    data.unpersist()
