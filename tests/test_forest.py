@@ -92,3 +92,31 @@ def test_fits_grow_forests_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(RandomForestRegressor, "_fit", lambda *a: pytest.fail("fitted by rows"))
     model, _ = TR.fit_model(data, est, "regression")
     assert model.predict(data).where("prediction is not null").count() == 200
+
+
+def test_trees_over_few_cells_read_the_rows_once(spark, monkeypatch):
+    """Trees grown whole over sums by cell are those grown level by level over rows, in a few jobs whatever the depth."""
+    data = _rows(spark, 3000).withColumn("fold", F.lit(-1)).persist()
+    sc = spark.sparkContext
+    for classes, label, features in ((0, "Sales", 3), (3, "label", 2)):
+        blocks, edges = boosting.blocks_of(data, label, "fold", "campaign_id", weight="weight", most=3)
+        settings = (edges, 7, 5, 2, features, classes, 42)
+        levels = forest.grow(blocks.map(forest._arrays), *settings)
+        cells = boosting._cells(blocks, forest._Kinds(classes)).persist()
+        sc.setJobGroup(f"trees{classes}", "")
+        trees = forest.grow_by_tree(cells, *settings)
+        assert len(sc.statusTracker().getJobIdsForGroup(f"trees{classes}")) <= 2
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        assert (trees[0] == levels[0]).all() and (trees[1] == levels[1]).all()
+        inner = levels[0] >= 0
+        assert trees[2][inner] == pytest.approx(levels[2][inner], rel=1e-6) and trees[3] == pytest.approx(levels[3], rel=1e-9, abs=1e-9)
+        for whole, other in ((0, "grow"), (1 << 18, "grow_by_tree")):  # which way a fit goes
+            monkeypatch.setattr(boosting, "WHOLE", whole)
+            est = (RandomForestClassifier if classes else RandomForestRegressor)(
+                featuresCol="features", labelCol=label, numTrees=2, maxDepth=2, seed=1, featureSubsetStrategy="all")
+            ran, own = [], getattr(forest, other)
+            monkeypatch.setattr(forest, other, lambda *a, own=own, ran=ran: ran.append(1) or own(*a))
+            assert forest.fit_forest(data, est).getNumTrees == 2 and ran == [1]
+        blocks.unpersist()
+        cells.unpersist()
+    data.unpersist()
