@@ -26,8 +26,10 @@ def test_variants_of_trees_are_looked_up(spark, monkeypatch, kind):
         return {(r["campaign_id"], r["feature"]): r for r in XP.shap_exact(model, some, background).collect()}
     scored = []
     usual_predict = SparkModel.predict
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", str(kind is GBTRegressor).lower())  # sessions may leave it off
     monkeypatch.setattr(SparkModel, "predict", lambda self, df: scored.append(1) or usual_predict(self, df))
     own = told()
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     assert not scored  # no prediction pass over rows x coalitions x background
     monkeypatch.setattr(XP, "GRID", 0)
     usual = told()
